@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +37,37 @@ def output(batch: dict[str, list | pa.Array], schema: pa.Schema) -> pa.RecordBat
         [v if isinstance(v := batch[f.name], pa.Array) and v.type == f.type else pa.array(v, type=f.type) for f in schema],
         schema=schema,
     )
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def pieces(raw: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """A text in pieces of about ``step`` bytes that end at the end of a word, so that long texts take bounded memory."""
+    at = 0
+    while len(raw) - at > step:
+        m = _SPACE.search(raw, at + step)
+        end = m.start() if m else len(raw)
+        yield raw[at:end]
+        at = end
+    yield raw[at:]
+
+
+class WordHashes(dict):
+    """XXH64 of words, remembered up to ``limit`` distinct ones at a time."""
+
+    limit = 1 << 19
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return h
+
+    def of(self, raw: bytes | None) -> np.ndarray:
+        """The hash of each word of a text (bytes between white space)."""
+        parts = []
+        for piece in pieces(raw or b""):
+            words = piece.split()
+            parts.append(np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words)))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastra.llm import decontaminate, media, mixing, sharding, urlfilter
+from rastra.llm import decontaminate, media, mixing, sharding, simhash, substrings, tokens, urlfilter
 from rastra.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), shingle=4, min_match=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs, n_shards=40).select(
@@ -24,6 +29,23 @@ def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The public tokenizer that the query applies; a path to any other file does as well.
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, manifest = tokens.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)
+    return tokens.token_digests(path, manifest)
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -61,8 +83,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": op1_simhash,
         "op2_sharding": op2_sharding,
         "op3_media": op3_media,
+        "op5_tokens": op5_tokens,
+        "op6_substrings": op6_substrings,
         "op7_decontamination": op7_decontamination,
         "op8_mixing": op8_mixing,
         "op9_url_filter": lambda s, d: op9_url_filter(s, d).select("page_id", "host", "path", "rule", "verdict"),
