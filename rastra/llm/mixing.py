@@ -9,9 +9,6 @@ from pyspark.sql.window import Window
 from rastra.llm.common import WORD
 from rastra.storage import settle
 
-#: One copy, in the integer units in which mass is moved, so that no rounding error builds up.
-ONE = 1 << 40
-
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
     """Targets in proportion to the weights, none above ``ceiling`` times its source's size.
@@ -32,29 +29,35 @@ def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -
 
 
 def _fold(units: Column, seed: int) -> Column:
-    """Pivotal rounding along an array of ``(weight, id, mass)``.
+    """Pivotal rounding along an array of ``(weight, id, nth, mass)``.
 
-    Each step pairs the unit still open with the next one and moves mass
-    between them at random until one of the two is integral, keeping the sum.
+    Each step pairs the unit still open with the next one and moves weight
+    between them, in a random direction, until one of the two is integral. The
+    odds of the directions keep each unit's expectation; the sum of weight times
+    mass is kept exactly.
     """
 
     def pair(state: Column, unit: Column) -> Column:
-        a, b = state["mass"], unit["mass"]
-        both = a + b
-        coin = F.pmod(F.xxhash64(F.lit(seed), state["id"], unit["id"], unit["nth"]), F.lit(ONE))
-        over = both >= ONE
-        # over: one gets a whole copy, else one gets none; the odds keep each unit's expectation
-        a_done = F.when(over, coin * 1.0 * (2 * ONE - both) < (ONE - b) * 1.0 * ONE).otherwise(coin * 1.0 * both < b * 1.0 * ONE)
-        rest = F.when(over, both - ONE).otherwise(both)
-        whole = F.when(over, F.lit(1)).otherwise(F.lit(0))
-        done = F.when(a_done, F.struct(state["id"].alias("id"), state["nth"].alias("nth"), whole.alias("copy"))).otherwise(
-            F.struct(unit["id"].alias("id"), unit["nth"].alias("nth"), whole.alias("copy"))
+        room_a, room_b = (1 - state["mass"]) * state["weight"], (1 - unit["mass"]) * unit["weight"]
+        full_a, full_b = state["mass"] * state["weight"], unit["mass"] * unit["weight"]
+        up, down = F.least(room_a, full_b), F.least(full_a, room_b)  # what can move to the open unit, and from it
+        coin = F.pmod(F.xxhash64(F.lit(seed), state["id"], state["nth"], unit["id"], unit["nth"]), F.lit(1 << 52)) / F.lit(float(1 << 52))
+        rises = coin * (up + down) < down
+        a_done = F.when(rises, room_a <= full_b).otherwise(full_a <= room_b)
+        copy = F.when(rises == a_done, 1).otherwise(0)
+        left = F.when(
+            a_done, unit["mass"] + F.when(rises, -up).otherwise(down) / unit["weight"]
+        ).otherwise(state["mass"] + F.when(rises, up).otherwise(-down) / state["weight"])
+        done = F.struct(
+            F.when(a_done, state["id"]).otherwise(unit["id"]).alias("id"),
+            F.when(a_done, state["nth"]).otherwise(unit["nth"]).alias("nth"),
+            copy.alias("copy"),
         )
         return F.struct(
             F.when(a_done, unit["id"]).otherwise(state["id"]).alias("id"),
             F.when(a_done, unit["nth"]).otherwise(state["nth"]).alias("nth"),
             F.when(a_done, unit["weight"]).otherwise(state["weight"]).alias("weight"),
-            rest.alias("mass"),
+            F.least(F.lit(1.0), F.greatest(F.lit(0.0), left)).alias("mass"),
             F.concat(state["done"], F.array(done)).alias("done"),
         )
 
@@ -70,14 +73,15 @@ def _fold(units: Column, seed: int) -> Column:
 
 
 def pivotal_round(units: DataFrame, group: str = "grp", block_rows: int = 256, seed: int = 11) -> DataFrame:
-    """Round ``mass`` (0 to ``ONE``) of the units of each group to 0 or 1 copy.
+    """Round the ``mass`` (0 to 1) of the units of each group to 0 or 1 copy.
 
-    ``units`` has ``grp, id, nth, weight, mass``. Blocks of about ``block_rows``
+    ``units`` has ``grp, id, nth, weight, mass``, of positive weight. Blocks of about ``block_rows``
     units of near equal weight are folded side by side; each leaves one open
     unit, and the open units are folded again, level by level, until a group has
-    one left, which a coin settles. In each group the copies differ from the sum
-    of masses by less than one. Blocks come from hashes of the units alone, so
-    that reruns and other partitionings agree. Returns ``grp, id, nth, copy``.
+    one left, which is rounded to the nearer side: a group's weight of copies is
+    off its sum of weight times mass by half that unit's weight at most. Blocks
+    come from hashes of the units alone, so that reruns and other partitionings
+    agree. Returns ``grp, id, nth, copy``.
     """
     level, decided, alive = 0, None, units.select(group, "id", "nth", "weight", "mass")
     while True:
@@ -106,8 +110,7 @@ def pivotal_round(units: DataFrame, group: str = "grp", block_rows: int = 256, s
         level += 1
         if alive.groupBy(group).count().where("count > 1").isEmpty():
             break
-    coin = F.pmod(F.xxhash64(F.lit(seed + 99), "id", "nth"), F.lit(ONE))
-    last = alive.select(group, "id", "nth", (coin < F.col("mass")).cast("int").alias("copy"))
+    last = alive.select(group, "id", "nth", (F.col("mass") >= 0.5).cast("int").alias("copy"))
     return decided.unionByName(last)
 
 
@@ -127,7 +130,7 @@ def mix_sources(
     Sources in code point order, null last, get the weights in turn; together
     they get ``share`` of all words, none above ``ceiling`` times its own words.
     A source's rows each get the whole part of target over size, and the
-    fraction is settled by pivotal rounding among rows of near equal size. Adds
+    fraction is settled by pivotal rounding, which keeps the sum of words. Adds
     ``size`` (words of the text, 0 for null), ``source_size``, ``target`` and
     ``copies``; columns of those names in the input give way. Rows that agree in
     id and text share their copies evenly. An empty table gives an empty result.
@@ -151,21 +154,34 @@ def mix_sources(
     spark = df.sparkSession
     rates = []
     for s in ordered:
-        mass = round(targets[s] / sizes[s] * ONE) if sizes[s] else 0
-        rates.append((s, sizes[s], float(targets[s]), mass // ONE, mass % ONE))
-    goal = spark.createDataFrame(rates, f"g {df.schema[source].dataType.simpleString()}, source_size long, target double, whole long, mass long")
+        rate = targets[s] / sizes[s] if sizes[s] else 0.0
+        rates.append((s, sizes[s], float(targets[s]), int(rate), rate - int(rate)))
+    goal = spark.createDataFrame(rates, f"g {df.schema[source].dataType.simpleString()}, source_size long, target double, whole long, mass double")
     rated = base.join(F.broadcast(goal), F.col("grp").eqNullSafe(F.col("g"))).drop("g")
-    units = rated.select("grp", "id", "nth", F.col("size").alias("weight"), "mass")
+    units = rated.where("size > 0 AND mass > 0").select("grp", "id", "nth", F.col("size").cast("double").alias("weight"), "mass")
     rounded = pivotal_round(units, "grp", block_rows, seed).groupBy("grp", "id", "nth").agg(
         F.sum("copy").alias("extra"), F.count("*").alias("alike")
     )
     same = rated.join(
         rounded.select(*[F.col(c).alias(f"r_{c}") for c in rounded.columns]),
         F.col("grp").eqNullSafe(F.col("r_grp")) & F.col("id").eqNullSafe(F.col("r_id")) & (F.col("nth") == F.col("r_nth")),
+        "left",
     )
-    # a number only where several rows are alike, so that none is needed for the others
-    turn = F.row_number().over(Window.partitionBy("r_grp", "r_id", "r_nth").orderBy(F.lit(0)))
+    turn = F.row_number().over(Window.partitionBy("grp", "id", "nth").orderBy(F.lit(0)))
     extra = F.floor(F.col("r_extra") / F.col("r_alike")) + (turn <= F.col("r_extra") % F.col("r_alike")).cast("long")
-    return same.withColumn("copies", (F.col("whole") + extra).cast("long")).select(
+    return same.withColumn("copies", (F.col("whole") + F.coalesce(extra, F.lit(0))).cast("long")).select(
         *[F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in own], "size", "source_size", "target", "copies"
     )
+
+
+def take_mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of the mix: each as often as :func:`mix_sources` takes it, with its columns."""
+    packed = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("packed"),
+        docs[f"`{text}`"].alias("text"),
+        docs[f"`{source}`"].alias("source"),
+        docs[f"`{doc_id}`"].alias("doc_id"),
+    )
+    mixed = mix_sources(packed, **options).where("copies > 0")
+    times = mixed.select("packed", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("nth"))
+    return times.select(*[F.col(f"packed.`{c}`").alias(c) for c in docs.columns])
