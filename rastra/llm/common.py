@@ -26,9 +26,17 @@ def texts(column: pa.Array) -> Iterator[bytes | None]:
         yield x.as_py()
 
 
+def slices(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow arrays, or tuples of them, a few rows at a time, so that a worker's memory follows a few texts and not a batch."""
+    for batch in batches:
+        n = len(batch[0]) if isinstance(batch, tuple) else len(batch)
+        for at in range(0, max(n, 1), rows):
+            yield tuple(x.slice(at, rows) for x in batch) if isinstance(batch, tuple) else batch.slice(at, rows)
+
+
 def id_crc(doc_id: Column | str) -> Column:
-    """CRC-32 of a document id written as text; null ids count as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string").cast("binary"))
+    """CRC-32 of a document id written as text; null for null."""
+    return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary"))
 
 
 def output(batch: dict[str, list | pa.Array], schema: pa.Schema) -> pa.RecordBatch:

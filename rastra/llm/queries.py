@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastra.llm import decontaminate, media, mixing, sharding, simhash, substrings, tokens, urlfilter
+from rastra.llm import decontaminate, langid, media, mixing, sharding, simhash, substrings, tokens, toxicity, urlfilter
 from rastra.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: The public tokenizer that the query applies; a path to any other file does as well.
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -81,16 +85,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_sharding": op2_sharding,
         "op3_media": op3_media,
+        "op4_toxicity": op4_toxicity,
         "op5_tokens": op5_tokens,
         "op6_substrings": op6_substrings,
         "op7_decontamination": op7_decontamination,
         "op8_mixing": op8_mixing,
         "op9_url_filter": lambda s, d: op9_url_filter(s, d).select("page_id", "host", "path", "rule", "verdict"),
+        "op10_language": op10_language,
     }
 
 
