@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import texts
+from rastra.llm.common import slices, texts
 from rastra.storage import settle
 
 
@@ -184,7 +184,7 @@ def media_column(docs: DataFrame, text: str = "text", unit: int = 576, form: str
 
     @F.arrow_udf("struct<media: binary, n_bytes: bigint>")
     def store(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [text_media(raw, unit, form) for raw in texts(batch)]
             yield pa.StructArray.from_arrays(
                 [pa.array([m for m, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], ["media", "n_bytes"]
@@ -243,7 +243,7 @@ def media_features(media: DataFrame, column: str = "media", edge: int = 16) -> D
 
     @F.arrow_udf("struct<payload_bytes: bigint, payload_sha256: string, tail_crc32: bigint, media_bytes: bigint, media_sha256: string, feature: string, tile: binary, height: int, width: int, error: string>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.array([read(data) for data in texts(batch)], type=_FEATURES)
 
     return media.select(*[media[f"`{c}`"] for c in media.columns if c != "found"], features.asNondeterministic()(media[f"`{column}`"]).alias("found"))
