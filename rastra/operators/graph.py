@@ -28,12 +28,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     of executors. Null ends, self loops and repeated edges have no effect; no
     edges give an empty result.
     """
-    spark = edges.sparkSession
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")
-    nodes = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(
-        F.col(src).isNotNull() & F.col(dst).isNotNull()
-    )
-    live = settle(nodes.where("a < b").distinct(), "cc_edges")
+    ends = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+    nodes = settle(ends.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "cc_links")
+    live = nodes.where("a < b")
     roots = settle(nodes.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "cc_nodes")
     found: DataFrame | None = None
     while not live.isEmpty():
@@ -57,5 +55,4 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         )
     if found is None:
         return roots.select("id", F.col("id").alias("component"))
-    assert spark is not None
     return roots.join(found, "id", "left").select("id", F.coalesce("parent", "id").alias("component"))
