@@ -27,9 +27,9 @@ def texts(column: pa.Array) -> Iterator[bytes | None]:
 
 
 def slices(batches: Iterator, rows: int = 256) -> Iterator:
-    """Arrow arrays, or tuples of them, a few rows at a time, so that a worker's memory follows a few texts and not a batch."""
+    """Arrow batches, arrays or tuples of arrays, a few rows at a time, so that a worker's memory follows a few texts and not a batch."""
     for batch in batches:
-        n = len(batch[0]) if isinstance(batch, tuple) else len(batch)
+        n = len(batch[0]) if isinstance(batch, tuple) else batch.num_rows if isinstance(batch, pa.RecordBatch) else len(batch)
         for at in range(0, max(n, 1), rows):
             yield tuple(x.slice(at, rows) for x in batch) if isinstance(batch, tuple) else batch.slice(at, rows)
 

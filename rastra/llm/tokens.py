@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -16,27 +17,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rastra.llm.common import slices, texts
 from rastra.storage import scratch, settle
 
 
-class _Chunks(dict):
-    """Numbers chunks from 1 as they come, and those that can't stand alone 0.
+_NONE = np.zeros(0, np.int32)
+#: Odd multiplier of the hash over a chunk's bytes, and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = 32
+_WIDE = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-    The space before a chunk belongs to it; it is added only when a chunk is new.
-    """
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-        self.last = 0
+def _segments(raw: bytes, step: int = 1 << 20) -> list[bytes]:
+    """A long text in segments; at each cut a space between two visible ASCII characters is left out."""
+    out, at = [], 0
+    while len(raw) - at > step:
+        m = _CUT.search(raw, at + step)
+        if not m:
+            break
+        out.append(raw[at : m.start() + 1])
+        at = m.start() + 2
+    out.append(raw[at:])
+    return out
 
-    def __missing__(self, chunk: str) -> int:
-        number = 0
-        if chunk and not chunk[0].isspace() and not chunk[-1].isspace():
-            self.new.append(" " + chunk)
-            self.last = number = self.last + 1
-        self[chunk] = number
-        return number
+
+_CUT = re.compile(rb"[!-~] (?=[!-~])")
 
 
 class ChunkEncoder:
@@ -44,10 +56,12 @@ class ChunkEncoder:
 
     A space between two characters that aren't white space always begins a new
     pre-token, so a text's ids are those of its chunks cut there, in turn. A
-    text with other runs of white space is encoded whole.
+    text with other runs of white space is encoded whole. Chunks are told apart
+    by 64-bit hashes, many at a time, so that a common one costs no look-up of
+    its own.
     """
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,88 +70,110 @@ class ChunkEncoder:
         # byte-level vocabularies write the space as U+0120
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self.tokenizer.get_vocab_size())])
         self.limit = limit
+        self.powers = (np.zeros(0, np.uint64),) * 2
         self._forget()
 
     def _forget(self) -> None:
-        self.chunks = _Chunks()
-        self.new = self.chunks.new
-        self.starts, self.sizes, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, np.int32)
+        #: number of a chunk by its hash: from 1, or 0 if it can't stand alone
+        self.known: dict[int, int] = {}
+        self.starts, self.sizes, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int32), _NONE
 
     def _encode(self, whole: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
 
-    def _learn(self) -> None:
-        """Encode the new chunks, a thousand at a time: an id that begins with a space begins a chunk."""
-        if not self.new:
-            return
-        found = self._encode(["".join(self.new[at : at + 1000]) for at in range(0, len(self.new), 1000)])
-        flat = np.concatenate(found)
-        starts = np.flatnonzero(self.spaced[flat]).astype(np.int32)
-        self.starts = np.concatenate([self.starts, len(self.ids) + starts])
-        self.sizes = np.concatenate([self.sizes, np.diff(np.append(starts, np.int32(len(flat))))])
-        self.ids = np.concatenate([self.ids, flat])
-        self.new.clear()
-
-    @staticmethod
-    def _segments(text: str, step: int = 1 << 20) -> list[str]:
-        """A long text in segments, each but the first without the single space before it."""
-        out, at = [], 0
-        while len(text) - at > step:
-            cut = text.find(" ", at + step)
-            while 0 < cut < len(text) - 1 and (text[cut - 1].isspace() or text[cut + 1].isspace()):
-                cut = text.find(" ", cut + 1)
-            if not 0 < cut < len(text) - 1:
-                break
-            out.append(text[at:cut])
-            at = cut + 1
-        out.append(text[at:])
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if len(self.chunks) > self.limit:
+    def _learn(self, hashes: np.ndarray, joined: bytes, at: np.ndarray, ends: np.ndarray) -> None:
+        """Number the new chunks and encode them, a hundred at a time: an id that begins with a space begins a chunk."""
+        data = np.frombuffer(joined, np.uint8)
+        # the bytes at a chunk's two edges; non-ASCII white space begins with one of four bytes
+        first, last, second, third = data[np.minimum(at + 1, len(data) - 1)], data[ends - 1], data[ends - 2], data[np.maximum(ends - 3, 0)]
+        odd = np.isin(first, _WIDE) | (second == 0xC2) | np.isin(third, _WIDE)
+        fit = (ends - at > 1) & (first > _SPACE) & (last > _SPACE)
+        for i in np.flatnonzero(odd & fit).tolist():
+            chunk = joined[at[i] + 1 : ends[i]].decode("utf-8")
+            fit[i] = not (chunk[0].isspace() or chunk[-1].isspace())
+        self.known.update(dict.fromkeys(hashes[~fit].tolist(), 0))
+        if fit.any():
+            new = [joined[a:b] for a, b in zip(at[fit].tolist(), ends[fit].tolist(), strict=True)]
+            self.known.update(zip(hashes[fit].tolist(), range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            flat = np.concatenate(self._encode([b"".join(new[k : k + 100]).decode("utf-8") for k in range(0, len(new), 100)]))
+            starts = np.flatnonzero(self.spaced[flat]).astype(np.int32)
+            self.starts = np.concatenate([self.starts, len(self.ids) + starts])
+            self.sizes = np.concatenate([self.sizes, np.diff(np.append(starts, np.int32(len(flat))))])
+            self.ids = np.concatenate([self.ids, flat])
+
+    def _numbers(self, joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where the chunks of a buffer begin, each with the space before it, and their numbers."""
+        data = np.frombuffer(joined, np.uint8)
+        if len(data) >= len(self.powers[0]):
+            self.powers = _powers(_BASE, 2 * len(data) + 1), _powers(_INVERSE, 2 * len(data) + 1)
+        at = np.flatnonzero(data == _SPACE)
+        ends = np.append(at[1:], len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[0][: len(data)], out=sums[1:])
+        h = (sums[ends] - sums[at + 1]) * self.powers[1][at + 1]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + (ends - at).astype(np.uint64)
+        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        get = self.known.get
+        numbers = np.array([get(k, -1) for k in distinct.tolist()], np.int32)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            places = first[missing]
+            self._learn(distinct[missing], joined, at[places], ends[places])
+            numbers[missing] = [self.known[k] for k in distinct[missing].tolist()]
+        return at, numbers[inverse]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text, given as UTF-8."""
+        if len(self.known) > self.limit:
             self._forget()
-        number = self.chunks.__getitem__
-        numbers, owner, plain = [], [], {}
-        for t, text in enumerate(texts):
-            for s, segment in enumerate(self._segments(text)):
-                head, *rest = segment.split(" ")
-                if not s:  # no space before it
-                    plain[len(numbers)] = head
-                    numbers.append(_NONE)
-                    owner.append(t)
-                else:
-                    rest.insert(0, head)
-                found = np.fromiter(map(number, rest), np.int32, len(rest))
-                if not found.all():
-                    plain[len(numbers)] = " " + segment if s else segment
-                    if not s:
-                        plain[len(numbers) - 1] = ""
-                    found = _NONE
-                numbers.append(found)
-                owner.append(t)
-        self._learn()
-        every = np.concatenate(numbers) if numbers else _NONE
-        n = self.sizes[every]
+        segments, owner = [], []
+        for t, raw in enumerate(texts):
+            parts = _segments(raw)
+            segments += parts
+            owner += [(t, k) for k in range(len(parts))]
+        at, numbers = self._numbers(b"".join([b" " + s for s in segments])) if segments else (_NONE, _NONE)
+        bounds = np.cumsum([0, *(len(s) + 1 for s in segments)])
+        begins = np.searchsorted(at, bounds)
+        heads = np.array([k == 0 for _, k in owner], bool)
+        counted = numbers.copy()
+        counted[begins[:-1][heads]] = 0  # no space goes before a text's first chunk, so it is encoded by itself
+        bad = np.add.reduceat((numbers == 0).astype(np.int64), begins[:-1]) > 0 if segments else heads
+        n = self.sizes[counted]
         ends = np.cumsum(n, dtype=np.int32)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(self.starts[every] - ends + n, n)
-        where += np.arange(total, dtype=np.int32)
+        where = np.repeat(self.starts[counted] - ends + n, n)
+        where += np.arange(len(where), dtype=np.int32)
         flat = self.ids[where]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, numbers)])]
-        whole = dict(zip(plain, self._encode(list(plain.values())), strict=True))
+        ends = np.concatenate([[0], ends])[begins]
+        alone: list[str] = []
+        for s, (_, k), b in zip(segments, owner, bad.tolist(), strict=True):
+            if b:
+                alone.append((s if k == 0 else b" " + s).decode("utf-8"))
+            elif k == 0:
+                alone.append(s.partition(b" ")[0].decode("utf-8"))
+        found = iter(self._encode(alone))
         out: list[list[np.ndarray]] = [[] for _ in texts]
-        for k, t in enumerate(owner):
-            part = whole[k] if k in whole else flat[bounds[k] : bounds[k + 1]]
-            if len(part):
-                out[t].append(part)
-        return [x[0] if len(x) == 1 else np.concatenate([_NONE, *x]) for x in out]
+        for i, ((t, k), b) in enumerate(zip(owner, bad.tolist(), strict=True)):
+            if b or k == 0:
+                out[t].append(next(found))
+            if not b:
+                out[t].append(flat[ends[i] : ends[i + 1]])
+        return [np.concatenate(x) for x in out]
 
 
-_NONE = np.zeros(0, np.int32)
+_ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("local_start", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int32())))])
 
 
-_ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("local_start", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int32())))])
+def _in_turn(encoder: ChunkEncoder, raws: list[bytes], most: int = 8 << 20) -> Iterator[np.ndarray]:
+    """The ids of each text, encoding about ``most`` bytes at a time."""
+    some, held = [], 0
+    for raw in raws:
+        some.append(raw)
+        held += len(raw)
+        if held >= most:
+            yield from encoder.encode(some)
+            some, held = [], 0
+    if some:
+        yield from encoder.encode(some)
 
 
 def _writer(path: str, tokenizer: str, end_id: int, encoding: str, group_tokens: int):
@@ -149,6 +185,7 @@ def _writer(path: str, tokenizer: str, end_id: int, encoding: str, group_tokens:
         dictionary = encoding == "dictionary"
         options = {
             "compression": "zstd",
+            "compression_level": 1,
             "write_page_index": True,
             "data_page_size": 256 << 10,
             "use_dictionary": ["ids.list.element"] if dictionary else False,
@@ -180,9 +217,9 @@ def _writer(path: str, tokenizer: str, end_id: int, encoding: str, group_tokens:
             held, held_tokens = [], 0
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                few = batch.slice(at, 256)
-                for doc, ids in zip(few.column(0).to_pylist(), encoder.encode([t or "" for t in few.column(1).to_pylist()]), strict=True):
+            for few in slices([batch], 1024):
+                raws = [t or b"" for t in texts(few.column(1))]
+                for doc, ids in zip(few.column(0).to_pylist(), _in_turn(encoder, raws), strict=True):
                     ids = np.append(ids, np.int32(end_id))
                     held.append((doc, start, ids))
                     start, held_tokens, docs = start + len(ids), held_tokens + len(ids), docs + 1
@@ -226,7 +263,7 @@ def write_tokens(
         raise ValueError(f"unknown encoding: {encoding}")
     spark = docs.sparkSession
     path = path or scratch(spark, "tokens")
-    narrow = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"))
+    narrow = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("binary").alias("text"))
     ranged = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = ranged.mapInArrow(_writer(path, tokenizer, end_id, encoding, group_tokens), "part long, file string, docs long, tokens long")
     files = settle(files, "tokens_files")
