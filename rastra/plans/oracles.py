@@ -1 +1,179 @@
-def oracle_sql(): return {}
+"""DuckDB SQL for the registered queries, written apart from the library's plans."""
+
+from __future__ import annotations
+
+DET = """det AS (
+  SELECT o_orderkey AS id, (o_custkey * 7919) % 36000 - 18000 + (o_orderkey * 17) % 7 AS lon_c,
+    (o_custkey * 104729) % 18000 - 9000 + (o_orderkey * 31) % 7 AS lat_c, (o_orderkey * 31337) % 1000 AS score_m,
+    (o_orderkey * 613) % 500 AS area_c, 1 + (o_orderkey * 17) % 50 AS half_c, o_orderstatus AS model_version,
+    ((o_orderkey * 31337) % 1000) / 1000.0::DOUBLE AS score FROM orders)"""
+SITES = """sites AS (
+  SELECT s_suppkey AS site_id, (s_suppkey * 7919) % 36000 - 18000 AS lon_c, (s_suppkey * 104729) % 18000 - 9000 AS lat_c,
+    1 + s_suppkey % 5 AS buffer_km FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+SCENES = """scenes AS (
+  SELECT event_id AS scene_id, CASE WHEN event_id % 5 = 0 THEN 'sentinel-1' ELSE 'sentinel-2' END AS sensor, ts,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id * 37 % 100 END AS cloud_cover,
+    (user_id * 7919) % 340 - 170 AS x0, (user_id * 104729) % 160 - 80 AS y0 FROM events)"""
+OBS = """obs AS (
+  SELECT CAST(0 AS BIGINT) AS raster_id, CAST(l_partkey % 64 AS INT) AS "row", CAST(l_suppkey % 64 AS INT) AS col, l_linenumber AS t,
+    CAST(l_orderkey % 97 AS DOUBLE) AS blue, CAST((l_orderkey * 31) % 10000 AS DOUBLE) AS green,
+    CAST((l_orderkey * 17 + l_linenumber) % 10000 AS DOUBLE) AS red, CAST((l_partkey * 13 + l_linenumber * 7) % 10000 AS DOUBLE) AS nir,
+    CAST((l_suppkey * 29 + l_orderkey) % 10000 AS DOUBLE) AS swir16, CAST((l_orderkey * 7) % 10000 AS DOUBLE) AS swir22,
+    CAST((l_orderkey + l_linenumber) % 12 AS INT) AS scl FROM lineitem)"""
+BANDS = ("blue", "green", "red", "nir", "swir16", "swir22")
+MED = OBS + ",\nmed AS (SELECT raster_id, \"row\", col, " + ", ".join(f"median({b}) AS {b}" for b in BANDS) + ' FROM obs GROUP BY raster_id, "row", col)'
+CHIPS = """chips AS (
+  SELECT vec_id AS raster_id, CAST((pos - 1) // 8 AS INT) AS "row", CAST((pos - 1) % 8 AS INT) AS col, CAST(embedding[pos] AS DOUBLE) AS value
+  FROM embeddings, (SELECT unnest(generate_series(1, 64)) AS pos)),
+on_px AS (SELECT *, raster_id * 64 + "row" * 8 + col AS n FROM chips WHERE value >= 0.1)"""
+LABELS = CHIPS + """,
+reach(n, m) AS (
+  SELECT n, n FROM on_px
+  UNION
+  SELECT r.n, b.n FROM reach r JOIN on_px a ON a.n = r.m JOIN on_px b ON b.raster_id = a.raster_id AND abs(a."row" - b."row") + abs(a.col - b.col) = 1),
+label AS (SELECT n, min(m) AS component FROM reach GROUP BY n)"""
+LOGITS = """x AS (SELECT event_id, event_type, (event_id * 37 % 2000 - 1000) / 250.0::DOUBLE AS logit,
+  CASE WHEN event_id * 13 % 7 < 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM events)"""
+
+
+def _stretch(b: str, lo: str, hi: str) -> str:
+    return f"CASE WHEN {hi} - {lo} < 1e-8 THEN 0.0::DOUBLE ELSE greatest(0.0, least(1.0, ({b} - {lo}) / ({hi} - {lo}))) END"
+
+
+def _tiles(edge: int = 64, tile: int = 16, step: int = 12) -> str:
+    return f"""offs AS (SELECT CAST(k * {step} AS INT) AS o FROM (SELECT unnest(generate_series(0, {(edge - tile) // step})) AS k)),
+tiled AS (SELECT m.*, a.o AS row_off, b.o AS col_off FROM med m
+  JOIN offs a ON m."row" >= a.o AND m."row" < a.o + {tile} JOIN offs b ON m.col >= b.o AND m.col < b.o + {tile})"""
+
+
+_nd = lambda a, b: f"(({a}) - ({b})) / (({a}) + ({b}) + 1e-8)"
+INDEX = {
+    "ndvi": _nd("nir", "red"),
+    "ndwi": _nd("green", "nir"),
+    "ndbi": _nd("swir16", "nir"),
+    "bsi": _nd("swir16 + red", "nir + blue"),
+}
+INFER = (
+    MED + ",\n" + _tiles() + ",\nlim AS (SELECT row_off, col_off, "
+    + ", ".join(f"quantile_cont({b}, 0.02) AS {b}_lo, quantile_cont({b}, 0.98) AS {b}_hi" for b in BANDS)
+    + ' FROM tiled GROUP BY row_off, col_off),\nst AS (SELECT t.raster_id, t."row", t.col, '
+    + ", ".join(f"{_stretch('t.' + b, 'l.' + b + '_lo', 'l.' + b + '_hi')} AS {b}" for b in BANDS)
+    + " FROM tiled t JOIN lim l USING (row_off, col_off)),\nlg AS (SELECT raster_id, \"row\", col, "
+    + f"-0.5 + 2.0 * {INDEX['ndbi']} + 1.5 * {INDEX['bsi']} - 1.0 * {INDEX['ndvi']} + swir22 AS z FROM st),\n"
+    + 'av AS (SELECT raster_id, "row", col, avg(1.0 / (1.0 + exp(-z))) AS prob FROM lg GROUP BY raster_id, "row", col),\n'
+    + 'prob AS (SELECT m.raster_id, m."row", m.col, coalesce(a.prob, 0.0) AS prob FROM med m LEFT JOIN av a USING (raster_id, "row", col))'
+)
+
+
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["spectral_indices"] = f'WITH {OBS} SELECT "row", col, ' + ", ".join(f"round(sum({e}), 6) AS {n}" for n, e in INDEX.items()) + ' FROM obs GROUP BY "row", col'
+    clear = "scl IN (4, 5, 6, 7)"
+    q["cloud_mask"] = f"WITH {OBS} SELECT scl, count(*) AS n, sum(CASE WHEN {clear} THEN blue ELSE 0 END) AS blue, sum(CASE WHEN {clear} THEN nir ELSE 0 END) AS nir FROM obs GROUP BY scl"
+    q["temporal_median"] = f"WITH {MED} SELECT * FROM med"
+    q["temporal_mean"] = f'WITH {OBS} SELECT raster_id, "row", col, ' + ", ".join(f"round(avg({b}), 6) AS {b}" for b in BANDS) + ' FROM obs GROUP BY raster_id, "row", col'
+    q["masked_median"] = f'WITH {OBS} SELECT "row", col, median(red) FILTER (WHERE {clear}) AS red, median(nir) FILTER (WHERE {clear}) AS nir FROM obs GROUP BY "row", col'
+    lim = ", ".join(f"quantile_cont({b}, 0.02) AS {b}_lo, quantile_cont({b}, 0.98) AS {b}_hi" for b in BANDS)
+    q["percentile_stretch"] = f'WITH {MED}, lim AS (SELECT {lim} FROM med) SELECT raster_id, "row", col, ' + ", ".join(f"round({_stretch(b, b + '_lo', b + '_hi')}, 6) AS {b}" for b in BANDS) + " FROM med, lim"
+    rasters = "r AS (SELECT s_suppkey AS raster_id, 200 + s_suppkey * 37 % 900 AS h, 200 + s_suppkey * 53 % 900 AS w FROM supplier), k AS (SELECT unnest(generate_series(0, 10)) * 192 AS o), win AS (SELECT raster_id, a.o AS row_off, b.o AS col_off FROM r JOIN k a ON a.o + 256 <= h JOIN k b ON b.o + 256 <= w)"
+    q["tile_grid"] = f"""WITH {rasters} SELECT r.raster_id, count(row_off) AS tiles,
+      CASE WHEN min(h) < 256 OR min(w) < 256 THEN 0 ELSE ((min(h) - 256) // 192 + 1) * ((min(w) - 256) // 192 + 1) END AS formula,
+      CAST(max(row_off) AS INT) AS last_row, CAST(max(col_off) AS INT) AS last_col FROM r LEFT JOIN win USING (raster_id) GROUP BY r.raster_id"""
+    q["tile_batches"] = f"WITH {rasters}, nth AS (SELECT raster_id, row_number() OVER (PARTITION BY raster_id ORDER BY row_off, col_off) - 1 AS n FROM win) SELECT raster_id, n // 8 AS batch, count(*) AS tiles FROM nth GROUP BY raster_id, n // 8"
+    q["chip_valid"] = f"""WITH {MED}, {_tiles()}, v AS (SELECT row_off, col_off,
+        count(*) FILTER (WHERE NOT (("row" * 7 + col * 11) % 3 = 0 OR "row" > 40) AND blue <> 0) / 256.0::DOUBLE AS valid FROM tiled GROUP BY row_off, col_off)
+      SELECT CAST(0 AS BIGINT) AS raster_id, 'tile_' || col_off || '_' || row_off AS tile_id, row_off, col_off, valid, 500.0::DOUBLE + 10 * col_off AS xmin,
+        9000.0::DOUBLE - 10 * row_off - 160 AS ymin, 660.0::DOUBLE + 10 * col_off AS xmax, 9000.0::DOUBLE - 10 * row_off AS ymax FROM v WHERE valid >= 0.5"""
+    q["overlap_average"] = f"""WITH {MED}, {_tiles()}, a AS (SELECT "row", col, avg(nir * (1 + row_off + 2 * col_off) / 1000.0::DOUBLE) AS p FROM tiled GROUP BY "row", col)
+      SELECT m.raster_id, m."row", m.col, round(coalesce(a.p, 0.0), 6) AS prob FROM med m LEFT JOIN a USING ("row", col)"""
+    q["sigmoid_threshold"] = f"WITH {LOGITS} SELECT event_id, round(1.0 / (1.0 + exp(-logit)), 6) AS prob FROM x WHERE 1.0 / (1.0 + exp(-logit)) >= 0.7"
+    q["site_buffer_semi"] = f"""WITH {DET}, {SITES} SELECT id, EXISTS (SELECT 1 FROM sites s WHERE
+        pow(greatest(d.lon_c - d.half_c - s.lon_c, 0, s.lon_c - d.lon_c - d.half_c), 2) + pow(greatest(d.lat_c - d.half_c - s.lat_c, 0, s.lat_c - d.lat_c - d.half_c), 2)
+          <= pow(s.buffer_km * 20, 2)) AS is_positive FROM det d"""
+    q["rasterize_labels"] = f"""WITH {OBS}, {SITES}, px AS (SELECT DISTINCT "row", col FROM obs) SELECT "row", col, CASE WHEN EXISTS (SELECT 1 FROM sites
+        WHERE pow(col * 2 + 1 - site_id * 37 % 128, 2) + pow("row" * 2 + 1 - site_id * 53 % 128, 2) <= pow(buffer_km, 2)) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM px"""
+    near = "pow(d.lon_c - s.lon_c, 2) + pow(d.lat_c - s.lat_c, 2)"
+    q["recall_at_k"] = f"""WITH {DET}, {SITES}, top AS (SELECT * FROM det ORDER BY score DESC, id LIMIT 2000),
+      m AS (SELECT count(*) AS matched FROM sites s WHERE EXISTS (SELECT 1 FROM top d WHERE {near} < pow(200, 2)))
+      SELECT (SELECT count(*) FROM sites) AS sites, matched, round(matched / (SELECT count(*) FROM sites)::DOUBLE, 6) AS recall FROM m"""
+    q["fp_rate"] = f"""WITH {DET}, {SITES}, f AS (SELECT count(*) AS n FROM det d WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE {near} < 250000))
+      SELECT n AS false_positives, round(n / 1234.0::DOUBLE, 6) AS per_1000_km2 FROM f"""
+    q["calibration"] = f"""WITH {DET}, {SITES}, bins AS (SELECT CAST(i AS INT) AS bin, i * 0.1::DOUBLE AS lo, (i + 1) * 0.1::DOUBLE AS hi FROM (SELECT unnest(generate_series(0, 9)) AS i)),
+      f AS (SELECT d.score, EXISTS (SELECT 1 FROM sites s WHERE {near} < 250000) AS tp FROM det d)
+      SELECT bin, round(lo, 6) AS lo, round(hi, 6) AS hi, count(score) AS count, round(coalesce(avg(tp::INT), 0.0), 6) AS accuracy,
+        round(coalesce(avg(score), (bin + 0.5) * 0.1), 6) AS confidence FROM bins LEFT JOIN f ON score >= lo AND score < hi GROUP BY bin, lo, hi"""
+    q["segmentation_loss"] = f"""WITH {LOGITS}, y AS (SELECT *, 1 / (1 + exp(-logit)) AS p, target * 0.95 + 0.025 AS t FROM x),
+      z AS (SELECT *, greatest(logit, 0) - logit * t + ln(1 + exp(-abs(logit))) AS bce, p * t + (1 - p) * (1 - t) AS pt FROM y),
+      a AS (SELECT event_type, avg((0.25 * t + 0.75 * (1 - t)) * pow(1 - pt, 2) * bce) AS focal, 1 - (2 * sum(p * target) + 1e-6) / (sum(p) + sum(target) + 1e-6) AS dice FROM z GROUP BY event_type)
+      SELECT event_type, round(focal, 6) AS focal, round(dice, 6) AS dice, round(focal + 0.5 * dice, 6) AS combined FROM a"""
+    q["prf1"] = f"""WITH {LOGITS}, c AS (SELECT event_type, count(*) FILTER (WHERE logit > 0 AND target = 1) AS tp, count(*) FILTER (WHERE logit > 0 AND target = 0) AS fp,
+        count(*) FILTER (WHERE logit <= 0 AND target = 1) AS fn FROM x GROUP BY event_type)
+      SELECT *, round(tp / (tp + fp)::DOUBLE, 6) AS "precision", round(tp / (tp + fn)::DOUBLE, 6) AS recall, round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 6) AS f1 FROM c"""
+    q["auroc"] = f"""WITH {LOGITS}, g AS (SELECT logit, count(*) FILTER (WHERE target = 1) AS pos, count(*) FILTER (WHERE target = 0) AS neg FROM x GROUP BY logit),
+      w AS (SELECT pos, neg, sum(neg) OVER (ORDER BY logit) - neg AS below FROM g)
+      SELECT round(sum(pos * (below + neg / 2.0::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE, 6) AS auroc FROM w"""
+    q["latency_percentiles"] = "SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type"
+    q["composite_score"] = f"""WITH {DET}, g AS (SELECT id, score, area_c / 100.0::DOUBLE AS area, 2 * half_c / 10.0::DOUBLE AS w, (half_c + 3) / 10.0::DOUBLE AS h FROM det),
+      c AS (SELECT id, score, 4 * pi() * w * h / pow(2 * (w + h), 2) AS c, 1 - least(abs(area - 2.0) / 2.0, 1.0) AS a FROM g)
+      SELECT id, round(c, 6) AS compactness, round(a, 6) AS area_score, round(0.6 * score + 0.2 * c + 0.2 * a, 6) AS final FROM c"""
+    q["components_8x8"] = f"WITH RECURSIVE {LABELS} SELECT raster_id, component, count(*) AS area_px, round(avg(value), 6) AS mean_value FROM on_px JOIN label USING (n) GROUP BY raster_id, component"
+    q["region_features"] = f"""WITH RECURSIVE {LABELS}, s AS (SELECT a.*, l.component,
+        2 - (SELECT count(*) FROM on_px b WHERE b.raster_id = a.raster_id AND b.col = a.col AND abs(b."row" - a."row") = 1) AS lev,
+        2 - (SELECT count(*) FROM on_px b WHERE b.raster_id = a.raster_id AND b."row" = a."row" AND abs(b.col - a.col) = 1) AS upr FROM on_px a JOIN label l USING (n)),
+      g AS (SELECT raster_id, component, count(*) AS area_px, avg(value) AS mean_value, sum(lev) * 10.0::DOUBLE + sum(upr) * 20.0::DOUBLE AS perimeter,
+        100 + 10 * (avg(col) + 0.5) AS cx, 900 - 20 * (avg("row") + 0.5) AS cy, 100.0::DOUBLE + 10 * min(col) AS xmin, 900.0::DOUBLE - 20 * (max("row") + 1) AS ymin,
+        110.0::DOUBLE + 10 * max(col) AS xmax, 900.0::DOUBLE - 20 * min("row") AS ymax FROM s GROUP BY raster_id, component HAVING count(*) >= 3)
+      SELECT raster_id, component, area_px, round(mean_value, 6) AS mean_value, perimeter, round(cx, 6) AS centroid_x, round(cy, 6) AS centroid_y, xmin, ymin, xmax, ymax,
+        area_px * 200.0::DOUBLE AS area, round(4 * pi() * area_px * 200 / (perimeter * perimeter), 6) AS compactness FROM g"""
+    q["dedupe_dbscan"] = f"""WITH RECURSIVE {DET}, e AS (SELECT a.id AS a, b.id AS b FROM det a JOIN det b ON b.lon_c BETWEEN a.lon_c - 2 AND a.lon_c + 2 AND b.lat_c BETWEEN a.lat_c - 2 AND a.lat_c + 2
+          AND pow(a.lon_c - b.lon_c, 2) + pow(a.lat_c - b.lat_c, 2) <= 4),
+      r(a, b) AS (SELECT id, id FROM det UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+      c AS (SELECT a AS id, min(b) AS cluster FROM r GROUP BY a)
+      SELECT id, score, cluster FROM (SELECT d.id, d.score, c.cluster, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, d.id) AS k FROM det d JOIN c USING (id)) WHERE k = 1"""
+    split = f"""{DET}, r AS (SELECT id, id % 11 = 0 AS is_positive, row_number() OVER (PARTITION BY id % 11 = 0 ORDER BY id * 7919 % 1048573, id) - 1 AS k,
+        count(*) OVER (PARTITION BY id % 11 = 0) AS n FROM det),
+      sp AS (SELECT id, is_positive, CASE WHEN k < floor(n * 0.7::DOUBLE) THEN 'train' WHEN k < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM r)"""
+    q["stratified_split"] = f"WITH {split} SELECT * FROM sp"
+    q["split_sizes"] = f"WITH {split} SELECT split, is_positive, count(*) AS n FROM sp GROUP BY split, is_positive"
+    meets = "x0 <= 60 AND x0 + 2 >= -60 AND y0 <= 40 AND y0 + 2 >= -40 AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'"
+    q["scene_search"] = f"""WITH {SCENES} SELECT scene_id, sensor, cloud_cover FROM (SELECT * FROM scenes WHERE sensor = 'sentinel-2' AND {meets} AND cloud_cover < 20 ORDER BY ts DESC, scene_id LIMIT 50)
+      UNION ALL SELECT scene_id, sensor, NULL FROM (SELECT * FROM scenes WHERE sensor = 'sentinel-1' AND {meets} ORDER BY ts DESC, scene_id LIMIT 50)"""
+    q["aoi_scene_join"] = f"""WITH {SCENES}, p AS (SELECT n_name AS name, scene_id, row_number() OVER (PARTITION BY n_name ORDER BY ts DESC, scene_id) AS nth FROM nation, scenes
+        WHERE x0 <= (n_nationkey * 53) % 320 - 140 AND x0 + 2 >= (n_nationkey * 53) % 320 - 160 AND y0 <= (n_nationkey * 31) % 140 - 50 AND y0 + 2 >= (n_nationkey * 31) % 140 - 70
+          AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' AND cloud_cover < 60) SELECT name, scene_id, nth FROM p WHERE nth <= 5"""
+    page = "lon_c - half_c <= 3000 AND lon_c + half_c >= -2000 AND lat_c - half_c <= 4000 AND lat_c + half_c >= 0 AND score >= 0.5"
+    q["detections_page"] = f"WITH {DET} SELECT id, score, area_c, model_version FROM det WHERE {page} ORDER BY score DESC, id LIMIT 25 OFFSET 3"
+    q["detections_count"] = f"WITH {DET} SELECT count(*) AS total FROM det WHERE {page}"
+    q["detection_by_id"] = f"""WITH {DET} SELECT id, score, model_version, lon_c::DOUBLE AS centroid_lon, lat_c::DOUBLE AS centroid_lat, lon_c - half_c AS x0, lat_c - half_c AS y0,
+      lon_c + half_c AS x1, lat_c + half_c AS y1 FROM det WHERE id = 97"""
+    q["tile_features"] = f"""WITH {DET}, p AS (SELECT id, score, lon_c / 100.0::DOUBLE AS lon, lat_c / 100.0::DOUBLE AS lat FROM det),
+      w AS (SELECT *, (lon + 180) / 360 * 8 - 4 AS fx, (1 - ln(tan((lat + 90) * (pi() / 360))) / pi()) / 2 * 8 - 3 AS fy FROM p WHERE abs(lat) < 89)
+      SELECT id, score, CAST(floor(fx * 4096) AS INT) AS px, CAST(floor(fy * 4096) AS INT) AS py FROM w WHERE fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1 AND score >= 0.1"""
+    q["marker_style"] = f"""WITH {DET} SELECT id, round(CASE WHEN score <= 0.5 THEN 4 + score * 6 ELSE 7 + (score - 0.5) * 10 END, 6) AS radius,
+      (score >= 0.3)::INT + (score >= 0.6)::INT + (score >= 0.9)::INT AS colour FROM det"""
+    bands = ("red", "green", "blue")
+    lim3 = ", ".join(f"quantile_cont({b}, 0.02) AS {b}_lo, quantile_cont({b}, 0.98) AS {b}_hi" for b in bands)
+    rgb = ", ".join(
+        f"CAST(trunc(CASE WHEN {b}_hi - {b}_lo <= 0 THEN {b} ELSE greatest(0.0, least(1.0, ({b} - {b}_lo) / ({b}_hi - {b}_lo))) * 255.0 END) AS INT) AS {n}" for b, n in zip(bands, "rgb", strict=True)
+    )
+    q["evidence_rgb"] = f"""WITH {MED}, o AS (SELECT CAST(i AS INT) AS i, CAST(floor((i + 0.5) * 64 / 20) AS INT) AS src FROM (SELECT unnest(generate_series(0, 19)) AS i)),
+      s AS (SELECT a.i AS "row", b.i AS col, red, green, blue FROM med m JOIN o a ON a.src = m."row" JOIN o b ON b.src = m.col), lim AS (SELECT {lim3} FROM s)
+      SELECT "row", col, {rgb} FROM s, lim"""
+    q["geojson_features"] = f"""WITH {DET} SELECT id, '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || lon_c || ',' || lat_c || ']}},"properties":{{"id":' || id
+      || ',"score_m":' || score_m || ',"model_version":"' || model_version || '"}}}}' AS feature FROM det WHERE {page}"""
+    q["health"] = "SELECT 'ok' AS status, CAST(NULL AS BOOLEAN) AS model_ready, count(*) AS detections FROM orders"
+    q["aoi_union"] = """WITH r(aoi, h, w) AS (VALUES ('a', 1024, 1024), ('b', 700, 300), ('c', 100, 900)), k AS (SELECT CAST(unnest(generate_series(0, 10)) * 224 AS INT) AS o)
+      SELECT aoi, 'tile_' || b.o || '_' || a.o AS tile_id, a.o AS row_off, b.o AS col_off FROM r JOIN k a ON a.o + 256 <= h JOIN k b ON b.o + 256 <= w"""
+    q["early_stopping"] = """WITH e AS (SELECT CAST(day(ts) AS INT) AS epoch, round(avg(value), 6) AS loss FROM events GROUP BY day(ts)),
+      b AS (SELECT *, min(loss) OVER (ORDER BY epoch) AS best, min(loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM e),
+      s AS (SELECT *, epoch - max(CASE WHEN prev IS NULL OR loss < prev THEN epoch END) OVER (ORDER BY epoch) AS stale FROM b)
+      SELECT epoch, loss, best, stale, stale >= 4 AS stop, pow(0.5, count(*) FILTER (WHERE stale > 0 AND stale % 3 = 0) OVER (ORDER BY epoch)) AS lr_scale,
+        row_number() OVER (ORDER BY loss, epoch) <= 3 AS kept FROM s"""
+    room = 512 * 1024 * 1024 - 16 * 10 * 256 * 256 * 4
+    q["strip_height"] = f"SELECT s_suppkey AS id, greatest(256, CAST(floor(floor({room} / ((1000 + s_suppkey * 997) * 8.0::DOUBLE)) / 192) AS BIGINT) * 192 + 64) AS height FROM supplier"
+    q["augment"] = f"""WITH {CHIPS}, a AS (SELECT raster_id, value,
+        CASE raster_id % 4 WHEN 0 THEN "row" WHEN 1 THEN 7 - col WHEN 2 THEN 7 - "row" ELSE col END AS r,
+        CASE raster_id % 4 WHEN 0 THEN col WHEN 1 THEN "row" WHEN 2 THEN 7 - col ELSE 7 - "row" END AS c FROM chips)
+      SELECT raster_id, CASE WHEN raster_id % 5 = 0 THEN 7 - r ELSE r END AS "row", CASE WHEN raster_id % 3 = 0 THEN 7 - c ELSE c END AS col, round(value, 6) AS value FROM a"""
+    q["sliding_window_inference"] = f'WITH {INFER} SELECT raster_id, "row", col, round(prob, 6) AS prob FROM prob'
+    return q

@@ -44,7 +44,7 @@ def pixels_to_blocks(pixels: DataFrame, edge: int = 256, bands: tuple[str, ...]
     packed = pixels.groupBy(
         "raster_id", F.floor(F.col("row") / edge).cast("int").alias("block_row"), F.floor(F.col("col") / edge).cast("int").alias("block_col")
     ).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.count_distinct("row").cast("int").alias("h"), F.count_distinct("col").cast("int").alias("w"))
-    arrays = F.array(*[F.transform("cells", lambda c, b=b: c[b]) for b in bands])
+    arrays = F.array(*[F.col(f"cells.{b}") for b in bands])
     return packed.select(
         "raster_id", "block_row", "block_col", (F.col("block_row") * edge).alias("row_off"), (F.col("block_col") * edge).alias("col_off"), "h", "w", arrays.alias("bands")
     )
