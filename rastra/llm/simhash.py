@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import pieces, texts
+from rastra.llm.common import pieces, slices, texts
 from rastra.operators.graph import connected_components
 from rastra.storage import settle
 
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int, reps: in
 
     @F.arrow_udf("struct<" + ", ".join(f"f{r}: bigint" for r in range(reps)) + ">")
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in slices(batches):
             out = np.array([fingerprint(raw, shingle, reps) for raw in texts(batch)], dtype=np.uint64).reshape(-1, reps)
             columns = [pa.array(out[:, r].copy().view(np.int64)) for r in range(reps)]
             yield pa.StructArray.from_arrays(columns, fields=list(kind))
@@ -217,7 +217,9 @@ def near_links(nodes: DataFrame, reps: int = 1, min_match: int = 4, max_bits: in
     ``block_rows`` members is compared block against block in separate tasks.
     """
     index = _Index(reps, min_match, max_bits)
-    postings = _postings(nodes, index)
+    # a node makes many postings, so tasks are cut by nodes and not by bytes
+    tasks = -(-nodes.count() * reps // 16384) or 1
+    postings = _postings(nodes.repartition(tasks), index)
     shared = postings.groupBy("key").count().where("count > 1")
     shared = shared.select("key", F.ceil(F.col("count") / F.lit(block_rows)).cast("int").alias("blocks"))
     members = postings.join(shared, "key")

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import WordHashes, pieces, texts
+from rastra.llm.common import WordHashes, output, pieces, slices, texts
 from rastra.storage import settle
 
 #: Odd multiplier of the rolling hashes over words, and its inverse modulo 2^64.
@@ -24,18 +25,23 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``n`` words, from the words' own hashes."""
-    m = len(words) - n + 1
-    if m <= 0:
-        return np.zeros(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(_BASE, len(words)), dtype=np.uint64)])
-    x = (sums[n:] - sums[:m]) * _powers(_INVERSE, m)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the words of each span, from the words' own hashes."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(_BASE, len(words)), dtype=np.uint64)])
+    return _mix((sums[ends] - sums[starts]) * _powers(_INVERSE, len(words) + 1)[starts])
+
+
+def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """The hash of every run of ``n`` words."""
+    at = np.arange(max(0, len(words) - n + 1))
+    return span_hashes(words, at, at + n)
+
+
 def anchors(words: np.ndarray, window: int, seed: int) -> np.ndarray:
     """For every window, the position of its seed: the run of ``seed`` words in it with the smallest hash.
 
@@ -84,23 +90,65 @@ def _seeds(window: int, seed: int):
     return run
 
 
+class Regions:
+    """The extension of each seed of a text to both sides: all windows that it stands for, one after the other.
+
+    ``first`` and ``last`` are the windows' starts, ``seed`` is the seed's hash,
+    and ``key`` one of all the region's words and of the seed's place in them.
+    """
+
+    def __init__(self, words: np.ndarray, window: int, seed: int):
+        at = anchors(words, window, seed)
+        self.first = np.flatnonzero(np.diff(at, prepend=-1))
+        self.last = np.append(self.first[1:], len(at))[: len(self.first)] - 1
+        self.seed = gram_hashes(words, seed)[at[self.first]]
+        place = (at[self.first] - self.first).astype(np.uint64) << np.uint64(32) | (self.last - self.first).astype(np.uint64)
+        self.key = _mix(span_hashes(words, self.first, self.last + window) + place * np.uint64(_BASE))
+
+
+_REGIONS = pa.schema([("region", pa.int64()), ("seed", pa.int64()), ("doc_id", pa.int64()), ("windows", pa.list_(pa.int64()))])
+
+
 def _extensions(window: int, seed: int):
-    """Every window around a shared seed, as far as the seed is the window's own: up to ``window - seed`` words either way."""
+    """The regions around the shared seeds of each document, each with the hashes of its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
+        for batch in batches:
+            out: dict[str, list] = {f.name: [] for f in _REGIONS}
+            ids = batch.column(0).to_pylist()
+            for doc, packed, wanted in zip(ids, texts(batch.column(1)), batch.column(2), strict=True):
+                words = memo.of(unpack(packed))
+                found, full = Regions(words, window, seed), gram_hashes(words, window).view(np.int64)
+                shared = np.flatnonzero(np.isin(found.seed.view(np.int64), wanted.values.to_numpy()))
+                shared = shared[np.unique(found.key[shared], return_index=True)[1]]
+                out["region"] += found.key[shared].view(np.int64).tolist()
+                out["seed"] += found.seed[shared].view(np.int64).tolist()
+                out["doc_id"] += [doc] * len(shared)
+                out["windows"] += [full[a : b + 1] for a, b in zip(found.first[shared].tolist(), found.last[shared].tolist(), strict=True)]
+                if len(out["doc_id"]) >= 4096:
+                    yield output(out, _REGIONS)
+                    out = {f.name: [] for f in _REGIONS}
+            if out["doc_id"]:
+                yield output(out, _REGIONS)
 
-        def of(batch: pa.RecordBatch):
-            shared = batch.column(2)
-            for raw, wanted in zip(texts(batch.column(1)), shared, strict=True):
-                words = memo.of(raw)
-                own = gram_hashes(words, seed)[anchors(words, window, seed)]
-                hit = np.isin(own.view(np.int64), wanted.values.to_numpy())
-                yield np.unique(gram_hashes(words, window)[hit])
+    return run
 
-        yield from _emit(batches, of)
 
-    return run
+def pack(text: str) -> Column:
+    """Texts compressed for the way through a shuffle."""
+
+    @F.arrow_udf("binary")
+    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in slices(batches):
+            yield pa.array([None if raw is None else press(raw) for raw in texts(batch)], pa.binary())
+
+    return packed(text)
+
+
+def unpack(packed: bytes | None) -> bytes:
+    return zstandard.decompress(packed) if packed else b""
 
 
 def covered(starts: np.ndarray, window: int, n: int) -> np.ndarray:
@@ -112,41 +160,45 @@ def covered(starts: np.ndarray, window: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def _cut_udf(window: int):
+_CUT = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("n_removed", pa.int64()),
+        ("kept", pa.binary()),
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))),
+    ]
+)
+
+
+def _cut_udf(window: int, seed: int):
+    def cut_one(raw: bytes, repeats: list | None, is_copy: bool, memo: WordHashes) -> dict:
+        if not is_copy and not repeats:
+            words = [w for p in pieces(raw) for w in p.split()]
+            return {"n_words": len(words), "n_removed": 0, "kept": b" ".join(words), "spans": []}
+        words = memo.of(raw)
+        starts = np.full(max(0, len(words) - window + 1), is_copy)
+        if not is_copy:
+            repeated = np.array(repeats, np.int64)
+            starts |= np.isin(gram_hashes(words, window).view(np.int64), repeated)
+            found = Regions(words, window, seed)
+            for k in np.flatnonzero(np.isin(found.key.view(np.int64), repeated)).tolist():
+                starts[found.first[k] : found.last[k] + 1] = True
+        gone = covered(starts, window, len(words))
+        at, kept = 0, []
+        for p in pieces(raw):
+            part = p.split()
+            kept += [w for w, g in zip(part, gone[at : at + len(part)].tolist(), strict=True) if not g]
+            at += len(part)
+        bounds = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+        spans = [{"start": a, "words": b - a} for a, b in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True)]
+        return {"n_words": len(words), "n_removed": int(gone.sum()), "kept": b" ".join(kept), "spans": spans}
+
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept: binary, spans: array<struct<start: bigint, words: bigint>>>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         memo = WordHashes()
-        kind = pa.struct(
-            [
-                ("n_words", pa.int64()),
-                ("n_removed", pa.int64()),
-                ("kept", pa.binary()),
-                ("spans", pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))),
-            ]
-        )
-        for text, repeated, copy in batches:
-            out = []
-            for raw, wanted, is_copy in zip(texts(text), repeated, copy.to_pylist(), strict=True):
-                raw = raw or b""
-                if not is_copy and (not wanted.is_valid or not len(wanted)):
-                    n = sum(len(p.split()) for p in pieces(raw))
-                    out.append({"n_words": n, "n_removed": 0, "kept": b" ".join(w for p in pieces(raw) for w in p.split()), "spans": []})
-                    continue
-                words = memo.of(raw)
-                if is_copy:
-                    starts = np.ones(max(0, len(words) - window + 1), bool)
-                else:
-                    starts = np.isin(gram_hashes(words, window).view(np.int64), wanted.values.to_numpy())
-                gone = covered(starts, window, len(words))
-                at, kept = 0, []
-                for p in pieces(raw):
-                    part = p.split()
-                    kept += [w for w, g in zip(part, gone[at : at + len(part)].tolist(), strict=True) if not g]
-                    at += len(part)
-                bounds = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                spans = [{"start": a, "words": b - a} for a, b in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True)]
-                out.append({"n_words": len(words), "n_removed": int(gone.sum()), "kept": b" ".join(kept), "spans": spans})
-            yield pa.array(out, type=kind)
+        for packed, repeats, copy in slices(batches):
+            rows = zip(texts(packed), repeats.to_pylist(), copy.to_pylist(), strict=True)
+            yield pa.array([cut_one(unpack(raw), r, c, memo) for raw, r, c in rows], type=_CUT)
 
     return cut.asNondeterministic()
 
@@ -155,11 +207,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed: int = 10, text: str
     """Cut every passage of ``window`` words or more that also begins in a document with a smaller id.
 
     Seeds are winnowed: every window of ``window`` words has one, chosen by its
-    own words. Seeds found in one document only are done with; at the others,
-    all windows that the seed stands for are extended to full length and
-    compared across documents by hash, each only with the smallest document
-    that has it, never pair by pair. A text that equals one of a smaller id is
-    all repeat and isn't extended. Windows are judged on the input.
+    own words. Documents are joined on the seeds that several of them have, and
+    each seed is extended to both sides, over all windows that it stands for.
+    Equal regions are one class, held by its smallest document, and all other
+    documents of a class repeat the whole region; where a seed has several
+    classes, the windows of the smallest documents are compared as well. So no
+    pairs are made, and a passage in very many documents is one class. A text
+    that equals one of a smaller id is all repeat. Windows are judged on the
+    input.
 
     Returns ``doc_id, n_words, n_removed, kept`` (the words left, joined by one
     space, as bytes) and ``spans`` (the maximal repeats that went: first word
@@ -177,15 +232,25 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed: int = 10, text: str
         texts_.join(copies, "whole").where("doc_id > first_id").select(F.col("doc_id").alias("copy_id"), F.col("whole").alias("copy_of")).distinct(),
         "repeats_copies",
     )
-    same = (F.col("doc_id") == F.col("copy_id")) & (print_ == F.col("copy_of"))
     found = settle(body.where("doc_id IS NOT NULL").mapInArrow(_seeds(window, seed), "hash long, doc_id long"), "repeats_seeds", compression="zstd")
     shared = found.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("hash")
     originals = found.join(copies.select("copy_id").distinct(), found["doc_id"] == F.col("copy_id"), "left_anti")
     seeded = originals.join(shared, "hash").groupBy(F.col("doc_id").alias("seeded_id")).agg(F.collect_list("hash").alias("shared"))
-    wide = body.join(seeded, F.col("doc_id") == F.col("seeded_id")).select("doc_id", "text", "shared")
-    windows = settle(wide.mapInArrow(_extensions(window, seed), "hash long, doc_id long"), "repeats_windows", compression="zstd")
-    firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("hash", "lo")
-    later = windows.join(firsts, "hash").where("doc_id > lo").groupBy(F.col("doc_id").alias("later_id")).agg(F.collect_list("hash").alias("repeated"))
-    marked = body.join(later, F.col("doc_id") == F.col("later_id"), "left").join(copies, same, "left")
-    cut = marked.select("doc_id", _cut_udf(window)("text", "repeated", F.col("copy_id").isNotNull()).alias("cut"))
+    packed = body.select("doc_id", pack("text").alias("packed"))
+    wide = packed.join(seeded, F.col("doc_id") == F.col("seeded_id")).select("doc_id", "packed", "shared")
+    kind = "region long, seed long, doc_id long, windows array<long>"
+    regions = settle(wide.mapInArrow(_extensions(window, seed), kind), "repeats_regions", compression="zstd")
+    classes = regions.groupBy("region").agg(F.min("doc_id").alias("lo"), F.first("seed").alias("seed"))
+    classes = settle(classes, "repeats_classes", compression="zstd")
+    whole = regions.select("region", "doc_id").join(classes, "region").where("doc_id > lo").select("doc_id", F.col("region").alias("repeat"))
+    several = classes.join(classes.groupBy("seed").count().where("count > 1"), "seed").select(F.col("region").alias("of"), "lo")
+    held = regions.join(several, (F.col("region") == F.col("of")) & (F.col("doc_id") == F.col("lo")))
+    held = settle(held.select("doc_id", F.explode("windows").alias("window")).distinct(), "repeats_windows", compression="zstd")
+    firsts = held.groupBy("window").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
+    later = held.join(firsts, "window").where("doc_id > first").select("doc_id", F.col("window").alias("repeat"))
+    repeats = whole.unionByName(later).groupBy(F.col("doc_id").alias("later_id")).agg(F.collect_list("repeat").alias("repeats"))
+    flags = body.select("doc_id", F.xxhash64("text").alias("a"), F.crc32("text").alias("b"), F.octet_length("text").alias("c"), pack("text").alias("packed"))
+    same = (F.col("doc_id") == F.col("copy_id")) & (F.struct("a", "b", "c") == F.col("copy_of"))
+    marked = flags.join(repeats, F.col("doc_id") == F.col("later_id"), "left").join(copies, same, "left")
+    cut = marked.select("doc_id", _cut_udf(window, seed)("packed", "repeats", F.col("copy_id").isNotNull()).alias("cut"))
     return cut.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept", "cut.spans")

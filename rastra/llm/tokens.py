@@ -105,7 +105,7 @@ class ChunkEncoder:
         """Where the chunks of a buffer begin, each with the space before it, and their numbers."""
         data = np.frombuffer(joined, np.uint8)
         if len(data) >= len(self.powers[0]):
-            self.powers = _powers(_BASE, 2 * len(data) + 1), _powers(_INVERSE, 2 * len(data) + 1)
+            self.powers = _powers(_BASE, len(data) + (1 << 16)), _powers(_INVERSE, len(data) + (1 << 16))
         at = np.flatnonzero(data == _SPACE)
         ends = np.append(at[1:], len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
@@ -163,7 +163,7 @@ class ChunkEncoder:
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("local_start", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int32())))])
 
 
-def _in_turn(encoder: ChunkEncoder, raws: list[bytes], most: int = 8 << 20) -> Iterator[np.ndarray]:
+def _in_turn(encoder: ChunkEncoder, raws: list[bytes], most: int = 3 << 20) -> Iterator[np.ndarray]:
     """The ids of each text, encoding about ``most`` bytes at a time."""
     some, held = [], 0
     for raw in raws:
