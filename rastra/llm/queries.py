@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rastra.llm import decontaminate, langid, media, mixing, sharding, simhash, substrings, tokens, toxicity, urlfilter
 from rastra.llm.common import table
+from rastra.llm.oracles import oracle_sql as oracle_sql
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +83,8 @@ URL_RULES = [
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
-    return urlfilter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    judged = urlfilter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,10 +101,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substrings": op6_substrings,
         "op7_decontamination": op7_decontamination,
         "op8_mixing": op8_mixing,
-        "op9_url_filter": lambda s, d: op9_url_filter(s, d).select("page_id", "host", "path", "rule", "verdict"),
+        "op9_url_filter": op9_url_filter,
         "op10_language": op10_language,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
