@@ -76,15 +76,20 @@ def _train(samples: list[bytes], size: int) -> bytes:
     return trained + b"".join(reversed(frequent))
 
 
-def _contexts(docs: list[bytes]) -> dict[bytes, set[bytes]]:
-    """The distinct words before each word: many for a word of its own weight, few for one that comes with copied text."""
-    out: dict[bytes, set[bytes]] = {}
+def _support(docs: list[bytes]) -> dict[bytes, int]:
+    """How widely each word is used: the documents that have it, or the distinct words before it if these are fewer.
+
+    A word that comes with copied text follows few words, one of a single long document has few documents.
+    """
+    before: dict[bytes, set[bytes]] = {}
+    having: Counter[bytes] = Counter()
     for raw in docs:
-        before = b""
-        for w in _WORD.findall(raw.lower()):
-            out.setdefault(w, set()).add(before)
-            before = w
-    return out
+        last, words = b"", _WORD.findall(raw.lower())
+        having.update(set(words))
+        for w in words:
+            before.setdefault(w, set()).add(last)
+            last = w
+    return {w: min(n, len(before[w])) for w, n in having.items()}
 
 
 class ToxicityModel:
@@ -97,20 +102,16 @@ class ToxicityModel:
     ``threshold`` bytes; hits and savings make the score by logistic regression.
     """
 
-    def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 64, dict_bytes: int = 4096):
+    def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 64, dict_bytes: int = 4096, evidence: float = 60.0):
         self.window = window
         self.ordinary = _train([b" %b " % w for raw in ordinary[:1000] for w in _WORD.findall(raw.lower())], dict_bytes) + _TAIL
-        ours, theirs = _contexts(toxic), _contexts(ordinary)
-        n_ours, n_theirs = 1 + sum(map(len, ours.values())), 1 + sum(map(len, theirs.values()))
-        weight = {
-            w: len(s) * math.log((len(s) + 0.5) / n_ours / ((len(theirs.get(w, ())) + 0.5) / n_theirs))
-            for w, s in ours.items()
-            if len(s) >= 5 and len(w) > 2
-        }
-        floor = max(weight.values(), default=0.0) / 4
-        marked = {
-            w for w, x in weight.items() if x >= floor and len(ours[w]) / n_ours >= 4 * (len(theirs.get(w, ())) + 0.5) / n_theirs
-        }
+        ours, theirs = _support(toxic), _support(ordinary)
+        marked = set()
+        for w, n in ours.items():
+            ratio = (n + 0.5) / (1 + len(toxic)) / ((theirs.get(w, 0) + 0.5) / (1 + len(ordinary)))
+            # so large a log-likelihood doesn't come about by chance among some hundred thousand words
+            if len(w) > 2 and n >= 5 and ratio >= 4 and n * math.log(ratio) >= evidence:
+                marked.add(w)
         samples = [b" %b " % w for raw in toxic for w in _WORD.findall(raw.lower()) if w in marked]
         self.toxic = (_train(samples, dict_bytes) if samples else b"") + self.ordinary
         self.threshold, self.weights = 2, np.zeros(4)
