@@ -74,8 +74,8 @@ def fingerprint(raw: bytes | None, shingle: int = 4, reps: int = 1) -> list[int]
     return np.packbits(counts * 2 > n, axis=1, bitorder="little").view(np.uint64).ravel().tolist()
 
 
-def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int, reps: int) -> DataFrame:
-    """``doc_id, node, f0 ..``: fingerprints as signed longs, and one long that stands for them all."""
+def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int, reps: int, hashed: bool = False) -> DataFrame:
+    """``doc_id, node, f0 ..``: fingerprints as signed longs, and one long that stands for them all; ``h`` of the text if asked for."""
     kind = pa.struct([(f"f{r}", pa.int64()) for r in range(reps)])
 
     @F.arrow_udf("struct<" + ", ".join(f"f{r}: bigint" for r in range(reps)) + ">")
@@ -85,8 +85,9 @@ def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int, reps: in
             columns = [pa.array(out[:, r].copy().view(np.int64)) for r in range(reps)]
             yield pa.StructArray.from_arrays(columns, fields=list(kind))
 
-    made = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), prints.asNondeterministic()(docs[f"`{text}`"].cast("binary")).alias("f"))
-    flat = made.select("doc_id", *[F.col(f"f.f{r}").alias(f"f{r}") for r in range(reps)])
+    also = [F.xxhash64(docs[f"`{text}`"]).alias("h")] if hashed else []
+    made = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), *also, prints.asNondeterministic()(docs[f"`{text}`"].cast("binary")).alias("f"))
+    flat = made.select("doc_id", *["h"] * hashed, *[F.col(f"f.f{r}").alias(f"f{r}") for r in range(reps)])
     return flat.withColumn("node", F.col("f0") if reps == 1 else F.xxhash64(*[f"f{r}" for r in range(reps)]))
 
 
@@ -237,6 +238,17 @@ def near_links(nodes: DataFrame, reps: int = 1, min_match: int = 4, max_bits: in
     return _compare(groups.select("key", "members"), index)
 
 
+def _components(prints: DataFrame, reps: int, min_match: int, max_bits: int, block_rows: int) -> DataFrame:
+    """``node, first_id, component`` of the distinct fingerprints."""
+    columns = [f"f{r}" for r in range(reps)]
+    nodes = settle(
+        prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in columns]), "simhash_nodes"
+    )
+    component = connected_components(near_links(nodes, reps, min_match, max_bits, block_rows))
+    grouped = nodes.select("node", "first_id").join(component, F.col("node") == F.col("id"), "left")
+    return settle(grouped.select("node", "first_id", F.coalesce("component", "node").alias("component")), "simhash_groups")
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     text: str = "text",
@@ -258,25 +270,46 @@ def near_duplicate_groups(
     """
     prints = settle(fingerprints(docs, text, doc_id, shingle, reps), "simhash")
     columns = [f"f{r}" for r in range(reps)]
-    nodes = settle(
-        prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in columns]), "simhash_nodes"
-    )
-    component = connected_components(near_links(nodes, reps, min_match, max_bits, block_rows))
-    grouped = nodes.select("node", "first_id").join(component, F.col("node") == F.col("id"), "left")
-    grouped = settle(grouped.select("node", "first_id", F.coalesce("component", "node").alias("component")), "simhash_groups")
+    grouped = _components(prints, reps, min_match, max_bits, block_rows)
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = grouped.join(smallest, "component").select(F.col("node").alias("named_node"), "component_id")
     return prints.join(named, F.col("node") == F.col("named_node")).select("doc_id", *columns, "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each group: the one whose id is the group's ``component_id``.
+def one_row_each(docs: DataFrame, rows: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The rows of ``docs`` that stay if each component of ``rows`` (``doc_id, h, component``) keeps one.
+
+    ``h`` is ``xxhash64`` of the text. It is the row with the smallest id and,
+    of rows with one id, the smallest ``h``; rows without an id come last. Of
+    rows that agree in both an arbitrary one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    kept = rows.groupBy("component").agg(F.min(key).alias("kept"))
+    kept = settle(kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.h").alias("kept_h")), "simhash_kept")
+    counts = rows.groupBy("doc_id", "h").count().where("count > 1")
+    repeated = not counts.join(kept, counts["doc_id"].eqNullSafe(kept["kept_id"]) & (counts["h"] == kept["kept_h"]), "left_semi").isEmpty()
+    tagged = docs.withColumn("_row_h", F.xxhash64(docs[f"`{text}`"]))
+    stay = tagged.join(kept, tagged[f"`{doc_id}`"].eqNullSafe(kept["kept_id"]) & (tagged["_row_h"] == kept["kept_h"]), "left_semi")
+    return (stay.dropDuplicates([doc_id, "_row_h"]) if repeated else stay).drop("_row_h")
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    shingle: int = 4,
+    reps: int = 1,
+    min_match: int = 4,
+    max_bits: int = 4,
+    block_rows: int = 2048,
+) -> DataFrame:
+    """One row of each component of near fingerprints.
 
-    Columns and their order stay. Of rows that share an id one stays, and of all
-    rows without one, one at most: it stays if its whole group has no id.
+    Columns and their order stay. The row with the smallest id stays, one
+    without an id only if no row of its component has one; rows that share an id
+    are judged by their texts.
     """
-    found = near_duplicate_groups(docs.select(doc_id, text), text, doc_id, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
-    repeated = not kept.where("n > 1").isEmpty()
-    stay = docs.join(kept.select("kept_id"), docs[f"`{doc_id}`"].eqNullSafe(F.col("kept_id")), "left_semi")
-    return stay.dropDuplicates([doc_id]) if repeated else stay
+    prints = settle(fingerprints(docs, text, doc_id, shingle, reps, hashed=True), "simhash")
+    grouped = _components(prints, reps, min_match, max_bits, block_rows).select(F.col("node").alias("named_node"), "component")
+    rows = prints.join(grouped, F.col("node") == F.col("named_node")).select("doc_id", "h", "component")
+    return one_row_each(docs, rows, text, doc_id)

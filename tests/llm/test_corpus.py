@@ -109,6 +109,17 @@ def test_near_duplicates_of_several_repetitions(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
 
 
+@pytest.mark.parametrize("all_linked", [False, True])
+def test_near_duplicates_stay_by_row(spark, all_linked):
+    rng = random.Random(9)
+    a, b, c, d, e, f = (sentence(rng, 80, 5000) for _ in range(6))
+    rows = [(None, a), (None, b), (None, c), (1, c), (None, d), (None, d), (5, e), (5, f), (5, f), (3, f)]
+    rows = [r for r in rows if not all_linked or r[1] in (c, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, c), (None, d)] + ([] if all_linked else [(None, a), (None, b), (5, e), (3, f)])
+    assert pairs(simhash.drop_near_duplicates(docs), "doc_id", "text") == sorted(want, key=str)
+
+
 # Sharding
 
 
