@@ -108,3 +108,19 @@ def url_verdict(url: str | None, rules: list[tuple[str, str, str]]) -> tuple:
     fits = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
     best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
     return host, path, best and best[0] + best[1], best[2] if best else "allow"
+
+
+def jaccard_groups(texts: list[str | None], shingle: int = 5, similarity: float = 0.8) -> list[int]:
+    """The first index of each text's component over pairs whose sets of shingles have the similarity."""
+    sets = []
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        sets.append({tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} - {()})
+    first = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if first[i] != first[j] and (a == b or 10 * len(a & b) >= round(10 * similarity) * len(a | b) > 0):
+                lo, hi = sorted((first[i], first[j]))
+                first = [lo if f == hi else f for f in first]
+    return first

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rastra.llm import decontaminate, langid, media, mixing, queries, sharding, simhash, substrings, tokens, toxicity, urlfilter
+from rastra.llm import decontaminate, langid, media, mixing, near, queries, sharding, simhash, substrings, tokens, toxicity, urlfilter
 from tests.conftest import SF
 from tests.llm import brute
 
@@ -120,6 +120,34 @@ def test_near_duplicates_stay_by_row(spark, all_linked):
     assert pairs(simhash.drop_near_duplicates(docs), "doc_id", "text") == sorted(want, key=str)
 
 
+def held_against_jaccard(spark, texts):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    assert got == sorted(set(brute.jaccard_groups(texts)))
+    return docs, got
+
+
+def test_pipeline_near_duplicates_equal_jaccard(spark):
+    """Pairs of all similarities, a large group of near copies of one text, and texts that share a line."""
+    rng = random.Random(10)
+    texts, line, base = ["", None, "one", "ONE  "], sentence(rng, 12), sentence(rng, 60, 5000).split()
+    for i in range(150):
+        words = sentence(rng, rng.choice([12, 40, 150]), 5000).split()
+        other = words.copy()
+        for _ in range(rng.randrange(1, max(2, len(words) // 18))):
+            other[rng.randrange(len(words))] = "changed"
+        texts += [" ".join(words), " ".join(other)]
+        texts.append(f"{line} {sentence(rng, 30, 5000)}")
+        copy = base.copy()
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.randrange(60)] = f"x{i}"
+        texts.append(" ".join(copy))
+    docs, got = held_against_jaccard(spark, texts)
+    assert sorted(r["doc_id"] for r in near.drop_near_duplicates(docs, block_rows=20).collect()) == got
+
+
 # Sharding
 
 
