@@ -148,6 +148,13 @@ def test_pipeline_near_duplicates_equal_jaccard(spark):
     assert sorted(r["doc_id"] for r in near.drop_near_duplicates(docs, block_rows=20).collect()) == got
 
 
+def test_pipeline_near_duplicates_of_short_texts(spark):
+    rng = random.Random(11)
+    short = [sentence(rng, n + 4, 5000) for n in (4, 6, 8, 10) for _ in range(15)]
+    docs, got = held_against_jaccard(spark, [t for text in short for t in (text, text + " more")])
+    assert got == list(range(0, 120, 2))
+
+
 # Sharding
 
 
