@@ -155,6 +155,19 @@ def test_pipeline_near_duplicates_of_short_texts(spark):
     assert got == list(range(0, 120, 2))
 
 
+def test_pipeline_keeps_chains_of_distant_texts(spark):
+    """Texts that differ from the one before in ten words on end, 14 of 100 shingles: a similarity of 0.75."""
+    rng = random.Random(12)
+    chain = [sentence(rng, 104, 5000).split()]
+    for i in range(40):
+        words = chain[-1].copy()
+        at = rng.randrange(4, 90)
+        words[at : at + 10] = sentence(rng, 10, 5000).split()
+        chain.append(words)
+    docs, got = held_against_jaccard(spark, [" ".join(w) for w in chain])
+    assert got == list(range(41))
+
+
 # Sharding
 
 
