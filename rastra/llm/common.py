@@ -39,6 +39,26 @@ def id_crc(doc_id: Column | str) -> Column:
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary"))
 
 
+def spread_join(rows: DataFrame, table: DataFrame, on: list[str], weight: str, by: list[str], parts: int = 4096) -> DataFrame:
+    """Inner join of ``rows`` to a ``table`` with one row a key, such that no key's rows all land in one task.
+
+    ``weight`` is the number of ``rows`` of each key of the table. A key with
+    over 1/``parts`` of all is dealt over as many salts as it has such shares,
+    by a hash of the columns ``by``; there are fewer than ``parts`` such keys
+    whatever the input, so that they can be sent to all tasks. Both should be
+    settled, as they are read twice or more.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    share = max(total / parts, 1.0)
+    hot = table.where(F.col(weight) > share).select(*[F.col(k).alias(f"_hot_{k}") for k in on], F.ceil(F.col(weight) / share).cast("int").alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    same = [rows[k] == F.col(f"_hot_{k}") for k in on]
+    dealt = rows.join(F.broadcast(hot), same, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("_salts", *[f"_hot_{k}" for k in on])
+    copies = F.greatest(F.ceil(F.col(weight) / share), F.lit(1)).cast("int")
+    copied = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.join(copied, [*on, "_salt"]).drop("_salt")
+
+
 def output(batch: dict[str, list | pa.Array], schema: pa.Schema) -> pa.RecordBatch:
     """A record batch of the given columns in the schema's types."""
     return pa.RecordBatch.from_arrays(

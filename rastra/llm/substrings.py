@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +10,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import WordHashes, output, pieces, slices, texts
-from rastra.storage import settle
+from rastra.llm.common import WordHashes, output, pieces, slices, spread_join, texts
+from rastra.storage import discard, settle
 
 #: Odd multiplier of the rolling hashes over words, and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
@@ -59,37 +58,6 @@ def anchors(words: np.ndarray, window: int, seed: int) -> np.ndarray:
     return out
 
 
-def _emit(batches: Iterator[pa.RecordBatch], hashes) -> Iterator[pa.RecordBatch]:
-    """Rows ``(hash, doc_id)`` for what ``hashes(row)`` finds in each row, in batches of bounded size."""
-    for batch in batches:
-        keys, docs, held = [], [], 0
-        ids = batch.column(0).to_pylist()
-        for doc, found in zip(ids, hashes(batch), strict=True):
-            if len(found):
-                keys.append(found)
-                docs.append(np.full(len(found), doc, np.int64))
-                held += len(found)
-            if held >= 1 << 18:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], names=["hash", "doc_id"])
-                keys, docs, held = [], [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], names=["hash", "doc_id"])
-
-
-def _seeds(window: int, seed: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-
-        def of(batch: pa.RecordBatch):
-            for raw in texts(batch.column(1)):
-                words = memo.of(raw)
-                yield np.unique(gram_hashes(words, seed)[np.unique(anchors(words, window, seed))])
-
-        yield from _emit(batches, of)
-
-    return run
-
-
 class Regions:
     """The extension of each seed of a text to both sides: all windows that it stands for, one after the other.
 
@@ -106,31 +74,80 @@ class Regions:
         self.key = _mix(span_hashes(words, self.first, self.last + window) + place * np.uint64(_BASE))
 
 
-_REGIONS = pa.schema([("region", pa.int64()), ("seed", pa.int64()), ("doc_id", pa.int64()), ("windows", pa.list_(pa.int64()))])
+_REGIONS = pa.schema([(c, pa.int64()) for c in ("doc_id", "row")] + [(c, pa.int32()) for c in ("at", "n")] + [(c, pa.int64()) for c in ("seed", "key")])
+_WINDOWS = pa.schema([(c, pa.int64()) for c in ("seed", "key", "lo")] + [("off", pa.int32()), ("hash", pa.int64())])
+
+
+def _kind(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in schema)
+
+
+def _in_bulk(rows: Iterator[dict[str, np.ndarray]], schema: pa.Schema, most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Record batches of about ``most`` rows from many small sets of columns."""
+    held: dict[str, list] = {f.name: [] for f in schema}
+    n = 0
+
+    def batch() -> pa.RecordBatch:
+        return output({c: pa.array(np.concatenate(v)) for c, v in held.items()}, schema)
+
+    for columns in rows:
+        for c, v in columns.items():
+            held[c].append(v)
+        n += len(columns[schema.names[0]])
+        if n >= most:
+            yield batch()
+            held, n = {f.name: [] for f in schema}, 0
+    if n:
+        yield batch()
 
 
-def _extensions(window: int, seed: int):
-    """The regions around the shared seeds of each document, each with the hashes of its windows."""
+def _regions(window: int, seed: int):
+    """The regions of each text, without its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
-        for batch in batches:
-            out: dict[str, list] = {f.name: [] for f in _REGIONS}
-            ids = batch.column(0).to_pylist()
-            for doc, packed, wanted in zip(ids, texts(batch.column(1)), batch.column(2), strict=True):
-                words = memo.of(unpack(packed))
-                found, full = Regions(words, window, seed), gram_hashes(words, window).view(np.int64)
-                shared = np.flatnonzero(np.isin(found.seed.view(np.int64), wanted.values.to_numpy()))
-                shared = shared[np.unique(found.key[shared], return_index=True)[1]]
-                out["region"] += found.key[shared].view(np.int64).tolist()
-                out["seed"] += found.seed[shared].view(np.int64).tolist()
-                out["doc_id"] += [doc] * len(shared)
-                out["windows"] += [full[a : b + 1] for a, b in zip(found.first[shared].tolist(), found.last[shared].tolist(), strict=True)]
-                if len(out["doc_id"]) >= 4096:
-                    yield output(out, _REGIONS)
-                    out = {f.name: [] for f in _REGIONS}
-            if out["doc_id"]:
-                yield output(out, _REGIONS)
+
+        def each() -> Iterator[dict[str, np.ndarray]]:
+            for batch in slices(batches):
+                for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True):
+                    found = Regions(memo.of(raw), window, seed)
+                    n = len(found.first)
+                    if n:
+                        yield {
+                            "doc_id": np.full(n, doc, np.int64),
+                            "row": np.full(n, row, np.int64),
+                            "at": found.first.astype(np.int32),
+                            "n": (found.last - found.first + 1).astype(np.int32),
+                            "seed": found.seed.view(np.int64),
+                            "key": found.key.view(np.int64),
+                        }
+
+        yield from _in_bulk(each(), _REGIONS)
+
+    return run
+
+
+def _windows(window: int):
+    """The hash of every window of the asked regions of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+
+        def each() -> Iterator[dict[str, np.ndarray]]:
+            for batch in slices(batches):
+                for doc, packed, asked in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2), strict=True):
+                    hashes = gram_hashes(memo.of(unpack(packed)), window).view(np.int64)
+                    seed, key, at, n = (asked.values.field(i).to_numpy() for i in range(4))
+                    off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    yield {
+                        "seed": np.repeat(seed, n),
+                        "key": np.repeat(key, n),
+                        "lo": np.full(len(off), doc, np.int64),
+                        "off": off.astype(np.int32),
+                        "hash": hashes[np.repeat(at, n) + off],
+                    }
+
+        yield from _in_bulk(each(), _WINDOWS)
 
     return run
 
@@ -151,13 +168,12 @@ def unpack(packed: bytes | None) -> bytes:
     return zstandard.decompress(packed) if packed else b""
 
 
-def covered(starts: np.ndarray, window: int, n: int) -> np.ndarray:
-    """Which of ``n`` words lie in a window that begins at a marked start; neighbouring windows join to maximal repeats."""
-    edge = np.zeros(n + 1, np.int64)
-    at = np.flatnonzero(starts)
-    edge[at] += 1
-    edge[at + window] -= 1
-    return np.cumsum(edge[:n]) > 0
+def covered(at: np.ndarray, n: np.ndarray, window: int, words: int) -> np.ndarray:
+    """Which of so many words lie in one of the ``n`` windows from a start ``at``; neighbouring windows join to maximal repeats."""
+    edge = np.zeros(words + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + n - 1 + window, -1)
+    return np.cumsum(edge[:words]) > 0
 
 
 _CUT = pa.struct(
@@ -170,87 +186,91 @@ _CUT = pa.struct(
 )
 
 
-def _cut_udf(window: int, seed: int):
-    def cut_one(raw: bytes, repeats: list | None, is_copy: bool, memo: WordHashes) -> dict:
-        if not is_copy and not repeats:
-            words = [w for p in pieces(raw) for w in p.split()]
+def _cut_udf(window: int):
+    def cut_one(raw: bytes, repeats: pa.StructArray | None) -> dict:
+        words = [w for p in pieces(raw) for w in p.split()]
+        if repeats is None:
             return {"n_words": len(words), "n_removed": 0, "kept": b" ".join(words), "spans": []}
-        words = memo.of(raw)
-        starts = np.full(max(0, len(words) - window + 1), is_copy)
-        if not is_copy:
-            repeated = np.array(repeats, np.int64)
-            starts |= np.isin(gram_hashes(words, window).view(np.int64), repeated)
-            found = Regions(words, window, seed)
-            for k in np.flatnonzero(np.isin(found.key.view(np.int64), repeated)).tolist():
-                starts[found.first[k] : found.last[k] + 1] = True
-        gone = covered(starts, window, len(words))
-        at, kept = 0, []
-        for p in pieces(raw):
-            part = p.split()
-            kept += [w for w, g in zip(part, gone[at : at + len(part)].tolist(), strict=True) if not g]
-            at += len(part)
+        gone = covered(repeats.field(0).to_numpy(), repeats.field(1).to_numpy(), window, len(words))
+        kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
         bounds = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
         spans = [{"start": a, "words": b - a} for a, b in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True)]
-        return {"n_words": len(words), "n_removed": int(gone.sum()), "kept": b" ".join(kept), "spans": spans}
+        return {"n_words": len(words), "n_removed": int(gone.sum()), "kept": kept, "spans": spans}
 
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept: binary, spans: array<struct<start: bigint, words: bigint>>>")
-    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        memo = WordHashes()
-        for packed, repeats, copy in slices(batches):
-            rows = zip(texts(packed), repeats.to_pylist(), copy.to_pylist(), strict=True)
-            yield pa.array([cut_one(unpack(raw), r, c, memo) for raw, r, c in rows], type=_CUT)
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for packed, repeats in slices(batches):
+            rows = zip(texts(packed), repeats, strict=True)
+            yield pa.array([cut_one(unpack(raw), r.values) for raw, r in rows], type=_CUT)
 
     return cut.asNondeterministic()
 
 
+def find_repeats(body: DataFrame, window: int, seed: int) -> DataFrame:
+    """``doc_id, row, repeats``: for each row of ``doc_id, row, text`` the runs of windows that begin in a smaller id as well.
+
+    Only narrow rows are exchanged, a row a region, but for the texts of
+    the documents that hold the classes of seeds with several of them.
+    """
+    whole = body.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "row", "text")
+    regions = settle(whole.mapInArrow(_regions(window, seed), _kind(_REGIONS)), "repeats_regions", compression="zstd")
+    ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")]
+    shared = settle(regions.groupBy("seed").agg(*ends).where("lo < hi").select("seed", "rows"), "repeats_shared")
+    alive = settle(spread_join(regions, shared, ["seed"], "rows", ["doc_id", "at"]).drop("rows"), "repeats_alive", compression="zstd")
+    discard(regions, shared)
+    held = F.min(F.struct("doc_id", "row", "at")).alias("holder")
+    classes = alive.groupBy("seed", "key").agg(held, F.first("n").alias("n"), F.count("*").alias("rows"))
+    classes = settle(classes.select("seed", "key", F.col("holder.doc_id").alias("lo"), "holder.row", "holder.at", "n", "rows"), "repeats_classes")
+    rivals = classes.groupBy("seed").agg(F.min("lo").alias("a"), F.max("lo").alias("b"), F.count("*").alias("classes")).where("a < b")
+    rivals = settle(rivals.select("seed", "classes"), "repeats_rivals")
+    asked = spread_join(classes.drop("rows"), rivals, ["seed"], "classes", ["key"])
+    asked = asked.groupBy(F.col("lo").alias("holder_id"), F.col("row").alias("holder_row")).agg(F.collect_list(F.struct("seed", "key", "at", "n")).alias("asked"))
+    held_text = whole.select("doc_id", "row", pack("text").alias("packed"))
+    wide = held_text.join(asked, (F.col("doc_id") == F.col("holder_id")) & (F.col("row") == F.col("holder_row"))).select("doc_id", "packed", "asked")
+    windows = settle(wide.mapInArrow(_windows(window), _kind(_WINDOWS)), "repeats_windows", compression="zstd")
+    firsts = windows.groupBy("seed", "hash").agg(F.min("lo").alias("first"), F.max("lo").alias("last"), F.count("*").alias("rows")).where("first < last")
+    firsts = settle(firsts.select("seed", "hash", "first", "rows"), "repeats_firsts")
+    later = spread_join(windows, firsts, ["seed", "hash"], "rows", ["key"]).where("lo > first")
+    cuts = later.groupBy("seed", "key").agg(F.collect_set("off").alias("offs"))
+    decided = classes.select("seed", "key", "lo", "rows").join(cuts, ["seed", "key"], "left").where("rows > 1 OR offs IS NOT NULL")
+    decided = settle(decided, "repeats_decided")
+    discard(classes, rivals, windows, firsts)
+    hits = spread_join(alive, decided, ["seed", "key"], "rows", ["doc_id", "at"]).where("doc_id > lo OR offs IS NOT NULL")
+    whole_region = F.array(F.struct("at", "n"))
+    some = F.transform("offs", lambda o: F.struct((F.col("at") + o).alias("at"), F.lit(1).alias("n")))
+    spans = hits.select("doc_id", "row", F.explode(F.when(F.col("doc_id") > F.col("lo"), whole_region).otherwise(some)).alias("span"))
+    # rows alike in id and text have their spans once
+    found = settle(spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("repeats")), "repeats_spans", compression="zstd")
+    discard(alive, decided)
+    return found
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, seed: int = 10, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Cut every passage of ``window`` words or more that also begins in a document with a smaller id.
 
     Seeds are winnowed: every window of ``window`` words has one, chosen by its
-    own words. Documents are joined on the seeds that several of them have, and
-    each seed is extended to both sides, over all windows that it stands for.
-    Equal regions are one class, held by its smallest document, and all other
-    documents of a class repeat the whole region; where a seed has several
-    classes, the windows of the smallest documents are compared as well. So no
-    pairs are made, and a passage in very many documents is one class. A text
-    that equals one of a smaller id is all repeat. Windows are judged on the
-    input.
+    own words, and each seed is extended to both sides, over all windows that it
+    stands for. Documents are joined on the seeds that several of them have.
+    Equal regions of one seed are one class, held by its smallest document, and
+    all other documents of a class repeat the whole region; where a seed has
+    several classes, the windows of their holders are compared as well. So no
+    pairs are made, and a passage in very many documents is one class. Seed and
+    region, or seed and window, are compared by 64 bits each. Windows are judged
+    on the input.
 
     Returns ``doc_id, n_words, n_removed, kept`` (the words left, joined by one
     space, as bytes) and ``spans`` (the maximal repeats that went: first word
     and number of words). Null texts have no words; rows without an id are
-    compared with nothing and stay whole; rows that share an id are one
-    document; an empty table gives an empty result.
+    compared with nothing and stay whole; rows that share an id are one document
+    of several texts, none of which repeats another; an empty table gives an
+    empty result. Other columns are not looked at.
     """
     if not 0 < seed <= window:
         raise ValueError("a seed must fit into the window")
-    body = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("binary").alias("text"))
-    print_ = F.struct(F.xxhash64("text").alias("a"), F.crc32("text").alias("b"), F.octet_length("text").alias("c"))
-    texts_ = body.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", print_.alias("whole"))
-    copies = texts_.groupBy("whole").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    copies = settle(
-        texts_.join(copies, "whole").where("doc_id > first_id").select(F.col("doc_id").alias("copy_id"), F.col("whole").alias("copy_of")).distinct(),
-        "repeats_copies",
-    )
-    found = settle(body.where("doc_id IS NOT NULL").mapInArrow(_seeds(window, seed), "hash long, doc_id long"), "repeats_seeds", compression="zstd")
-    shared = found.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("hash")
-    originals = found.join(copies.select("copy_id").distinct(), found["doc_id"] == F.col("copy_id"), "left_anti")
-    seeded = originals.join(shared, "hash").groupBy(F.col("doc_id").alias("seeded_id")).agg(F.collect_list("hash").alias("shared"))
-    packed = body.select("doc_id", pack("text").alias("packed"))
-    wide = packed.join(seeded, F.col("doc_id") == F.col("seeded_id")).select("doc_id", "packed", "shared")
-    kind = "region long, seed long, doc_id long, windows array<long>"
-    regions = settle(wide.mapInArrow(_extensions(window, seed), kind), "repeats_regions", compression="zstd")
-    classes = regions.groupBy("region").agg(F.min("doc_id").alias("lo"), F.first("seed").alias("seed"))
-    classes = settle(classes, "repeats_classes", compression="zstd")
-    whole = regions.select("region", "doc_id").join(classes, "region").where("doc_id > lo").select("doc_id", F.col("region").alias("repeat"))
-    several = classes.join(classes.groupBy("seed").count().where("count > 1"), "seed").select(F.col("region").alias("of"), "lo")
-    held = regions.join(several, (F.col("region") == F.col("of")) & (F.col("doc_id") == F.col("lo")))
-    held = settle(held.select("doc_id", F.explode("windows").alias("window")).distinct(), "repeats_windows", compression="zstd")
-    firsts = held.groupBy("window").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
-    later = held.join(firsts, "window").where("doc_id > first").select("doc_id", F.col("window").alias("repeat"))
-    repeats = whole.unionByName(later).groupBy(F.col("doc_id").alias("later_id")).agg(F.collect_list("repeat").alias("repeats"))
-    flags = body.select("doc_id", F.xxhash64("text").alias("a"), F.crc32("text").alias("b"), F.octet_length("text").alias("c"), pack("text").alias("packed"))
-    same = (F.col("doc_id") == F.col("copy_id")) & (F.struct("a", "b", "c") == F.col("copy_of"))
-    marked = flags.join(repeats, F.col("doc_id") == F.col("later_id"), "left").join(copies, same, "left")
-    cut = marked.select("doc_id", _cut_udf(window, seed)("packed", "repeats", F.col("copy_id").isNotNull()).alias("cut"))
+    columns = [docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("binary").alias("text")]
+    body = docs.select(*columns).withColumn("row", F.xxhash64("text"))
+    repeats = find_repeats(body, window, seed).select(F.col("doc_id").alias("later_id"), F.col("row").alias("later_row"), "repeats")
+    packed = body.select("doc_id", "row", pack("text").alias("packed"))
+    marked = packed.join(repeats, (F.col("doc_id") == F.col("later_id")) & (F.col("row") == F.col("later_row")), "left")
+    cut = marked.select("doc_id", _cut_udf(window)("packed", "repeats").alias("cut"))
     return cut.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept", "cut.spans")

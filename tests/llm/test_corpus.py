@@ -330,6 +330,15 @@ def test_repeats_of_rows_without_an_id(no_ids):
     assert cut.where("doc_id IS NULL AND n_removed > 0").isEmpty()
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    p, q, r = (" ".join(f"{c}{i}" for i in range(60)) for c in "pqr")
+    docs = [(1, p), (3, q), (40, p), (40, f"x {q} y"), (40, f"u {r} v"), (40, f"u {r} v"), (50, f"a {r} b"), (50, f"{r} {p} {r}")]
+    cut = substrings.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(map(tuple, cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()), key=str)
+    assert got == sorted(brute.cut_repeats(docs), key=str)
+    assert {(r["doc_id"], r["n_removed"]) for r in cut.collect()} >= {(40, 60), (40, 0), (50, 60), (50, 180)}
+
+
 def test_repeats_query(spark, small):
     got = pairs(queries.op6_substrings(spark, SF), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == sorted(brute.cut_repeats(ids_and_texts(small)), key=str)
