@@ -48,9 +48,9 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
         write_content_size=False,
         write_checksum=False,
         write_dict_id=False,
-        window_log=15,
-        chain_log=13,
-        hash_log=13,
+        window_log=17,
+        chain_log=14,
+        hash_log=14,
         search_log=3,
         min_match=5,
         target_length=16,
@@ -61,64 +61,119 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=params)
 
 
-def _train(samples: list[bytes], size: int) -> bytes:
-    """Dictionary content from zstandard's trainer, with the most frequent samples nearest to the end."""
+def _trained(docs: list[list[bytes]], size: int) -> bytes:
+    """A dictionary from zstandard's trainer, over the words of each document as one sample."""
+    samples = [b"".join(words) for words in docs if words]
     try:
-        trained = zstandard.train_dictionary(size, samples, d=6, k=64).as_bytes()
+        return zstandard.train_dictionary(size, samples, d=8, k=8).as_bytes()
     except zstandard.ZstdError:  # too few or too uniform samples for the trainer
-        trained = b""
-    frequent, room = [], size
-    for s, _ in Counter(samples).most_common():
-        if len(s) > room:
-            break
-        frequent.append(s)
-        room -= len(s)
-    return trained + b"".join(reversed(frequent))
-
+        return b"".join(samples)[-size:]
 
-def _support(docs: list[bytes]) -> dict[bytes, int]:
-    """How widely each word is used: the documents that have it, or the distinct words before it if these are fewer.
 
-    A word that comes with copied text follows few words, one of a single long document has few documents.
+def _commonest(docs: list[list[bytes]], size: int) -> bytes:
+    """The most frequent words, the commonest nearest to the end."""
+    counts = Counter(w for words in docs for w in words)
+    kept, room = [], size
+    for w in sorted(counts, key=lambda w: (-counts[w], w)):
+        if len(w) > room:
+            break
+        kept.append(w)
+        room -= len(w)
+    return b"".join(reversed(kept))
+
+
+class _Lengths(dict):
+    """Compressed lengths of words by a dictionary, each found once."""
+
+    def __init__(self, content: bytes):
+        self.press = _compressor(content + _TAIL).compress
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.press(word + _TAIL))
+        return n
+
+
+def train_dictionaries(
+    toxic: list[list[bytes]],
+    ordinary: list[list[bytes]],
+    background_bytes: int = 8192,
+    draft_bytes: int = 4096,
+    dict_bytes: int = 768,
+    common_bytes: int = 256,
+    known: float = 0.5,
+    gain: int = 1,
+    rounds: int = 3,
+) -> tuple[bytes, bytes]:
+    """A dictionary trained on toxic text and one trained on ordinary text, before the same background.
+
+    Both classes go through the same steps. The background is the common
+    vocabulary of one half of the ordinary documents; words of which it saves
+    over the share ``known`` are taken out of the samples of both classes, as
+    neither is told by them. The other half of the ordinary documents, thinned
+    to the number of toxic ones, and the toxic documents are then trained on
+    apart. In each round dictionaries of ``draft_bytes`` are trained on either
+    half of a class, and of the other half's samples only words are kept that
+    the own class's draft compresses at least ``gain`` bytes better than the
+    other class's, so that what a draft merely remembers doesn't count. The
+    dictionary of a class is trained on what is left, ``dict_bytes``, and has
+    its commonest words, ``common_bytes``, behind that.
     """
-    before: dict[bytes, set[bytes]] = {}
-    having: Counter[bytes] = Counter()
-    for raw in docs:
-        last, words = b"", _WORD.findall(raw.lower())
-        having.update(set(words))
-        for w in words:
-            before.setdefault(w, set()).add(last)
-            last = w
-    return {w: min(n, len(before[w])) for w, n in having.items()}
+    background = _commonest(ordinary[::2], background_bytes)
+    with_it, without = _Lengths(background), _Lengths(b"")
+    rest = ordinary[1::2]
+    rest = rest[:: max(1, len(rest) // max(1, len(toxic)))]
+    classes = [[[w for w in d if without[w] - with_it[w] <= known * len(w)] for d in docs] for docs in (rest, toxic)]
+    for _ in range(rounds):
+        drafts = [[_Lengths(_trained(docs[h::2], draft_bytes) + background) for h in (0, 1)] for docs in classes]
+        classes = [
+            [[w for w in d if drafts[1 - c][1 - h][w] - drafts[c][1 - h][w] >= gain] for h in (0, 1) for d in classes[c][h::2]] for c in (0, 1)
+        ]
+    plain, marked = (_trained(docs, dict_bytes) + _commonest(docs, common_bytes) + background + _TAIL for docs in classes)
+    return marked, plain
+
+
+def _words(raw: bytes) -> list[bytes]:
+    return [b" %b " % w for w in _WORD.findall(raw.lower())]
 
 
 class ToxicityModel:
     """Two dictionaries and the calibration that turns window lengths into a score.
 
-    The ordinary dictionary is trained on ordinary text, the toxic one on the
-    parts of toxic text that set it apart, backed by the ordinary content, so
-    that the two lengths of a window differ where toxic text helps and hardly
-    elsewhere. A window counts as a hit if the toxic dictionary saves at least
-    ``threshold`` bytes; hits and savings make the score by logistic regression.
+    Every window of a text is compressed with the dictionary of ordinary text
+    and with that of toxic text. How many windows the latter makes shorter by
+    each of ``THRESHOLDS`` bytes, and by how much, is weighed by logistic
+    regression, fitted to documents that the dictionaries measured weren't
+    trained on.
     """
 
-    def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 64, dict_bytes: int = 4096, evidence: float = 60.0):
+    THRESHOLDS = (1, 2, 3, 4, 5, 6)
+
+    def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 20, folds: int = 3, **options):
         self.window = window
-        self.ordinary = _train([b" %b " % w for raw in ordinary[:1000] for w in _WORD.findall(raw.lower())], dict_bytes) + _TAIL
-        ours, theirs = _support(toxic), _support(ordinary)
-        marked = set()
-        for w, n in ours.items():
-            ratio = (n + 0.5) / (1 + len(toxic)) / ((theirs.get(w, 0) + 0.5) / (1 + len(ordinary)))
-            # so large a log-likelihood doesn't come about by chance among some hundred thousand words
-            if len(w) > 2 and n >= 5 and ratio >= 4 and n * math.log(ratio) >= evidence:
-                marked.add(w)
-        samples = [b" %b " % w for raw in toxic for w in _WORD.findall(raw.lower()) if w in marked]
-        self.toxic = (_train(samples, dict_bytes) if samples else b"") + self.ordinary
-        self.threshold, self.weights = 2, np.zeros(4)
-        self._calibrate(toxic, ordinary)
+        classes = [[_words(raw) for raw in toxic], [_words(raw) for raw in ordinary]]
+        self._learn(*classes, **options)
+        self.weights = np.zeros(len(self._features(np.zeros(1, np.int32))))
+        if not toxic or not ordinary:
+            self.weights[0] = 20.0 if toxic else -20.0
+            return
+        final, features, y = (self.toxic, self.ordinary), [], []
+        for fold in range(folds):
+            self._learn(*[[d for i, d in enumerate(docs) if i % folds != fold] for docs in classes], **options)
+            for docs, label in ((toxic, 1.0), (ordinary, 0.0)):
+                features += [self._features(self.savings(raw)) for raw in docs[fold::folds]]
+                y += [label] * len(docs[fold::folds])
+        self._set(*final)
+        self._calibrate(np.array(features), np.array(y))
+
+    def _set(self, toxic: bytes, ordinary: bytes) -> None:
+        self.toxic, self.ordinary = toxic, ordinary
+        self.__dict__.pop("_pair", None)
+
+    def _learn(self, toxic: list[list[bytes]], ordinary: list[list[bytes]], **options) -> None:
+        self._set(*train_dictionaries(toxic, ordinary, **options))
 
     def savings(self, raw: bytes) -> np.ndarray:
-        """Bytes that the toxic dictionary saves on each window of a whole text."""
+        """Bytes that the toxic dictionary saves, against the ordinary one, on each window of a whole text."""
         if not hasattr(self, "_pair"):
             self._pair = _compressor(self.ordinary).compress, _compressor(self.toxic).compress
         plain, toxic = self._pair
@@ -128,28 +183,19 @@ class ToxicityModel:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_pair"}
 
-    def _features(self, savings: np.ndarray, threshold: int | None = None) -> np.ndarray:
-        hits = savings[savings >= (self.threshold if threshold is None else threshold)]
-        return np.array([1.0, math.log1p(len(hits)), math.log1p(hits.sum()), hits.sum() / len(savings)])
-
-    def _calibrate(self, toxic: list[bytes], ordinary: list[bytes]) -> None:
-        y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
-        if not len(toxic) or not len(ordinary):
-            self.weights[0] = 20.0 if len(toxic) else -20.0
-            return
-        saved = [self.savings(raw) for raw in toxic + ordinary]
-        best = math.inf
-        for threshold in range(1, 9):
-            x = np.array([self._features(s, threshold) for s in saved])
-            w = np.zeros(x.shape[1])
-            for _ in range(30):  # Newton steps with a small ridge
-                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-                h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(len(w))
-                w = w + np.linalg.solve(h, x.T @ (y - p) - 0.1 * w)
-            p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
-            loss = -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
-            if loss < best - 1e-9:
-                best, self.threshold, self.weights = loss, threshold, w
+    def _features(self, savings: np.ndarray) -> np.ndarray:
+        hits = savings[savings >= 2]
+        counts = [math.log1p(int((savings >= t).sum())) for t in self.THRESHOLDS]
+        shares = [hits.sum() / len(savings), 10 * len(hits) / len(savings), 10 * (savings >= 4).mean()]
+        return np.array([1.0, *counts, math.log1p(hits.sum()), *shares, math.log(len(savings))])
+
+    def _calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+        w = self.weights
+        for _ in range(40):  # Newton steps with a small ridge
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(len(w))
+            w = w + np.linalg.solve(h, x.T @ (y - p) - 0.1 * w)
+        self.weights = w
 
     def score(self, raw: bytes | None) -> float:
         x = float(self._features(self.savings(raw or b"")) @ self.weights)

@@ -249,13 +249,25 @@ def test_toxicity_takes_any_rows(spark, request, kind):
 
 
 def test_toxicity_on_rows_never_learned_from(spark):
-    """Held-out accuracy, and one score for one text."""
-    sf = SF.replace("0.001", "0.01")
-    scored = queries.op4_toxicity(spark, sf)
+    """Held-out recall and false alarms; that no document is toxic would be found wrong."""
+    sf = SF.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
-    rows = scored.join(labels, "doc_id").where("held_out").collect()
-    right = sum(r["predicted"] == r["toxic"] for r in rows)
-    assert len(rows) > 30 and right >= 0.9 * len(rows)
+    scored = queries.op4_toxicity(spark, sf).where("held_out")
+    rows = scored.join(labels, "doc_id").join(docs, "doc_id").collect()
+    toxic, clean = ([r for r in rows if r["toxic"] == y] for y in (1, 0))
+    assert len(toxic) > 80 and sum(r["predicted"] for r in toxic) >= 0.65 * len(toxic)
+    assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
+    found = Counter(r["lang"] for r in toxic if r["predicted"])
+    assert all(found[lang] for lang in ("en", "de", "fr", "es")) and found["en"] >= 0.75 * sum(r["lang"] == "en" for r in toxic)
+
+
+def test_dictionaries_of_two_classes_hold_what_sets_them_apart():
+    rng = random.Random(4)
+    plain = [f" {sentence(rng, 60)} ".encode() for _ in range(80)]
+    marked = [p.replace(b" w1", b" zyxwvut w1") for p in plain[:40]]
+    toxic, ordinary = toxicity.train_dictionaries([toxicity._words(m) for m in marked], [toxicity._words(p) for p in plain[40:]])
+    assert b"zyxwvut" in toxic and b"zyxwvut" not in ordinary
 
 
 def test_toxic_documents_go_and_columns_stay(spark, small):
