@@ -56,9 +56,11 @@ class ChunkEncoder:
 
     A space between two characters that aren't white space always begins a new
     pre-token, so a text's ids are those of its chunks cut there, in turn. A
-    text with other runs of white space is encoded whole. Chunks are told apart
-    by 64-bit hashes, many at a time, so that a common one costs no look-up of
-    its own.
+    text with other runs of white space, or with one of the tokenizer's added
+    tokens in it, is encoded whole. Chunks are looked up by hashes, many at a
+    time, so that a common one costs no look-up of its own, and then held against
+    the bytes of the chunk that was found; one that differs has its text encoded
+    whole.
     """
 
     def __init__(self, path: str, limit: int = 2_000_000):
@@ -66,7 +68,7 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # byte-level vocabularies write the space as U+0120
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self.tokenizer.get_vocab_size())])
         self.limit = limit
@@ -77,6 +79,8 @@ class ChunkEncoder:
         #: number of a chunk by its hash: from 1, or 0 if it can't stand alone
         self.known: dict[int, int] = {}
         self.starts, self.sizes, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int32), _NONE
+        #: bytes of the known chunks, each after a space; where each begins, and its length
+        self.bytes, self.begins, self.lengths = np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def _encode(self, whole: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
@@ -91,6 +95,8 @@ class ChunkEncoder:
         for i in np.flatnonzero(odd & fit).tolist():
             chunk = joined[at[i] + 1 : ends[i]].decode("utf-8")
             fit[i] = not (chunk[0].isspace() or chunk[-1].isspace())
+        if self.added:
+            fit &= [not any(t in joined[a:b] for t in self.added) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
         self.known.update(dict.fromkeys(hashes[~fit].tolist(), 0))
         if fit.any():
             new = [joined[a:b] for a, b in zip(at[fit].tolist(), ends[fit].tolist(), strict=True)]
@@ -100,6 +106,18 @@ class ChunkEncoder:
             self.starts = np.concatenate([self.starts, len(self.ids) + starts])
             self.sizes = np.concatenate([self.sizes, np.diff(np.append(starts, np.int32(len(flat))))])
             self.ids = np.concatenate([self.ids, flat])
+            lengths = ends[fit] - at[fit]
+            self.begins = np.concatenate([self.begins, len(self.bytes) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(new), np.uint8)])
+
+    def _alike(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Whether each chunk of a buffer has the bytes of the known one of its number."""
+        where = np.repeat(self.begins[numbers] - at, ends - at)
+        where += np.arange(len(where))
+        np.minimum(where, len(self.bytes) - 1, out=where)
+        differ = np.add.reduceat((self.bytes[where] != data).view(np.uint8), at, dtype=np.int64)
+        return (differ == 0) & (self.lengths[numbers] == ends - at)
 
     def _numbers(self, joined: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Where the chunks of a buffer begin, each with the space before it, and their numbers."""
@@ -120,7 +138,9 @@ class ChunkEncoder:
             places = first[missing]
             self._learn(distinct[missing], joined, at[places], ends[places])
             numbers[missing] = [self.known[k] for k in distinct[missing].tolist()]
-        return at, numbers[inverse]
+        numbers = numbers[inverse]
+        numbers[~self._alike(data, at, ends, numbers)] = 0
+        return at, numbers
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, given as UTF-8."""
@@ -129,6 +149,8 @@ class ChunkEncoder:
         segments, owner = [], []
         for t, raw in enumerate(texts):
             parts = _segments(raw)
+            if len(parts) > 1 and any(t in raw for t in self.added):
+                parts = [raw]
             segments += parts
             owner += [(t, k) for k in range(len(parts))]
         at, numbers = self._numbers(b"".join([b" " + s for s in segments])) if segments else (_NONE, _NONE)
@@ -138,6 +160,9 @@ class ChunkEncoder:
         counted = numbers.copy()
         counted[begins[:-1][heads]] = 0  # no space goes before a text's first chunk, so it is encoded by itself
         bad = np.add.reduceat((numbers == 0).astype(np.int64), begins[:-1]) > 0 if segments else heads
+        for t in self.added:
+            if b" " in t:
+                bad |= [t in s for s in segments]
         n = self.sizes[counted]
         ends = np.cumsum(n, dtype=np.int32)
         where = np.repeat(self.starts[counted] - ends + n, n)
@@ -257,14 +282,17 @@ def write_tokens(
     and a manifest of the files of finished tasks: ``part, file, docs, tokens,
     base`` (ids in all files before). Null and empty texts have the end id only;
     null document ids come first; rows that share an id stand side by side, by
-    text. An empty table gives an empty manifest.
+    the hash of their text, and may be dealt over several files. ``doc_id`` must
+    hold numbers. An empty table gives an empty manifest; further columns are
+    not written.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding: {encoding}")
     spark = docs.sparkSession
     path = path or scratch(spark, "tokens")
     narrow = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("binary").alias("text"))
-    ranged = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    hashed = narrow.withColumn("h", F.xxhash64("text"))
+    ranged = hashed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     files = ranged.mapInArrow(_writer(path, tokenizer, end_id, encoding, group_tokens), "part long, file string, docs long, tokens long")
     files = settle(files, "tokens_files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a file

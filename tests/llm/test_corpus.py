@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,8 +287,12 @@ def encoded(docs):
     from tokenizers import Tokenizer
 
     tokenizer, start, out = Tokenizer.from_file(queries.tokenizer_file()), 0, []
-    tokenizer.encode_special_tokens = True
-    for d, t in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
+
+    def order(row):
+        h = 42 if row[1] is None else xxhash.xxh64_intdigest(row[1].encode(), 42)
+        return row[0] is not None, row[0] or 0, h - (h >> 63 << 64)
+
+    for d, t in sorted(docs, key=order):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
         out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -317,13 +322,30 @@ def test_token_files_have_pages_indexed_and_selective_reads(spark, small):
     assert some.count() == small.where("doc_id < 10").count()
 
 
-@pytest.mark.parametrize("text", ["a b", " a", "a  b", "a \u00a0 b", "it's 3 o'clock", "<|endoftext|> x", "x\ny z", "é è", "\u2003a b\u2003 c", "a\u0085 b", "tab\t x"])
+@pytest.mark.parametrize("text", ["a b", " a", "a  b", "a \u00a0 b", "it's 3 o'clock", "<|endoftext|> x", "x\ny z", "é è", "\u2003a b\u2003 c", "a\u0085 b", "tab\t x", "one <|endoftext|> two", "a<|endoftext|>"])
 def test_chunked_encoding_equals_the_tokenizers_own(text):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_file())
     encoder = tokens.ChunkEncoder(queries.tokenizer_file())
-    for repeat in (1, 50):
+    for repeat in (1, 50, 400_000 // len(text)):
         whole = " ".join([text] * repeat)
-        (got,) = encoder.encode([whole.encode()])
-        assert got.tolist() == encoder.tokenizer.encode(whole, add_special_tokens=False).ids
+        for got in encoder.encode([whole.encode(), whole.encode()]):
+            assert got.tolist() == plain.encode(whole, add_special_tokens=False).ids
+
+
+def test_chunks_of_one_hash_keep_their_own_ids():
+    """A Thue-Morse word and its complement collide in any polynomial hash modulo a power of two."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_file())
+    for n in (1024, 2048, 4096):
+        one = "".join("ab"[i.bit_count() % 2] for i in range(n))
+        other = one.translate(str.maketrans("ab", "ba"))
+        encoder = tokens.ChunkEncoder(queries.tokenizer_file())
+        texts = [f"x {one} y", f"x {other} y", f"{other} {one} z", f"x {other} {other}"]
+        assert [g.tolist() for g in encoder.encode([t.encode() for t in texts])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert encoder.encode([texts[1].encode()])[0].tolist() == plain.encode(texts[1], add_special_tokens=False).ids
 
 
 # Substrings
