@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import pieces, slices, texts
+from rastra.llm.common import pieces, slices, spread_join, texts
 from rastra.operators.graph import connected_components
 from rastra.storage import settle
 
@@ -239,14 +239,14 @@ def near_links(nodes: DataFrame, reps: int = 1, min_match: int = 4, max_bits: in
 
 
 def _components(prints: DataFrame, reps: int, min_match: int, max_bits: int, block_rows: int) -> DataFrame:
-    """``node, first_id, component`` of the distinct fingerprints."""
+    """``node, rows, first_id, component`` of the distinct fingerprints; ``rows`` have it."""
     columns = [f"f{r}" for r in range(reps)]
     nodes = settle(
-        prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in columns]), "simhash_nodes"
+        prints.groupBy("node").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in columns]), "simhash_nodes"
     )
     component = connected_components(near_links(nodes, reps, min_match, max_bits, block_rows))
-    grouped = nodes.select("node", "first_id").join(component, F.col("node") == F.col("id"), "left")
-    return settle(grouped.select("node", "first_id", F.coalesce("component", "node").alias("component")), "simhash_groups")
+    grouped = nodes.select("node", "rows", "first_id").join(component, F.col("node") == F.col("id"), "left")
+    return settle(grouped.select("node", "rows", "first_id", F.coalesce("component", "node").alias("component")), "simhash_groups")
 
 
 def near_duplicate_groups(
@@ -271,9 +271,9 @@ def near_duplicate_groups(
     prints = settle(fingerprints(docs, text, doc_id, shingle, reps), "simhash")
     columns = [f"f{r}" for r in range(reps)]
     grouped = _components(prints, reps, min_match, max_bits, block_rows)
-    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(smallest, "component").select(F.col("node").alias("named_node"), "component_id")
-    return prints.join(named, F.col("node") == F.col("named_node")).select("doc_id", *columns, "component_id")
+    smallest = settle(grouped.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("nodes")), "simhash_smallest")
+    named = settle(spread_join(grouped, smallest, ["component"], "nodes", ["node"]).select("node", "rows", "component_id"), "simhash_named")
+    return spread_join(prints, named, ["node"], "rows", ["doc_id"]).select("doc_id", *columns, "component_id")
 
 
 def one_row_each(docs: DataFrame, rows: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -310,6 +310,6 @@ def drop_near_duplicates(
     are judged by their texts.
     """
     prints = settle(fingerprints(docs, text, doc_id, shingle, reps, hashed=True), "simhash")
-    grouped = _components(prints, reps, min_match, max_bits, block_rows).select(F.col("node").alias("named_node"), "component")
-    rows = prints.join(grouped, F.col("node") == F.col("named_node")).select("doc_id", "h", "component")
+    grouped = _components(prints, reps, min_match, max_bits, block_rows).select("node", "rows", "component")
+    rows = spread_join(prints, grouped, ["node"], "rows", ["doc_id", "h"]).select("doc_id", "h", "component")
     return one_row_each(docs, rows, text, doc_id)
