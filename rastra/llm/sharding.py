@@ -9,18 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Width of the sort keys.
+from rastra.storage import settle
+
+#: Width of the sort keys, and of the document's hash at their end.
 KEY_BITS = 62
+_DOC_BITS = 26
 
 
 def order_key(text: Column, doc_id: Column) -> Column:
-    """Sort key of 62 bits: the text's hash above the document's hash.
+    """Sort key of 62 bits: 36 of the text's hash above 26 of the document's hash.
 
     Equal texts are neighbours in key order, and a group of copies of any size
-    still has distinct keys inside, so that a splitter can fall within it.
+    still has distinct keys inside, so that a splitter can fall within it. Texts
+    that share 36 bits are told apart inside a cell by their whole hash.
     """
-    half = F.lit(1 << 31)
-    return F.pmod(F.xxhash64(text), half) * half + F.pmod(F.xxhash64(F.lit(7), doc_id), half)
+    above, below = F.lit(1 << (KEY_BITS - _DOC_BITS)), F.lit(1 << _DOC_BITS)
+    return F.pmod(F.xxhash64(text), above) * below + F.pmod(F.xxhash64(F.lit(7), doc_id), below)
 
 
 def find_splitters(keyed: DataFrame, n_parts: int, tolerance: float = 0.002) -> list[int]:
@@ -68,16 +72,26 @@ def find_splitters(keyed: DataFrame, n_parts: int, tolerance: float = 0.002) ->
     return [splitters[i] for i in range(1, n_parts)]
 
 
-def _cell_of(key: Column, splitters: list[int]) -> Column:
-    """Number of splitters at or below the key, as a balanced tree of comparisons."""
+def _sorted_once(table: DataFrame, by: str, value: str) -> Column:
+    """A column of a small table as one array in the order of another, found once by a scalar subquery: the plan doesn't grow with it."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(by).alias("by"), F.col(value).alias("value"))))
+    return table.agg(F.transform(pairs, lambda p: p["value"]).alias("all")).scalar()
+
+
+def _with_cells(rows: DataFrame, splitters: DataFrame, n: int) -> DataFrame:
+    """``rows`` and ``cell``: how many of ``n`` ascending splitters are at or below their ``key``, by binary search."""
+    given = rows.withColumn("_splitters", _sorted_once(splitters, "nth", "splitter"))
+    key, splitters = F.col("key"), F.col("_splitters")
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(splitters[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    def halve(range_: Column, _: Column) -> Column:
+        middle = F.floor((range_["lo"] + range_["hi"]) / 2).cast("int")
+        left = (range_["lo"] < range_["hi"]) & (key < F.get(splitters, F.least(middle, F.lit(n - 1))))
+        right = (range_["lo"] < range_["hi"]) & ~left
+        return F.struct(F.when(right, middle + 1).otherwise(range_["lo"]).alias("lo"), F.when(left, middle).otherwise(range_["hi"]).alias("hi"))
 
-    return tree(0, len(splitters))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, halve)["lo"] if n else F.lit(0)
+    return given.withColumn("cell", found).drop("_splitters")
 
 
 def shard_by_bytes(
@@ -97,9 +111,10 @@ def shard_by_bytes(
     way to them. Rows are sorted by text hash, then document, so equal texts are
     neighbours and a group is cut only where a splitter must fall within it.
     A shard is made of cells of at most about ``cell_bytes``, and one task
-    numbers one cell, whatever the size of a shard. Rows that agree in
-    everything are kept and get slots of their own. An empty table gives an
-    empty result.
+    numbers one cell, whatever the size of a shard. The splitters and the cells'
+    first slots, eight bytes a cell each, are all that tasks get. Rows that agree in id and
+    text are kept and get slots of their own, but have one key, within which no
+    splitter can fall. An empty table gives an empty result.
     """
     base = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))
     body, ident = F.coalesce(F.col(f"row.`{text}`"), F.lit("")), F.col(f"row.`{doc_id}`")
@@ -108,29 +123,28 @@ def shard_by_bytes(
         (F.octet_length(body) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(body.cast("binary")).cast("long").alias("text_crc32"),
         order_key(body, ident).alias("key"),
+        F.xxhash64(body).alias("print"),
     )
     narrow = sized.select("key", "size").persist()
     try:
         total = narrow.agg(F.sum("size")).first()[0] or 0
         per = max(1, math.ceil(total / n_shards / cell_bytes))
         splitters = find_splitters(narrow, n_shards * per, tolerance)
-        counts = dict(narrow.groupBy(_cell_of(F.col("key"), splitters).alias("cell")).count().collect())
+        edges = df.sparkSession.createDataFrame([(i, key) for i, key in enumerate(splitters)], "nth long, splitter long")
+        edges = settle(edges, "shard_splitters")
+        counts = df.sparkSession.range(n_shards * per).select(F.col("id").cast("int").alias("cell")).join(_with_cells(narrow, edges, len(splitters)).groupBy("cell").count(), "cell", "left")
+        before = Window.partitionBy(F.floor(F.col("cell") / F.lit(per))).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # a row a cell
+        starts = settle(counts.select("cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")), "shard_starts")
     finally:
         narrow.unpersist()
-    starts, at = [], 0
-    for cell in range(n_shards * per):
-        at = 0 if cell % per == 0 else at
-        starts.append(at)
-        at += counts.get(cell, 0)
-    placed = sized.withColumn("cell", _cell_of(F.col("key"), splitters))
-    order = Window.partitionBy("cell").orderBy("key", ident, "text_crc32", "size")
+    placed = _with_cells(sized, edges, len(splitters))
+    order = Window.partitionBy("cell").orderBy(F.shiftright("key", _DOC_BITS), "print", "key", ident, "text_crc32", "size")
     numbered = placed.withColumn("nth", F.row_number().over(order) - 1)
-    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("cell") + 1)
     own = {"size", "text_crc32", "shard", "slot"}
     return numbered.select(
         *[F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in own],
         "size",
         "text_crc32",
         F.floor(F.col("cell") / F.lit(per)).cast("int").alias("shard"),
-        (F.col("nth") + offset).cast("long").alias("slot"),
+        (F.col("nth") + F.get(_sorted_once(starts, "cell", "start"), F.col("cell"))).cast("long").alias("slot"),
     )

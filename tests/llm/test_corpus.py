@@ -194,6 +194,39 @@ def test_sharding_is_even_with_many_copies(spark):
     assert pairs(out, "doc_id", "shard", "slot") == pairs(sharding.shard_by_bytes(docs.repartition(7), 40, cell_bytes=1 << 14), "doc_id", "shard", "slot")
 
 
+def test_sharding_into_many_cells(spark):
+    """The plan is the same for any number of cells, and shards are those of large cells but for a splitter's tolerance."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy " * 20).otherwise(F.concat(F.lit("t" * 80), "id")).alias("text"))
+    many, few = (sharding.shard_by_bytes(docs, 8, cell_bytes=n) for n in (1 << 8, 1 << 20))
+    assert abs(len(many._jdf.queryExecution().optimizedPlan().toString()) - len(few._jdf.queryExecution().optimizedPlan().toString())) < 200
+    rows = many.collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) - min(sizes.values()) <= 0.02 * max(sizes.values())
+    for shard in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
+
+
+def test_sharding_query(spark, small):
+    out = queries.op2_sharding(spark, SF).collect()
+    rows = {r["doc_id"]: (r["text"] or "").encode() for r in small.collect()}
+    assert sorted(r["doc_id"] for r in out) == sorted(rows)
+    shards, places = Counter(), {}
+    for r in out:
+        raw = rows[r["doc_id"]]
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 16, zlib.crc32(raw), "bytes", None)
+        shards[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append((r["slot"], raw))
+    fair = sum(shards.values()) / 40
+    assert set(shards) <= set(range(40)) and all(abs(n - fair) <= max(0.01 * fair, max(len(t) for t in rows.values())) for n in shards.values())
+    in_order = []
+    for shard in sorted(places):
+        assert [slot for slot, _ in sorted(places[shard])] == list(range(len(places[shard])))
+        in_order += [raw for _, raw in sorted(places[shard])]
+    assert sum(a != b for a, b in zip(in_order, in_order[1:])) == len(set(rows.values())) - 1  # equal texts are neighbours
+
+
 # Media
 
 
