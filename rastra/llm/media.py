@@ -43,6 +43,8 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         fields.append(int(data[at:end]))
         at = end
     width, height, top = fields[0], fields[1], fields[2] if n_fields == 3 else 1
+    if not (width and height and 0 < top < 1 << 16):
+        raise ValueError("Netpbm image without pixels, or with samples of over 16 bits")
     depth = 3 if kind in (b"P3", b"P6") else 1
     n = width * height * depth
     if kind in (b"P5", b"P6"):
@@ -87,6 +89,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     offset, size = struct.unpack_from("<I", data, 10)[0], struct.unpack_from("<I", data, 14)[0]
     width, height, _, bits, packing = struct.unpack_from("<iiHHI", data, 18)
     used = struct.unpack_from("<I", data, 46)[0]
+    if width < 1 or not height:
+        raise ValueError("BMP image without pixels")
     if packing not in (0, 3) or bits not in (1, 4, 8, 24, 32):
         raise ValueError("this kind of BMP isn't supported")
     down, height = height < 0, abs(height)
@@ -166,20 +170,23 @@ def npy_tile(image: np.ndarray, edge: int = 16) -> bytes:
 def text_media(raw: bytes | None, unit: int = 576, form: str = "pgm") -> tuple[bytes, int]:
     """A text's bytes, padded with 255 to a positive multiple of ``unit``, as the samples of an image.
 
-    The image is the square root of ``unit`` wide. Returns the file and the
-    number of bytes before padding.
+    The image is the square root of ``unit`` wide, a BMP or a PGM; with a form
+    of ``both`` texts of an even number of units become BMP and others PGM.
+    Returns the file and the number of bytes before padding.
     """
     raw = raw or b""
     side = int(unit**0.5)
     payload = raw.ljust(max(1, -(-len(raw) // unit)) * unit, b"\xff")
     image = np.frombuffer(payload, np.uint8).reshape(-1, side)
-    return (encode_bmp if form == "bmp" else encode_netpbm)(image), len(raw)
+    bmp = form == "bmp" or form == "both" and len(payload) // unit % 2 == 0
+    return (encode_bmp if bmp else encode_netpbm)(image), len(raw)
 
 
 def media_column(docs: DataFrame, text: str = "text", unit: int = 576, form: str = "pgm") -> DataFrame:
     """Adds ``media`` (a Netpbm or BMP file) and ``n_bytes`` of each whole text; null counts as empty.
 
-    Columns of those names in the input give way.
+    Columns of those names in the input give way; equal texts have equal files,
+    repeated rows are kept, and an empty table gives an empty result.
     """
 
     @F.arrow_udf("struct<media: binary, n_bytes: bigint>")
@@ -226,17 +233,16 @@ def media_features(media: DataFrame, column: str = "media", edge: int = 16) -> D
             return {"error": "null"}
         try:
             image = decode_image(data)
-        except (ValueError, struct.error, IndexError) as e:
+            made = {"feature": difference_hash(image), "tile": npy_tile(image, edge)}
+        except (ValueError, struct.error, IndexError, OverflowError) as e:
             return {"media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest(), "error": str(e)}
         payload = image.tobytes()
-        return {
+        return made | {
             "payload_bytes": len(payload),
             "payload_sha256": hashlib.sha256(payload).hexdigest(),
             "tail_crc32": zlib.crc32(payload[-32:]),
             "media_bytes": len(data),
             "media_sha256": hashlib.sha256(data).hexdigest(),
-            "feature": difference_hash(image),
-            "tile": npy_tile(image, edge),
             "height": image.shape[0],
             "width": image.shape[1],
         }
@@ -249,14 +255,15 @@ def media_features(media: DataFrame, column: str = "media", edge: int = 16) -> D
     return media.select(*[media[f"`{c}`"] for c in media.columns if c != "found"], features.asNondeterministic()(media[f"`{column}`"]).alias("found"))
 
 
-def stored_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", unit: int = 576, form: str = "pgm") -> DataFrame:
-    """Writes every text as an image in a media table, reads the table back and takes its features.
+def stored_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", unit: int = 576, form: str = "both") -> DataFrame:
+    """Writes every text as an image in a media table, reads it back, and writes what is made of the images in another.
 
     One row a document with ``doc_id, n_bytes`` and the fields of
-    :func:`media_features`. The table is Parquet in the shared folder. Empty and
-    null texts are one unit of padding; repeated rows are kept; an empty table
-    gives an empty result.
+    :func:`media_features`, NPY tiles among them. Both tables are Parquet in the
+    shared folder; the result is the second one. Empty and null texts are one
+    unit of padding; repeated rows are kept; an empty table gives an empty
+    result.
     """
     narrow = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("text"))
     table = settle(media_column(narrow, "text", unit, form).drop("text"), "media", compression="zstd")
-    return media_features(table).select("doc_id", "n_bytes", "found.*")
+    return settle(media_features(table).select("doc_id", "n_bytes", "found.*"), "media_tiles", compression="zstd")

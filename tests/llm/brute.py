@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -100,6 +101,37 @@ def media(doc_id, text: str | None, unit: int = 576) -> tuple:
     return doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:])
 
 
+def media_file(text: str | None, unit: int = 576) -> bytes:
+    """A PGM, or a BMP for an even number of units, of the padded text, 24 bytes to a line."""
+    raw = (text or "").encode()
+    payload = raw + b"\xff" * (-len(raw) % unit if raw else unit)
+    lines = [payload[i : i + 24] for i in range(0, len(payload), 24)]
+    if len(payload) // unit % 2:
+        return b"P5\n24 %d\n255\n" % len(lines) + payload
+    palette = b"".join(bytes([i, i, i, 0]) for i in range(256))
+    head = b"BM" + (1078 + len(payload)).to_bytes(4, "little") + bytes(4) + (1078).to_bytes(4, "little")
+    info = b"".join(n.to_bytes(k, "little") for n, k in [(40, 4), (24, 4), (len(lines), 4), (1, 2), (8, 2), (0, 4), (len(payload), 4), (2835, 4), (2835, 4), (256, 4), (0, 4)])
+    return head + info + palette + b"".join(reversed(lines))
+
+
+def mean_grid(text: str | None, rows: int, columns: int, unit: int = 576) -> list[list[Fraction]]:
+    """The padded text, 24 bytes to a line, as means over equal areas."""
+    raw = (text or "").encode()
+    payload = raw + b"\xff" * (-len(raw) % unit if raw else unit)
+    lines = [payload[i : i + 24] for i in range(0, len(payload), 24)]
+
+    def parts(n: int, k: int) -> list[list[tuple[int, Fraction]]]:
+        """For each of ``k`` cells, the lines that it covers and how much of each."""
+        step = Fraction(n, k)
+        return [[(j, min((i + 1) * step, j + 1) - max(i * step, j)) for j in range(n) if j + 1 > i * step and j < (i + 1) * step] for i in range(k)]
+
+    across = parts(24, columns)
+    return [
+        [sum(lines[y][x] * a * b for y, a in down for x, b in right) / (Fraction(len(lines), rows) * Fraction(24, columns)) for right in across]
+        for down in parts(len(lines), rows)
+    ]
+
+
 def url_verdict(url: str | None, rules: list[tuple[str, str, str]]) -> tuple:
     """``(host, path, rule, verdict)``."""
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")

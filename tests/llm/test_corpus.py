@@ -1,6 +1,7 @@
 """The corpus operators and their queries against plain versions, and on awkward rows."""
 
 import hashlib
+import io
 import math
 import random
 import zlib
@@ -242,6 +243,22 @@ def test_media_query(spark, small):
     assert pairs(got, "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32") == sorted((brute.media(d, t) for d, t in ids_and_texts(small)), key=str)
 
 
+@pytest.mark.parametrize("kind", ["small", "awkward"])
+def test_media_files_and_features(request, kind):
+    """The stored files byte for byte; hashes and tiles against exact means over areas."""
+    docs = request.getfixturevalue(kind).where("length(text) < 3000 OR text IS NULL").limit(60)
+    rows = media.stored_media(docs).withColumnRenamed("doc_id", "id").join(docs, F.col("id").eqNullSafe(F.col("doc_id"))).collect()
+    assert len({r["media_bytes"] > 1078 + 576 for r in rows}) == 2
+    for r in rows:
+        file = brute.media_file(r["text"])
+        assert (r["media_bytes"], r["media_sha256"], r["error"]) == (len(file), hashlib.sha256(file).hexdigest(), None)
+        small = [[round(m) for m in line] for line in brute.mean_grid(r["text"], 8, 9)]
+        bits = "".join(str(int(b > a)) for line in small for a, b in zip(line, line[1:]))
+        assert r["feature"] == f"{int(bits, 2):016x}"
+        tile = np.load(io.BytesIO(r["tile"]))
+        assert np.array_equal(tile, [[round(m) for m in line] for line in brute.mean_grid(r["text"], 16, 16)])
+
+
 @pytest.mark.parametrize("shape", [(1, 1), (3, 5), (17, 24), (4, 7, 3)])
 def test_images_survive_a_round_trip(shape):
     image = np.random.default_rng(2).integers(0, 256, shape, dtype=np.uint8)
@@ -267,6 +284,11 @@ def test_broken_media_give_an_error_and_no_failure(spark):
     files = spark.createDataFrame([(1, None), (2, bytearray(b"P5 9")), (3, bytearray(b"")), (4, bytearray(media.encode_bmp(np.zeros((2, 2), np.uint8))))], "id int, media binary")
     out = {r["id"]: r["found"] for r in media.media_features(files).collect()}
     assert [out[i]["error"] is None for i in (1, 2, 3, 4)] == [False, False, False, True]
+    empty = bytearray(media.encode_bmp(np.zeros((2, 2), np.uint8)))
+    empty[18:26] = bytes(8)
+    broken = [b"P5 0 0 255 ", b"P5 0 3 255 ", b"P2 1 1 255 12345678901234567890", b"P5 1 1 70000 ab", b"P5 99999999999 9999999999 255 a", bytes(empty), b"BM", b"P4 3 1"]
+    files = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(broken)], "id int, media binary")
+    assert media.media_features(files).where("found.error IS NULL OR found.feature IS NOT NULL").isEmpty()
 
 
 # Toxicity
