@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastra.llm.common import texts
+from rastra.storage import scratch
 
 #: Bytes outside words become spaces, A-Z lower-cased: digits, letters and all bytes from 0x80 make words.
 _FOLD = bytes(
@@ -39,15 +42,63 @@ class TestSuffixes:
         ]
         self.shortest = min([window, *(len(w) for w in self.words if len(w))])
         owners: dict[bytes, list[tuple[int, int]]] = {}
+        rank = self._ranks()
         for i, w in enumerate(self.words):
             flat, need = w.astype(">u4").tobytes(), min(window, len(w))
             for at in range(len(w) - need + 1 if need else 0):
                 owners.setdefault(flat[4 * at : 4 * (at + need)], []).append((i, at))
-        self.owners = [owners[k] for k in sorted(owners)]
-        self.sizes = [len(k) // 4 for k in sorted(owners)]
+        keys = sorted(owners)
+        #: of each window the suffixes that begin with it, in their order, and the items that have it
+        self.owners = [sorted(owners[k], key=lambda s: rank[s[0]][s[1]]) for k in keys]
+        self.items = [sorted({i for i, _ in owners[k]}) for k in keys]
+        self.sizes = [len(k) // 4 for k in keys]
         kind = f"S{4 * window}"
-        self.low = np.array(sorted(owners), dtype=kind)
-        self.high = np.array([k.ljust(4 * window, b"\xff") for k in sorted(owners)], dtype=kind)
+        self.low = np.array(keys, dtype=kind)
+        self.high = np.array([k.ljust(4 * window, b"\xff") for k in keys], dtype=kind)
+
+    def _ranks(self) -> list[np.ndarray]:
+        """The place of each suffix of each item among all of the block, by prefix doubling."""
+        if not self.words:
+            return []
+        flat = np.concatenate([np.append(w, np.uint32(0)) for w in self.words]).astype(np.int64)
+        rank, step = np.unique(flat, return_inverse=True)[1], 1
+        while step < len(flat) and rank.max() < len(flat) - 1:
+            after = np.concatenate([rank[step:] + 1, np.zeros(min(step, len(flat)), np.int64)])
+            renewed = np.unique(rank * (len(flat) + 2) + after, return_inverse=True)[1]
+            if (renewed == rank).all():
+                break
+            rank, step = renewed, step * 2
+        return np.split(rank, np.cumsum([len(w) + 1 for w in self.words])[:-1])
+
+    @staticmethod
+    def _common(a: np.ndarray, b: np.ndarray) -> int:
+        """How many words two runs have in common from their beginning."""
+        n, at, step = min(len(a), len(b)), 0, 16
+        while at < n:
+            differ = np.flatnonzero(a[at : min(n, at + step)] != b[at : min(n, at + step)])
+            if len(differ):
+                return at + int(differ[0])
+            at, step = at + step, step * 4
+        return n
+
+    def longest(self, text: np.ndarray, k: int) -> tuple[int, int, int]:
+        """Item, position in it and length of the longest match of a text that begins with window ``k``, by binary search among its suffixes."""
+        suffixes = self.owners[k]
+        lo, hi, best = 0, len(suffixes), (0, 0, 0)
+        while lo < hi:
+            mid = (lo + hi) // 2
+            i, at = suffixes[mid]
+            own = self.words[i][at:]
+            n = self._common(text, own)
+            if n > best[2]:
+                best = (i, at, n)
+            if n == len(text):
+                break
+            if n == len(own) or own[n] < text[n]:
+                lo = mid + 1
+            else:
+                hi = mid
+        return best
 
     def suffix_array(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of a shard in the order of the words that follow, and those words as keys.
@@ -67,92 +118,141 @@ class TestSuffixes:
         order = np.argsort(keys, kind="stable")
         return at[order], keys[order]
 
-    def search(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int]]]:
-        """Which words of a shard are hit, and all longest matches.
+    def search(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[set[int]], list[tuple[int, int, int, int, int]]]:
+        """Which words of a shard are hit, the items of each document, and the longest matches.
 
         ``ids`` are the numbered words of the shard's documents, which begin at
         ``starts``. A match is ``(document, position in it, item, position in
-        it, words)`` and can't be longer on either side.
+        it, words)``: from left to right the longest one at each place where a
+        window begins that the match before doesn't hold.
         """
         n, edge = len(ids), np.zeros(len(ids) + 1, dtype=np.int64)
+        found: list[set[int]] = [set() for _ in starts]
         matches: list[tuple[int, int, int, int, int]] = []
         where, keys = self.suffix_array(ids, starts)
-        if len(where):
-            lo, hi = np.searchsorted(keys, self.low, side="left"), np.searchsorted(keys, self.high, side="right")
-            ends = np.append(starts[1:], n)
-            for k in np.flatnonzero(hi > lo).tolist():
-                for p in where[lo[k] : hi[k]].tolist():
-                    edge[p] += 1
-                    edge[p + self.sizes[k]] -= 1
-                    d = int(np.searchsorted(starts, p, side="right")) - 1
-                    for i, off in self.owners[k]:
-                        w = self.words[i]
-                        if off and p > starts[d] and ids[p - 1] == w[off - 1]:
-                            continue  # it begins further left
-                        m = min(len(w) - off, int(ends[d]) - p)
-                        differ = np.flatnonzero(ids[p : p + m] != w[off : off + m])
-                        matches.append((d, p - int(starts[d]), i, off, int(differ[0]) if len(differ) else m))
-        return np.cumsum(edge[:n]) > 0, matches
-
-
-_FOUND = "struct<n_words: bigint, n_hit: bigint, hits: array<bigint>, matches: array<struct<item_id: string, item_at: bigint, doc_at: bigint, words: bigint>>>"
+        if not len(where):
+            return edge[:n] > 0, found, matches
+        lo, hi = np.searchsorted(keys, self.low, side="left"), np.searchsorted(keys, self.high, side="right")
+        places, windows = [], []
+        for k in np.flatnonzero(hi > lo).tolist():
+            at = where[lo[k] : hi[k]]
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + self.sizes[k], -1)
+            for d in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
+                found[d].update(self.items[k])
+            places.append(at)
+            windows.append(np.full(len(at), k))
+        if not places:
+            return edge[:n] > 0, found, matches
+        at, which = np.concatenate(places), np.concatenate(windows)
+        order = np.argsort(at, kind="stable")
+        at, which = at[order], which[order]
+        ends = np.append(starts[1:], n)
+        here = 0
+        while here < len(at):
+            p = int(at[here])
+            d = int(np.searchsorted(starts, p, side="right")) - 1
+            last = int(np.searchsorted(at, p, side="right"))
+            text = ids[p : ends[d]]
+            i, off, words = max((self.longest(text, k) for k in which[here:last].tolist()), key=lambda m: m[2])
+            matches.append((d, p - int(starts[d]), i, off, words))
+            # windows that end within the match are part of it
+            here = max(last, int(np.searchsorted(at, p + max(words - self.window, 0), side="right")))
+        return np.cumsum(edge[:n]) > 0, found, matches
+
+
+_FOUND = "struct<n_words: bigint, n_hit: bigint, items: array<string>, matches: array<struct<item_id: string, item_at: bigint, doc_at: bigint, words: bigint>>>"
 _ARROW = pa.struct(
     [
         ("n_words", pa.int64()),
         ("n_hit", pa.int64()),
-        ("hits", pa.list_(pa.int64())),
+        ("items", pa.list_(pa.string())),
         ("matches", pa.list_(pa.struct([("item_id", pa.string()), ("item_at", pa.int64()), ("doc_at", pa.int64()), ("words", pa.int64())]))),
     ]
 )
 
 
-def _search_udf(tests: TestSuffixes, shard_words: int, with_hits: bool):
-    """A column function; a shard is a run of the documents of one Arrow batch."""
+def _search_udf(paths: list[str], window: int, shard_words: int):
+    """A column function; a shard is a run of the documents of one Arrow batch, and is searched for one block of items after the other."""
 
-    def flush(words: list[np.ndarray]) -> Iterator[dict]:
+    def flush(tests: TestSuffixes, texts_: list[list[bytes]], out: list[dict]) -> None:
+        get = tests.vocab.get
+        words = [np.fromiter((get(x, 0) for x in w), dtype=np.uint32, count=len(w)) for w in texts_]
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
         full = sizes > 0  # an empty document would share its start with the next one
-        mask, matches = tests.search(np.concatenate(words), starts[full])
+        mask, items, matches = tests.search(np.concatenate(words), starts[full])
+        for d, x in zip(np.flatnonzero(full).tolist(), items, strict=True):
+            if x:
+                out[d]["items"] += [tests.names[i] for i in x]
+                out[d]["hits"].append(np.flatnonzero(mask[starts[d] : starts[d] + sizes[d]]))
         numbers = np.flatnonzero(full).tolist()
-        out = [{"n_words": int(k), "n_hit": 0, "hits": [], "matches": []} for k in sizes]
         for d, at, i, off, m in matches:
             out[numbers[d]]["matches"].append({"item_id": tests.names[i], "item_at": off, "doc_at": at, "words": m})
-        for d, x in enumerate(out):
-            if x["matches"]:
-                hits = np.flatnonzero(mask[starts[d] : starts[d] + sizes[d]])
-                x["n_hit"] = len(hits)
-                x["hits"] = hits if with_hits else []
-        yield from out
+
+    def shard(texts_: list[list[bytes]]) -> list[dict]:
+        out: list[dict] = [{"n_words": len(w), "n_hit": 0, "hits": [], "items": [], "matches": []} for w in texts_]
+        for path in paths:
+            flush(load_suffixes(path, window), texts_, out)
+        for x in out:
+            hits = x.pop("hits")
+            x["n_hit"] = len(np.unique(np.concatenate(hits))) if hits else 0
+        return out
 
     @F.arrow_udf(_FOUND)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        get = tests.vocab.get
         for batch in batches:
             out: list[dict] = []
-            words: list[np.ndarray] = []
+            words: list[list[bytes]] = []
             held = 0
             for raw in texts(batch):
-                w = fold_words(raw)
-                words.append(np.fromiter((get(x, 0) for x in w), dtype=np.uint32, count=len(w)))
-                held += len(w)
+                words.append(fold_words(raw))
+                held += len(words[-1])
                 if held >= shard_words:
-                    out += flush(words)
+                    out += shard(words)
                     words, held = [], 0
             if words:
-                out += flush(words)
+                out += shard(words)
             yield pa.array(out, type=_ARROW)
 
     return search.asNondeterministic()
 
 
+#: The index of this Python worker, and the block that it is of.
+_LOADED: dict[str, TestSuffixes] = {}
+
+
+def load_suffixes(path: str, window: int) -> TestSuffixes:
+    """The index of a block of items in the shared folder; a worker keeps the last one."""
+    if path not in _LOADED:
+        fs, name = pafs.FileSystem.from_uri(path)
+        with fs.open_input_file(name) as f:
+            items = pickle.loads(f.read())
+        _LOADED.clear()
+        _LOADED[path] = TestSuffixes(items, window)
+    return _LOADED[path]
+
+
+def write_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[str]:
+    """Blocks of items as files in the shared folder; the driver holds one at a time."""
+    folder = scratch(items.sparkSession, "items")
+    paths = []
+    for nth, block in enumerate(item_blocks(items, item_id, text, block_bytes)):
+        fs, name = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(name, recursive=True)
+        with fs.open_output_stream(f"{name}/{nth}") as f:
+            f.write(pickle.dumps(block))
+        paths.append(f"{folder}/{nth}")
+    return paths
+
+
 def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
     """The benchmark in blocks of bounded bytes, streamed to the driver one partition at a time."""
     block: list[tuple[str, bytes]] = []
     held = 0
-    rows = items.select(F.col(item_id).cast("string"), F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    rows = items.select(F.col(f"`{item_id}`").cast("string"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
     for i, raw in rows.toLocalIterator():
-        block.append((i, bytes(raw)))
+        block.append((i or "", bytes(raw)))
         held += len(raw) + 16
         if held >= block_bytes:
             yield block
@@ -176,38 +276,33 @@ def find_contamination(
     A window is ``window`` consecutive words of an item, or a whole shorter
     item. The training text is searched in shards of about ``shard_words``
     words: a shard has a suffix array, and every test suffix is looked up in it
-    by binary search. The benchmark goes to the executors in blocks of
-    ``block_bytes``, each searched against all documents. Adds ``n_words,
-    n_hit, n_items, item_ids`` (distinct, sorted as text) and ``matches`` (the
-    longest verbatim matches with their locations) to ``docs``; columns of
-    those names give way. Null and empty texts have no words; null and empty
-    items have no window; items of a null id match under an empty one; without
-    items nothing is hit.
+    by binary search. The benchmark lies in the shared folder in blocks of
+    ``block_bytes``; a task searches a shard for one block after the other. Adds
+    ``n_words, n_hit, n_items, item_ids`` (distinct, sorted as text) and
+    ``matches`` (from left to right the longest verbatim match at each place
+    where a window begins that the one before doesn't hold, with its location in
+    an item) to ``docs``; columns of those names give way. Null and empty texts
+    have no words; null and empty items have no window; items of a null id match
+    under an empty one; without items nothing is hit; repeated rows are kept.
     """
     own = ["n_words", "n_hit", "n_items", "item_ids", "matches"]
-    blocks = list(item_blocks(items, item_id, item_text, block_bytes)) or [[]]
-    body = docs[f"`{text}`"].cast("binary")
-    one = len(blocks) == 1
-    found = docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
-        *[_search_udf(TestSuffixes(b, window), shard_words, not one)(body).alias(f"b{k}") for k, b in enumerate(blocks)],
-    )
-    every = [F.col(f"b{k}") for k in range(len(blocks))]
-    ids = F.array_sort(F.array_distinct(F.transform(F.col("matches"), lambda m: F.coalesce(m["item_id"], F.lit("")))))
+    paths = write_blocks(items, item_id, item_text, block_bytes)
+    search = _search_udf(paths, window, shard_words)(docs[f"`{text}`"].cast("binary"))
+    found = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), search.alias("found"))
     return (
-        found.select(
-            *[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in own],
-            every[0]["n_words"].alias("n_words"),
-            (every[0]["n_hit"] if one else F.size(F.array_distinct(F.concat(*[b["hits"] for b in every])))).cast("long").alias("n_hit"),
-            (every[0]["matches"] if one else F.concat(*[b["matches"] for b in every])).alias("matches"),
-        )
-        .withColumn("item_ids", ids)
+        found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in own], "found.n_words", "found.n_hit", "found.matches", "found.items")
+        .withColumn("item_ids", F.array_sort(F.array_distinct("items")))
+        .drop("items")
         .withColumn("n_items", F.size("item_ids").cast("long"))
     )
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents of which no word lies in a benchmark window, with their columns."""
+    """The documents of which no word lies in a benchmark window, with their columns.
+
+    Documents without words stay, and so do repeated rows and rows without an
+    id; columns keep their names, whatever these are, and their order.
+    """
     own = ["n_words", "n_hit", "n_items", "item_ids", "matches"]
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{options.get('text', 'text')}`"].alias("text"))
     clean = find_contamination(packed, items, **{**options, "text": "text"}).where("n_hit = 0").drop(*own)

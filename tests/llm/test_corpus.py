@@ -4,6 +4,7 @@ import hashlib
 import io
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -476,6 +477,34 @@ def test_longest_matches_and_their_places(spark):
     assert match.asDict() == {"item_id": "7", "item_at": 1, "doc_at": 2, "words": 15}
 
 
+def test_long_runs_of_one_word_take_no_pairs(spark):
+    docs = spark.createDataFrame([(1, "same " * 100_000), (2, "other same " * 5)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "same " * 10_000), (8, "a " + "same " * 10_000 + "b")], ITEMS)
+    began = time.monotonic()
+    rows = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, items).collect()}
+    assert time.monotonic() - began < 40
+    assert (rows[1]["n_hit"], rows[1]["item_ids"], rows[2]["n_hit"]) == (100_000, ["7", "8"], 0)
+    assert all(m["words"] == 10_000 for m in rows[1]["matches"][:-1]) and len(rows[1]["matches"]) == 11
+
+
+def test_every_hit_word_lies_in_a_longest_match(spark):
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(80)))) for i in range(40)]
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(30)))) for i in range(12)]
+    words = {i: t.split() for i, t in items}
+    found = decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS), window=4)
+    assert found_rows(found) == sorted(brute.contamination(docs, items, 4), key=str)
+    for r in found.collect():
+        text, held = r["text"].split(), set()
+        for m in r["matches"]:
+            place = text[m["doc_at"] :]
+            length = lambda i, at: next((n for n, (x, y) in enumerate(zip(place, words[i][at:])) if x != y), min(len(place), len(words[i]) - at))
+            windows = [(i, at) for i, w in words.items() for at in range(len(w) - min(4, len(w)) + 1 if w else 0) if length(i, at) >= min(4, len(w))]
+            assert m["words"] == length(int(m["item_id"]), m["item_at"]) == max(length(i, at) for i, at in windows)
+            held |= set(range(m["doc_at"], m["doc_at"] + m["words"]))
+        assert len(held) == r["n_hit"]
+
+
 def test_decontamination_query(spark, small):
     got = pairs(queries.op7_decontamination(spark, SF), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     items = ids_and_texts(spark.read.parquet(f"{SF}/benchmark.parquet").withColumnRenamed("item_id", "doc_id"))
