@@ -127,6 +127,20 @@ RADIUS_STOPS = [(0.0, 4.0), (0.5, 7.0), (1.0, 12.0)]
 COLOUR_STOPS = (0.0, 0.3, 0.6, 0.9)
 
 
+#: Marker colours at the colour stops, interpolated between them (fixed values).
+COLOURS = ("#374151", "#f59e0b", "#ef4444", "#dc2626")
+
+
+def marker_colour(score: Column | str = "score") -> Column:
+    """Colour of a marker as ``#rrggbb``: red, green and blue are interpolated one by one and rounded half up."""
+
+    def part(at: int) -> Column:
+        stops = [(x, float(int(c[at : at + 2], 16))) for x, c in zip(COLOUR_STOPS, COLOURS, strict=True)]
+        return F.floor(piecewise(score, stops) + 0.5).cast("int")
+
+    return F.format_string("#%02x%02x%02x", part(1), part(3), part(5))
+
+
 def marker_radius(score: Column | str = "score") -> Column:
     return piecewise(score, RADIUS_STOPS)
 

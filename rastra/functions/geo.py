@@ -89,8 +89,8 @@ def tile_position(lon: Column | str, lat: Column | str, z: int, x: int, y: int,
     return F.floor(fx * extent).cast("int"), F.floor(fy * extent).cast("int")
 
 
-def utm(lon: Column | str, lat: Column | str, zone: int) -> tuple[Column, Column]:
-    """Easting and northing by the transverse Mercator series of third order (WGS84, northern hemisphere)."""
+def utm(lon: Column | str, lat: Column | str, zone: int, south: bool = False) -> tuple[Column, Column]:
+    """Easting and northing by the transverse Mercator series of third order (WGS84); northings of a southern zone start from 10,000 km."""
     n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
     radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
@@ -103,7 +103,7 @@ def utm(lon: Column | str, lat: Column | str, zone: int) -> tuple[Column, Column
     for j, a in enumerate(alpha, 1):
         east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return F.lit(500000.0) + 0.9996 * radius * east, 0.9996 * radius * north
+    return F.lit(500000.0) + 0.9996 * radius * east, F.lit(1e7 if south else 0.0) + 0.9996 * radius * north
 
 
 def point_feature(lon, lat, **properties: Column) -> Column:

@@ -31,12 +31,15 @@ def pick_assets(assets: Column | str, wanted: list[str]) -> Column:
     return F.map_filter(assets, lambda k, _: k.isin(*wanted))
 
 
-def scenes_of_aois(aois: DataFrame, scenes: DataFrame, start: str, end: str, max_cloud: float, limit: int, size: float = 20.0) -> DataFrame:
-    """The newest ``limit`` scenes of each area: ``name, scene_id, nth``."""
-    usable = scenes.where(F.col("ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")) & (F.col("cloud_cover") < max_cloud))
-    pairs = box_pairs(aois, usable, size).select("l.name", "r.scene_id", "r.ts")
-    nth = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("ts"), "scene_id"))
-    return pairs.withColumn("nth", nth).where(F.col("nth") <= limit).select("name", "scene_id", "nth")
+def scenes_of_aois(aois: DataFrame, scenes: DataFrame, start: str, end: str, max_cloud: float, limit: int, size: float = 20.0, include_radar: bool = False) -> DataFrame:
+    """The newest ``limit`` scenes of each area: ``name, scene_id, nth``; with radar also as many of that sensor, and its name."""
+    clear = F.col("cloud_cover") < max_cloud
+    usable = scenes.where(F.col("ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+    usable = usable.where(clear | (F.col("sensor") == "sentinel-1")) if include_radar else usable.where(clear)
+    pairs = box_pairs(aois, usable, size).select("l.name", "r.scene_id", "r.sensor", "r.ts")
+    keys = ["name", "sensor"] if include_radar else ["name"]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("ts"), "scene_id"))
+    return pairs.withColumn("nth", nth).where(F.col("nth") <= limit).select(*keys, "scene_id", "nth")
 
 
 def filter_detections(detections: DataFrame, box: tuple, min_score: float) -> DataFrame:
@@ -76,9 +79,13 @@ def geojson(detections: DataFrame, lon: str, lat: str, *properties: str) -> Data
     return detections.select("id", point_feature(lon, lat, **{p: F.col(p) for p in properties}).alias("feature"))
 
 
-def feature_collection(features: DataFrame, most: int = 1000) -> DataFrame:
-    """A FeatureCollection as one value, of a page of at most ``most`` features; an empty page gives an empty collection."""
-    page = features.orderBy("id").limit(most).agg(F.array_sort(F.collect_list(F.struct("id", "feature"))).alias("page"))
+def feature_collection(features: DataFrame, most: int = 1000, offset: int = 0) -> DataFrame:
+    """A FeatureCollection as one value, of a page of at most ``most`` features from ``offset``; an empty page gives an empty collection.
+
+    One value can't hold any number of features; all of them as a file are what
+    ``sinks.write_geojson`` writes.
+    """
+    page = features.orderBy("id").offset(offset).limit(most).agg(F.array_sort(F.collect_list(F.struct("id", "feature"))).alias("page"))
     listed = F.array_join(F.transform("page", lambda p: p["feature"]), ",")
     return page.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias("collection"))
 

@@ -2,27 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastra.functions.geo import box_iou
 from rastra.operators.graph import connected_components
-from rastra.operators.joins import box_pairs, point_pairs
+from rastra.operators.joins import box_pairs
 from rastra.storage import settle
 
 
-def cluster(points: DataFrame, eps: float, x: str = "x", y: str = "y", key: str = "id") -> DataFrame:
+def cluster(points: DataFrame, eps: float, x: str = "x", y: str = "y", key: str = "id", by: str | None = None) -> DataFrame:
     """Adds ``cluster``: the smallest key of all points that chains of steps of at most ``eps`` reach.
 
-    This is DBSCAN with one sample to a core. Points at one place are one node,
-    so heaps of repeated points make no pairs.
+    This is DBSCAN with one sample to a core, of each value of ``by`` apart if
+    that is given. Points of one cell of width ``eps / sqrt 2`` are within
+    ``eps`` of each other, so a cell is one node and heaps of points make no
+    pairs; of two neighbouring cells only the points near the other cell are
+    compared.
     """
-    places = points.groupBy(F.col(x).alias("px"), F.col(y).alias("py")).agg(F.min(key).alias("node"))
-    pairs = point_pairs(places, places, eps, "inner", ("px", "py"), strict=False)
-    edges = pairs.where("l.node < r.node").select(F.col("l.node").alias("src"), F.col("r.node").alias("dst"))
+    group = F.lit(0) if by is None else F.col(by)
+    places = points.groupBy(group.alias("grp"), F.col(x).alias("px"), F.col(y).alias("py")).agg(F.min(key).alias("first"))
+    side = eps / math.sqrt(2) if eps > 0 else 1.0
+    at = {c: F.floor(F.col(p) / side).cast("long") for c, p in (("cx", "px"), ("cy", "py"))} if eps > 0 else {"cx": F.xxhash64("px", "py"), "cy": F.lit(0)}
+    places = settle(places.withColumns(at), "cluster_places")
+    cells = places.groupBy("grp", "cx", "cy").agg(F.min("first").alias("node"))
+    named = settle(places.join(cells, ["grp", "cx", "cy"]), "cluster_cells")
+    steps = [(dx, dy) for dx in range(3) for dy in range(-2, 3) if (dx, dy) > (0, 0) and (dx, abs(dy)) != (2, 2)] if eps > 0 else [(0, 0)]
+    reach = F.lit(eps * eps * (1 + 1e-12))
+
+    def gap(p: str, c: str, d: Column) -> Column:
+        """How far a place is from its neighbouring cell, along one axis."""
+        low = (F.col(c) + d) * side
+        return F.greatest(low - F.col(p), F.col(p) - low - side, F.lit(0.0))
+
+    def facing(sign: int) -> DataFrame:
+        """Places that can reach the cell some steps ahead (or behind), with that cell."""
+        to = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in steps]))
+        rows = named.withColumn("to", to).withColumns({"dx": F.col("to.dx") * sign, "dy": F.col("to.dy") * sign})
+        g, h = gap("px", "cx", F.col("dx")), gap("py", "cy", F.col("dy"))
+        return rows.where(g * g + h * h <= reach * (1 + 1e-6))
+
+    ahead = facing(1).select("grp", (F.col("cx") + F.col("dx")).alias("kx"), (F.col("cy") + F.col("dy")).alias("ky"), "dx", "dy", "px", "py", F.col("node").alias("src"))
+    behind = facing(-1).select(
+        "grp", F.col("cx").alias("kx"), F.col("cy").alias("ky"), (-F.col("dx")).alias("dx"), (-F.col("dy")).alias("dy"), F.col("px").alias("qx"), F.col("py").alias("qy"), F.col("node").alias("dst")
+    )
+    dx, dy = F.col("px") - F.col("qx"), F.col("py") - F.col("qy")
+    edges = ahead.join(behind, ["grp", "kx", "ky", "dx", "dy"]).where((F.col("src") != F.col("dst")) & (dx * dx + dy * dy <= eps * eps)).select("src", "dst").distinct()
     found = connected_components(edges)
-    named = places.join(found, F.col("node") == F.col("id"), "left").select("px", "py", F.coalesce("component", "node").alias("cluster"))
-    return points.join(named, (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))).drop("px", "py")
+    final = named.join(found, F.col("node") == F.col("id"), "left").select("grp", "px", "py", F.coalesce("component", "node").alias("cluster"))
+    on = (group.eqNullSafe(F.col("grp")) if by else F.lit(True)) & (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))
+    return points.join(final, on).drop("grp", "px", "py")
 
 
 def best_of_cluster(clustered: DataFrame, score: str = "score", key: str = "id") -> DataFrame:
@@ -32,18 +63,18 @@ def best_of_cluster(clustered: DataFrame, score: str = "score", key: str = "id")
     return best.select(*[F.col(f"best.`{c}`").alias(c) for c in columns], "cluster")
 
 
-def suppress(boxes: DataFrame, threshold: float, size: float, score: str = "score", key: str = "id") -> DataFrame:
-    """Greedy suppression: in order of score, then key, a box stays if its IoU with all that stay before it is below the threshold.
+def _stronger(score: str, key: str) -> Column:
+    return (F.col(f"l.{score}") > F.col(f"r.{score}")) | ((F.col(f"l.{score}") == F.col(f"r.{score}")) & (F.col(f"l.{key}") < F.col(f"r.{key}")))
+
 
-    A round keeps every box without an undecided stronger neighbour and drops
+def greedy(rows: DataFrame, over: DataFrame, key: str = "id") -> DataFrame:
+    """In order of strength a row stays if none that stays before it is its neighbour; ``over`` has ``hi, lo``, stronger and weaker neighbours.
+
+    A round keeps every row without an undecided stronger neighbour and drops
     the neighbours of those; this gives what one pass in order gives, and no
     task ever holds more than its share.
     """
-    slim = boxes.select(key, score, "xmin", "ymin", "xmax", "ymax")
-    stronger = (F.col(f"l.{score}") > F.col(f"r.{score}")) | ((F.col(f"l.{score}") == F.col(f"r.{score}")) & (F.col(f"l.{key}") < F.col(f"r.{key}")))
-    side = lambda s: tuple(f"{s}.{c}" for c in ("xmin", "ymin", "xmax", "ymax"))
-    over = box_pairs(slim, slim, size, stronger & (box_iou(side("l"), side("r")) >= threshold))
-    edges = settle(over.select(F.col(f"l.{key}").alias("hi"), F.col(f"r.{key}").alias("lo")), "nms_edges")
+    edges = settle(over, "nms_edges")
     gone: DataFrame | None = None
     while not edges.isEmpty():
         kept = edges.select("hi").distinct().join(edges.select(F.col("lo").alias("hi")).distinct(), "hi", "left_anti")
@@ -51,15 +82,47 @@ def suppress(boxes: DataFrame, threshold: float, size: float, score: str = "scor
         gone = dropped if gone is None else gone.unionByName(dropped)
         rest = edges.join(dropped, "lo", "left_anti").join(dropped.select(F.col("lo").alias("hi")), "hi", "left_anti")
         edges = settle(rest.select("hi", "lo"), "nms_edges")
-    return boxes if gone is None else boxes.join(gone.select(F.col("lo").alias(key)), key, "left_anti")
+    return rows if gone is None else rows.join(gone.select(F.col("lo").alias(key)), key, "left_anti")
 
 
-def deduplicate(detections: DataFrame, method: str = "dbscan", eps: float = 0.02, iou: float = 0.3, size: float = 1.0) -> DataFrame:
-    """Detections (``id, x, y, score`` and a box) without repeats, best first."""
+def suppress(boxes: DataFrame, threshold: float, size: float, score: str = "score", key: str = "id") -> DataFrame:
+    """Greedy suppression: in order of score, then key, a box stays if its IoU with all that stay before it is below the threshold."""
+    slim = boxes.select(key, score, "xmin", "ymin", "xmax", "ymax")
+    side = lambda s: tuple(f"{s}.{c}" for c in ("xmin", "ymin", "xmax", "ymax"))
+    over = box_pairs(slim, slim, size, _stronger(score, key) & (box_iou(side("l"), side("r")) >= threshold))
+    return greedy(boxes, over.select(F.col(f"l.{key}").alias("hi"), F.col(f"r.{key}").alias("lo")), key)
+
+
+def region_overlaps(cells: DataFrame, key: str = "id", at: tuple[str, ...] = ("raster_id", "row", "col")) -> DataFrame:
+    """``a, b, iou`` of the regions that share a pixel: polygons along pixel edges intersect in just the pixels that both have."""
+    sizes = cells.groupBy(key).agg(F.count("*").alias("n"))
+    left, right = cells.select(F.col(key).alias("a"), *at), cells.select(F.col(key).alias("b"), *at)
+    shared = left.join(right, list(at)).where("a < b").groupBy("a", "b").agg(F.count("*").alias("both"))
+    both = shared.join(sizes.select(F.col(key).alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col(key).alias("b"), F.col("n").alias("n_b")), "b")
+    return both.select("a", "b", (F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("iou"))
+
+
+def suppress_regions(regions: DataFrame, cells: DataFrame, threshold: float, score: str = "score", key: str = "id") -> DataFrame:
+    """Greedy suppression by the IoU of polygons, whose pixels are ``cells`` (the key and a place)."""
+    slim = regions.select(key, score)
+    over = region_overlaps(cells, key).where(F.col("iou") >= threshold)
+    named = over.join(slim.select(F.col(key).alias("a"), F.struct(key, score).alias("l")), "a").join(slim.select(F.col(key).alias("b"), F.struct(key, score).alias("r")), "b")
+    first = _stronger(score, key)
+    return greedy(regions, named.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hi"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("lo")), key)
+
+
+def deduplicate(
+    detections: DataFrame, method: str = "dbscan", eps: float = 0.02, iou: float = 0.3, size: float = 1.0, by: str | None = None, cells: DataFrame | None = None
+) -> DataFrame:
+    """Detections (``id, x, y, score`` and a box) without repeats, best first.
+
+    Clusters are made within each value of ``by``; overlap is that of the
+    regions' pixels if these are given as ``cells``, or else of boxes.
+    """
     if method == "dbscan":
-        out = best_of_cluster(cluster(detections, eps)).drop("cluster")
+        out = best_of_cluster(cluster(detections, eps, by=by)).drop("cluster")
     elif method == "iou":
-        out = suppress(detections, iou, size)
+        out = suppress(detections, iou, size) if cells is None else suppress_regions(detections, cells, iou)
     else:
         raise ValueError(f"Unknown dedup method: {method}")
     return out.orderBy(F.desc("score"), "id")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastra.functions.algebra import BANDS, INDICES, index_columns, sigmoid
@@ -19,9 +20,9 @@ CHANNELS = BANDS + INDICES
 
 
 class Model(Protocol):
-    """Scores pixels of stretched tiles: a column expression of the ten channels."""
+    """Adds ``logit`` to pixels of stretched tiles that have the ten channels."""
 
-    def logit(self) -> Column: ...
+    def logits(self, rows: DataFrame) -> DataFrame: ...
 
 
 class LinearModel:
@@ -36,11 +37,45 @@ class LinearModel:
     def logit(self) -> Column:
         return sum((F.col(c) * w for c, w in self.weights.items()), F.lit(self.bias))
 
+    def logits(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("logit", self.logit())
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the weights as one line of JSON in the folder."""
+        line = json.dumps({"kind": "linear", "weights": self.weights, "bias": self.bias})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        kept = json.loads(spark.read.text(path).first()["value"])
+        if kept.get("kind") != "linear":
+            raise ValueError(f"not a linear model: {path}")
+        return cls(kept["weights"], kept["bias"])
+
+
+class RemoteModel:
+    """A function of Arrow batches, as for a remote model server."""
+
+    def __init__(self, score: Callable[[np.ndarray], np.ndarray], channels: tuple[str, ...] = CHANNELS, attempts: int = 3, pause: float = 0.5):
+        self.score, self.options = score, {"channels": channels, "attempts": attempts, "pause": pause}
+
+    def logits(self, rows: DataFrame) -> DataFrame:
+        return batch_score(rows, self.score, **self.options)
+
 
 #: Weights of the deterministic model that the queries use.
 BASELINE = LinearModel({"ndbi": 2.0, "bsi": 1.5, "ndvi": -1.0, "swir22": 1.0}, -0.5)
 
 
+#: Models that can be asked for by name.
+MODELS: dict[str, Model] = {"baseline": BASELINE}
+
+
+def choose_model(spark: SparkSession, name: str) -> Model:
+    """A registered model by name, or one that was saved in a folder."""
+    return MODELS[name] if name in MODELS else LinearModel.load(spark, name)
+
+
 def sliding_window(pixels: DataFrame, model: Model, tile: int = 256, overlap: int = 64, height: int = 0, width: int = 0) -> DataFrame:
     """Probability of each pixel: tiles are stretched one by one, scored, and averaged where they overlap.
 
@@ -50,7 +85,7 @@ def sliding_window(pixels: DataFrame, model: Model, tile: int = 256, overlap: in
     keys = ["raster_id", "row_off", "col_off"]
     tiled = to_tiles(pixels, tile, overlap, height, width)
     channels = percentile_stretch(tiled, keys).withColumns(index_columns())
-    scored = channels.select("raster_id", "row", "col", sigmoid(model.logit()).alias("prob"))
+    scored = model.logits(channels).select("raster_id", "row", "col", sigmoid("logit").alias("prob"))
     return fill_uncovered(pixels, overlap_average(scored))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from rastra.functions.algebra import at_least, compactness
 from rastra.operators.graph import connected_components
+from rastra.storage import settle
 
 
 def label_regions(pixels: DataFrame, width: Column | int, cells: Column | int) -> DataFrame:
@@ -24,7 +25,7 @@ def label_regions(pixels: DataFrame, width: Column | int, cells: Column | int) -
     begins = (F.col("col") - F.lag("col").over(line) == 1).cast("int")
     runs = pixels.withColumn("_new", 1 - F.coalesce(begins, F.lit(0))).withColumn("_run", F.sum("_new").over(line))
     number = F.col("raster_id") * cells + F.col("row") * width
-    runs = runs.withColumn("_id", (number + F.min("col").over(Window.partitionBy("raster_id", "row", "_run"))).cast("long"))
+    runs = settle(runs.withColumn("_id", (number + F.min("col").over(Window.partitionBy("raster_id", "row", "_run"))).cast("long")), "region_runs")
     spans = runs.groupBy("raster_id", "row", "_id").agg(F.min("col").alias("a"), F.max("col").alias("b"))
     below = spans.select(F.col("raster_id").alias("r2"), (F.col("row") - 1).alias("row2"), F.col("_id").alias("dst"), F.col("a").alias("a2"), F.col("b").alias("b2"))
     edges = spans.join(below, (F.col("raster_id") == F.col("r2")) & (F.col("row") == F.col("row2")) & (F.col("a") <= F.col("b2")) & (F.col("b") >= F.col("a2")))

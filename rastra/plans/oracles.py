@@ -32,6 +32,12 @@ reach(n, m) AS (
   UNION
   SELECT r.n, b.n FROM reach r JOIN on_px a ON a.n = r.m JOIN on_px b ON b.raster_id = a.raster_id AND abs(a."row" - b."row") + abs(a.col - b.col) = 1),
 label AS (SELECT n, min(m) AS component FROM reach GROUP BY n)"""
+#: Greedy choice in each heap, in the order of ``o`` (id, heap, place k, ids of its neighbours).
+GREEDY = """turn(heap, k, kept) AS (
+  SELECT DISTINCT heap, 0::BIGINT, []::BIGINT[] FROM o
+  UNION ALL
+  SELECT t.heap, o.k, CASE WHEN list_has_any(t.kept, o.ids) THEN t.kept ELSE list_append(t.kept, o.id) END FROM turn t JOIN o ON o.heap = t.heap AND o.k = t.k + 1),
+stays AS (SELECT unnest(arg_max(kept, k)) AS id FROM turn GROUP BY heap)"""
 LOGITS = """x AS (SELECT event_id, event_type, (event_id * 37 % 2000 - 1000) / 250.0::DOUBLE AS logit,
   CASE WHEN event_id * 13 % 7 < 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM events)"""
 
@@ -130,6 +136,47 @@ def oracle_sql() -> dict[str, str]:
       r(a, b) AS (SELECT id, id FROM det UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
       c AS (SELECT a AS id, min(b) AS cluster FROM r GROUP BY a)
       SELECT id, score, cluster FROM (SELECT d.id, d.score, c.cluster, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, d.id) AS k FROM det d JOIN c USING (id)) WHERE k = 1"""
+    inter = "greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))"
+    q["dedupe_nms"] = f"""WITH RECURSIVE {DET},
+      bx AS (SELECT id, score, lon_c - half_c AS x0, lat_c - half_c AS y0, lon_c + half_c AS x1, lat_c + half_c AS y1 FROM det),
+      e AS (SELECT a.id AS a, b.id AS b FROM bx a JOIN bx b ON b.x0 BETWEEN a.x0 - 102 AND a.x0 + 102 AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1
+          AND {inter} >= 0.3 * ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {inter}) AND a.id <> b.id),
+      reach(a, b) AS (SELECT id, id FROM bx UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b),
+      o AS (SELECT bx.id, c.heap, row_number() OVER (PARTITION BY c.heap ORDER BY score DESC, bx.id) AS k, coalesce(nb.ids, []) AS ids
+        FROM bx JOIN (SELECT a, min(b) AS heap FROM reach GROUP BY a) c ON c.a = bx.id LEFT JOIN (SELECT a, list(b) AS ids FROM e GROUP BY a) nb ON nb.a = bx.id),
+      {GREEDY}
+      SELECT id, score, x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax FROM bx JOIN stays USING (id)"""
+    two = CHIPS.replace("value >= 0.1", "value >= 0.05").replace("on_px", "low_px")
+    q["dedupe_regions"] = f"""WITH RECURSIVE {two}, on_px AS (SELECT *, 1 AS run FROM low_px WHERE value >= 0.1 UNION ALL SELECT *, 0 FROM low_px),
+      walk(run, n, m) AS (SELECT run, n, n FROM on_px UNION SELECT r.run, r.n, b.n FROM walk r JOIN on_px a ON a.run = r.run AND a.n = r.m
+        JOIN on_px b ON b.run = a.run AND b.raster_id = a.raster_id AND abs(a."row" - b."row") + abs(a.col - b.col) = 1),
+      cells AS (SELECT 2 * w.component + w.run AS id, o.raster_id, o.n, o.value FROM (SELECT run, n, min(m) AS component FROM walk GROUP BY run, n) w JOIN on_px o USING (run, n)),
+      rated AS (SELECT id, min(raster_id) AS heap, count(*) AS area_px, round(avg(value), 6) AS score FROM cells GROUP BY id),
+      shared AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM cells a JOIN cells b ON a.n = b.n AND a.id <> b.id GROUP BY a.id, b.id),
+      e AS (SELECT s.a, s.b FROM shared s JOIN rated x ON x.id = s.a JOIN rated y ON y.id = s.b WHERE common / (x.area_px + y.area_px - common)::DOUBLE >= 0.5),
+      o AS (SELECT r.id, heap, row_number() OVER (PARTITION BY heap ORDER BY score DESC, r.id) AS k, coalesce(nb.ids, []) AS ids FROM rated r LEFT JOIN (SELECT a, list(b) AS ids FROM e GROUP BY a) nb ON nb.a = r.id),
+      {GREEDY}
+      SELECT id, area_px, score FROM rated JOIN stays USING (id)"""
+    # corners and holes of a region follow from the 2 x 2 blocks of pixels around each lattice point
+    q["outline_measures"] = f"""WITH RECURSIVE {LABELS}, px AS (SELECT raster_id, component, "row" AS r, col AS c FROM on_px JOIN label USING (n)),
+      quad AS (SELECT raster_id, component, r + dr AS y, c + dc AS x, count(*) AS n, min(dr * 2 + dc) AS u, max(dr * 2 + dc) AS v FROM px, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS t(dr, dc) GROUP BY ALL),
+      c AS (SELECT raster_id, component, count(*) FILTER (WHERE n IN (1, 3)) + 2 * count(*) FILTER (WHERE n = 2 AND u + v = 3) AS corners,
+          (count(*) FILTER (WHERE n = 1) - count(*) FILTER (WHERE n = 3) + 2 * count(*) FILTER (WHERE n = 2 AND u + v = 3)) // 4 AS euler FROM quad GROUP BY raster_id, component),
+      m AS (SELECT raster_id, component, count(*) AS n FROM px GROUP BY raster_id, component),
+      j AS (SELECT a.raster_id, a.component, count(*) AS touching FROM px a JOIN px b ON a.raster_id = b.raster_id AND abs(a.r - b.r) + abs(a.c - b.c) = 1 GROUP BY a.raster_id, a.component)
+      SELECT raster_id, component, CAST(2 - euler AS INT) AS rings, CAST(corners AS INT) AS corners, n::DOUBLE AS area, (4 * n - coalesce(touching, 0))::DOUBLE AS length
+      FROM c JOIN m USING (raster_id, component) LEFT JOIN j USING (raster_id, component)"""
+    q["scan_and_detect"] = f"""WITH RECURSIVE {INFER}, on_px AS (SELECT "row" AS r, col AS c, prob AS value, "row" * 64 + col AS n FROM prob WHERE prob >= 0.62),
+      walk(n, m) AS (SELECT n, n FROM on_px UNION SELECT w.n, b.n FROM walk w JOIN on_px a ON a.n = w.m JOIN on_px b ON abs(a.r - b.r) + abs(a.c - b.c) = 1),
+      px AS (SELECT o.*, l.component FROM on_px o JOIN (SELECT n, min(m) AS component FROM walk GROUP BY n) l USING (n)),
+      j AS (SELECT a.component, count(*) AS touching FROM px a JOIN px b ON abs(a.r - b.r) + abs(a.c - b.c) = 1 GROUP BY a.component),
+      g AS (SELECT component, count(*) AS area_px, avg(value) AS p, 500 * (avg(c) + 0.5) AS x, -500 * (avg(r) + 0.5) AS y FROM px GROUP BY component HAVING count(*) >= 3),
+      h AS (SELECT g.*, 4 * pi() * area_px / pow(4 * area_px - touching, 2) AS compactness FROM g JOIN j USING (component)),
+      s AS (SELECT *, 0.6 * p + 0.2 * compactness + 0.2 * (1 - least(abs(area_px * 0.25 - 2) / 2, 1)) AS score FROM h),
+      e AS (SELECT a.component AS a, b.component AS b FROM s a JOIN s b ON pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 2250000),
+      heap(a, b) AS (SELECT component, component FROM s UNION SELECT k.a, e.b FROM heap k JOIN e ON e.a = k.b),
+      best AS (SELECT s.*, row_number() OVER (PARTITION BY (SELECT min(b) FROM heap WHERE a = s.component) ORDER BY score DESC, component) AS nth FROM s)
+      SELECT component, area_px, round(score, 6) AS score, round(compactness, 6) AS compactness, round(x, 6) AS centroid_x, round(y, 6) AS centroid_y FROM best WHERE nth = 1"""
     split = f"""{DET}, r AS (SELECT id, id % 11 = 0 AS is_positive, row_number() OVER (PARTITION BY id % 11 = 0 ORDER BY id * 7919 % 1048573, id) - 1 AS k,
         count(*) OVER (PARTITION BY id % 11 = 0) AS n FROM det),
       sp AS (SELECT id, is_positive, CASE WHEN k < floor(n * 0.7::DOUBLE) THEN 'train' WHEN k < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM r)"""
@@ -142,6 +189,9 @@ def oracle_sql() -> dict[str, str]:
         WHERE x0 <= (n_nationkey * 53) % 320 - 140 AND x0 + 2 >= (n_nationkey * 53) % 320 - 160 AND y0 <= (n_nationkey * 31) % 140 - 50 AND y0 + 2 >= (n_nationkey * 31) % 140 - 70
           AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' AND cloud_cover < 60) SELECT name, scene_id, nth FROM p WHERE nth <= 5"""
     page = "lon_c - half_c <= 3000 AND lon_c + half_c >= -2000 AND lat_c - half_c <= 4000 AND lat_c + half_c >= 0 AND score >= 0.5"
+    q["radar_scene_join"] = f"""WITH {SCENES}, p AS (SELECT n_name AS name, sensor, scene_id, row_number() OVER (PARTITION BY n_name, sensor ORDER BY ts DESC, scene_id) AS nth FROM nation, scenes
+        WHERE x0 <= (n_nationkey * 53) % 320 - 140 AND x0 + 2 >= (n_nationkey * 53) % 320 - 160 AND y0 <= (n_nationkey * 31) % 140 - 50 AND y0 + 2 >= (n_nationkey * 31) % 140 - 70
+          AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' AND (cloud_cover < 60 OR sensor = 'sentinel-1')) SELECT name, sensor, scene_id, nth FROM p WHERE nth <= 5"""
     q["detections_page"] = f"WITH {DET} SELECT id, score, area_c, model_version FROM det WHERE {page} ORDER BY score DESC, id LIMIT 25 OFFSET 3"
     q["detections_count"] = f"WITH {DET} SELECT count(*) AS total FROM det WHERE {page}"
     q["detection_by_id"] = f"""WITH {DET} SELECT id, score, model_version, lon_c::DOUBLE AS centroid_lon, lat_c::DOUBLE AS centroid_lat, lon_c - half_c AS x0, lat_c - half_c AS y0,
@@ -151,6 +201,14 @@ def oracle_sql() -> dict[str, str]:
       SELECT id, score, CAST(floor(fx * 4096) AS INT) AS px, CAST(floor(fy * 4096) AS INT) AS py FROM w WHERE fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1 AND score >= 0.1"""
     q["marker_style"] = f"""WITH {DET} SELECT id, round(CASE WHEN score <= 0.5 THEN 4 + score * 6 ELSE 7 + (score - 0.5) * 10 END, 6) AS radius,
       (score >= 0.3)::INT + (score >= 0.6)::INT + (score >= 0.9)::INT AS colour FROM det"""
+    stops = [(0.0, (55, 65, 81)), (0.3, (245, 158, 11)), (0.6, (239, 68, 68)), (0.9, (220, 38, 38))]
+    part = lambda i: "CASE " + " ".join(f"WHEN score <= {b[0]} THEN {a[1][i]} + (score - {a[0]}) * ({b[1][i] - a[1][i]} / {b[0] - a[0]})" for a, b in zip(stops, stops[1:], strict=False)) + f" ELSE {stops[-1][1][i]} END"
+    q["marker_colour"] = f"WITH {DET} SELECT id, printf('#%02x%02x%02x', " + ", ".join(f"CAST(floor({part(i)} + 0.5) AS INT)" for i in range(3)) + ") AS colour FROM det"
+    burnt = q["rasterize_labels"].removeprefix("WITH ")
+    q["label_arrays"] = f"""WITH med AS (WITH {burnt}), {_tiles()} SELECT 'tile_' || col_off || '_' || row_off AS tile_id, string_agg(CAST(CAST(label AS INT) AS VARCHAR), '' ORDER BY "row", col) AS labels FROM tiled GROUP BY row_off, col_off"""
+    # the box in pixels of 10: columns 0 to 22 and rows 8 to 39
+    q["scene_crop"] = f"""WITH {MED}, g AS (SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM (SELECT unnest(generate_series(8, 39)) AS r), (SELECT unnest(generate_series(0, 22)) AS c))
+      SELECT CAST(r - 8 AS INT) AS "row", c AS col, m.blue, CAST(NULL AS DOUBLE) AS green, k.red FROM g LEFT JOIN med m ON m."row" = r AND m.col = c LEFT JOIN med k ON k."row" = r // 2 * 2 AND k.col = c // 2 * 2"""
     bands = ("red", "green", "blue")
     lim3 = ", ".join(f"quantile_cont({b}, 0.02) AS {b}_lo, quantile_cont({b}, 0.98) AS {b}_hi" for b in bands)
     rgb = ", ".join(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastra import sinks
-from rastra.functions.algebra import composite_score, index_columns, mask_clouds, score_evidence
-from rastra.operators import composite, dedupe, grid, inference, joins, regions
+from rastra.functions import geo
+from rastra.functions.algebra import BANDS, composite_score, index_columns, mask_clouds, score_evidence
+from rastra.operators import catalog, composite, dedupe, grid, inference, joins, regions
 from rastra.sources import manifests
+from rastra.storage import settle
 
 
 def ingest_and_preprocess(looks: DataFrame, sites: DataFrame, tile: int, overlap: int, height: int, width: int, affine: tuple, method: str = "median", mask: bool = True, min_valid: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -32,13 +34,16 @@ def train_model(pixels: DataFrame, label: str = "label", steps: int = 25) -> inf
     return inference.fit_linear(pixels.withColumns(index_columns()), target=label, steps=steps)
 
 
-def scan_and_detect(pixels: DataFrame, model, tile: int, overlap: int, height: int, width: int, threshold: float = 0.5, min_px: int = 50, affine: tuple = (10.0, 0.0, 0.0, 0.0, -10.0, 0.0), method: str = "dbscan", eps: float = 2000.0, iou: float = 0.3, ideal_km2: float = 2.0) -> DataFrame:
-    """Score a composite, extract regions, rate them and drop repeats; best first.
+def scan_and_detect(pixels: DataFrame, model: inference.Model, tile: int, overlap: int, height: int, width: int, threshold: float = 0.5, min_px: int = 50, affine: tuple = (10.0, 0.0, 0.0, 0.0, -10.0, 0.0), method: str = "dbscan", eps: float = 2000.0, iou: float = 0.3, ideal_km2: float = 2.0) -> DataFrame:
+    """Score composites, extract regions, rate them and drop repeats within a raster; best first.
 
     The rating comes before deduplication, so a cluster keeps its best rating;
-    its parts stay in ``evidence``. Distances are in the raster's own units.
+    its parts stay in ``evidence``. Distances are in the raster's own units. The
+    composite, the probabilities and the rated regions are written once each, as
+    several steps read them.
     """
-    prob = inference.sliding_window(pixels, model, tile, overlap, height, width)
+    pixels = settle(pixels.select("raster_id", "row", "col", *BANDS), "composite")
+    prob = settle(inference.sliding_window(pixels, model, tile, overlap, height, width), "probabilities")
     found = regions.extract_regions(prob, "prob", threshold, width, height * width, min_px, affine)
     area = F.col("area") / 1e6
     rated = found.withColumns(
@@ -51,20 +56,63 @@ def scan_and_detect(pixels: DataFrame, model, tile: int, overlap: int, height: i
             "y": F.col("centroid_y"),
         }
     )
-    return dedupe.deduplicate(rated, method, eps, iou, size=float(max(tile * abs(affine[0]), 1.0)))
+    return dedupe.deduplicate(settle(rated, "detections"), method, eps, iou, size=float(max(tile * abs(affine[0]), 1.0)), by="raster_id")
+
+
+def composites_of_areas(aois: DataFrame, scenes: DataFrame, looks: DataFrame, start: str, end: str, max_cloud: float = 20.0, limit: int = 50, method: str = "median") -> DataFrame:
+    """A composite of each area from its newest scenes' looks (``scene_id`` and pixels of the area's grid): ``aoi`` and its pixels.
+
+    An area's ``raster_id`` is a hash of its name below 2^31, so that pixel numbers fit a long.
+    """
+    chosen = catalog.scenes_of_aois(aois, scenes, start, end, max_cloud, limit).select(F.col("name").alias("aoi"), "scene_id")
+    seen = looks.drop("raster_id").join(chosen, ["aoi", "scene_id"] if "aoi" in looks.columns else "scene_id")
+    made = composite.temporal_composite(mask_clouds(seen.withColumn("raster_id", area_number("aoi")), fill=None), method)
+    return made.join(F.broadcast(chosen.select("aoi").distinct().withColumn("raster_id", area_number("aoi"))), "raster_id")  # a row an area of the configuration
+
+
+def area_number(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(1 << 31))
+
+
+def detect_areas(composites: DataFrame, model: inference.Model, path: str, model_version: str, tile: int, overlap: int, height: int, width: int, **options) -> DataFrame:
+    """Detect in the composites of all areas at once, store each area's detections under its name, and return the totals: ``aoi, detections``."""
+    spark = composites.sparkSession
+    found = scan_and_detect(composites, model, tile, overlap, height, width, **options)
+    names = settle(composites.select("aoi", "raster_id").distinct(), "areas")
+    sinks.store_detections(found.join(names, "raster_id"), path, model_version)
+    stored = spark.read.parquet(path).where(F.col("model_version") == model_version)
+    return names.select("aoi").join(stored.groupBy("aoi").agg(F.count("*").alias("n")), "aoi", "left").select("aoi", F.coalesce("n", F.lit(0)).alias("detections"))
+
+
+def label_and_train(composite_: DataFrame, sites: DataFrame, affine: tuple, steps: int = 25) -> inference.LinearModel:
+    """Weak labels from the sites' buffers, burnt into a stretched composite, and a linear model fitted to them."""
+    a, _, c, _, e, f = affine
+    placed = composite_.withColumns({"x": F.lit(c) + (F.col("col") + 0.5) * a, "y": F.lit(f) + (F.col("row") + 0.5) * e})
+    return train_model(joins.burn_labels(placed, sites, ["raster_id", "row", "col"], 512.0 * abs(a)), steps=steps)
+
+
+def site_buffers(spark: SparkSession, path: str, zone: int | None) -> DataFrame:
+    """Known sites in the raster's units with their buffers: metres of a UTM zone, or degrees where no zone is given."""
+    sites = manifests.read_sites(spark, path)
+    if zone is None:
+        return joins.buffer_boxes(sites.withColumns({"x": F.col("lon"), "y": F.col("lat")}), F.col("buffer_km") / 111.0)
+    east, north = geo.utm("lon", "lat", zone)
+    return joins.buffer_boxes(sites.withColumns({"x": east, "y": north}), F.col("buffer_km") * 1000.0)
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit`` entry: ``ingest``, ``detect`` or ``full`` over Parquet tables."""
+    """``spark-submit`` entry: ``ingest``, ``train``, ``detect`` or ``full`` over Parquet tables."""
     parser = argparse.ArgumentParser(prog="rastra")
-    parser.add_argument("command", choices=["ingest", "detect", "full"])
+    parser.add_argument("command", choices=["ingest", "train", "detect", "full"])
     parser.add_argument("--looks", help="table of looks: raster_id, row, col, scl and bands")
     parser.add_argument("--sites", help="JSON manifest of known sites")
-    parser.add_argument("--composite", help="table of the composite, written by ingest and read by detect")
+    parser.add_argument("--composite", help="table of the composite, written by ingest and read by train and detect")
     parser.add_argument("--chips", help="manifest of chips, written by ingest")
     parser.add_argument("--detections", help="table of detections, written by detect")
+    parser.add_argument("--model", default="baseline", help="name of a model or the folder of a saved one; train writes the folder")
     parser.add_argument("--size", nargs=2, type=int, required=True, metavar=("HEIGHT", "WIDTH"))
     parser.add_argument("--affine", nargs=6, type=float, default=[10.0, 0.0, 0.0, 0.0, -10.0, 0.0])
+    parser.add_argument("--utm-zone", type=int, help="zone of a raster in metres, into which sites are projected; without it the raster is in degrees")
     parser.add_argument("--tile", type=int, default=256)
     parser.add_argument("--threshold", type=float, default=0.5)
     parser.add_argument("--no-cloud-mask", action="store_true")
@@ -73,14 +121,17 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("rastra").getOrCreate()
     affine, (height, width) = tuple(args.affine), args.size
     if args.command in ("ingest", "full"):
-        sites = manifests.read_sites(spark, args.sites).withColumns({"x": F.col("lon"), "y": F.col("lat")})
-        sites = joins.buffer_boxes(sites, F.col("buffer_km") / 111.0)
-        made, chips = ingest_and_preprocess(spark.read.parquet(args.looks), sites, args.tile, 32, height, width, affine, mask=not args.no_cloud_mask)
+        sites = site_buffers(spark, args.sites, args.utm_zone)
+        made, chips = ingest_and_preprocess(spark.read.parquet(args.looks), sites, args.tile, min(32, args.tile // 8), height, width, affine, mask=not args.no_cloud_mask)
         sinks.write_table(made, args.composite)
         sinks.write_manifest(chips, args.chips)
+    if args.command == "train" or args.command == "full" and args.model not in inference.MODELS:
+        model = label_and_train(spark.read.parquet(args.composite), site_buffers(spark, args.sites, args.utm_zone), affine)
+        model.save(spark, args.model)
     if args.command in ("detect", "full"):
         pixels = spark.read.parquet(args.composite)
-        found = scan_and_detect(pixels, inference.BASELINE, args.tile, 64, height, width, args.threshold, affine=affine)
+        model = inference.choose_model(spark, args.model)
+        found = scan_and_detect(pixels, model, args.tile, args.tile // 4, height, width, args.threshold, affine=affine)
         sinks.store_detections(found, args.detections, args.model_version)
 
 

@@ -11,7 +11,7 @@ from rastra.functions import algebra, geo
 from rastra.functions.algebra import BANDS
 from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, regions
 from rastra.plans import pipelines
-from rastra.sources import fixtures
+from rastra.sources import fixtures, manifests
 from rastra.sources.fixtures import EDGE
 
 #: Tiling of the 64 x 64 raster.
@@ -158,6 +158,18 @@ def region_outlines(s: SparkSession, d: str) -> DataFrame:
     return rings.select("raster_id", "component", geo.polygon_feature("rings", component=F.col("component")).alias("feature"))
 
 
+def outline_measures(s: SparkSession, d: str) -> DataFrame:
+    """Rings, corners, area and length of each region's outline, from the traced rings."""
+    on = fixtures.chips(s, d).where(algebra.at_least("value", 0.1))
+    rings = regions.trace_outlines(regions.label_regions(on, 8, 64))
+    total = lambda ring, of: F.aggregate(F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), of), F.lit(0.0), lambda a, b: a + b)
+    added = lambda part: F.aggregate(F.transform("rings", part), F.lit(0.0), lambda a, b: a + b)
+    area = added(lambda ring: total(ring, lambda p, q: (q["x"] * p["y"] - p["x"] * q["y"]) / 2.0))
+    length = added(lambda ring: total(ring, lambda p, q: F.abs(p["x"] - q["x"]) + F.abs(p["y"] - q["y"])))
+    corners = F.aggregate(F.transform("rings", lambda ring: F.size(ring) - 1), F.lit(0), lambda a, b: a + b)
+    return rings.select("raster_id", "component", F.size("rings").alias("rings"), corners.alias("corners"), area.alias("area"), length.alias("length"))
+
+
 def dedupe_dbscan(s: SparkSession, d: str) -> DataFrame:
     clustered = dedupe.cluster(_points(fixtures.detections(s, d)).select("id", "x", "y", "score"), EPS_C)
     return dedupe.best_of_cluster(clustered).select("id", "score", "cluster")
@@ -167,6 +179,17 @@ def dedupe_nms(s: SparkSession, d: str) -> DataFrame:
     return dedupe.suppress(fixtures.detections(s, d).select("id", "score", "xmin", "ymin", "xmax", "ymax"), IOU, 110.0)
 
 
+def dedupe_regions(s: SparkSession, d: str) -> DataFrame:
+    """Regions of two thresholds over the same rasters; repeats are told by the pixels that they share."""
+    parts = []
+    for run, threshold in enumerate((0.05, 0.1)):
+        on = regions.label_regions(fixtures.chips(s, d).where(algebra.at_least("value", threshold)), 8, 64)
+        parts.append(on.select((F.col("component") * 2 + run).alias("id"), "raster_id", "row", "col", "value"))
+    cells = parts[0].unionByName(parts[1])
+    rated = cells.groupBy("id").agg(F.count("*").alias("area_px"), F.round(F.avg("value"), 6).alias("score"))
+    return dedupe.suppress_regions(rated, cells, 0.5)
+
+
 def stratified_split(s: SparkSession, d: str) -> DataFrame:
     chips = fixtures.detections(s, d).selectExpr("id", "id * 7919 % 1048573 AS shuffle", "id % 11 = 0 AS is_positive")
     return dedupe.stratified_split(chips).select("id", "is_positive", "split")
@@ -208,10 +231,34 @@ def marker_style(s: SparkSession, d: str) -> DataFrame:
     return _r(rows, "radius")
 
 
-def evidence_rgb(s: SparkSession, d: str) -> DataFrame:
-    from rastra.sources.manifests import resample_nearest
+def marker_colour(s: SparkSession, d: str) -> DataFrame:
+    return fixtures.detections(s, d).select("id", algebra.marker_colour("score").alias("colour"))
+
 
-    small = resample_nearest(temporal_median(s, d).select("raster_id", "row", "col", "red", "green", "blue"), EDGE, EDGE, 20, 20)
+def radar_scene_join(s: SparkSession, d: str) -> DataFrame:
+    return catalog.scenes_of_aois(fixtures.aois(s, d), fixtures.scenes(s, d), "2024-01-05", "2024-01-25", 60.0, 5, include_radar=True)
+
+
+def label_arrays(s: SparkSession, d: str) -> DataFrame:
+    from rastra import sinks
+
+    tiles = sinks.label_arrays(rasterize_labels(s, d).withColumn("raster_id", F.lit(0)), TILE, OVERLAP, EDGE, EDGE)
+    listed = F.concat_ws("", F.transform("labels", lambda x: x.cast("int").cast("string")))
+    return tiles.select("tile_id", listed.alias("labels"))
+
+
+def scene_crop(s: SparkSession, d: str) -> DataFrame:
+    """The blue band at full and the red band at half resolution, cut to a box and stacked; green has no grid, so it fails."""
+    looks = temporal_median(s, d)
+    fine = looks.selectExpr("raster_id AS scene_id", "'blue' AS band", "row", "col", "blue AS value")
+    coarse = looks.where("row % 2 = 0 AND col % 2 = 0").selectExpr("raster_id AS scene_id", "'red' AS band", "row DIV 2 AS row", "col DIV 2 AS col", "red AS value")
+    grids = s.createDataFrame([(0, "blue", 10.0, 500.0, 9000.0, 64, 64), (0, "red", 20.0, 500.0, 9000.0, 32, 32)], "scene_id long, band string, size double, left double, top double, height int, width int")
+    stacked, _ = manifests.crop_scenes(fine.unionByName(coarse), grids, (404.0, 8600.0, 731.0, 8921.0), ("blue", "green", "red"))
+    return stacked.select("row", "col", "blue", "green", "red")
+
+
+def evidence_rgb(s: SparkSession, d: str) -> DataFrame:
+    small = manifests.resample_nearest(temporal_median(s, d).select("raster_id", "row", "col", "red", "green", "blue"), EDGE, EDGE, 20, 20)
     return composite.thumbnail(small).select("row", "col", "r", "g", "b")
 
 
@@ -260,8 +307,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
-        latency_percentiles, composite_score, components_8x8, region_features, region_outlines, dedupe_dbscan, dedupe_nms, stratified_split, split_sizes,
-        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, evidence_rgb, geojson_features,
+        latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
+        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, evidence_rgb, geojson_features,
         health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, scan_and_detect,
     ]
     return {f.__name__: f for f in named}

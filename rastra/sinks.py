@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastra.operators.grid import tile_id, to_tiles
+
 
 def write_scenes(pixels: DataFrame, path: str) -> None:
     """Stacked scenes, partitioned so that a scene is a folder of its own."""
@@ -30,9 +32,16 @@ def write_manifest(chips: DataFrame, path: str) -> None:
     chips.write.mode("overwrite").json(path)
 
 
+def label_arrays(labels: DataFrame, tile: int, overlap: int, height: int, width: int, label: str = "label") -> DataFrame:
+    """One row a tile with its labels row by row in an array: ``raster_id, tile_id, row_off, col_off, labels``; a tile's size bounds its row."""
+    cells = to_tiles(labels, tile, overlap, height, width).groupBy("raster_id", "row_off", "col_off").agg(F.array_sort(F.collect_list(F.struct("row", "col", label))).alias("cells"))
+    return cells.select("raster_id", tile_id().alias("tile_id"), "row_off", "col_off", F.col(f"cells.{label}").alias("labels"))
+
+
 def store_detections(detections: DataFrame, path: str, model_version: str, aoi: str | None = None) -> None:
-    """Write an area's detections of one model; a rerun replaces them instead of doubling them. A missing score is 0."""
-    rows = detections.withColumns({"score": F.coalesce("score", F.lit(0.0)), "model_version": F.lit(model_version), "aoi": F.lit(aoi or "all")})
+    """Write detections of one model by their column ``aoi``, or as one area's; a rerun replaces an area's instead of doubling them. A missing score is 0."""
+    area = F.col("aoi") if aoi is None and "aoi" in detections.columns else F.lit(aoi or "all")
+    rows = detections.withColumns({"score": F.coalesce("score", F.lit(0.0)), "model_version": F.lit(model_version), "aoi": area})
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("aoi", "model_version").parquet(path)
 
 

@@ -7,15 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rastra.functions.algebra import BANDS
 
 AOI_SCHEMA = "description string, default_params struct<tile_size_px: int, gsd_m: int, composite_days: int, overlap_px: int>, aois array<struct<name: string, description: string, bbox: array<double>, priority: int>>"
 SITE_SCHEMA = "description string, sites array<struct<name: string, lat: double, lon: double, country: string, buffer_km: double>>"
 CHIP_SCHEMA = "tile_id string, path string, bbox array<double>, row_off int, col_off int, aoi string, split string, label_path string"
-SCENE_SCHEMA = "scene_id string, sensor string, datetime timestamp, bbox array<double>, cloud_cover double, assets map<string,string>"
-DETECTION_SCHEMA = "geometry array<array<struct<x: double, y: double>>>, score double, area_km2 double, compactness double, centroid_lon double, centroid_lat double, evidence map<string,string>"
 BLOCK_SCHEMA = "raster_id bigint, block_row int, block_col int, row_off int, col_off int, h int, w int, bands array<array<float>>, affine struct<a: double, b: double, c: double, d: double, e: double, f: double>, crs int"
 
 
@@ -38,16 +35,19 @@ def read_chips(spark: SparkSession, path: str) -> DataFrame:
     return chips.withColumn("split", F.coalesce("split", F.lit("train")))
 
 
-def pixels_to_blocks(pixels: DataFrame, edge: int = 256, bands: tuple[str, ...] = BANDS) -> DataFrame:
-    """Pack a pixel table into blocks of ``edge`` x ``edge``; a block is bounded, so is its row."""
+def pixels_to_blocks(
+    pixels: DataFrame, edge: int = 256, bands: tuple[str, ...] = BANDS, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), crs: int | None = None
+) -> DataFrame:
+    """Pack a pixel table into blocks of ``edge`` x ``edge``, of ``BLOCK_SCHEMA``; a block is bounded, so is its row."""
     cell = F.struct(F.expr("row * 1000000L + col").alias("at"), *[F.col(b).cast("float").alias(b) for b in bands])
     packed = pixels.groupBy(
         "raster_id", F.floor(F.col("row") / edge).cast("int").alias("block_row"), F.floor(F.col("col") / edge).cast("int").alias("block_col")
     ).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.count_distinct("row").cast("int").alias("h"), F.count_distinct("col").cast("int").alias("w"))
     arrays = F.array(*[F.col(f"cells.{b}") for b in bands])
     return packed.select(
-        "raster_id", "block_row", "block_col", (F.col("block_row") * edge).alias("row_off"), (F.col("block_col") * edge).alias("col_off"), "h", "w", arrays.alias("bands")
-    )
+        "raster_id", "block_row", "block_col", (F.col("block_row") * edge).alias("row_off"), (F.col("block_col") * edge).alias("col_off"), "h", "w", arrays.alias("bands"),
+        F.struct(*[F.lit(float(v)).alias(n) for n, v in zip("abcdef", affine, strict=True)]).alias("affine"), F.lit(crs).cast("int").alias("crs"),
+    )
 
 
 def blocks_to_pixels(blocks: DataFrame, bands: tuple[str, ...] = BANDS) -> DataFrame:
@@ -62,17 +62,60 @@ def blocks_to_pixels(blocks: DataFrame, bands: tuple[str, ...] = BANDS) -> DataF
 
 
 def read_window(blocks: DataFrame, raster_id: int, row: int, col: int, height: int, width: int, edge: int = 256) -> DataFrame:
-    """Pixels of a window; only the blocks that it meets are read."""
-    if height <= 0 or width <= 0:
+    """Pixels of a window; only the blocks that it meets are read. A window without pixels is an error, one that reaches over the raster's edge is cut there."""
+    if height <= 0 or width <= 0 or row + height <= 0 or col + width <= 0:
         raise ValueError("the window has no pixels")
     near = blocks.where(
         (F.col("raster_id") == raster_id)
-        & F.col("block_row").between(row // edge, (row + height - 1) // edge)
-        & F.col("block_col").between(col // edge, (col + width - 1) // edge)
+        & F.col("block_row").between(max(row, 0) // edge, (row + height - 1) // edge)
+        & F.col("block_col").between(max(col, 0) // edge, (col + width - 1) // edge)
     )
     return blocks_to_pixels(near).where(F.col("row").between(row, row + height - 1) & F.col("col").between(col, col + width - 1))
 
 
+def crop_scenes(pixels: DataFrame, grids: DataFrame, box: tuple[float, float, float, float], bands: tuple[str, ...] = BANDS) -> tuple[DataFrame, DataFrame]:
+    """Bands of scenes, each on a grid of its own, cut to a box and stacked on the grid of a scene's first band.
+
+    ``pixels`` has ``scene_id, band, row, col, value`` and ``grids`` for each
+    band of a scene ``size`` (of a pixel), ``left, top`` and ``height, width``.
+    The box is clamped to the raster and rounded to whole pixels; further bands
+    are sampled at the nearest pixel. Returns ``scene_id, row, col`` with the
+    columns of ``bands``, null where a band has failed, and the faults:
+    ``scene_id, band, reason``. A scene whose first band fails has the next one's grid; one without any has no rows.
+    """
+    west, south, east, north = box
+    clamp = lambda v, hi: F.least(F.greatest(v, F.lit(0)), hi).cast("int")
+    rank = F.array_position(F.array(*[F.lit(b) for b in bands]), F.col("band"))
+    wanted = grids.where(F.col("band").isin(*bands)).withColumns(
+        {
+            "nth": rank,
+            "c0": clamp(F.round((F.lit(west) - F.col("left")) / F.col("size")), F.col("width")),
+            "c1": clamp(F.round((F.lit(east) - F.col("left")) / F.col("size")), F.col("width")),
+            "r0": clamp(F.round((F.col("top") - F.lit(north)) / F.col("size")), F.col("height")),
+            "r1": clamp(F.round((F.col("top") - F.lit(south)) / F.col("size")), F.col("height")),
+        }
+    )
+    read = pixels.select("scene_id", "band").distinct().withColumn("read", F.lit(True))
+    judged = wanted.join(read, ["scene_id", "band"], "left").withColumn(
+        "reason", F.when((F.col("c1") <= F.col("c0")) | (F.col("r1") <= F.col("r0")), "no overlap").when(F.col("read").isNull(), "no pixels")
+    )
+    absent = grids.select("scene_id").distinct().withColumn("band", F.explode(F.array(*[F.lit(b) for b in bands]))).join(grids.select("scene_id", "band"), ["scene_id", "band"], "left_anti")
+    faults = judged.where("reason IS NOT NULL").select("scene_id", "band", "reason").unionByName(absent.withColumn("reason", F.lit("no such band")))
+    good = judged.where("reason IS NULL")
+    base = good.groupBy("scene_id").agg(F.min_by(F.struct("size", "left", "top", "r0", "r1", "c0", "c1"), "nth").alias("base"))
+    cells = base.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("base.r1") - F.col("base.r0") - 1)))
+    cells = cells.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("base.c1") - F.col("base.c0") - 1)))
+    x = F.col("base.left") + (F.col("base.c0") + F.col("col") + 0.5) * F.col("base.size")
+    y = F.col("base.top") - (F.col("base.r0") + F.col("row") + 0.5) * F.col("base.size")
+    placed = cells.join(good, "scene_id").select(
+        "scene_id", "row", "col", "band",
+        F.floor((F.col("top") - y) / F.col("size")).cast("int").alias("_r"), F.floor((x - F.col("left")) / F.col("size")).cast("int").alias("_c"),
+    )
+    source = pixels.select("scene_id", "band", F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
+    stacked = placed.join(source, ["scene_id", "band", "_r", "_c"], "left").groupBy("scene_id", "row", "col")
+    return stacked.pivot("band", list(bands)).agg(F.first("value")), faults
+
+
 def resample_nearest(pixels: DataFrame, height: int, width: int, out_height: int, out_width: int) -> DataFrame:
     """Nearest-neighbour resampling by index arithmetic: each output pixel takes the source pixel under its centre."""
     rows = F.transform(F.sequence(F.lit(0), F.lit(out_height - 1)), lambda i: F.struct(i.alias("o"), F.floor((i + 0.5) * height / out_height).alias("s")))
@@ -125,7 +168,3 @@ class Settings:
         options = {"url": self.jdbc_url, "dbtable": table, "user": self.postgres_user, "password": self.postgres_password}
         split = {"partitionColumn": column, "lowerBound": lower, "upperBound": upper, "numPartitions": parts}
         return spark.read.format("jdbc").options(**options, **split).load()
-
-
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

@@ -199,7 +199,13 @@ def test_inscribed_polygon(spark):
 def test_projections(spark):
     df = spark.createDataFrame([(9.0, 48.5)], "lon double, lat double")
     e, n = df.select(*geo.utm("lon", "lat", 32)).first()
-    assert abs(e - 500000) < 1e-3 and abs(n - 5371900) < 500
+    # the meridian's length from the equator, summed over short pieces
+    e2 = 2 / 298.257223563 - 1 / 298.257223563**2
+    parts = np.radians((np.arange(200_000) + 0.5) * 48.5 / 200_000)
+    arc = (6378137.0 * (1 - e2) / (1 - e2 * np.sin(parts) ** 2) ** 1.5).sum() * math.radians(48.5) / 200_000
+    assert abs(e - 500000) < 1e-3 and abs(n - 0.9996 * arc) < 0.01
+    _, south = df.select(*geo.utm("lon", -F.col("lat"), 32, south=True)).first()
+    assert abs(south - (1e7 - n)) < 1e-3
     lon, lat = df.select(*geo.mercator_lonlat(geo.mercator_x("lon"), geo.mercator_y("lat"))).first()
     assert math.isclose(lon, 9.0) and math.isclose(lat, 48.5)
     with pytest.raises(ValueError):
@@ -267,10 +273,121 @@ def test_flow_from_looks_to_detections(spark):
     assert [r["score"] for r in rows] == sorted((r["score"] for r in rows), reverse=True)
 
 
-def test_batch_score_tries_again(spark):
-    rows = spark.range(4).selectExpr("id", *[f"CAST(id AS DOUBLE) AS {c}" for c in inference.CHANNELS])
-    got = inference.batch_score(rows, lambda x: x.sum(axis=1)).orderBy("id").collect()
-    assert [r["logit"] for r in got] == [10.0 * i for i in range(4)]
+class Flaky:
+    """Fails every call but each third one of a process."""
+
+    calls = 0
+
+    def __call__(self, x):
+        Flaky.calls += 1
+        if Flaky.calls % 3:
+            raise TimeoutError("busy")
+        return x[:, 3] * 2 - 1
+
+
+def test_remote_model_inside_the_sliding_window(spark):
+    pixels = manifests.synthetic_raster(spark, 32, 32)
+    same = inference.LinearModel({"nir": 2.0}, -1.0)
+    remote = inference.RemoteModel(Flaky(), attempts=3, pause=0.001)
+    one, other = ({(r["row"], r["col"]): r["prob"] for r in inference.sliding_window(pixels, m, 16, 4, 32, 32).collect()} for m in (same, remote))
+    assert one.keys() == other.keys() and all(math.isclose(one[k], other[k], abs_tol=1e-6) for k in one)
+    with pytest.raises(Exception, match="busy"):
+        inference.sliding_window(pixels, inference.RemoteModel(Flaky(), attempts=1), 16, 4, 32, 32).collect()
+
+
+def test_models_are_saved_and_chosen_by_name(spark, tmp_path):
+    model = inference.LinearModel({"nir": 0.25, "ndvi": -1.5}, 0.125)
+    model.save(spark, str(tmp_path / "m"))
+    found = inference.choose_model(spark, str(tmp_path / "m"))
+    assert (found.weights, found.bias) == (model.weights, model.bias)
+    assert inference.choose_model(spark, "baseline") is inference.BASELINE
+
+
+def test_commands_ingest_train_and_detect(spark, tmp_path):
+    looks = manifests.synthetic_raster(spark, 64, 64).withColumn("scl", F.lit(4))
+    looks.write.parquet(str(tmp_path / "looks"))
+    sites = {"description": "", "sites": [{"name": "a", "lat": 48.4995, "lon": 9.0005, "country": "x", "buffer_km": 0.1}]}
+    (tmp_path / "sites.json").write_text(json.dumps(sites))
+    east, north = spark.range(1).select(*geo.utm(F.lit(9.0), F.lit(48.5), 32)).first()
+    common = ["--looks", "looks", "--sites", "sites.json", "--composite", "composite", "--chips", "chips", "--detections", "found", "--model", "model"]
+    common = [c if c.startswith("--") else str(tmp_path / c) for c in common]
+    common += ["--size", "64", "64", "--tile", "16", "--utm-zone", "32", "--threshold", "0.01", "--affine", "10", "0", str(east), "0", "-10", str(north)]
+    for command in ("ingest", "train", "detect"):
+        pipelines.main([command, *common])
+    chips = spark.read.json(str(tmp_path / "chips"))
+    assert 0 < chips.where("is_positive").count() < chips.count()
+    assert inference.LinearModel.load(spark, str(tmp_path / "model")).bias < 0
+    found = spark.read.parquet(str(tmp_path / "found"))
+    assert found.count() > 0 and found.where(F.col("x").between(east, east + 640) & F.col("y").between(north - 640, north)).count() == found.count()
+
+
+def test_flow_over_areas(spark, tmp_path):
+    aois = spark.createDataFrame([("p", 0.0, 0.0, 1.0, 1.0), ("q", 5.0, 5.0, 6.0, 6.0), ("r", 50.0, 50.0, 51.0, 51.0)], "name string, xmin double, ymin double, xmax double, ymax double")
+    scenes = spark.createDataFrame(
+        [(i, "sentinel-2", f"2024-01-{10 + i:02d} 00:00:00", 5.0, x, x, x + 1.0, x + 1.0) for i, x in enumerate((0.0, 0.5, 5.0, 0.2))],
+        "scene_id long, sensor string, ts string, cloud_cover double, xmin double, ymin double, xmax double, ymax double",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    one = manifests.synthetic_raster(spark, 32, 32).withColumn("scl", F.lit(4)).drop("raster_id")
+    looks = one.crossJoin(spark.range(4).withColumnRenamed("id", "scene_id")).withColumn("nir", (F.col("nir") + 997 * F.col("scene_id")) % 10000)
+    made = pipelines.composites_of_areas(aois, scenes, looks, "2024-01-01", "2024-02-01", limit=2)
+    assert {(r["aoi"], r["n"]) for r in made.groupBy("aoi").agg(F.count("*").alias("n")).collect()} == {("p", 1024), ("q", 1024)}
+    options = dict(tile=16, overlap=4, height=32, width=32, threshold=0.55, min_px=2, eps=1.0)
+    totals = {r["aoi"]: r["detections"] for r in pipelines.detect_areas(made, inference.BASELINE, str(tmp_path / "d"), "v", **options).collect()}
+    alone = {}
+    for aoi in ("p", "q"):
+        alone[aoi] = pipelines.scan_and_detect(made.where(F.col("aoi") == aoi), inference.BASELINE, **options).count()
+    assert totals == alone and min(totals.values()) > 0
+
+
+@pytest.mark.parametrize("eps", [0.0, 1.0, 2.5, 5.0])
+def test_clusters_equal_all_pairs(spark, eps):
+    rng = random.Random(7)
+    points = [(i, rng.randrange(60) / 2, rng.randrange(60) / 2, i % 2) for i in range(220)] + [(300 + i, 7.0, 7.0 + i % 3, 0) for i in range(90)]
+    first = {p[0]: p[0] for p in points}
+    for _ in range(40):
+        for a in points:
+            first[a[0]] = min(first[b[0]] for b in points if a[3] == b[3] and (a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 <= eps * eps)
+    df = spark.createDataFrame([(*p, 0.5) for p in points], "id long, x double, y double, g int, score double")
+    assert {r["id"]: r["cluster"] for r in dedupe.cluster(df, eps, by="g").collect()} == first
+
+
+def test_suppression_of_regions_by_shared_pixels(spark):
+    rng = random.Random(5)
+    shapes = {i: {(rng.randrange(6), rng.randrange(6)) for _ in range(rng.randrange(4, 25))} for i in range(30)}
+    score = {i: rng.randrange(5) / 4 for i in shapes}
+    kept = []
+    for i in sorted(shapes, key=lambda i: (-score[i], i)):
+        if all(len(shapes[i] & shapes[k]) < 0.4 * len(shapes[i] | shapes[k]) for k in kept):
+            kept.append(i)
+    cells = spark.createDataFrame([(i, 0, r, c) for i, s in shapes.items() for r, c in s], "id long, raster_id long, row int, col int")
+    rated = spark.createDataFrame(list(score.items()), "id long, score double")
+    assert sorted(r["id"] for r in dedupe.suppress_regions(rated, cells, 0.4).collect()) == sorted(kept)
+
+
+def test_scene_crop_keeps_faults_and_clamps(spark):
+    grids = [(1, "blue", 10.0, 0.0, 40.0, 4, 4), (1, "red", 20.0, 0.0, 40.0, 2, 2), (1, "nir", 10.0, 900.0, 40.0, 4, 4), (2, "red", 20.0, 0.0, 40.0, 2, 2)]
+    pixels = [(1, b, r, c, float(10 * r + c)) for b, n in (("blue", 4), ("red", 2), ("nir", 4)) for r in range(n) for c in range(n)]
+    stacked, faults = manifests.crop_scenes(
+        spark.createDataFrame(pixels, "scene_id long, band string, row int, col int, value double"),
+        spark.createDataFrame(grids, "scene_id long, band string, size double, left double, top double, height int, width int"),
+        (11.0, -50.0, 99.0, 22.0), ("blue", "green", "red", "nir"),
+    )
+    got = {(r["scene_id"], r["row"], r["col"]): (r["blue"], r["green"], r["red"], r["nir"]) for r in stacked.collect()}
+    assert got == {(1, r, c): (10.0 * (r + 2) + c + 1, None, 10.0 * ((r + 2) // 2) + (c + 1) // 2, None) for r in range(2) for c in range(3)}
+    missing = {(r["scene_id"], r["band"], r["reason"]) for r in faults.collect()}
+    assert missing == {(1, "nir", "no overlap"), (1, "green", "no such band"), (2, "red", "no pixels"), *[(2, b, "no such band") for b in ("blue", "green", "nir")]}
+
+
+def test_label_arrays_and_block_headers(spark):
+    labels = raster(spark, np.eye(6), value="label")
+    tiles = {r["tile_id"]: r["labels"] for r in sinks.label_arrays(labels, 4, 2, 6, 6).collect()}
+    assert tiles["tile_0_0"] == np.eye(4).ravel().tolist() and set(tiles) == {"tile_0_0", "tile_2_0", "tile_0_2", "tile_2_2"}
+    blocks = manifests.pixels_to_blocks(manifests.synthetic_raster(spark, 8, 8), 4, affine=(10.0, 0.0, 5.0, 0.0, -10.0, 7.0), crs=32632)
+    assert {(r["affine"]["a"], r["affine"]["f"], r["crs"]) for r in blocks.collect()} == {(10.0, 7.0, 32632)}
+    assert manifests.read_window(blocks, 0, -2, 6, 4, 9, 4).count() == 2 * 2
+    assert manifests.raster_size(manifests.synthetic_raster(spark, 8, 5)).first()[1:] == (8, 5)
+    with pytest.raises(ValueError):
+        manifests.read_window(blocks, 0, -4, 0, 4, 4)
 
 
 def test_linear_fit_separates(spark):
