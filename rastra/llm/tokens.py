@@ -63,7 +63,7 @@ class ChunkEncoder:
     whole.
     """
 
-    def __init__(self, path: str, limit: int = 2_000_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
