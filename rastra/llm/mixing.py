@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rastra.llm.common import WORD
-from rastra.storage import settle
+from rastra.storage import discard, settle
 
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
@@ -132,10 +132,12 @@ def mix_sources(
     A source's rows each get the whole part of target over size, and the
     fraction is settled by pivotal rounding, which keeps the sum of words. Adds
     ``size`` (words of the text, 0 for null), ``source_size``, ``target`` and
-    ``copies``; columns of those names in the input give way. Rows that agree in
-    id and text share their copies evenly. An empty table gives an empty result.
-    The list of sources and their sizes is held by the driver: it is the mix's
-    configuration, one entry a source.
+    ``copies``; columns of those names in the input give way. A text without
+    words gets the whole part alone. Rows that agree in source, id and text are
+    one unit of rounding and share its copies evenly, in an order of a hash of
+    all their columns. An empty table gives an empty result. Words are counted
+    once, into a narrow table. The list of sources and their sizes is held by
+    the driver: it is the mix's configuration, one entry a source.
     """
     own = {"size", "source_size", "target", "copies"}
     base = df.select(
@@ -145,9 +147,11 @@ def mix_sources(
         F.col(f"row.`{source}`").alias("grp"),
         F.col(f"row.`{doc_id}`").alias("id"),
         F.xxhash64(f"row.`{text}`").alias("nth"),
-        F.coalesce(F.regexp_count(f"row.`{text}`", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
-    sizes = {r["grp"]: r["size"] for r in base.groupBy("grp").agg(F.sum("size").alias("size")).collect()}
+    words = F.coalesce(F.regexp_count(f"row.`{text}`", F.lit(WORD)), F.lit(0)).cast("long")
+    counted = base.select("grp", "id", "nth", words.alias("size")).groupBy("grp", "id", "nth").agg(F.max("size").alias("size"), F.count("*").alias("alike"))
+    counted = settle(counted, "mix_sizes", compression="zstd")
+    sizes = {r["grp"]: r["size"] for r in counted.groupBy("grp").agg(F.sum(F.col("size") * F.col("alike")).alias("size")).collect()}
     ordered = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(ordered)}
     targets = water_fill(sizes, weight, share * sum(sizes.values()), ceiling)
@@ -157,25 +161,38 @@ def mix_sources(
         rate = targets[s] / sizes[s] if sizes[s] else 0.0
         rates.append((s, sizes[s], float(targets[s]), int(rate), rate - int(rate)))
     goal = spark.createDataFrame(rates, f"g {df.schema[source].dataType.simpleString()}, source_size long, target double, whole long, mass double")
-    rated = base.join(F.broadcast(goal), F.col("grp").eqNullSafe(F.col("g"))).drop("g")
-    units = rated.where("size > 0 AND mass > 0").select("grp", "id", "nth", F.col("size").cast("double").alias("weight"), "mass")
-    rounded = pivotal_round(units, "grp", block_rows, seed).groupBy("grp", "id", "nth").agg(
-        F.sum("copy").alias("extra"), F.count("*").alias("alike")
-    )
-    same = rated.join(
-        rounded.select(*[F.col(c).alias(f"r_{c}") for c in rounded.columns]),
-        F.col("grp").eqNullSafe(F.col("r_grp")) & F.col("id").eqNullSafe(F.col("r_id")) & (F.col("nth") == F.col("r_nth")),
-        "left",
-    )
-    turn = F.row_number().over(Window.partitionBy("grp", "id", "nth").orderBy(F.lit(0)))
-    extra = F.floor(F.col("r_extra") / F.col("r_alike")) + (turn <= F.col("r_extra") % F.col("r_alike")).cast("long")
-    return same.withColumn("copies", (F.col("whole") + F.coalesce(extra, F.lit(0))).cast("long")).select(
-        *[F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in own], "size", "source_size", "target", "copies"
-    )
+    share_ = F.when(F.col("size") > 0, F.col("mass") * F.col("alike")).otherwise(0.0)
+    few = len(rates) <= 1 << 16  # so many rows can go to all tasks
+    rated = counted.join(F.broadcast(goal) if few else goal, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
+    rated = rated.withColumns({"sure": F.floor(share_), "mass": share_ - F.floor(share_)})
+    units = rated.where("mass > 0").select("grp", "id", "nth", F.col("size").cast("double").alias("weight"), "mass")
+    rounded = pivotal_round(units, "grp", block_rows, seed).select(*[F.col(c).alias(f"r_{c}") for c in ("grp", "id", "nth", "copy")])
+    alike = lambda n: [F.col(c).eqNullSafe(F.col(f"{n}_{c}")) for c in ("grp", "id")] + [F.col("nth") == F.col(f"{n}_nth")]
+    settled = rated.join(rounded, alike("r"), "left").withColumn("extra", F.col("sure") + F.coalesce("r_copy", F.lit(0)))
+    keys = [F.col(c).alias(f"k_{c}") for c in ("grp", "id", "nth")]
+    settled = settle(settled.select(*keys, "size", "source_size", "target", "whole", "alike", "extra"), "mix_copies", compression="zstd")
+    discard(counted)
+
+    def named(found: DataFrame, copies: Column) -> DataFrame:
+        return found.withColumn("copies", copies.cast("long")).select(
+            *[F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in own], "size", "source_size", "target", "copies"
+        )
+
+    out = named(base.join(settled.where("alike = 1"), alike("k")), F.col("whole") + F.col("extra"))
+    many = settled.where("alike > 1")
+    if many.isEmpty():
+        return out
+    turn = F.row_number().over(Window.partitionBy("grp", "id", "nth").orderBy(F.xxhash64("row")))
+    shared = F.floor(F.col("extra") / F.col("alike")) + (turn <= F.col("extra") % F.col("alike")).cast("long")
+    return out.unionByName(named(base.join(many, alike("k")), F.col("whole") + shared))
 
 
 def take_mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of the mix: each as often as :func:`mix_sources` takes it, with its columns."""
+    """The rows of the mix: each as often as :func:`mix_sources` takes it, with its columns, in no order.
+
+    Nulls, texts without words, repeated rows and empty tables are as there;
+    columns keep their names, whatever these are, and their order.
+    """
     packed = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("packed"),
         docs[f"`{text}`"].alias("text"),

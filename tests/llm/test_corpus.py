@@ -531,6 +531,18 @@ def test_mixing_takes_any_rows(request, kind):
     assert taken.columns == docs.columns and taken.count() == sum(r["copies"] for r in out)
 
 
+def test_alike_rows_share_their_copies(spark):
+    rows = [(1, "a b c", "s", k) for k in range(40)] + [(None, "d e", "s", k) for k in range(30)] + [(i, f"w{i} x", "t", 0) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, k int")
+    found = pairs(mixing.mix_sources(docs), "doc_id", "text", "k", "copies")
+    assert found == pairs(mixing.mix_sources(docs.repartition(5)), "doc_id", "text", "k", "copies")
+    for doc in (1, None):
+        copies = [r[3] for r in found if r[0] == doc]
+        assert max(copies) - min(copies) <= 1
+    out = mixing.mix_sources(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert len(out) == 2 and all(abs(r["taken"] - r["target"]) <= 3 for r in out)
+
+
 def test_mixing_query(spark, small):
     out = queries.op8_mixing(spark, SF).collect()
     rows = {r["doc_id"]: r for r in small.collect()}
