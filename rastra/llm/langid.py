@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastra.llm.common import id_crc, pieces, slices, texts
+from rastra.llm.common import id_crc, slices, texts
 
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
-#: Longer words are read in parts of so many bytes.
-LONGEST = 24
+#: A text is read in stretches of so many bytes, through the ends of words.
+STRETCH = 24
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ class _Gru:
 
 
 class LanguageModel:
-    """Reads a word's bytes in both directions and labels every byte with a language."""
+    """Reads a stretch of bytes in both directions and labels every byte with a language."""
 
     def __init__(self, languages: list[str], hidden: int = 8, seed: int = 5):
         rng = np.random.default_rng(seed)
@@ -91,13 +91,13 @@ class LanguageModel:
         logits -= logits.max(axis=2, keepdims=True)
         return logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
 
-    def train(self, words: list[tuple[bytes, int]], epochs: int = 6, batch: int = 128, rate: float = 0.01, seed: int = 6) -> None:
-        """Adam on the mean cross-entropy of all positions; words of one length make a batch."""
+    def train(self, parts: list[tuple[bytes, int]], epochs: int = 6, batch: int = 128, rate: float = 0.01, seed: int = 6) -> None:
+        """Adam on the mean cross-entropy of all positions; parts of texts of one length make a batch."""
         rng = np.random.default_rng(seed)
         by_length: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
-        for w, y in words:
-            if w:
-                by_length[min(len(w), LONGEST)].append((w[:LONGEST], y))
+        for part, y in parts:
+            if part:
+                by_length[len(part)].append((part, y))
         sets = {
             n: (np.frombuffer(b"".join(w for w, _ in some), np.uint8).reshape(-1, n), np.array([y for _, y in some]))
             for n, some in sorted(by_length.items())
@@ -137,79 +137,28 @@ class LanguageModel:
         back = self.back.backward(seq[::-1], kept[1], np.ascontiguousarray(d_states[::-1, :, k:]))
         return [ahead, back, head]
 
-    def word_sums(self, words: list[bytes], batch: int = 4096) -> np.ndarray:
-        """Sum of the positions' log-probabilities for each word, ``(words, languages)``."""
-        parts, owner = [], []
-        for i, w in enumerate(words):
-            for at in range(0, len(w), LONGEST):
-                parts.append(w[at : at + LONGEST])
-                owner.append(i)
-        out = np.zeros((len(words), len(self.languages)), np.float64)
-        sizes = np.array([len(p) for p in parts])
-        owners = np.array(owner)
-        for n in np.unique(sizes).tolist():
-            rows = np.flatnonzero(sizes == n)
-            for at in range(0, len(rows), batch):
-                some = rows[at : at + batch]
-                seq = np.frombuffer(b"".join([parts[i] for i in some.tolist()]), np.uint8).reshape(-1, n).T
-                np.add.at(out, owners[some], self.positions(seq).sum(axis=0))
-        return out
-
-
-class _Words(dict):
-    """Numbers words as they come."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-        self.next = 0
-
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = number = self.next
-        self.next += 1
-        return number
-
-
-class Predictor:
-    """Pools a model's labels over whole documents, each distinct word read once while it is remembered."""
-
-    def __init__(self, model: LanguageModel, limit: int = 400_000):
-        self.model, self.limit = model, limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words, self.sums, self.lengths = _Words(), np.zeros((0, len(self.model.languages))), np.zeros(0)
-
-    def pooled(self, raws: list[bytes]) -> np.ndarray:
-        """Probabilities of the languages for each text: the normalised product over positions, tempered by length."""
-        if len(self.words) > self.limit:
-            self._forget()
-        number = self.words.__getitem__
-        found, sizes = [], []
-        for raw in raws:
-            n = 0
-            for piece in pieces(raw):
-                words = piece.split()
-                found.append(np.fromiter(map(number, words), np.int64, len(words)))
-                n += len(words)
-            sizes.append(n)
-        if self.words.new:
-            new = self.words.new
-            self.sums = np.concatenate([self.sums, self.model.word_sums(new)])
-            self.lengths = np.concatenate([self.lengths, [len(w) for w in new]])
-            new.clear()
-        every = np.concatenate(found) if found else np.zeros(0, np.int64)
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        out = np.zeros((len(raws), len(self.model.languages)))
-        for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
-            some = every[a:b]
-            if len(some):
-                total = self.sums[some].sum(axis=0) / np.sqrt(self.lengths[some].sum())
-                out[i] = np.exp(total - total.max())
-                out[i] /= out[i].sum()
-        return out
+    def pooled(self, raws: list[bytes], batch: int = 4096) -> np.ndarray:
+        """Probabilities of the languages for each whole text: the normalised product over positions, tempered by length."""
+        sums = np.zeros((len(raws), len(self.languages)))
+        held: list[tuple[int, bytes]] = []
+
+        def read() -> None:
+            lengths = np.array([len(part) for _, part in held])
+            seq = np.frombuffer(b"".join([part.ljust(STRETCH) for _, part in held]), np.uint8).reshape(-1, STRETCH).T
+            found = self.positions(seq) * (np.arange(STRETCH)[:, None] < lengths)[:, :, None]
+            np.add.at(sums, np.array([i for i, _ in held]), found.sum(axis=0, dtype=np.float64))
+            held.clear()
+
+        for i, raw in enumerate(raws):
+            for at in range(0, len(raw), STRETCH):
+                held.append((i, raw[at : at + STRETCH]))
+                if len(held) == batch:
+                    read()
+        if held:
+            read()
+        total = sums / np.sqrt(np.maximum(1, [len(raw) for raw in raws]))[:, None]
+        out = np.exp(total - total.max(axis=1, keepdims=True))
+        return out / out.sum(axis=1, keepdims=True)
 
 
 def has_letter(raw: bytes) -> bool:
@@ -223,41 +172,43 @@ def train_language_model(
     folds: int = 4,
     held_out: int = 2,
     sample_docs: int = 300,
-    sample_words: int = 30,
+    sample_parts: int = 10,
+    most_languages: int = 10_000,
     text: str = "text",
     lang: str = "lang",
     doc_id: str = "doc_id",
     **options,
 ) -> LanguageModel | None:
-    """Learn from about ``sample_docs`` documents a language, ``sample_words`` words of each, spread over the whole text.
+    """Learn from about ``sample_docs`` documents a language, ``sample_parts`` stretches of each, spread over the whole text.
 
     Rows whose CRC-32 of the id, as text, leaves ``held_out`` modulo ``folds``,
     and rows without a language, an id or a text, are never learned from. None
-    if no row is left.
+    if no row is left; over ``most_languages`` are an error.
     """
     rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{lang}`"].alias("lang"), docs[f"`{text}`"].cast("binary").alias("text"))
     usable = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (id_crc("doc_id") % folds != held_out))
     counts = dict(usable.groupBy("lang").count().collect())
     if not counts:
         return None
+    if len(counts) > most_languages:
+        raise ValueError(f"{len(counts)} languages; the network has an output for each")
     draw = F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(1 << 20))
-    limit = F.coalesce(*[F.when(F.col("lang") == name, min(1 << 20, sample_docs * (1 << 20) // n)) for name, n in sorted(counts.items())])
+    limits = docs.sparkSession.createDataFrame([(name, min(1 << 20, sample_docs * (1 << 20) // n)) for name, n in sorted(counts.items())], "lang string, most long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"lang": [], "words": []}
+            out: dict[str, list] = {"lang": [], "parts": []}
             for name, raw in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                words = (raw or b"").split()
-                at = np.unique(np.linspace(0, len(words) - 1, sample_words).astype(int)).tolist() if words else []
+                at = np.unique(np.linspace(0, max(0, len(raw or b"") - STRETCH), sample_parts).astype(int)).tolist()
                 out["lang"].append(name)
-                out["words"].append([words[i][:LONGEST] for i in at])
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("lang", pa.string()), ("words", pa.list_(pa.binary()))]))
+                out["parts"].append([(raw or b"")[i : i + STRETCH] for i in at])
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("lang", pa.string()), ("parts", pa.list_(pa.binary()))]))
 
-    drawn = usable.where(draw < limit).select("lang", "text").mapInArrow(cut, "lang string, words array<binary>").collect()
+    drawn = usable.join(F.broadcast(limits), "lang").where(draw < F.col("most")).select("lang", "text").mapInArrow(cut, "lang string, parts array<binary>").collect()
     languages = sorted(counts)
     number = {name: i for i, name in enumerate(languages)}
     model = LanguageModel(languages)
-    model.train(sorted((bytes(w), number[r["lang"]]) for r in drawn for w in r["words"]), **options)
+    model.train(sorted((bytes(part), number[r["lang"]]) for r in drawn for part in r["parts"]), **options)
     return model
 
 
@@ -273,11 +224,10 @@ def identify_languages(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        predictor = Predictor(model) if model else None
         for batch in slices(batches):
             raws = [raw or b"" for raw in texts(batch)]
-            p = predictor.pooled(raws) if predictor else None
-            best = [int(p[i].argmax()) if predictor and has_letter(raw) else -1 for i, raw in enumerate(raws)]
+            p = model.pooled(raws) if model else None
+            best = [int(p[i].argmax()) if model and has_letter(raw) else -1 for i, raw in enumerate(raws)]
             names = [model.languages[k] if k >= 0 else "und" for k in best]
             scores = [float(p[i, k]) if k >= 0 else 0.0 for i, k in enumerate(best)]
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])

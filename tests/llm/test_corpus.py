@@ -626,6 +626,19 @@ def test_language_on_rows_never_learned_from(spark, small):
     assert len(rows) > 20 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.9 * len(rows)
 
 
+def test_stretches_are_pooled_over_the_whole_text():
+    """Every byte counts, in the context of its stretch, and texts of one call don't touch each other."""
+    model = langid.LanguageModel(["a", "b", "c"], hidden=4)
+    raws = [b"", b"x", b"some words of a text " * 40, "ünï cödé".encode(), bytes(range(97, 121))]
+    together = model.pooled(raws, batch=7)
+    for raw, got in zip(raws, together):
+        parts = [raw[i : i + langid.STRETCH] for i in range(0, len(raw), langid.STRETCH)]
+        padded = [np.frombuffer(p.ljust(langid.STRETCH), np.uint8)[:, None] for p in parts]
+        total = sum((model.positions(p)[: len(q)].sum(axis=(0, 1), dtype=np.float64) for p, q in zip(padded, parts)), np.zeros(3)) / max(1, len(raw)) ** 0.5
+        want = np.exp(total) / np.exp(total).sum()
+        assert np.allclose(got, want, atol=1e-5)
+
+
 def test_gradients_of_the_network():
     """Backpropagation through time against finite differences."""
     model = langid.LanguageModel(["a", "b", "c"], hidden=4)
