@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastra.functions.algebra import BANDS, missing, stretch, thumbnail_value
+from rastra.operators.scan import running_sum
+from rastra.storage import settle
 
 
 def temporal_composite(looks: DataFrame, method: str = "median", bands: tuple[str, ...] = BANDS) -> DataFrame:
@@ -16,29 +18,49 @@ def temporal_composite(looks: DataFrame, method: str = "median", bands: tuple[st
     return looks.groupBy("raster_id", "row", "col").agg(*[agg(missing(b)).alias(b) for b in bands])
 
 
-def limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] = BANDS, low: float = 0.02, high: float = 0.98, exact: bool = True) -> DataFrame:
-    """Lower and upper percentile of each band by key, as ``<band>_lo`` and ``<band>_hi``.
+def limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] = BANDS, low: float = 0.02, high: float = 0.98, small: bool = False) -> DataFrame:
+    """Lower and upper percentile of each band by key, as ``<band>_lo`` and ``<band>_hi``, with linear interpolation.
 
-    Exact ones interpolate linearly. For rasters of more pixels than a task
-    should hold distinct values of, ``exact=False`` takes the sketch.
+    With ``small`` groups, such as tiles, one task holds a group's values. For
+    groups of any size, such as rasters, values are counted first and ranked in
+    buckets; both ways give the same.
     """
-
-    def pair(b: str) -> Column:
+    if small:
         at = F.array(F.lit(low), F.lit(high))
-        return (F.percentile(missing(b), at) if exact else F.percentile_approx(missing(b), [low, high], 100000)).alias(b)
+        found = pixels.groupBy(*keys).agg(*[F.percentile(missing(b), at).alias(b) for b in bands])
+        return found.select(*keys, *[x for b in bands for x in (F.col(b)[0].alias(f"{b}_lo"), F.col(b)[1].alias(f"{b}_hi"))])
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), missing(b).cast("double").alias("v")) for i, b in enumerate(bands)]))
+    group = [*keys, "band"]
+    counts = pixels.select(*keys, each.alias("x")).select(*keys, "x.band", "x.v").where("v IS NOT NULL").groupBy(*group, "v").agg(F.count("*").alias("n"))
+    counts = settle(counts, "limits_counts")
+    least, most = counts.agg(F.min("v"), F.max("v")).first()
+    width = (most - least) / 1024 if least is not None and most > least else 1.0
+    ranked = running_sum(counts, F.col("n"), F.floor((F.col("v") - (least or 0.0)) / width), [F.col("v")], group, "below")
+    totals = counts.groupBy(*group).agg(F.sum("n").alias("total"))  # a few rows where groups are large
+    ranked = ranked.join(totals, group)
+
+    def percentile(p: float, name: str) -> list[Column]:
+        at = (F.col("total") - 1) * p
+        return [F.min(F.when(F.col("below") + F.col("n") > side(at), F.col("v"))).alias(f"{name}_{i}") for i, side in enumerate((F.floor, F.ceil))]
 
-    found = pixels.groupBy(*keys).agg(*[pair(b) for b in bands])
-    return found.select(*keys, *[x for b in bands for x in (F.col(b)[0].alias(f"{b}_lo"), F.col(b)[1].alias(f"{b}_hi"))])
+    found = ranked.groupBy(*group).agg(F.first("total").alias("total"), *percentile(low, "lo"), *percentile(high, "hi"))
+    between = {}
+    for p, name in ((low, "lo"), (high, "hi")):
+        at = (F.col("total") - 1) * p
+        part = at - F.floor(at)
+        between[name] = F.when(part == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_0") * (1 - part) + F.col(f"{name}_1") * part)
+    wide = [F.max(F.when(F.col("band") == i, value)).alias(f"{b}_{name}") for i, b in enumerate(bands) for name, value in between.items()]
+    return found.groupBy(*keys).agg(*wide)
 
 
-def percentile_stretch(pixels: DataFrame, keys: list[str] | None = None, bands: tuple[str, ...] = BANDS, low: float = 0.02, high: float = 0.98, exact: bool = True) -> DataFrame:
+def percentile_stretch(pixels: DataFrame, keys: list[str] | None = None, bands: tuple[str, ...] = BANDS, low: float = 0.02, high: float = 0.98, small: bool = False) -> DataFrame:
     """Each band stretched between its own percentiles to 0..1."""
     keys = keys or ["raster_id"]
-    joined = pixels.join(limits(pixels, keys, bands, low, high, exact), keys)
+    joined = pixels.join(limits(pixels, keys, bands, low, high, small), keys, "left")
     return joined.withColumns({b: stretch(b, f"{b}_lo", f"{b}_hi") for b in bands}).drop(*[f"{b}_{s}" for b in bands for s in ("lo", "hi")])
 
 
 def thumbnail(pixels: DataFrame, rgb: tuple[str, str, str] = ("red", "green", "blue"), low: float = 0.02, high: float = 0.98) -> DataFrame:
     """True-colour bytes of a window's pixels: ``raster_id, row, col, r, g, b``."""
-    joined = pixels.join(limits(pixels, ["raster_id"], rgb, low, high), "raster_id")
+    joined = pixels.join(limits(pixels, ["raster_id"], rgb, low, high, small=True), "raster_id")
     return joined.select("raster_id", "row", "col", *[thumbnail_value(b, f"{b}_lo", f"{b}_hi").alias(n) for b, n in zip(rgb, "rgb", strict=True)])

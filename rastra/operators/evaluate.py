@@ -9,6 +9,7 @@ from rastra.functions.algebra import col, sigmoid, smooth_label
 from rastra.functions.geo import KM_PER_DEGREE
 from rastra.operators.joins import point_pairs
 from rastra.operators.scan import running_sum
+from rastra.storage import settle
 
 
 def reach(km: float, per_degree: float = 1.0) -> float:
@@ -90,15 +91,17 @@ def precision_recall(rows: DataFrame, logit: str = "logit", target: str = "targe
     )
 
 
-def auroc(rows: DataFrame, score: Column, target: str = "target", lo: float = -10.0, hi: float = 10.0, buckets: int = 1024) -> DataFrame:
+def auroc(rows: DataFrame, score: Column, target: str = "target", buckets: int = 1024) -> DataFrame:
     """Area under the ROC curve by ranks, ties counting half; null if a class is absent.
 
-    Rows are summed by score first and ranked in ``buckets`` of ``lo..hi``.
+    Rows are summed by score first and ranked in ``buckets`` between the lowest and the highest score.
     """
     by = rows.select(score.alias("s"), F.col(target).alias("t")).groupBy("s").agg(
         F.count_if(F.col("t") > 0.5).alias("pos"), F.count_if(F.col("t") <= 0.5).alias("neg")
     )
-    bucket = F.greatest(F.lit(0), F.least(F.lit(buckets - 1), F.floor((F.col("s") - lo) * (buckets / (hi - lo)))))
+    by = settle(by, "auroc_scores")
+    lo, hi = by.agg(F.min("s"), F.max("s")).first()
+    bucket = F.floor((F.col("s") - lo) * (buckets / (hi - lo))) if lo is not None and hi > lo else F.lit(0)
     ranked = running_sum(by, F.col("neg"), bucket, [F.col("s")], name="below")
     area = ranked.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return area.select(F.try_divide(F.col("u"), F.col("p") * F.col("n")).alias("auroc"))

@@ -84,7 +84,7 @@ def sliding_window(pixels: DataFrame, model: Model, tile: int = 256, overlap: in
     """
     keys = ["raster_id", "row_off", "col_off"]
     tiled = to_tiles(pixels, tile, overlap, height, width)
-    channels = percentile_stretch(tiled, keys).withColumns(index_columns())
+    channels = percentile_stretch(tiled, keys, small=True).withColumns(index_columns())
     scored = model.logits(channels).select("raster_id", "row", "col", sigmoid("logit").alias("prob"))
     return fill_uncovered(pixels, overlap_average(scored))
 

@@ -151,6 +151,24 @@ def test_stretch_matches_numpy(spark):
     assert np.allclose(got, np.clip((values - lo) / (hi - lo), 0, 1))
 
 
+def test_limits_by_rank_equal_numpy(spark):
+    """Groups of one value, of ties, of nulls and NaN; the two ways agree."""
+    rng = np.random.default_rng(11)
+    values = {0: rng.random(501), 1: np.repeat(3.5, 40), 2: rng.integers(-5, 5, 300).astype(float), 3: np.array([7.0]), 4: np.array([np.nan, np.nan])}
+    rows = [(g, float(v), None if i % 3 else float(-v)) for g, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "raster_id int, red double, nir double")
+    for small in (True, False):
+        found = {r["raster_id"]: r for r in composite.limits(df, ["raster_id"], ("red", "nir"), small=small).collect()}
+        for g, vs in values.items():
+            if np.isnan(vs).any():
+                assert g not in found or found[g]["red_lo"] is None
+                continue
+            assert np.allclose([found[g]["red_lo"], found[g]["red_hi"]], np.percentile(vs, [2, 98]))
+            assert np.allclose([found[g]["nir_lo"], found[g]["nir_hi"]], np.percentile(-vs[::3], [2, 98]))
+    stretched = composite.percentile_stretch(df, bands=("red", "nir"))
+    assert stretched.count() == len(rows)
+
+
 def test_indices_of_an_empty_pixel_are_zero(spark):
     zero = spark.createDataFrame([(0.0,) * 6], ", ".join(f"{b} double" for b in algebra.BANDS))
     assert list(algebra.add_indices(zero).first())[6:] == [0.0] * 4
