@@ -696,10 +696,15 @@ def test_pipeline_stages(spark, small):
     assert pairs(last, "doc_id", "start", "n_tokens", "ids_crc32") == encoded(ids_and_texts(docs))
 
 
-def test_pipeline_takes_empty_tables(spark, empty):
+@pytest.mark.parametrize("kind", ["awkward", "no_ids", "empty"])
+def test_pipeline_takes_any_rows(spark, request, kind):
     import corpus_pipeline
 
-    docs = empty
-    for _, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.settle(stage(spark, docs, SF), "test_empty")
-    assert docs.isEmpty()
+    docs = request.getfixturevalue(kind).withColumns({c: F.lit("clash") for c in ("row", "score", "h", "node", "size", "copies", "matches", "key")})
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.settle(stage(spark, docs, SF), "test_rows")
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == before.columns
+            assert docs.join(before.select(*[F.col(c).alias(f"b_{c}") for c in before.columns]), [docs[c].eqNullSafe(F.col(f"b_{c}")) for c in before.columns], "left_anti").isEmpty()
+            assert docs.isEmpty() == before.isEmpty()
+    assert docs.count() == before.count()
