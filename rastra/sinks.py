@@ -5,10 +5,12 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastra.functions.geo import tile_lonlat_bounds, tile_position
 from rastra.operators.grid import tile_id, to_tiles
 
 
@@ -63,24 +65,95 @@ def _field(number: int, body: bytes | int) -> bytes:
     return _varint(number << 3 | 2) + _varint(len(body)) + body
 
 
-def encode_tile(rows: pd.DataFrame, layer: str = "detections", extent: int = 4096) -> bytes:
-    """A vector tile with one point layer; ``rows`` has ``id, px, py`` and a ``score``."""
+def clip_ring(ring: list[tuple[float, float]], low: float, high: float) -> list[tuple[float, float]]:
+    """The part of a closed ring (its last point is not repeated) inside a square, edge by edge."""
+    for axis, limit, keep in ((0, low, 1), (0, high, -1), (1, low, 1), (1, high, -1)):
+        out = []
+        for p, q in zip(ring[-1:] + ring[:-1], ring, strict=True):
+            p_in, q_in = (p[axis] - limit) * keep >= 0, (q[axis] - limit) * keep >= 0
+            if p_in != q_in:
+                t = (limit - p[axis]) / (q[axis] - p[axis])
+                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+            if q_in:
+                out.append(q)
+        ring = out
+    return ring
+
+
+def _shape(rings: list | None, x: int, y: int, low: int, high: int) -> tuple[int, list[int]]:
+    """Kind and commands of a point, or of a polygon that is clipped and put on whole positions; a polygon outside has none."""
     zigzag = lambda n: (n << 1) ^ (n >> 63)
-    values: dict[float, int] = {}
+    if rings is None:
+        return 1, [9, zigzag(x), zigzag(y)]
+    commands, at = [], (0, 0)
+    for nth, ring in enumerate(rings):
+        points = [(float(p["x"]), float(p["y"])) for p in ring]
+        clipped = [(round(u), round(v)) for u, v in clip_ring(points[:-1] if points[0] == points[-1] else points, low, high)]
+        clipped = [p for k, p in enumerate(clipped) if p != clipped[k - 1]]
+        area = sum(u[0] * v[1] - v[0] * u[1] for u, v in zip(clipped, clipped[1:] + clipped[:1], strict=True))
+        if not area:
+            if nth == 0:
+                return 3, []
+            continue
+        if (area > 0) != (nth == 0):  # the outer ring turns one way, holes the other
+            clipped.reverse()
+        for k, p in enumerate(clipped):
+            commands += ([9] if k == 0 else [(len(clipped) - 1) << 3 | 2] if k == 1 else []) + [zigzag(p[0] - at[0]), zigzag(p[1] - at[1])]
+            at = p
+        commands.append(15)
+    return 3, commands
+
+
+def _value(v) -> bytes:
+    if isinstance(v, str):
+        return _field(1, v.encode())
+    if isinstance(v, (bool, np.bool_)):
+        return _field(7, int(v))
+    if isinstance(v, (int, np.integer)):
+        return _field(6, (int(v) << 1) ^ (int(v) >> 63))
+    return _varint(3 << 3 | 1) + struct.pack("<d", float(v))
+
+
+def encode_tile(rows: pd.DataFrame, layer: str = "detections", extent: int = 4096, buffer: int = 256, hidden: tuple[str, ...] = ()) -> bytes:
+    """A vector tile with one layer, of points ``px, py`` or polygons ``rings`` in the tile's positions.
+
+    Polygons are clipped to the tile and a margin of ``buffer``; those outside
+    are left out. ``id`` is the features' number and all other columns but the
+    ``hidden`` ones are properties, unless null.
+    """
+    names = [c for c in rows.columns if c not in ("id", "px", "py", "rings", *hidden)]
+    values: dict[bytes, int] = {}
     features = b""
-    for r in rows.itertuples(index=False):
-        tag = values.setdefault(float(r.score), len(values))
-        shape = b"".join(_varint(v) for v in (9, zigzag(int(r.px)), zigzag(int(r.py))))
-        features += _field(2, _field(1, int(r.id)) + _field(2, _varint(0) + _varint(tag)) + _field(3, 1) + _field(4, shape))
-    listed = b"".join(_field(4, _varint(3 << 3 | 1) + struct.pack("<d", v)) for v in values)
-    return _field(3, _field(1, layer.encode()) + features + _field(3, b"score") + listed + _field(5, extent) + _field(15, 2))
+    for r in rows.to_dict("records"):
+        rings = r.get("rings")
+        kind, commands = _shape(rings, int(r.get("px", 0)), int(r.get("py", 0)), -buffer, extent + buffer)
+        if not commands:
+            continue
+        tags = b"".join(_varint(k) + _varint(values.setdefault(_value(r[n]), len(values))) for k, n in enumerate(names) if r[n] is not None and r[n] == r[n])
+        shape = b"".join(_varint(v) for v in commands)
+        features += _field(2, _field(1, int(r["id"])) + _field(2, tags) + _field(3, kind) + _field(4, shape))
+    keys = b"".join(_field(3, n.encode()) for n in names)
+    return _field(3, _field(1, layer.encode()) + features + keys + b"".join(_field(4, v) for v in values) + _field(5, extent) + _field(15, 2))
+
+
+def tile_polygons(detections: DataFrame, z: int, x: int, y: int, min_score: float = 0.1, extent: int = 4096) -> DataFrame:
+    """Detections whose box meets a map tile, with their ``rings`` (of longitude and latitude) in the tile's positions, and all other columns but the box."""
+    west, south, east, north = tile_lonlat_bounds(z, x, y)
+    box = ("xmin", "ymin", "xmax", "ymax")
+    near = detections.where((F.col("xmin") <= east) & (F.col("xmax") >= west) & (F.col("ymin") <= north) & (F.col("ymax") >= south) & (F.col("score") >= min_score))
+
+    def place(p):
+        px, py = tile_position(p["x"], p["y"], z, x, y, extent)
+        return F.struct(px.alias("x"), py.alias("y"))
+
+    return near.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, place))).drop(*box)
 
 
 def vector_tiles(features: DataFrame, keys: list[str]) -> DataFrame:
     """One tile's bytes for each key; features of a tile should be limited before, as for any map."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "tile": [encode_tile(pdf.sort_values("id"))]})
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "tile": [encode_tile(pdf.sort_values("id"), hidden=tuple(keys))]})
 
     fields = ", ".join(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys)
     return features.groupBy(*keys).applyInPandas(one, f"{fields}, tile binary")

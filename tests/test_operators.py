@@ -281,6 +281,71 @@ def test_sinks(spark, tmp_path):
     assert bytes(tiles.first()["tile"]) == tile
 
 
+def read_message(raw):
+    """Fields of a protocol buffer message: number and value."""
+    out, at = [], 0
+
+    def varint():
+        nonlocal at
+        n = shift = 0
+        while True:
+            byte = raw[at]
+            at += 1
+            n |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return n
+
+    while at < len(raw):
+        tag = varint()
+        if tag & 7 == 0:
+            out.append((tag >> 3, varint()))
+        else:
+            size = 8 if tag & 7 == 1 else varint()
+            out.append((tag >> 3, raw[at : at + size]))
+            at += size
+    return out
+
+
+def test_polygons_in_tiles_are_clipped_and_keep_their_properties(spark):
+    lon = lambda px: px / 4096 * 180 - 180  # noqa: E731  tile 1/0/0 is the north-west quarter
+    ring = [(lon(100.5), 60.0), (lon(9000.5), 60.0), (lon(9000.5), 10.0), (lon(100.5), 10.0), (lon(100.5), 60.0)]
+    hole = [(lon(200.5), 50.0), (lon(200.5), 40.0), (lon(300.5), 40.0), (lon(300.5), 50.0), (lon(200.5), 50.0)]
+    away = [(100.0, -50.0), (101.0, -50.0), (101.0, -51.0), (100.0, -50.0)]
+    rows = [(7, [ring, hole], 0.75, 3.5, "m1", -179.0, 10.0, 0.0, 60.0), (8, [away], 0.9, 1.0, None, 100.0, -51.0, 101.0, -50.0), (9, [ring], 0.05, 1.0, "m1", -179.0, 10.0, 0.0, 60.0)]
+    kind = "id long, rings array<array<struct<x: double, y: double>>>, score double, area_km2 double, model_version string, xmin double, ymin double, xmax double, ymax double"
+    tiles = sinks.vector_tiles(sinks.tile_polygons(spark.createDataFrame(rows, kind), 1, 0, 0).withColumn("z", F.lit(1)), ["z"])
+    (layer,) = [v for n, v in read_message(bytes(tiles.first()["tile"])) if n == 3]
+    fields = read_message(layer)
+    assert [v for n, v in fields if n == 3] == [b"score", b"area_km2", b"model_version"]
+    (feature,) = [read_message(v) for n, v in fields if n == 2]
+    assert (1, 7) in feature and (3, 3) in feature
+    raw, numbers, at = dict(feature)[4], [], 0
+    while at < len(raw):
+        n = shift = 0
+        while True:
+            n |= (raw[at] & 127) << shift
+            shift += 7
+            at += 1
+            if raw[at - 1] < 128:
+                break
+        numbers.append(n)
+    rings, x, y, k = [], 0, 0, 0
+    while k < len(numbers):
+        command, count = numbers[k] & 7, numbers[k] >> 3
+        k += 1
+        if command == 1:
+            rings.append([])
+        for _ in range(count if command != 7 else 0):
+            x += numbers[k] >> 1 ^ -(numbers[k] & 1)
+            y += numbers[k + 1] >> 1 ^ -(numbers[k + 1] & 1)
+            rings[-1].append((x, y))
+            k += 2
+    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1])) / 2
+    assert {p[0] for p in rings[0]} == {100, 4096 + 256} and {p[0] for p in rings[1]} == {200, 300}
+    assert area(rings[0]) > 0 > area(rings[1])
+
+
 def test_flow_from_looks_to_detections(spark):
     looks = manifests.synthetic_raster(spark, 64, 64).withColumn("scl", F.lit(4))
     sites = joins.buffer_boxes(spark.createDataFrame([(100.0, -100.0, 2.0)], "x double, y double, b double"), F.col("b") * 10)
