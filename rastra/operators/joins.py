@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rastra.functions.geo import box_distance2, distance2
+
 
 def _cell(x: Column, size: float) -> Column:
     return F.floor(x / F.lit(size)).cast("long")
@@ -32,8 +34,7 @@ def point_pairs(left: DataFrame, right: DataFrame, reach: float, how: str = "inn
     theirs = right.select(packed(right, "r"))
     theirs = theirs.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
     theirs = theirs.select("r", (_cell(F.col(f"r.{x}"), reach) + F.col("dx")).alias("kx"), (_cell(F.col(f"r.{y}"), reach) + F.col("dy")).alias("ky"))
-    dx, dy = F.col(f"l.{x}") - F.col(f"r.{x}"), F.col(f"l.{y}") - F.col(f"r.{y}")
-    d2, limit = dx * dx + dy * dy, F.lit(float(reach) * float(reach))
+    d2, limit = distance2(f"l.{x}", f"l.{y}", f"r.{x}", f"r.{y}"), F.lit(float(reach) * float(reach))
     near = (F.col("cx") == F.col("kx")) & (F.col("cy") == F.col("ky")) & ((d2 < limit) if strict else (d2 <= limit))
     joined = ours.join(theirs, near, how)
     return joined.select("l", "r") if how == "inner" else joined.select(*[F.col(f"l.`{c}`").alias(c) for c in left.columns])
@@ -73,10 +74,8 @@ def buffer_boxes(sites: DataFrame, radius: Column, x: str = "x", y: str = "y") -
 
 def flag_positive(chips: DataFrame, sites: DataFrame, key: str, size: float, x: str = "x", y: str = "y") -> DataFrame:
     """Chips (boxes) with ``is_positive``: whether any site's buffer (``r`` and its box) reaches the chip."""
-    zero = F.lit(0)
-    dx = F.greatest(F.col("l.xmin") - F.col(f"r.{x}"), zero, F.col(f"r.{x}") - F.col("l.xmax"))
-    dy = F.greatest(F.col("l.ymin") - F.col(f"r.{y}"), zero, F.col(f"r.{y}") - F.col("l.ymax"))
-    touched = box_pairs(chips, sites, size, dx * dx + dy * dy <= F.col("r.r") * F.col("r.r")).select(F.col(f"l.{key}").alias("_hit")).distinct()
+    apart = box_distance2(f"r.{x}", f"r.{y}", "l.xmin", "l.ymin", "l.xmax", "l.ymax")
+    touched = box_pairs(chips, sites, size, apart <= F.col("r.r") * F.col("r.r")).select(F.col(f"l.{key}").alias("_hit")).distinct()
     return chips.join(touched, F.col(key) == F.col("_hit"), "left").withColumn("is_positive", F.col("_hit").isNotNull()).drop("_hit")
 
 
