@@ -12,7 +12,6 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rastra.llm import decontaminate, langid, media, mixing, near, queries, sharding, simhash, substrings, tokens, toxicity, urlfilter
 from tests.conftest import SF
