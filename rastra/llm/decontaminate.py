@@ -172,7 +172,7 @@ _ARROW = pa.struct(
 )
 
 
-def _search_udf(paths: list[str], window: int, shard_words: int):
+def _search_udf(paths: list[str], shard_words: int):
     """A column function; a shard is a run of the documents of one Arrow batch, and is searched for one block of items after the other."""
 
     def flush(tests: TestSuffixes, texts_: list[list[bytes]], out: list[dict]) -> None:
@@ -193,7 +193,7 @@ def _search_udf(paths: list[str], window: int, shard_words: int):
     def shard(texts_: list[list[bytes]]) -> list[dict]:
         out: list[dict] = [{"n_words": len(w), "n_hit": 0, "hits": [], "items": [], "matches": []} for w in texts_]
         for path in paths:
-            flush(load_suffixes(path, window), texts_, out)
+            flush(load_suffixes(path), texts_, out)
         for x in out:
             hits = x.pop("hits")
             x["n_hit"] = len(np.unique(np.concatenate(hits))) if hits else 0
@@ -222,26 +222,25 @@ def _search_udf(paths: list[str], window: int, shard_words: int):
 _LOADED: dict[str, TestSuffixes] = {}
 
 
-def load_suffixes(path: str, window: int) -> TestSuffixes:
+def load_suffixes(path: str) -> TestSuffixes:
     """The index of a block of items in the shared folder; a worker keeps the last one."""
     if path not in _LOADED:
         fs, name = pafs.FileSystem.from_uri(path)
-        with fs.open_input_file(name) as f:
-            items = pickle.loads(f.read())
         _LOADED.clear()
-        _LOADED[path] = TestSuffixes(items, window)
+        with fs.open_input_file(name) as f:
+            _LOADED[path] = pickle.loads(f.read())
     return _LOADED[path]
 
 
-def write_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[str]:
-    """Blocks of items as files in the shared folder; the driver holds one at a time."""
+def write_blocks(items: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list[str]:
+    """The indexes of blocks of items as files in the shared folder; the driver holds one at a time."""
     folder = scratch(items.sparkSession, "items")
     paths = []
     for nth, block in enumerate(item_blocks(items, item_id, text, block_bytes)):
         fs, name = pafs.FileSystem.from_uri(folder)
         fs.create_dir(name, recursive=True)
         with fs.open_output_stream(f"{name}/{nth}") as f:
-            f.write(pickle.dumps(block))
+            f.write(pickle.dumps(TestSuffixes(block, window)))
         paths.append(f"{folder}/{nth}")
     return paths
 
@@ -286,8 +285,8 @@ def find_contamination(
     under an empty one; without items nothing is hit; repeated rows are kept.
     """
     own = ["n_words", "n_hit", "n_items", "item_ids", "matches"]
-    paths = write_blocks(items, item_id, item_text, block_bytes)
-    search = _search_udf(paths, window, shard_words)(docs[f"`{text}`"].cast("binary"))
+    paths = write_blocks(items, item_id, item_text, window, block_bytes)
+    search = _search_udf(paths, shard_words)(docs[f"`{text}`"].cast("binary"))
     found = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), search.alias("found"))
     return (
         found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in own], "found.n_words", "found.n_hit", "found.matches", "found.items")
