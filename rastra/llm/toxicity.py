@@ -150,7 +150,8 @@ class ToxicityModel:
 
     def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 20, folds: int = 3, **options):
         self.window = window
-        classes = [[_words(raw) for raw in toxic], [_words(raw) for raw in ordinary]]
+        known: dict[bytes, bytes] = {}  # each word once in memory
+        classes = [[[known.setdefault(w, w) for w in _words(raw)] for raw in docs] for docs in (toxic, ordinary)]
         self._learn(*classes, **options)
         self.weights = np.zeros(len(self._features(np.zeros(1, np.int32))))
         if not toxic or not ordinary:
