@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastra.llm import decontaminate, langid, media, mixing, sharding, simhash, substrings, tokens, toxicity, urlfilter
+from rastra.llm import decontaminate, langid, lines, media, merkle, mixing, sharding, simhash, substrings, tokens, toxicity, urlfilter, vectors
 from rastra.llm.common import table
 from rastra.llm.oracles import oracle_sql as oracle_sql
 
@@ -91,6 +91,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.drop_repeated_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectors.compress_vectors(table(spark, sf_dir, "embeddings"), n_parts=8, n_entries=16, rounds=6)
+    return coded.withColumn("codebooks_sha256", F.lit(vectors.books_sha256(books)))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = merkle.dataset_manifest(table(spark, sf_dir, "documents"), fanout=16).proofs
+    folded = proofs.withColumn("folded_root", merkle.fold(F.col("altered"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -103,4 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_url_filter": op9_url_filter,
         "op10_language": op10_language,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_merkle": op13_merkle,
     }

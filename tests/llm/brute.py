@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -156,3 +157,85 @@ def jaccard_groups(texts: list[str | None], shingle: int = 5, similarity: float
                 lo, hi = sorted((first[i], first[j]))
                 first = [lo if f == hi else f for f in first]
     return first
+
+
+def line_key(line: bytes) -> bytes:
+    return lower(re.sub(rb"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\Z", b"", line))
+
+
+def cut_lines(docs: list[tuple], min_chars: int = 10, min_docs: int = 2) -> list[tuple]:
+    """Rows ``(doc_id, n_lines, n_dropped, kept_sha256)``."""
+    held: dict = defaultdict(list)
+    split = [(d, (t or "").encode().split(b"\n")) for d, t in docs]
+    for d, lines in split:
+        for key in {line_key(x) for x in lines}:
+            if d is not None and len(key.decode()) >= min_chars:
+                held[key].append(d)
+    gone = {k: min(v) for k, v in held.items() if len(v) >= min_docs and min(v) < max(v)}
+    out = []
+    for d, lines in split:
+        kept = [x for x in lines if d is None or gone.get(line_key(x), d) == d]
+        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256(b"\n".join(kept)).hexdigest()))
+    return out
+
+
+def vector_codes(rows: list[tuple], parts: int = 8, entries: int = 16, rounds: int = 6) -> tuple[list[tuple], str]:
+    """Rows ``(vec_id, code, error, label_error)`` and the digest of the codebooks, in Python's whole numbers."""
+    kept = [(v, [math.floor(4096 * x) for x in e], lab) for v, e, lab in rows if e and all(x is not None and math.isfinite(x) for x in e)]
+    first = sorted((v, w) for v, w, _ in kept if v is not None)[:entries]
+    cut = lambda w, p: w[p * len(w) // parts : (p + 1) * len(w) // parts]
+    books = [[cut(w, p) for _, w in first] for p in range(parts)]
+    nearest = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), i) for i, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = defaultdict(list)
+            for _, w, _ in kept:
+                groups[nearest(cut(w, p), books[p])[1]].append(cut(w, p))
+            books[p] = [[sum(c) // len(groups[i]) for c in zip(*groups[i], strict=True)] if i in groups else e for i, e in enumerate(books[p])]
+    found = []
+    for v, w, lab in kept:
+        best = [nearest(cut(w, p), books[p]) for p in range(parts)]
+        found.append((v, "".join(f"{i:02x}" for _, i in best), sum(d for d, _ in best), lab))
+    totals = defaultdict(int)
+    for *_, error, lab in found:
+        totals[lab] += error
+    text = ",".join(str(x) for book in books for e in book for x in e)
+    return [(v, c, e, totals[lab]) for v, c, e, lab in found], hashlib.sha256(text.encode()).hexdigest()
+
+
+def hexdigest(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_digest(row: tuple) -> str:
+    return hexdigest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+
+def levels_of(digests: list[str], fanout: int) -> list[list[str]]:
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        levels.append([hexdigest(*levels[-1][i : i + fanout]) for i in range(0, len(levels[-1]), fanout)])
+    return levels
+
+
+def merkle(docs: list[tuple], fanout: int = 16) -> list[tuple]:
+    """Rows ``(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)`` of ``(doc_id, source, lang, n_chars, text)``."""
+    trees = defaultdict(list)
+    for row in docs:
+        trees[row[1]].append((row[0] is not None, row[0] or 0, leaf_digest(row), row))
+    names = sorted(trees, key=lambda n: (n is not None, (n or "").encode()))
+    grown = [levels_of([x[2] for x in sorted(trees[n], key=lambda x: x[:3])], fanout) for n in names]
+    top = levels_of([g[-1][0] for g in grown], fanout)
+    out = []
+    for nth, name in enumerate(names):
+        for i, (*_, leaf, row) in enumerate(sorted(trees[name], key=lambda x: x[:3])):
+            altered = row[:4] + (None if row[4] is None else lower(row[4].encode()).decode(),)
+            folded = leaf_digest(altered) if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 else leaf
+            proof = ""
+            for levels, at in ((grown[nth], i), (top, nth)):
+                for level in levels[:-1]:
+                    run = level[at // fanout * fanout : (at // fanout + 1) * fanout]
+                    left, right = "".join(run[: at % fanout]), "".join(run[at % fanout + 1 :])
+                    proof, folded, at = proof + left + right, hexdigest(left, folded, right), at // fanout
+            out.append((row[0], leaf, grown[nth][-1][0], top[-1][0], hexdigest(proof), folded, folded == top[-1][0]))
+    return out
