@@ -79,7 +79,7 @@ def detect_areas(composites: DataFrame, model: inference.Model, path: str, model
     spark = composites.sparkSession
     found = scan_and_detect(composites, model, tile, overlap, height, width, **options)
     names = settle(composites.select("aoi", "raster_id").distinct(), "areas")
-    sinks.store_detections(found.join(names, "raster_id"), path, model_version)
+    sinks.store_detections(found.join(names, "raster_id"), path, model_version, areas=names)
     stored = spark.read.parquet(path).where(F.col("model_version") == model_version)
     return names.select("aoi").join(stored.groupBy("aoi").agg(F.count("*").alias("n")), "aoi", "left").select("aoi", F.coalesce("n", F.lit(0)).alias("detections"))
 

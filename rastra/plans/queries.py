@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastra import sinks
 from rastra.functions import algebra, geo
 from rastra.functions.algebra import BANDS
 from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, regions
 from rastra.plans import pipelines
-from rastra.sources import fixtures, manifests
+from rastra.sources import fixtures, manifests, rasters
 from rastra.sources.fixtures import EDGE
+from rastra.storage import scratch
 
 #: Tiling of the 64 x 64 raster.
 TILE, OVERLAP = 16, 4
@@ -240,8 +242,6 @@ def radar_scene_join(s: SparkSession, d: str) -> DataFrame:
 
 
 def label_arrays(s: SparkSession, d: str) -> DataFrame:
-    from rastra import sinks
-
     tiles = sinks.label_arrays(rasterize_labels(s, d).withColumn("raster_id", F.lit(0)), TILE, OVERLAP, EDGE, EDGE)
     listed = F.concat_ws("", F.transform("labels", lambda x: x.cast("int").cast("string")))
     return tiles.select("tile_id", listed.alias("labels"))
@@ -257,6 +257,23 @@ def scene_crop(s: SparkSession, d: str) -> DataFrame:
     return stacked.select("row", "col", "blue", "green", "red")
 
 
+def raster_files(s: SparkSession, d: str) -> DataFrame:
+    """The composite written as a tiled file and a window of it read back by the blocks that it meets."""
+    path = scratch(s, "rasters")
+    rasters.write_pixels(temporal_median(s, d), path, edge=16, affine=(10.0, 0.0, 500.0, 0.0, -10.0, 9000.0), crs=32632, striprows=32)
+    return manifests.read_window(rasters.read_rasters(s, path), 0, 10, 21, 30, 17, edge=16)
+
+
+def chip_files(s: SparkSession, d: str) -> DataFrame:
+    """Chips with enough valid pixels as files of their own, measured as they are read back, and the corner that each file says it has."""
+    path, affine = scratch(s, "chips"), (10.0, 0.0, 500.0, 0.0, -10.0, 9000.0)
+    pixels = temporal_median(s, d)
+    named = sinks.write_chips(pixels, grid.chip_raster(pixels, TILE, OVERLAP, EDGE, EDGE, 0.5, affine), path, TILE, OVERLAP, EDGE, EDGE, affine)
+    blocks = rasters.read_rasters(s, path, bands="2,3").select("raster_id", "affine.c", "affine.f", *[F.aggregate(F.get("bands", F.lit(i)), F.lit(0.0), lambda a, b: a + b).alias(n) for i, n in enumerate(("red", "nir"))])
+    met = named.select("tile_id", "chip").join(blocks, F.col("chip") == F.col("raster_id"))
+    return met.select("tile_id", F.col("c").alias("left"), F.col("f").alias("top"), "red", "nir")
+
+
 def evidence_rgb(s: SparkSession, d: str) -> DataFrame:
     small = manifests.resample_nearest(temporal_median(s, d).select("raster_id", "row", "col", "red", "green", "blue"), EDGE, EDGE, 20, 20)
     return composite.thumbnail(small).select("row", "col", "r", "g", "b")
@@ -272,9 +289,11 @@ def health(s: SparkSession, d: str) -> DataFrame:
 
 
 def aoi_union(s: SparkSession, d: str) -> DataFrame:
-    parts = [grid.tile_windows(s.createDataFrame([(0, h, w)], "raster_id int, height int, width int"), 256, 32).withColumn("aoi", F.lit(n)) for n, h, w in (("a", 1024, 1024), ("b", 700, 300), ("c", 100, 900))]
+    """The chips of three areas' rasters as one table, with the area of each; every supplier is a raster of one of the areas."""
+    sized = fixtures.read(s, d, "supplier").selectExpr("s_suppkey AS raster_id", "s_nationkey % 3 AS area", "200 + s_suppkey * 37 % 900 AS height", "200 + s_suppkey * 53 % 900 AS width")
+    parts = [grid.tile_windows(sized.where(F.col("area") == k), 256, 32).withColumn("aoi", F.lit(n)) for k, n in enumerate("abc")]
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return whole.select("aoi", grid.tile_id().alias("tile_id"), "row_off", "col_off")
+    return whole.select("aoi", "raster_id", grid.tile_id().alias("tile_id"), "row_off", "col_off")
 
 
 def early_stopping(s: SparkSession, d: str) -> DataFrame:
@@ -308,7 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
         latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
-        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, evidence_rgb, geojson_features,
+        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, raster_files, chip_files, evidence_rgb, geojson_features,
         health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, scan_and_detect,
     ]
     return {f.__name__: f for f in named}

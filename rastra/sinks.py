@@ -10,8 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastra.functions.algebra import BANDS
 from rastra.functions.geo import tile_lonlat_bounds, tile_position
 from rastra.operators.grid import tile_id, to_tiles
+from rastra.sources import rasters
+from rastra.sources.manifests import pixels_to_blocks
+from rastra.storage import settle
 
 
 def write_scenes(pixels: DataFrame, path: str) -> None:
@@ -34,17 +38,52 @@ def write_manifest(chips: DataFrame, path: str) -> None:
     chips.write.mode("overwrite").json(path)
 
 
+def write_chips(pixels: DataFrame, chips: DataFrame, path: str, tile: int, overlap: int, height: int, width: int, affine: tuple, crs: int | None = None, bands: tuple[str, ...] = BANDS, **options) -> DataFrame:
+    """The pixels of each chip (``raster_id, row_off, col_off``) as a raster file of its own; returns ``chips`` with ``chip``, the number of its raster in the folder ``path``.
+
+    A chip's place is in its affine. ``tile`` must be a multiple of 16. Chips of windows that have no pixels get no file.
+    """
+    a, b, c, d, e, f = affine
+    cells = height * width
+    number = F.col("raster_id") * cells + F.col("row_off") * width + F.col("col_off")
+    wanted = chips.select("raster_id", "row_off", "col_off").distinct()
+    own = to_tiles(pixels.select("raster_id", "row", "col", *bands), tile, overlap, height, width).join(wanted, ["raster_id", "row_off", "col_off"], "left_semi")
+    local = own.select(number.alias("raster_id"), (F.col("row") - F.col("row_off")).alias("row"), (F.col("col") - F.col("col_off")).alias("col"), *bands)
+    y, x = F.floor(F.pmod("raster_id", F.lit(cells)) / F.lit(width)), F.pmod("raster_id", F.lit(width))
+    moved = {"a": F.lit(float(a)), "b": F.lit(float(b)), "c": c + a * x + b * y, "d": F.lit(float(d)), "e": F.lit(float(e)), "f": f + d * x + e * y}
+    placed = pixels_to_blocks(local, tile, bands, affine, crs).withColumn("affine", F.struct(*[v.cast("double").alias(n) for n, v in moved.items()]))
+    rasters.write_rasters(placed, path, edge=tile, strip_rows=tile, **options)
+    return chips.withColumn("chip", number)
+
+
 def label_arrays(labels: DataFrame, tile: int, overlap: int, height: int, width: int, label: str = "label") -> DataFrame:
     """One row a tile with its labels row by row in an array: ``raster_id, tile_id, row_off, col_off, labels``; a tile's size bounds its row."""
     cells = to_tiles(labels, tile, overlap, height, width).groupBy("raster_id", "row_off", "col_off").agg(F.array_sort(F.collect_list(F.struct("row", "col", label))).alias("cells"))
     return cells.select("raster_id", tile_id().alias("tile_id"), "row_off", "col_off", F.col(f"cells.{label}").alias("labels"))
 
 
-def store_detections(detections: DataFrame, path: str, model_version: str, aoi: str | None = None) -> None:
-    """Write detections of one model by their column ``aoi``, or as one area's; a rerun replaces an area's instead of doubling them. A missing score is 0."""
+def store_detections(detections: DataFrame, path: str, model_version: str, aoi: str | None = None, areas: DataFrame | None = None) -> None:
+    """Write detections of one model by their column ``aoi``, or as one area's; a rerun replaces an area's instead of doubling them. A missing score is 0.
+
+    ``areas`` (a column ``aoi``) are the areas of the run: those without any
+    detection lose what an earlier run has stored for this model. Without it, they are
+    the one area given, or those that have detections.
+    """
+    spark = detections.sparkSession
     area = F.col("aoi") if aoi is None and "aoi" in detections.columns else F.lit(aoi or "all")
     rows = detections.withColumns({"score": F.coalesce("score", F.lit(0.0)), "model_version": F.lit(model_version), "aoi": area})
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("aoi", "model_version").parquet(path)
+    if areas is None and aoi is None and "aoi" in detections.columns:
+        return
+    named = spark.createDataFrame([(aoi or "all",)], "aoi string") if areas is None else areas.select(F.col("aoi").cast("string")).distinct()
+    held = settle(rows.select("aoi").distinct(), "stored_areas")
+    empty = named.join(held, named["aoi"].eqNullSafe(held["aoi"]), "left_anti")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for (name,) in empty.toLocalIterator():  # a name an area of the configuration
+        escaped = "__HIVE_DEFAULT_PARTITION__" if name is None else spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+        version = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(model_version)
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"aoi={escaped}/model_version={version}"), True)
 
 
 def write_geojson(features: DataFrame, path: str) -> None:
