@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,29 +45,64 @@ def point_pairs(left: DataFrame, right: DataFrame, reach: float, how: str = "inn
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
+#: A class of boxes is so many times as wide as the one below it; the finest is this many classes below ``size``.
+_CLASS, _FINEST = 4, 12
+
+
 def box_pairs(left: DataFrame, right: DataFrame, size: float, extra: Column | None = None) -> DataFrame:
     """Pairs of boxes that share a point, as structs ``l`` and ``r``.
 
-    Boxes are dealt to all cells of ``size`` that they touch, and a pair counts
-    in the cell that holds the lower corner of its intersection. ``size`` should
-    be about that of a large box.
+    Boxes fall into classes of size, four times as wide each; a class has a grid
+    whose cells are as wide as its largest boxes. A pair meets on the grid of
+    the larger of the two, in the cell that holds the lower corner of its
+    intersection. So a box of any size touches four cells a class at most, and the cells of a crowd
+    of small boxes are small. Boxes are dealt to those coarser grids alone whose class the other side has. ``size`` is the width
+    that counts as one, about that of a usual box. Both tables are read once before, for the classes that they have. Boxes with a null or undefined side meet nothing.
     """
-
-    def dealt(df: DataFrame, name: str) -> DataFrame:
-        d = df.select(packed(df, name))
-        d = d.withColumn(f"{name}x", F.explode(_cells(F.col(f"{name}.xmin"), F.col(f"{name}.xmax"), size)))
-        return d.withColumn(f"{name}y", F.explode(_cells(F.col(f"{name}.ymin"), F.col(f"{name}.ymax"), size)))
-
-    a, b = dealt(left, "l"), dealt(right, "r")
+    sides = ("xmin", "ymin", "xmax", "ymax")
+
+    def classed(df: DataFrame, name: str) -> DataFrame:
+        whole = [F.col(f"{name}.{c}").isNotNull() & ~F.isnan(F.col(f"{name}.{c}").cast("double")) for c in sides]
+        wide = F.greatest(F.col(f"{name}.xmax") - F.col(f"{name}.xmin"), F.col(f"{name}.ymax") - F.col(f"{name}.ymin")).cast("double")
+        step = F.ceil(F.log(wide / F.lit(float(size))) / math.log(_CLASS))
+        kept = df.select(packed(df, name)).where(whole[0] & whole[1] & whole[2] & whole[3])
+        return kept.withColumn(f"{name}c", F.when(wide > 0, F.greatest(step, F.lit(-_FINEST))).otherwise(F.lit(-_FINEST)).cast("int"))
+
+    def classes(df: DataFrame, name: str) -> list[int]:
+        """The few classes that there are: sizes span 4^12 and what a double holds above ``size``."""
+        return sorted(r[0] for r in df.select(f"{name}c").distinct().collect())
+
+    def dealt(df: DataFrame, name: str, other: list[int]) -> DataFrame:
+        """A row for each class from the own one up that decides a pair, and each of its cells that the box touches."""
+        own, theirs = F.col(f"{name}c"), F.array(*[F.lit(c) for c in other]).cast("array<int>")
+        coarser = F.filter(theirs, lambda c: c > own)
+        met = F.when(own >= min(other, default=0), F.concat(F.array(own), coarser)).otherwise(coarser)
+        d = df.withColumn(f"{name}k", F.explode(met)).withColumn("_width", F.pow(F.lit(float(_CLASS)), F.col(f"{name}k")) * float(size))
+        d = d.withColumn(f"{name}x", F.explode(_touched(f"{name}.xmin", f"{name}.xmax")))
+        return d.withColumn(f"{name}y", F.explode(_touched(f"{name}.ymin", f"{name}.ymax"))).drop("_width")
+
+    ours, theirs = classed(left, "l"), classed(right, "r")
+    found = classes(ours, "l")
+    a, b = dealt(ours, "l", found if left is right else classes(theirs, "r")), dealt(theirs, "r", found)
     meet = (
         (F.col("l.xmin") <= F.col("r.xmax")) & (F.col("l.xmax") >= F.col("r.xmin"))
         & (F.col("l.ymin") <= F.col("r.ymax")) & (F.col("l.ymax") >= F.col("r.ymin"))
     )
-    once = (F.col("lx") == _cell(F.greatest("l.xmin", "r.xmin"), size)) & (F.col("ly") == _cell(F.greatest("l.ymin", "r.ymin"), size))
-    on = (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")) & meet & once
+    width = F.pow(F.lit(float(_CLASS)), F.col("lk")) * float(size)
+    once = (F.col("lx") == _of(F.greatest("l.xmin", "r.xmin"), width)) & (F.col("ly") == _of(F.greatest("l.ymin", "r.ymin"), width))
+    larger = F.col("lk") == F.greatest("lc", "rc")
+    on = (F.col("lk") == F.col("rk")) & (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")) & larger & meet & once
     return a.join(b, on if extra is None else on & extra).select("l", "r")
 
 
+def _of(x: Column, width: Column) -> Column:
+    return F.floor(x / width).cast("long")
+
+
+def _touched(lo: str, hi: str) -> Column:
+    return F.sequence(_of(F.col(lo), F.col("_width")), _of(F.col(hi), F.col("_width")))
+
+
 def buffer_boxes(sites: DataFrame, radius: Column, x: str = "x", y: str = "y") -> DataFrame:
     """Sites with the box of their buffer and its radius ``r``."""
     s = sites.withColumn("r", radius)

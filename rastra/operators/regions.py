@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rastra.functions.algebra import at_least, compactness
 from rastra.operators.graph import connected_components
-from rastra.storage import settle
+from rastra.storage import discard, settle
 
 
 def label_regions(pixels: DataFrame, width: Column | int, cells: Column | int) -> DataFrame:
@@ -77,49 +76,79 @@ def extract_regions(pixels: DataFrame, value: str, threshold: float, width: int,
     return region_features(label_regions(on, width, cells), value, affine, min_px)
 
 
+#: Steps of the directions east, south, west and north, each a right turn from the one before it, with rows downwards.
+_STEPS = ((0, 1), (1, 0), (0, -1), (-1, 0))
+
+
+def outline_corners(labelled: DataFrame) -> DataFrame:
+    """The corners of all outlines, each with the one that comes next: ``raster_id, component, id, row, col, next``.
+
+    Outlines run clockwise, the region on the right hand. At each corner of a pixel the
+    sides that end there go on to those that begin there; where two regions or two parts of one touch
+    by their corners the right turn is taken, which keeps regions 4-connected. A side that
+    goes straight on is no corner; along a line the ends of straight runs and
+    their beginnings take turns, so a corner's next one is the next end. ``id``
+    is a number of place and direction: row by row, then by column.
+    """
+    across, down = Window.partitionBy("raster_id", "row").orderBy("col"), Window.partitionBy("raster_id", "col").orderBy("row")
+    gap = lambda w, k, fn: F.coalesce(F.abs(fn(k).over(w) - F.col(k)) != 1, F.lit(True))
+    sides = [(gap(down, "row", F.lag), 0, 0, 0), (gap(across, "col", F.lead), 0, 1, 1), (gap(down, "row", F.lead), 1, 1, 2), (gap(across, "col", F.lag), 1, 0, 3)]
+    listed = F.array(*[F.when(on, F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"), F.lit(d).alias("d"))) for on, r, c, d in sides])
+    met = labelled.select("raster_id", "component", "row", "col", F.filter(listed, lambda x: x.isNotNull()).alias("sides")).select("raster_id", "component", "row", "col", F.explode("sides").alias("s"))
+    step = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in _STEPS]), F.col("s.d") + 1)
+    begin = F.struct((F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"), F.lit(True).alias("out"))
+    end = F.struct((F.col("row") + F.col("s.r") + step(0)).alias("row"), (F.col("col") + F.col("s.c") + step(1)).alias("col"), F.lit(False).alias("out"))
+    places = met.select("raster_id", "component", F.col("s.d").alias("d"), F.explode(F.array(begin, end)).alias("at"))
+    at = places.groupBy("raster_id", F.col("at.row").alias("row"), F.col("at.col").alias("col")).agg(
+        F.collect_set(F.when(F.col("at.out"), F.col("d"))).alias("outs"), F.collect_list(F.when(~F.col("at.out"), F.struct("d", "component"))).alias("ins")
+    )
+    turned = lambda by: (F.col("in.d") + by) % 4
+    out = F.when(F.array_contains("outs", turned(1)), turned(1)).when(F.array_contains("outs", F.col("in.d")), F.col("in.d")).otherwise(turned(3))
+    corners = at.withColumn("in", F.explode("ins")).withColumn("d", out).where("d <> in.d")
+    number = F.shiftleft(F.col("row").cast("long"), 33) + F.col("col") * 4 + F.col("d")
+    corners = corners.select("raster_id", F.col("in.component").alias("component"), number.alias("id"), "row", "col", F.col("in.d").alias("before"), "d")
+    along = lambda d: F.when(d == 0, F.col("col")).when(d == 1, F.col("row")).when(d == 2, -F.col("col")).otherwise(-F.col("row"))
+    event = lambda d, begins: F.struct(d.alias("d"), F.when(d % 2 == 0, F.col("row")).otherwise(F.col("col")).alias("line"), along(d).alias("pos"), F.lit(begins).alias("begins"))
+    events = corners.withColumn("e", F.explode(F.array(event(F.col("before"), False), event(F.col("d"), True))))
+    line = Window.partitionBy("raster_id", "e.d", "e.line").orderBy("e.pos", "e.begins")
+    return events.withColumn("next", F.lead("id").over(line)).where("e.begins").select("raster_id", "component", "id", "row", "col", "next")
+
+
+def rank_rings(corners: DataFrame) -> DataFrame:
+    """``corners`` (``raster_id, id, next`` and others) with ``ring``, the smallest id of the ring, and ``nth``, the place in it from there, from 0.
+
+    By pointer doubling: after each round a corner knows the smallest id among twice as many
+    that follow it, and how far that is; when a round changes none of them all rings are closed. A ring
+    of n corners takes about log2(n) rounds, each a join that no ring is a key of.
+    """
+    state = settle(corners.select("raster_id", "id", F.col("next").alias("jump"), F.col("id").alias("least"), F.lit(0).cast("long").alias("off")), "ring_ranks")
+    span = 1
+    while True:
+        far = state.select(F.col("raster_id").alias("_r"), F.col("id").alias("_i"), F.col("jump").alias("_jump"), F.col("least").alias("_least"), F.col("off").alias("_off"))
+        met = state.join(far, (F.col("raster_id") == F.col("_r")) & (F.col("jump") == F.col("_i")))
+        less = F.col("_least") < F.col("least")
+        doubled = met.select("raster_id", "id", F.col("_jump").alias("jump"), F.least("least", "_least").alias("least"), F.when(less, F.col("_off") + span).otherwise(F.col("off")).alias("off"), less.alias("less"))
+        before, state, span = state, settle(doubled, "ring_ranks"), 2 * span
+        discard(before)
+        if state.where("less").isEmpty():
+            break
+    sizes = state.groupBy("raster_id", F.col("least").alias("ring")).agg(F.max("off").alias("most"))
+    ranked = state.join(sizes.withColumnRenamed("raster_id", "_r"), (F.col("raster_id") == F.col("_r")) & (F.col("least") == F.col("ring")))
+    nth = F.when(F.col("off") == 0, F.lit(0)).otherwise(F.col("most") + 1 - F.col("off"))
+    return corners.join(ranked.select("raster_id", "id", "ring", nth.cast("long").alias("nth")), ["raster_id", "id"])
+
+
 def trace_outlines(labelled: DataFrame, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0)) -> DataFrame:
     """Rings of each region in world units: ``raster_id, component, rings``; the outer ring first, holes after it.
 
-    Only pixels on an outline reach the grouped task, which chains their outer
-    sides; a region's polygon is one value, so its outline has to fit a row.
+    Corners are linked and ranked without any region in one task; only the
+    finished polygon is one value, so its corners have to fit a row. Larger ones are ordered rows of ``rank_rings``.
     """
     a, _, c, _, e, f = affine
-    across, down = Window.partitionBy("raster_id", "row").orderBy("col"), Window.partitionBy("raster_id", "col").orderBy("row")
-    gap = lambda w, k, fn: F.coalesce(F.abs(fn(k).over(w) - F.col(k)) != 1, F.lit(True))
-    sided = labelled.select(
-        "raster_id", "component", "row", "col",
-        gap(down, "row", F.lag).alias("top"), gap(down, "row", F.lead).alias("bottom"),
-        gap(across, "col", F.lag).alias("left"), gap(across, "col", F.lead).alias("right"),
-    ).where("top OR bottom OR left OR right")
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        follow: dict[tuple, list[tuple]] = {}
-        for r, k, top, bottom, left, right in pdf[["row", "col", "top", "bottom", "left", "right"]].itertuples(index=False):
-            # clockwise in image space, the region on the right hand
-            for on, start, end in ((top, (r, k), (r, k + 1)), (right, (r, k + 1), (r + 1, k + 1)), (bottom, (r + 1, k + 1), (r + 1, k)), (left, (r + 1, k), (r, k))):
-                if on:
-                    follow.setdefault(start, []).append(end)
-        rings = []
-        while follow:
-            start = min(follow)
-            ring, at, came = [start], start, None
-            while True:
-                ends = follow[at]
-                if len(ends) > 1 and came:  # two corners meet: turn right, which keeps regions 4-connected
-                    right = (came[1], -came[0])
-                    ends.sort(key=lambda p: (p[0] - at[0], p[1] - at[1]) != right)
-                to = ends.pop(0)
-                if not ends:
-                    del follow[at]
-                step = (to[0] - at[0], to[1] - at[1])
-                if came == step:
-                    ring[-1] = to
-                else:
-                    ring.append(to)
-                came, at = step, to
-                if at == start:
-                    break
-            rings.append([{"x": c + a * k, "y": f + e * r} for r, k in ring])
-        return pd.DataFrame({"raster_id": [pdf.raster_id.iloc[0]], "component": [pdf.component.iloc[0]], "rings": [rings]})
-
-    return sided.groupBy("raster_id", "component").applyInPandas(chain, "raster_id long, component long, rings array<array<struct<x: double, y: double>>>")
+    ranked = rank_rings(settle(outline_corners(labelled), "outline_corners"))
+    point = F.struct((F.lit(float(c)) + F.col("col") * a).alias("x"), (F.lit(float(f)) + F.col("row") * e).alias("y"))
+    rings = ranked.groupBy("raster_id", "component", "ring").agg(F.array_sort(F.collect_list(F.struct("nth", point.alias("p")))).alias("corners"))
+    points = F.transform("corners", lambda x: x["p"])
+    closed = rings.select("raster_id", "component", "ring", F.concat(points, F.slice(points, 1, 1)).alias("points"))
+    whole = closed.groupBy("raster_id", "component").agg(F.array_sort(F.collect_list(F.struct("ring", "points"))).alias("rings"))
+    return whole.select("raster_id", "component", F.transform("rings", lambda x: x["points"]).alias("rings"))

@@ -32,6 +32,13 @@ reach(n, m) AS (
   UNION
   SELECT r.n, b.n FROM reach r JOIN on_px a ON a.n = r.m JOIN on_px b ON b.raster_id = a.raster_id AND abs(a."row" - b."row") + abs(a.col - b.col) = 1),
 label AS (SELECT n, min(m) AS component FROM reach GROUP BY n)"""
+#: The parcels' edges: stars of eight corners, and the holes of every second one.
+PARCELS = """hub AS (SELECT s_suppkey AS id, 6 + s_suppkey * 29 % 52 AS cx, 6 + s_suppkey * 47 % 52 AS cy FROM supplier),
+corner AS (SELECT id, 0 AS ring, k, cx + dx * (2 + (id * (k + 3) * 7) % 4) AS x, cy + dy * (2 + (id * (k + 3) * 7) % 4) AS y
+    FROM hub, (VALUES (0, 1, 0), (1, 1, 1), (2, 0, 1), (3, -1, 1), (4, -1, 0), (5, -1, -1), (6, 0, -1), (7, 1, -1)) AS t(k, dx, dy)
+  UNION ALL SELECT id, 1, k, cx + dx, cy + dy FROM hub, (VALUES (0, 0, 1), (1, 1, 0), (2, 0, -1), (3, -1, 0)) AS t(k, dx, dy) WHERE id % 2 = 0),
+edge AS (SELECT p.id, p.x::DOUBLE AS x0, p.y::DOUBLE AS y0, q.x::DOUBLE AS x1, q.y::DOUBLE AS y1 FROM corner p
+  JOIN corner q ON q.id = p.id AND q.ring = p.ring AND q.k = (p.k + 1) % CASE p.ring WHEN 0 THEN 8 ELSE 4 END)"""
 #: Greedy choice in each heap, in the order of ``o`` (id, heap, place k, ids of its neighbours).
 GREEDY = """turn(heap, k, kept) AS (
   SELECT DISTINCT heap, 0::BIGINT, []::BIGINT[] FROM o
@@ -42,6 +49,13 @@ LOGITS = """x AS (SELECT event_id, event_type, (event_id * 37 % 2000 - 1000) / 2
   CASE WHEN event_id * 13 % 7 < 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM events)"""
 
 
+def _far(x: str, y: str, e: str) -> str:
+    """Square of the distance from a point to an edge."""
+    dx, dy = f"({e}x1 - {e}x0)", f"({e}y1 - {e}y0)"
+    t = f"greatest(0, least(1, (({x} - {e}x0) * {dx} + ({y} - {e}y0) * {dy}) / ({dx} * {dx} + {dy} * {dy})))"
+    return f"(pow({x} - {e}x0 - {t} * {dx}, 2) + pow({y} - {e}y0 - {t} * {dy}, 2))"
+
+
 def _stretch(b: str, lo: str, hi: str) -> str:
     return f"CASE WHEN {hi} - {lo} < 1e-8 THEN 0.0::DOUBLE ELSE greatest(0.0, least(1.0, ({b} - {lo}) / ({hi} - {lo}))) END"
 
@@ -131,6 +145,28 @@ def oracle_sql() -> dict[str, str]:
         110.0::DOUBLE + 10 * max(col) AS xmax, 900.0::DOUBLE - 20 * min("row") AS ymax FROM s GROUP BY raster_id, component HAVING count(*) >= 3)
       SELECT raster_id, component, area_px, round(mean_value, 6) AS mean_value, perimeter, round(cx, 6) AS centroid_x, round(cy, 6) AS centroid_y, xmin, ymin, xmax, ymax,
         area_px * 200.0::DOUBLE AS area, round(4 * pi() * area_px * 200 / (perimeter * perimeter), 6) AS compactness FROM g"""
+    q["rasterize_outlines"] = f'WITH RECURSIVE {LABELS} SELECT raster_id, component, "row", col FROM on_px JOIN label USING (n)'
+    # even-odd rule: crossings to the right of a point
+    cross = lambda x, y: f"(least(y0, y1) <= {y} AND {y} < greatest(y0, y1) AND x0 + ({y} - y0) * (x1 - x0) / (y1 - y0) > {x})"
+    q["rasterize_parcels"] = f"""WITH {OBS}, {PARCELS}, px AS (SELECT DISTINCT "row", col FROM obs),
+      hit AS (SELECT "row", col FROM px, edge WHERE {cross("col + 0.5::DOUBLE", '63.5::DOUBLE - "row"')} GROUP BY "row", col, id HAVING count(*) % 2 = 1)
+      SELECT "row", col, CASE WHEN ("row", col) IN (SELECT ("row", col) FROM hit) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM px"""
+    q["parcels_of_points"] = f"""WITH {PARCELS}, p AS (SELECT o_orderkey AS point_id, (o_orderkey * 37 % 6400) / 100.0::DOUBLE + 0.005::DOUBLE AS x, (o_custkey * 53 % 6400) / 100.0::DOUBLE + 0.005::DOUBLE AS y FROM orders)
+      SELECT point_id, id FROM p, edge WHERE {cross("x", "y")} GROUP BY point_id, id HAVING count(*) % 2 = 1"""
+    both = "greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))"
+    q["box_overlay"] = f"""WITH {DET}, bx AS (SELECT id, lon_c - half_c AS x0, lat_c - half_c AS y0, lon_c + half_c AS x1, lat_c + half_c AS y1 FROM det),
+      m AS (SELECT a.id AS a, b.id AS b, ({both})::DOUBLE AS common, ((a.x1 - a.x0) * (a.y1 - a.y0))::DOUBLE AS area_a, ((b.x1 - b.x0) * (b.y1 - b.y0))::DOUBLE AS area_b
+        FROM bx a JOIN bx b ON b.x0 BETWEEN a.x0 - 102 AND a.x0 + 102 AND a.id < b.id)
+      SELECT a, b, common, area_a, area_b, round(common / (area_a + area_b - common), 6) AS iou FROM m WHERE common > 0"""
+    q["parcel_distances"] = f"""WITH {PARCELS},
+      n AS (SELECT a.id AS a, b.id AS b, a.x0 AS ax0, a.y0 AS ay0, a.x1 AS ax1, a.y1 AS ay1, b.x0 AS bx0, b.y0 AS by0, b.x1 AS bx1, b.y1 AS by1 FROM edge a JOIN edge b ON a.id < b.id),
+      s AS (SELECT a, b, CASE WHEN sign((ax1 - ax0) * (by0 - ay0) - (ay1 - ay0) * (bx0 - ax0)) * sign((ax1 - ax0) * (by1 - ay0) - (ay1 - ay0) * (bx1 - ax0)) < 0
+          AND sign((bx1 - bx0) * (ay0 - by0) - (by1 - by0) * (ax0 - bx0)) * sign((bx1 - bx0) * (ay1 - by0) - (by1 - by0) * (ax1 - bx0)) < 0 THEN 0.0::DOUBLE
+          ELSE least({_far("ax0", "ay0", "b")}, {_far("ax1", "ay1", "b")}, {_far("bx0", "by0", "a")}, {_far("bx1", "by1", "a")}) END AS d2 FROM n),
+      c AS (SELECT id, any_value(x) AS x, any_value(y) AS y FROM (SELECT id, x, y, row_number() OVER (PARTITION BY id ORDER BY x, y) AS nth FROM corner) WHERE nth = 1 GROUP BY id),
+      h AS (SELECT least(c.id, e.id) AS a, greatest(c.id, e.id) AS b, 0.0::DOUBLE AS d2 FROM c JOIN edge e ON e.id <> c.id WHERE {cross("c.x", "c.y").replace("x0", "e.x0").replace("y0", "e.y0").replace("x1", "e.x1").replace("y1", "e.y1")}
+        GROUP BY c.id, e.id HAVING count(*) % 2 = 1)
+      SELECT a, b, round(sqrt(min(d2)), 6) AS distance FROM (SELECT * FROM s UNION ALL SELECT * FROM h) GROUP BY a, b HAVING min(d2) <= 9"""
     q["dedupe_dbscan"] = f"""WITH RECURSIVE {DET}, e AS (SELECT a.id AS a, b.id AS b FROM det a JOIN det b ON b.lon_c BETWEEN a.lon_c - 2 AND a.lon_c + 2 AND b.lat_c BETWEEN a.lat_c - 2 AND a.lat_c + 2
           AND pow(a.lon_c - b.lon_c, 2) + pow(a.lat_c - b.lat_c, 2) <= 4),
       r(a, b) AS (SELECT id, id FROM det UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
@@ -157,6 +193,10 @@ def oracle_sql() -> dict[str, str]:
       o AS (SELECT r.id, heap, row_number() OVER (PARTITION BY heap ORDER BY score DESC, r.id) AS k, coalesce(nb.ids, []) AS ids FROM rated r LEFT JOIN (SELECT a, list(b) AS ids FROM e GROUP BY a) nb ON nb.a = r.id),
       {GREEDY}
       SELECT id, area_px, score FROM rated JOIN stays USING (id)"""
+    q["dedupe_polygons"] = q["dedupe_regions"]
+    q["outline_overlay"] = q["dedupe_regions"].partition("      e AS (")[0].rstrip().removesuffix(",") + """
+      SELECT a, b, common::DOUBLE AS common, x.area_px::DOUBLE AS area_a, y.area_px::DOUBLE AS area_b, round(common / (x.area_px + y.area_px - common)::DOUBLE, 6) AS iou
+      FROM shared JOIN rated x ON x.id = a JOIN rated y ON y.id = b WHERE a % 2 = 0 AND b % 2 = 1"""
     # corners and holes of a region follow from the 2 x 2 blocks of pixels around each lattice point
     q["outline_measures"] = f"""WITH RECURSIVE {LABELS}, px AS (SELECT raster_id, component, "row" AS r, col AS c FROM on_px JOIN label USING (n)),
       quad AS (SELECT raster_id, component, r + dr AS y, c + dc AS x, count(*) AS n, min(dr * 2 + dc) AS u, max(dr * 2 + dc) AS v FROM px, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS t(dr, dc) GROUP BY ALL),
@@ -166,6 +206,20 @@ def oracle_sql() -> dict[str, str]:
       j AS (SELECT a.raster_id, a.component, count(*) AS touching FROM px a JOIN px b ON a.raster_id = b.raster_id AND abs(a.r - b.r) + abs(a.c - b.c) = 1 GROUP BY a.raster_id, a.component)
       SELECT raster_id, component, CAST(2 - euler AS INT) AS rings, CAST(corners AS INT) AS corners, n::DOUBLE AS area, (4 * n - coalesce(touching, 0))::DOUBLE AS length
       FROM c JOIN m USING (raster_id, component) LEFT JOIN j USING (raster_id, component)"""
+    # from side to side: each outline is walked from every side, and the walk from its smallest one counts
+    q["region_outlines"] = f"""WITH RECURSIVE {LABELS}, px AS (SELECT raster_id, component, "row" AS r, col AS c FROM on_px JOIN label USING (n)),
+      side AS (SELECT p.raster_id, p.component, p.r + sr AS r, p.c + sc AS c, d FROM px p, (VALUES (0, 0, 0, -1, 0), (1, 0, 1, 0, 1), (2, 1, 1, 1, 0), (3, 1, 0, 0, -1)) AS t(d, sr, sc, nr, nc)
+        WHERE NOT EXISTS (SELECT 1 FROM px q WHERE q.raster_id = p.raster_id AND q.r = p.r + nr AND q.c = p.c + nc)),
+      link AS (SELECT *, row_number() OVER (PARTITION BY raster_id, id ORDER BY choice) AS nth FROM (
+        SELECT a.raster_id, a.component, a.r * 10000 + a.c * 4 + a.d AS id, b.r * 10000 + b.c * 4 + b.d AS next, a.d <> b.d AS turned, CASE (b.d - a.d + 4) % 4 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END AS choice
+        FROM side a JOIN side b ON b.raster_id = a.raster_id AND b.r = a.r + CASE a.d WHEN 1 THEN 1 WHEN 3 THEN -1 ELSE 0 END AND b.c = a.c + CASE a.d WHEN 0 THEN 1 WHEN 2 THEN -1 ELSE 0 END)),
+      way AS (SELECT raster_id, component, id, next, turned FROM link WHERE nth = 1),
+      walk(raster_id, component, ring, id, k, corner) AS (
+        SELECT raster_id, component, id, id, 0, true FROM way
+        UNION ALL SELECT w.raster_id, w.component, w.ring, v.next, w.k + 1, v.turned FROM walk w JOIN way v ON v.raster_id = w.raster_id AND v.id = w.id WHERE v.next <> w.ring),
+      spot AS (SELECT *, '[' || CAST((id % 10000) // 4 AS DOUBLE) || ',' || CAST(0 - id // 10000 AS DOUBLE) || ']' AS p FROM walk WHERE ring = (SELECT min(id) FROM walk u WHERE u.raster_id = walk.raster_id AND u.ring = walk.ring)),
+      ring AS (SELECT raster_id, component, ring, '[' || string_agg(p, ',' ORDER BY k) FILTER (corner) || ',' || min_by(p, k) || ']' AS ps FROM spot GROUP BY ALL)
+      SELECT raster_id, component, '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[' || string_agg(ps, ',' ORDER BY ring) || ']}},"properties":{{"component":' || component || '}}}}' AS feature FROM ring GROUP BY raster_id, component"""
     q["scan_and_detect"] = f"""WITH RECURSIVE {INFER}, on_px AS (SELECT "row" AS r, col AS c, prob AS value, "row" * 64 + col AS n FROM prob WHERE prob >= 0.62),
       walk(n, m) AS (SELECT n, n FROM on_px UNION SELECT w.n, b.n FROM walk w JOIN on_px a ON a.n = w.m JOIN on_px b ON abs(a.r - b.r) + abs(a.c - b.c) = 1),
       px AS (SELECT o.*, l.component FROM on_px o JOIN (SELECT n, min(m) AS component FROM walk GROUP BY n) l USING (n)),

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from rastra import sinks
 from rastra.functions import algebra, geo
 from rastra.functions.algebra import BANDS
-from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, regions
+from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, polygons, regions
 from rastra.plans import pipelines
 from rastra.sources import fixtures, manifests, rasters
 from rastra.sources.fixtures import EDGE
-from rastra.storage import scratch
+from rastra.storage import scratch, settle
 
 #: Tiling of the 64 x 64 raster.
 TILE, OVERLAP = 16, 4
@@ -172,6 +172,64 @@ def outline_measures(s: SparkSession, d: str) -> DataFrame:
     return rings.select("raster_id", "component", F.size("rings").alias("rings"), corners.alias("corners"), area.alias("area"), length.alias("length"))
 
 
+def rasterize_outlines(s: SparkSession, d: str) -> DataFrame:
+    """The pixels inside each region's traced outline."""
+    on = fixtures.chips(s, d).where(algebra.at_least("value", 0.1))
+    rings = regions.trace_outlines(regions.label_regions(on, 8, 64), (10.0, 0.0, 100.0, 0.0, -20.0, 900.0))
+    return polygons.rasterize_polygons(rings, ["raster_id", "component"], (10.0, 0.0, 100.0, 0.0, -20.0, 900.0), 8, 8)
+
+
+def rasterize_parcels(s: SparkSession, d: str) -> DataFrame:
+    """Parcels of any shape burnt into the grid of a raster."""
+    parcels = fixtures.parcels(s, d)
+    return polygons.burn_polygons(temporal_median(s, d).select("row", "col"), parcels, (1.0, 0.0, 0.0, 0.0, -1.0, 64.0), EDGE, EDGE)
+
+
+def parcels_of_points(s: SparkSession, d: str) -> DataFrame:
+    """Orders placed on the map of parcels, and the parcels that hold each."""
+    spots = fixtures.read(s, d, "orders").selectExpr("o_orderkey AS point_id", "(o_orderkey * 37 % 6400) / 100.0D + 0.005D AS x", "(o_custkey * 53 % 6400) / 100.0D + 0.005D AS y")
+    return polygons.points_in_polygons(spots, fixtures.parcels(s, d), 4.0, 8.0)
+
+
+def box_overlay(s: SparkSession, d: str) -> DataFrame:
+    """IoU of detections' boxes, taken as polygons."""
+    ring = lambda *at: F.array(*[F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) for x, y in at])
+    boxes = fixtures.detections(s, d).select("id", F.array(ring(("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"))).alias("rings"))
+    over = polygons.polygon_overlay(boxes, boxes, 128.0, 100.0, extra=F.col("l.id") < F.col("r.id"))
+    return _r(over, "iou").select("a", "b", "common", "area_a", "area_b", "iou")
+
+
+def _outlines_of_two_runs(s: SparkSession, d: str) -> DataFrame:
+    """Outlines of the regions of two thresholds, each raster's in a square of its own on one map."""
+    parts = []
+    for run, threshold in enumerate((0.05, 0.1)):
+        on = regions.label_regions(fixtures.chips(s, d).where(algebra.at_least("value", threshold)), 8, 64)
+        rings = regions.trace_outlines(on)
+        moved = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + F.col("raster_id") % 64 * 10).alias("x"), (p["y"] + F.floor(F.col("raster_id") / 64) * 10).alias("y"))))
+        rated = on.groupBy("component").agg(F.round(F.avg("value"), 6).alias("score"), F.count("*").alias("area_px"))
+        parts.append(rings.withColumn("rings", moved).join(rated, "component").select((F.col("component") * 2 + run).alias("id"), "rings", "score", "area_px"))
+    return settle(parts[0].unionByName(parts[1]), "outlines")
+
+
+def outline_overlay(s: SparkSession, d: str) -> DataFrame:
+    """IoU of the outlines of two thresholds, by their polygons."""
+    outlines = _outlines_of_two_runs(s, d)
+    over = polygons.polygon_overlay(outlines.where("id % 2 = 0"), outlines.where("id % 2 = 1"), 1.0, 8.0)
+    return _r(over, "iou").select("a", "b", "common", "area_a", "area_b", "iou")
+
+
+def dedupe_polygons(s: SparkSession, d: str) -> DataFrame:
+    """Regions of two thresholds without those whose polygon repeats a better one's."""
+    return polygons.suppress_polygons(_outlines_of_two_runs(s, d), 0.5, 1.0, 8.0).select("id", "area_px", "score")
+
+
+def parcel_distances(s: SparkSession, d: str) -> DataFrame:
+    """Parcels at most three units apart."""
+    parcels = fixtures.parcels(s, d)
+    near = polygons.polygon_distances(parcels, parcels, 3.0, 4.0).where("a < b")
+    return _r(near, "distance")
+
+
 def dedupe_dbscan(s: SparkSession, d: str) -> DataFrame:
     clustered = dedupe.cluster(_points(fixtures.detections(s, d)).select("id", "x", "y", "score"), EPS_C)
     return dedupe.best_of_cluster(clustered).select("id", "score", "cluster")
@@ -326,7 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
-        latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
+        latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, rasterize_outlines, rasterize_parcels, parcels_of_points, box_overlay, outline_overlay, parcel_distances, dedupe_polygons, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
         scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, raster_files, chip_files, evidence_rgb, geojson_features,
         health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, scan_and_detect,
     ]

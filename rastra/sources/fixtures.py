@@ -93,3 +93,14 @@ def chips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 rasters, one a vector: ``raster_id, row, col, value``."""
     e = read(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
     return e.selectExpr("vec_id AS raster_id", "CAST(pos DIV 8 AS INT) AS row", "CAST(pos % 8 AS INT) AS col", "CAST(x AS DOUBLE) AS value")
+
+
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stars of eight corners on whole numbers, on a map of 64 x 64, some with a hole; one a supplier."""
+    s = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "6 + s_suppkey * 29 % 52 AS cx", "6 + s_suppkey * 47 % 52 AS cy")
+    ways = ((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))
+    reach = lambda k: 2 + (F.col("id") * (k + 3) * 7) % 4
+    point = lambda x, y: F.struct((F.col("cx") + x).cast("double").alias("x"), (F.col("cy") + y).cast("double").alias("y"))
+    star = F.array(*[point(reach(k) * dx, reach(k) * dy) for k, (dx, dy) in enumerate(ways)])
+    hole = F.array(point(F.lit(0), F.lit(1)), point(F.lit(1), F.lit(0)), point(F.lit(0), F.lit(-1)), point(F.lit(-1), F.lit(0)))
+    return s.select("id", F.when(F.col("id") % 2 == 0, F.array(star, hole)).otherwise(F.array(star)).alias("rings"))
