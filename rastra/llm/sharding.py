@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -27,49 +26,44 @@ def order_key(text: Column, doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(text), above) * below + F.pmod(F.xxhash64(F.lit(7), doc_id), below)
 
 
-def find_splitters(keyed: DataFrame, n_parts: int, tolerance: float = 0.002) -> list[int]:
-    """The ``n_parts - 1`` keys that cut ``keyed`` (``key, size``) into parts of near equal bytes.
+def find_splitters(keyed: DataFrame, n_parts: int, tolerance: float = 0.002, bits: int = 10) -> DataFrame:
+    """``nth, splitter``: the ``n_parts - 1`` keys that cut ``keyed`` (``key, size``) into parts of near equal bytes.
 
-    Every round counts the exact bytes below equally spaced probes in each bin
+    Every round counts the exact bytes below equally spaced probes, ``1 << bits`` in each bin
     that still holds an unsettled splitter; a splitter is settled when the bytes
-    below its best probe are within ``tolerance`` of a part of its target. A
-    round brings at most 65,536 counts, or four a part, to the driver.
+    below its best probe are within ``tolerance`` of a part of its target. Bins, counts and splitters
+    are tables throughout; the open bins, at most one a splitter and 16 bytes each, and the numbers of the settled splitters are sent to
+    all tasks, and the driver learns just whether there are any. Rows of no size count for nothing.
     """
-    bits = max(2, min(10, int(math.log2(65536 / n_parts))))
+    spark = keyed.sparkSession
     total = keyed.agg(F.sum("size")).first()[0] or 0
-    if not total:
-        return [0] * (n_parts - 1)
-    wanted = {i: total * i / n_parts for i in range(1, n_parts)}
-    slack = tolerance * total / n_parts
-    splitters: dict[int, int] = {}
-    open_bins, resolved = {0: 0}, 0  # a bin's prefix and the bytes below it
-    while len(splitters) < len(wanted):
+    if not total or n_parts < 2:
+        return spark.range(1, max(n_parts, 1)).select(F.col("id").alias("nth"), F.lit(0).cast("long").alias("splitter"))
+    slack, n = F.lit(tolerance * total / n_parts), F.lit(float(n_parts))
+    nth_at = lambda low: F.ceil(low * n / F.lit(float(total))).cast("long")  # noqa: E731  the first splitter that wants as many bytes below it
+    open_ = spark.range(1).select(F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
+    found, resolved = None, 0
+    while True:
         step = min(bits, KEY_BITS - resolved)
         resolved += step
         up = KEY_BITS - resolved
-        rows = keyed.where(F.shiftright("key", up + step).isin(sorted(open_bins)))
-        counts = rows.groupBy(F.shiftright("key", up).alias("bin")).agg(F.sum("size").alias("size")).collect()
-        inside: dict[int, list[tuple[int, int]]] = {}
-        for r in counts:
-            inside.setdefault(r["bin"] >> step, []).append((r["bin"], r["size"]))
-        narrower: dict[int, int] = {}
-        for parent, bins in sorted(inside.items()):
-            edges, below = [], [open_bins[parent]]
-            for prefix, size in sorted(bins):
-                edges.append(prefix)
-                below.append(below[-1] + size)
-            edges.append((parent + 1) << step)
-            for i, want in wanted.items():
-                if i in splitters or not below[0] <= want <= below[-1]:
-                    continue
-                j = min(bisect.bisect_right(below, want) - 1, len(edges) - 2)
-                near = j if want - below[j] <= below[j + 1] - want else j + 1
-                if abs(below[near] - want) <= slack or up == 0:
-                    splitters[i] = edges[near] << up
-                else:
-                    narrower[edges[j]] = below[j]
-        open_bins = narrower
-    return [splitters[i] for i in range(1, n_parts)]
+        bins = keyed.select(F.shiftright("key", up).alias("bin"), F.shiftright("key", up + step).alias("prefix"), "size").join(F.broadcast(open_), "prefix")
+        counts = bins.groupBy("prefix", "below", "bin").agg(F.sum("size").alias("size")).where("size > 0")
+        before = Window.partitionBy("prefix").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as probes
+        placed = counts.withColumn("low", F.col("below") + F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("high", F.col("low") + F.col("size"))
+        inside = placed.withColumns({"first": F.greatest(nth_at(F.col("low")), F.lit(1)), "last": F.least(nth_at(F.col("high")) - 1, F.lit(n_parts - 1))}).where("first <= last")
+        each = inside.withColumn("nth", F.explode(F.sequence("first", "last"))).withColumn("want", F.col("nth") * F.lit(float(total)) / n)
+        if found is not None:  # a bin may hold both kinds
+            each = each.join(F.broadcast(found.select("nth")), "nth", "left_anti")
+        under, over = F.col("want") - F.col("low"), F.col("high") - F.col("want")
+        settled = (F.least(under, over) <= slack) | F.lit(up == 0)
+        nearest = F.shiftleft(F.when(under <= over, F.col("bin")).otherwise(F.col("bin") + 1), up)
+        judged = settle(each.select("nth", "bin", "low", F.when(settled, nearest).alias("splitter")), "shard_probes")
+        done = judged.where("splitter IS NOT NULL").select("nth", "splitter")
+        found = done if found is None else found.unionByName(done)
+        open_ = judged.where("splitter IS NULL").select(F.col("bin").alias("prefix"), F.col("low").alias("below")).distinct()
+        if open_.isEmpty():
+            return found
 
 
 def _sorted_once(table: DataFrame, by: str, value: str) -> Column:
@@ -129,15 +123,14 @@ def shard_by_bytes(
     try:
         total = narrow.agg(F.sum("size")).first()[0] or 0
         per = max(1, math.ceil(total / n_shards / cell_bytes))
-        splitters = find_splitters(narrow, n_shards * per, tolerance)
-        edges = df.sparkSession.createDataFrame([(i, key) for i, key in enumerate(splitters)], "nth long, splitter long")
-        edges = settle(edges, "shard_splitters")
-        counts = df.sparkSession.range(n_shards * per).select(F.col("id").cast("int").alias("cell")).join(_with_cells(narrow, edges, len(splitters)).groupBy("cell").count(), "cell", "left")
+        edges = settle(find_splitters(narrow, n_shards * per, tolerance), "shard_splitters")
+        splitters = n_shards * per - 1
+        counts = df.sparkSession.range(n_shards * per).select(F.col("id").cast("int").alias("cell")).join(_with_cells(narrow, edges, splitters).groupBy("cell").count(), "cell", "left")
         before = Window.partitionBy(F.floor(F.col("cell") / F.lit(per))).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # a row a cell
         starts = settle(counts.select("cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")), "shard_starts")
     finally:
         narrow.unpersist()
-    placed = _with_cells(sized, edges, len(splitters))
+    placed = _with_cells(sized, edges, splitters)
     order = Window.partitionBy("cell").orderBy(F.shiftright("key", _DOC_BITS), "print", "key", ident, "text_crc32", "size")
     numbered = placed.withColumn("nth", F.row_number().over(order) - 1)
     own = {"size", "text_crc32", "shard", "slot"}

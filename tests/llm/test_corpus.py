@@ -707,3 +707,20 @@ def test_pipeline_takes_any_rows(spark, request, kind):
             assert docs.join(before.select(*[F.col(c).alias(f"b_{c}") for c in before.columns]), [docs[c].eqNullSafe(F.col(f"b_{c}")) for c in before.columns], "left_anti").isEmpty()
             assert docs.isEmpty() == before.isEmpty()
     assert docs.count() == before.count()
+
+
+def test_thousands_of_splitters(spark):
+    """Each splitter has the bytes below it that it wants, to a row; heavy keys take several splitters."""
+    rows = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 62)).alias("key"), (16 + F.col("id") % 50).alias("size"))
+    rows = rows.unionByName(spark.createDataFrame([(1 << 61, 40_000), (0, 0), (3, 0)], "key long, size long"))
+    found = {r["nth"]: r["splitter"] for r in sharding.find_splitters(rows, 4000).collect()}
+    data = sorted(map(tuple, rows.collect()))
+    total = sum(s for _, s in data)
+    below = np.concatenate([[0], np.cumsum([s for _, s in data])])
+    keys = np.array([k for k, _ in data])
+    assert sorted(found) == list(range(1, 4000)) and [found[i] for i in range(1, 4000)] == sorted(found.values())
+    for i, key in found.items():
+        at = np.searchsorted(keys, key)
+        near = below[max(0, np.searchsorted(below, total * i / 4000) - 1) :][:2]
+        assert min(abs(near - total * i / 4000)) >= abs(below[at] - total * i / 4000) - 0.002 * total / 4000
+    assert sharding.find_splitters(rows, 1).count() == 0 and sharding.find_splitters(rows.limit(0), 5).count() == 4
