@@ -100,6 +100,8 @@ class _Index:
     """
 
     def __init__(self, reps: int, min_match: int, max_bits: int):
+        if not 0 < min_match <= 8 - max_bits // reps:
+            raise ValueError(f"{reps} x 64 bits of which {max_bits} differ guarantee no {min_match} equal bytes in any repetition")
         self.reps, self.max_bits = reps, max_bits
         self.choices = list(combinations(range(_BYTES), min_match))
         masks = np.arange(1 << _BYTES)
@@ -213,8 +215,9 @@ def near_links(nodes: DataFrame, reps: int = 1, min_match: int = 4, max_bits: in
 
     ``nodes`` has distinct ``node, f0 ..``. Pairs whose tally of shared
     positional bytes reaches ``min_match`` in some repetition are verified: at
-    most ``max_bits`` of all bits may differ. With 64 bits, four differing bits
-    leave four bytes equal, so that nothing is missed. A list of over
+    most ``max_bits`` of all bits may differ. Some repetition has at most its share of the differing
+    bits, each of which spoils one byte at most; parameters that ask for more equal bytes than
+    that leaves are refused, so nothing is missed. A list of over
     ``block_rows`` members is compared block against block in separate tasks.
     """
     index = _Index(reps, min_match, max_bits)

@@ -328,10 +328,13 @@ def token_digests(path: str, manifest: DataFrame) -> DataFrame:
     return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_tokens(spark: SparkSession, path: str, columns: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
+def read_tokens(manifest: DataFrame, columns: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
     """The token table for selective reads; filters on ``doc_id`` skip row groups and pages.
 
-    Of a folder in which tasks were retried, files that are absent from the
-    manifest must be left out by the caller.
+    Reads the files that the manifest of ``write_tokens`` lists, a name a file, so what attempts that were run again have
+    left in the folder is not read. A manifest without files gives an empty table. Null ids stay null, and rows that share an id are all there.
     """
-    return spark.read.parquet(path).select(*columns)
+    spark = manifest.sparkSession
+    files = [r["file"] for r in manifest.select("file").toLocalIterator()]
+    kinds = "doc_id bigint, n_tokens bigint, local_start bigint, ids array<int>"
+    return (spark.read.schema(kinds).parquet(*files) if files else spark.createDataFrame([], kinds)).select(*columns)

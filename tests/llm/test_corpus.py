@@ -106,11 +106,17 @@ def test_near_duplicates_of_several_repetitions(spark):
         near[150] = "changed"
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
     docs = spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, f0 string, component_id int")
-    kept = simhash.drop_near_duplicates(docs, shingle=5, reps=4, min_match=3, max_bits=42)
+    kept = simhash.drop_near_duplicates(docs, shingle=5, reps=4, min_match=2, max_bits=27)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
 
 
+@pytest.mark.parametrize("lossy", [{"reps": 4, "min_match": 3, "max_bits": 42}, {"min_match": 5}, {"max_bits": 8, "min_match": 1}, {"min_match": 0}])
+def test_parameters_that_lose_links_are_refused(spark, small, lossy):
+    with pytest.raises(ValueError, match="guarantee"):
+        simhash.drop_near_duplicates(small, **lossy)
+
+
 @pytest.mark.parametrize("all_linked", [False, True])
 def test_near_duplicates_stay_by_row(spark, all_linked):
     rng = random.Random(9)
@@ -373,10 +379,18 @@ def test_token_files_have_pages_indexed_and_selective_reads(spark, small):
     files = [r["file"] for r in manifest.collect()]
     chunk = pq.ParquetFile(files[0]).metadata.row_group(0).column(0)
     assert chunk.has_offset_index and chunk.has_column_index and chunk.statistics.has_min_max
-    some = tokens.read_tokens(spark, path, ("doc_id", "n_tokens")).where("doc_id < 10")
+    some = tokens.read_tokens(manifest, ("doc_id", "n_tokens")).where("doc_id < 10")
     assert some.count() == small.where("doc_id < 10").count()
 
 
+def test_a_second_attempt_is_not_read(spark, small):
+    path, _ = tokens.write_tokens(small, queries.tokenizer_file())
+    _, manifest = tokens.write_tokens(small, queries.tokenizer_file(), path=path)
+    assert spark.read.parquet(path).count() == 2 * small.count()
+    assert tokens.read_tokens(manifest).count() == small.count() == tokens.token_digests(path, manifest).count()
+    assert tokens.read_tokens(manifest.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("text", ["a b", " a", "a  b", "a \u00a0 b", "it's 3 o'clock", "<|endoftext|> x", "x\ny z", "é è", "\u2003a b\u2003 c", "a\u0085 b", "tab\t x", "one <|endoftext|> two", "a<|endoftext|>"])
 def test_chunked_encoding_equals_the_tokenizers_own(text):
     from tokenizers import Tokenizer
