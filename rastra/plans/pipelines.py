@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from rastra import sinks
 from rastra.functions import geo
 from rastra.functions.algebra import BANDS, composite_score, index_columns, mask_clouds, score_evidence
-from rastra.operators import catalog, composite, dedupe, grid, inference, joins, regions
-from rastra.sources import manifests
+from rastra.operators import catalog, composite, dedupe, grid, inference, joins, regions, serving
+from rastra.sources import manifests, rasters
+from rastra.sources.manifests import Settings
 from rastra.storage import settle
 
 
@@ -70,6 +72,21 @@ def composites_of_areas(aois: DataFrame, scenes: DataFrame, looks: DataFrame, st
     return made.join(F.broadcast(chosen.select("aoi").distinct().withColumn("raster_id", area_number("aoi"))), "raster_id")  # a row an area of the configuration
 
 
+def detect_in_files(spark: SparkSession, path: str, model: inference.Model, tile: int, overlap: int, **options) -> DataFrame:
+    """Detect in composites that are raster files of one grid; size and affine are what their headers say. Grids that differ, and files that can't be read, are an error."""
+    files = rasters.raster_files(spark, path)
+    broken = files.where("error IS NOT NULL").select("path", "error").head(3)
+    if broken:
+        raise ValueError(f"unreadable files: {[tuple(r) for r in broken]}")
+    base = F.struct("affine.a", "affine.b", (F.col("affine.c") - F.col("affine.b") * F.col("row_off")).alias("c"), "affine.d", "affine.e", (F.col("affine.f") - F.col("affine.e") * F.col("row_off")).alias("f"))
+    grids = files.groupBy("raster_id").agg(F.max(F.col("row_off") + F.col("height")).alias("height"), F.max("width").alias("width"), F.collect_set(base).alias("grids"))
+    found = grids.select("height", "width", F.explode("grids").alias("affine")).distinct().head(2)
+    if len(found) != 1:
+        raise ValueError("the files are of no grid or of more than one")
+    pixels = manifests.blocks_to_pixels(rasters.read_rasters(spark, path))
+    return scan_and_detect(pixels, model, tile, overlap, found[0]["height"], found[0]["width"], affine=tuple(found[0]["affine"]), **options)
+
+
 def area_number(name: str) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(1 << 31))
 
@@ -110,7 +127,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--chips", help="manifest of chips, written by ingest")
     parser.add_argument("--detections", help="table of detections, written by detect")
     parser.add_argument("--model", default="baseline", help="name of a model or the folder of a saved one; train writes the folder")
-    parser.add_argument("--size", nargs=2, type=int, required=True, metavar=("HEIGHT", "WIDTH"))
+    parser.add_argument("--model-server", help="address of a model server that scores instead; MODEL_SERVER in the environment does as well")
+    parser.add_argument("--raster-files", help="folder of composites as raster files, read by detect instead of the table; their headers give size and affine")
+    parser.add_argument("--size", nargs=2, type=int, default=[0, 0], metavar=("HEIGHT", "WIDTH"), help="of the composite's table")
     parser.add_argument("--affine", nargs=6, type=float, default=[10.0, 0.0, 0.0, 0.0, -10.0, 0.0])
     parser.add_argument("--utm-zone", type=int, help="zone of a raster in metres, into which sites are projected; without it the raster is in degrees")
     parser.add_argument("--tile", type=int, default=256)
@@ -129,9 +148,11 @@ def main(argv: list[str] | None = None) -> None:
         model = label_and_train(spark.read.parquet(args.composite), site_buffers(spark, args.sites, args.utm_zone), affine)
         model.save(spark, args.model)
     if args.command in ("detect", "full"):
-        pixels = spark.read.parquet(args.composite)
-        model = inference.choose_model(spark, args.model)
-        found = scan_and_detect(pixels, model, args.tile, args.tile // 4, height, width, args.threshold, affine=affine)
+        model = serving.choose_model(spark, args.model, replace(Settings.load(), model_server=args.model_server) if args.model_server else Settings.load())
+        if args.raster_files:
+            found = detect_in_files(spark, args.raster_files, model, args.tile, args.tile // 4, threshold=args.threshold)
+        else:
+            found = scan_and_detect(spark.read.parquet(args.composite), model, args.tile, args.tile // 4, height, width, args.threshold, affine=affine)
         sinks.store_detections(found, args.detections, args.model_version)
 
 
