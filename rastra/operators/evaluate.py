@@ -91,17 +91,33 @@ def precision_recall(rows: DataFrame, logit: str = "logit", target: str = "targe
     )
 
 
+def _bucket(x: Column, cuts: list[float]) -> Column:
+    """How many of the ascending cuts are at or below ``x``, by binary search in one array."""
+    if not cuts:
+        return F.lit(0)
+    listed = F.array(*[F.lit(float(c)) for c in cuts])
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+
+    def halve(r: Column, _: Column) -> Column:
+        middle = F.floor((r["lo"] + r["hi"]) / 2).cast("int")
+        left = (r["lo"] < r["hi"]) & (x < F.get(listed, middle))
+        right = (r["lo"] < r["hi"]) & ~left
+        return F.struct(F.when(right, middle + 1).otherwise(r["lo"]).alias("lo"), F.when(left, middle).otherwise(r["hi"]).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length())), start, halve)["lo"]
+
+
 def auroc(rows: DataFrame, score: Column, target: str = "target", buckets: int = 1024) -> DataFrame:
     """Area under the ROC curve by ranks, ties counting half; null if a class is absent.
 
-    Rows are summed by score first and ranked in ``buckets`` between the lowest and the highest score.
+    Rows are summed by score first and ranked in ``buckets`` whose limits are quantiles of the distinct scores, so that no score far from the others leaves one bucket with all of them.
     """
     by = rows.select(score.alias("s"), F.col(target).alias("t")).groupBy("s").agg(
         F.count_if(F.col("t") > 0.5).alias("pos"), F.count_if(F.col("t") <= 0.5).alias("neg")
     )
     by = settle(by, "auroc_scores")
-    lo, hi = by.agg(F.min("s"), F.max("s")).first()
-    bucket = F.floor((F.col("s") - lo) * (buckets / (hi - lo))) if lo is not None and hi > lo else F.lit(0)
+    cuts = by.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 100 * buckets)).first()[0] or []
+    bucket = _bucket(F.col("s"), sorted(set(cuts)))
     ranked = running_sum(by, F.col("neg"), bucket, [F.col("s")], name="below")
     area = ranked.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return area.select(F.try_divide(F.col("u"), F.col("p") * F.col("n")).alias("auroc"))
