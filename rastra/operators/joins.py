@@ -62,10 +62,12 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float, extra: Column | No
     sides = ("xmin", "ymin", "xmax", "ymax")
 
     def classed(df: DataFrame, name: str) -> DataFrame:
-        whole = [F.col(f"{name}.{c}").isNotNull() & ~F.isnan(F.col(f"{name}.{c}").cast("double")) for c in sides]
-        wide = F.greatest(F.col(f"{name}.xmax") - F.col(f"{name}.xmin"), F.col(f"{name}.ymax") - F.col(f"{name}.ymin")).cast("double")
+        """Rows as a struct with their class and, beside it, the sides: to explode by fields of a struct trips the optimizer."""
+        flat = df.select(packed(df, name), *[df[c].alias(f"{name}_{c}") for c in sides])
+        whole = [F.col(f"{name}_{c}").isNotNull() & ~F.isnan(F.col(f"{name}_{c}").cast("double")) for c in sides]
+        wide = F.greatest(F.col(f"{name}_xmax") - F.col(f"{name}_xmin"), F.col(f"{name}_ymax") - F.col(f"{name}_ymin")).cast("double")
         step = F.ceil(F.log(wide / F.lit(float(size))) / math.log(_CLASS))
-        kept = df.select(packed(df, name)).where(whole[0] & whole[1] & whole[2] & whole[3])
+        kept = flat.where(whole[0] & whole[1] & whole[2] & whole[3])
         return kept.withColumn(f"{name}c", F.when(wide > 0, F.greatest(step, F.lit(-_FINEST))).otherwise(F.lit(-_FINEST)).cast("int"))
 
     def classes(df: DataFrame, name: str) -> list[int]:
@@ -78,18 +80,18 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float, extra: Column | No
         coarser = F.filter(theirs, lambda c: c > own)
         met = F.when(own >= min(other, default=0), F.concat(F.array(own), coarser)).otherwise(coarser)
         d = df.withColumn(f"{name}k", F.explode(met)).withColumn("_width", F.pow(F.lit(float(_CLASS)), F.col(f"{name}k")) * float(size))
-        d = d.withColumn(f"{name}x", F.explode(_touched(f"{name}.xmin", f"{name}.xmax")))
-        return d.withColumn(f"{name}y", F.explode(_touched(f"{name}.ymin", f"{name}.ymax"))).drop("_width")
+        d = d.withColumn(f"{name}x", F.explode(_touched(f"{name}_xmin", f"{name}_xmax")))
+        return d.withColumn(f"{name}y", F.explode(_touched(f"{name}_ymin", f"{name}_ymax"))).drop("_width")
 
     ours, theirs = classed(left, "l"), classed(right, "r")
     found = classes(ours, "l")
     a, b = dealt(ours, "l", found if left is right else classes(theirs, "r")), dealt(theirs, "r", found)
     meet = (
-        (F.col("l.xmin") <= F.col("r.xmax")) & (F.col("l.xmax") >= F.col("r.xmin"))
-        & (F.col("l.ymin") <= F.col("r.ymax")) & (F.col("l.ymax") >= F.col("r.ymin"))
+        (F.col("l_xmin") <= F.col("r_xmax")) & (F.col("l_xmax") >= F.col("r_xmin"))
+        & (F.col("l_ymin") <= F.col("r_ymax")) & (F.col("l_ymax") >= F.col("r_ymin"))
     )
     width = F.pow(F.lit(float(_CLASS)), F.col("lk")) * float(size)
-    once = (F.col("lx") == _of(F.greatest("l.xmin", "r.xmin"), width)) & (F.col("ly") == _of(F.greatest("l.ymin", "r.ymin"), width))
+    once = (F.col("lx") == _of(F.greatest("l_xmin", "r_xmin"), width)) & (F.col("ly") == _of(F.greatest("l_ymin", "r_ymin"), width))
     larger = F.col("lk") == F.greatest("lc", "rc")
     on = (F.col("lk") == F.col("rk")) & (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")) & larger & meet & once
     return a.join(b, on if extra is None else on & extra).select("l", "r")
