@@ -41,9 +41,14 @@ def _quantile(sketch: str, n: str, rank: Column) -> Column:
 _GRID = 1024
 
 
-def _bracket(sketch: str, n: str, first: Column, last: Column, wider: int = 1) -> tuple[Column, Column]:
-    """Values of a sketch of ``n`` that should lie at or below the one numbered ``first``, and at or above ``last``; the margin is so many times ``wider``."""
-    asked = F.when(F.col(n) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])))
+def _asked(sketch: str, n: str) -> Column:
+    """The sketch's values at all ranks of the grid, which is one constant; null if nothing is in it."""
+    ranks = F.split(F.lit(",".join(str(i / _GRID) for i in range(_GRID + 1))), ",").cast("array<double>")
+    return F.when(F.col(n) > 0, F.kll_sketch_get_quantile_double(sketch, ranks))
+
+
+def _bracket(asked: str, n: str, first: Column, last: Column, wider: int = 1) -> tuple[Column, Column]:
+    """Of the asked values of ``n`` that which should lie at or below the one numbered ``first``, and at or above ``last``; the margin is so many times ``wider``."""
     margin, count = wider * _MARGIN * SKETCH_ERROR, F.greatest(F.col(n), F.lit(1))
     low, high = F.floor((first / count - margin) * _GRID), F.ceil(((last + 1) / count + margin) * _GRID)
     return tuple(F.get(asked, F.least(F.greatest(i, F.lit(0)), F.lit(_GRID)).cast("int")) for i in (low, high))
@@ -58,7 +63,7 @@ def sketched_limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] =
 def limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] = BANDS, low: float = 0.02, high: float = 0.98, small: bool = False) -> DataFrame:
     """Lower and upper percentile of each band by key, as ``<band>_lo`` and ``<band>_hi``, with linear interpolation.
 
-    With ``small`` groups, such as tiles, one task holds a group's values. For
+    With ``small`` groups, such as tiles, and where no group has more than 65,536 rows, one task holds a group's values. For
     groups of any size, such as rasters, sketches give a bracket for each percentile; a further pass counts
     what lies below it and sketches what lies inside, until so few values are left between the bounds that they can be put in order. Each pass is
     an aggregate with a row a key and task; both ways give the same. A bracket that turns out
@@ -68,13 +73,16 @@ def limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] = BANDS, l
         at = F.array(F.lit(low), F.lit(high))
         found = pixels.groupBy(*keys).agg(*[F.percentile(missing(b), at).alias(b) for b in bands])
         return found.select(*keys, *[x for b in bands for x in (F.col(b)[0].alias(f"{b}_lo"), F.col(b)[1].alias(f"{b}_hi"))])
+    if (pixels.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= _SORTED:
+        return limits(pixels, keys, bands, low, high, small=True)
     sides = [(b, s, p) for b in bands for s, p in (("lo", low), ("hi", high))]
     rank = lambda b, p, end: end((F.col(f"{b}_n") - 1) * p)
     wider, share = 1, 2 * (_MARGIN * SKETCH_ERROR + 1 / _GRID)  # of what was sketched, between the bounds
     clean = pixels.select(*keys, *[missing(b).cast("double").alias(b) for b in bands])
-    first = [x.alias(f"{b}_{s}_{e}") for b, s, p in sides for e, x in zip("az", _bracket(f"{b}_sketch", f"{b}_n", rank(b, p, F.floor), rank(b, p, F.ceil)), strict=True)]
+    first = [x.alias(f"{b}_{s}_{e}") for b, s, p in sides for e, x in zip("az", _bracket(f"{b}_asked", f"{b}_n", rank(b, p, F.floor), rank(b, p, F.ceil)), strict=True)]
     ns = [f"{b}_n" for b in bands]
-    bounds = settle(band_sketches(clean, keys, bands).select(*keys, *ns, *first), "limits_bounds")
+    sketched = settle(band_sketches(clean, keys, bands).select(*keys, *ns, *[_asked(f"{b}_sketch", f"{b}_n").alias(f"{b}_asked") for b in bands]), "limits_sketches")
+    bounds = sketched.select(*keys, *ns, *first)
     expected = share * (bounds.agg(F.max(F.greatest(*ns, F.lit(0)))).first()[0] or 0) + 2
     held = [x for b, s, _ in sides for x in (f"{b}_{s}_a", f"{b}_{s}_z")]
 
@@ -101,11 +109,12 @@ def limits(pixels: DataFrame, keys: list[str], bands: tuple[str, ...] = BANDS, l
             wider, share, expected = 4 * wider, 4 * share, max(expected, _SORTED + 1)
             continue
         found = counted(("sketch", lambda x: F.kll_sketch_agg_double(x, SKETCH_K)), ("m", F.count))
+        found = found.withColumns({f"{b}_{s}_asked": _asked(f"{b}_{s}_sketch", f"{b}_{s}_m") for b, s, _ in sides})
         narrower = []
         for b, s, p in sides:
             before, m = F.col(f"{b}_{s}_below") + F.col(f"{b}_{s}_at"), F.col(f"{b}_{s}_m")
             from_, to = rank(b, p, F.floor) - before, rank(b, p, F.ceil) - before
-            low_, high_ = _bracket(f"{b}_{s}_sketch", f"{b}_{s}_m", from_, to, wider)
+            low_, high_ = _bracket(f"{b}_{s}_asked", f"{b}_{s}_m", from_, to, wider)
             a = F.when(from_ < 0, F.col(f"{b}_{s}_a")).when(from_ < m, low_).otherwise(F.col(f"{b}_{s}_z"))
             z = F.when(to < 0, F.col(f"{b}_{s}_a")).when(to < m, high_).otherwise(F.col(f"{b}_{s}_z"))
             narrower += [a.alias(f"{b}_{s}_a"), z.alias(f"{b}_{s}_z")]

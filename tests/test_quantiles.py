@@ -16,7 +16,7 @@ def groups():
     return {0: skewed, 1: tied, 2: np.full(50, 2.5), 3: np.array([1.0]), 4: np.array([1.0, 2.0]), 5: rng.integers(0, 9, 4000).astype(float), 6: np.exp(rng.normal(size=3000) * 5), 7: np.array([np.nan] * 3)}
 
 
-@pytest.mark.parametrize(("k", "sorted_"), [(composite.SKETCH_K, composite._SORTED), (256, 500), (64, 1 << 16)])
+@pytest.mark.parametrize(("k", "sorted_"), [(composite.SKETCH_K, 4000), (256, 500), (64, 3000)])
 def test_exact_limits(spark, monkeypatch, k, sorted_):
     """Small sketches and few sorted values make several passes, and small sketches with many sorted values brackets that may miss."""
     monkeypatch.setattr(composite, "SKETCH_K", k)
@@ -41,7 +41,8 @@ def test_sketched_limits_are_within_the_error(spark):
             assert abs(np.searchsorted(x, got) / len(x) - p) <= 3 * composite.SKETCH_ERROR + 1 / len(x)
 
 
-def test_no_window_in_the_plan_of_limits(spark):
+def test_no_window_in_the_plan_of_limits(spark, monkeypatch):
+    monkeypatch.setattr(composite, "_SORTED", 500)
     df = spark.range(1000).select(F.lit(1).alias("raster_id"), F.rand(1).alias("red"))
     plan = composite.limits(df, ["raster_id"], ("red",))._jdf.queryExecution().toString()
     assert "Window" not in plan
