@@ -41,7 +41,7 @@ def write_manifest(chips: DataFrame, path: str) -> None:
 def write_chips(pixels: DataFrame, chips: DataFrame, path: str, tile: int, overlap: int, height: int, width: int, affine: tuple, crs: int | None = None, bands: tuple[str, ...] = BANDS, **options) -> DataFrame:
     """The pixels of each chip (``raster_id, row_off, col_off``) as a raster file of its own; returns ``chips`` with ``chip``, the number of its raster in the folder ``path``.
 
-    A chip's place is in its affine. ``tile`` must be a multiple of 16. Chips of windows that have no pixels get no file.
+    A chip's place is in its affine. ``tile`` must be a multiple of 16. Chips of windows that have no pixels get no file, and missing pixels of others are NaN.
     """
     a, b, c, d, e, f = affine
     cells = height * width
@@ -51,7 +51,7 @@ def write_chips(pixels: DataFrame, chips: DataFrame, path: str, tile: int, overl
     local = own.select(number.alias("raster_id"), (F.col("row") - F.col("row_off")).alias("row"), (F.col("col") - F.col("col_off")).alias("col"), *bands)
     y, x = F.floor(F.pmod("raster_id", F.lit(cells)) / F.lit(width)), F.pmod("raster_id", F.lit(width))
     moved = {"a": F.lit(float(a)), "b": F.lit(float(b)), "c": c + a * x + b * y, "d": F.lit(float(d)), "e": F.lit(float(e)), "f": f + d * x + e * y}
-    placed = pixels_to_blocks(local, tile, bands, affine, crs).withColumn("affine", F.struct(*[v.cast("double").alias(n) for n, v in moved.items()]))
+    placed = pixels_to_blocks(rasters.filled(local, tile, bands), tile, bands, affine, crs).withColumn("affine", F.struct(*[v.cast("double").alias(n) for n, v in moved.items()]))
     rasters.write_rasters(placed, path, edge=tile, strip_rows=tile, **options)
     return chips.withColumn("chip", number)
 

@@ -38,11 +38,11 @@ def read_chips(spark: SparkSession, path: str) -> DataFrame:
 def pixels_to_blocks(
     pixels: DataFrame, edge: int = 256, bands: tuple[str, ...] = BANDS, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), crs: int | None = None
 ) -> DataFrame:
-    """Pack a pixel table into blocks of ``edge`` x ``edge``, of ``BLOCK_SCHEMA``; a block is bounded, so is its row."""
+    """Pack a pixel table into blocks of ``edge`` x ``edge``, of ``BLOCK_SCHEMA``; a block is bounded, so is its row. Blocks must be full from their first row and column on."""
     cell = F.struct(F.expr("row * 1000000L + col").alias("at"), *[F.col(b).cast("float").alias(b) for b in bands])
     packed = pixels.groupBy(
         "raster_id", F.floor(F.col("row") / edge).cast("int").alias("block_row"), F.floor(F.col("col") / edge).cast("int").alias("block_col")
-    ).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.count_distinct("row").cast("int").alias("h"), F.count_distinct("col").cast("int").alias("w"))
+    ).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.max(F.pmod("row", F.lit(edge)) + 1).cast("int").alias("h"), F.max(F.pmod("col", F.lit(edge)) + 1).cast("int").alias("w"))
     arrays = F.array(*[F.col(f"cells.{b}") for b in bands])
     return packed.select(
         "raster_id", "block_row", "block_col", (F.col("block_row") * edge).alias("row_off"), (F.col("block_col") * edge).alias("col_off"), "h", "w", arrays.alias("bands"),

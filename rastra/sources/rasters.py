@@ -380,12 +380,18 @@ def raster_files(spark: SparkSession, path: str) -> DataFrame:
     return listed.mapInArrow(heads, _FILES_DDL)
 
 
-def write_pixels(pixels: DataFrame, path: str, edge: int = 256, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), crs: int | None = None, bands: tuple[str, ...] = BANDS, mode: str = "overwrite", **options) -> None:
-    """A pixel table (a stacked scene, composite or probabilities) as raster files.
+def filled(pixels: DataFrame, edge: int, bands: tuple[str, ...] = BANDS) -> DataFrame:
+    """``raster_id, row, col`` and the bands, with NaN for pixels that are missing between a block's corner and its last row and column; only blocks with some missing are looked through."""
+    keys = ["raster_id", "row", "col"]
+    block = [F.floor(F.col(c) / edge).cast("int").alias(f"_{c}") for c in ("row", "col")]
+    sized = pixels.groupBy("raster_id", *block).agg(F.max("row").alias("r1"), F.max("col").alias("c1"), F.count("*").alias("n"))
+    short = sized.where(F.col("n") < (F.col("r1") - F.col("_row") * edge + 1) * (F.col("c1") - F.col("_col") * edge + 1))
+    rows = short.withColumn("row", F.explode(F.sequence((F.col("_row") * edge).cast("int"), F.col("r1").cast("int"))))
+    cells = rows.withColumn("col", F.explode(F.sequence((F.col("_col") * edge).cast("int"), F.col("c1").cast("int"))))
+    missing = cells.select(*keys).join(pixels.select(*keys), keys, "left_anti")
+    return pixels.select(*keys, *bands).unionByName(missing.select(*keys, *[F.lit(float("nan")).alias(b) for b in bands]))
 
-    Blocks with pixels missing inside their rows and columns can't be packed and are an error.
-    """
-    blocks = pixels_to_blocks(pixels, edge, bands, affine, crs)
-    whole = F.size(F.get("bands", F.lit(0))) == F.col("h") * F.col("w")
-    checked = blocks.withColumn("bands", F.when(whole, F.col("bands")).otherwise(F.raise_error(F.lit("a block's pixels must fill its rows and columns"))))
-    write_rasters(checked, path, mode, edge, **options)
+
+def write_pixels(pixels: DataFrame, path: str, edge: int = 256, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), crs: int | None = None, bands: tuple[str, ...] = BANDS, mode: str = "overwrite", **options) -> None:
+    """A pixel table (a stacked scene, composite or probabilities) as raster files; pixels missing inside a block are written as NaN."""
+    write_rasters(pixels_to_blocks(filled(pixels, edge, bands), edge, bands, affine, crs), path, mode, edge, **options)

@@ -214,9 +214,13 @@ def test_edges_of_tiles(options, says):
         rasters.RasterWriter({"path": "x", **options}, True)
 
 
-def test_blocks_with_holes_are_an_error(spark, tmp_path):
-    with pytest.raises(Exception, match="fill"):
-        rasters.write_pixels(manifests.synthetic_raster(spark, 16, 16).where("row <> 3 OR col <> 3"), str(tmp_path / "x"), edge=16)
+def test_missing_pixels_are_written_as_nan(spark, tmp_path):
+    whole = manifests.synthetic_raster(spark, 20, 20)
+    some = whole.where("NOT (row = 3 AND col = 3) AND col > 0 AND row > 1")
+    rasters.write_pixels(some, str(tmp_path / "x"), edge=16)
+    back = {(r["row"], r["col"]): r["nir"] for r in manifests.blocks_to_pixels(rasters.read_rasters(spark, str(tmp_path / "x"))).collect()}
+    kept = {(r["row"], r["col"]): r["nir"] for r in some.collect()}
+    assert len(back) == 400 and {k: v for k, v in back.items() if v == v} == kept
 
 
 def test_chips_of_one_raster(spark, tmp_path):
