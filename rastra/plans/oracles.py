@@ -253,6 +253,14 @@ def oracle_sql() -> dict[str, str]:
     q["tile_features"] = f"""WITH {DET}, p AS (SELECT id, score, lon_c / 100.0::DOUBLE AS lon, lat_c / 100.0::DOUBLE AS lat FROM det),
       w AS (SELECT *, (lon + 180) / 360 * 8 - 4 AS fx, (1 - ln(tan((lat + 90) * (pi() / 360))) / pi()) / 2 * 8 - 3 AS fy FROM p WHERE abs(lat) < 89)
       SELECT id, score, CAST(floor(fx * 4096) AS INT) AS px, CAST(floor(fy * 4096) AS INT) AS py FROM w WHERE fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1 AND score >= 0.1"""
+    q["tile_pyramid"] = f"""WITH {DET}, w AS (SELECT id, score, (lon_c / 100.0::DOUBLE + 180) / 360 * 32 AS fx, (1 - ln(tan((lat_c / 100.0::DOUBLE + 90) * (pi() / 360))) / pi()) / 2 * 32 AS fy
+        FROM det WHERE abs(lat_c) < 8900 AND score >= 0.1),
+      v AS (SELECT z, id, score, fx / 2 ** (5 - z) AS fx, fy / 2 ** (5 - z) AS fy FROM w, (SELECT unnest(generate_series(0, 5)) AS z) WHERE fx >= 0 AND fx < 32 AND fy >= 0 AND fy < 32),
+      c AS (SELECT *, count(*) OVER own AS n, row_number() OVER (own ORDER BY score DESC, id) AS nth FROM v WINDOW own AS (PARTITION BY z, floor(fx * 64), floor(fy * 64)))
+      SELECT CAST(z AS INT) AS z, CAST(floor(fx) AS BIGINT) AS x, CAST(floor(fy) AS BIGINT) AS y, count(*) AS features, CAST(sum(n) AS BIGINT) AS detections,
+        CAST(sum(floor((fx - floor(fx)) * 4096)) AS BIGINT) AS px, CAST(sum(floor((fy - floor(fy)) * 4096)) AS BIGINT) AS py, CAST(sum(id) AS BIGINT) AS ids, max(score) AS best
+      FROM c WHERE nth = 1 GROUP BY 1, 2, 3"""
+    q["detections_layout"] = f"WITH {DET} SELECT id, score, area_c, model_version FROM det WHERE {page}"
     q["marker_style"] = f"""WITH {DET} SELECT id, round(CASE WHEN score <= 0.5 THEN 4 + score * 6 ELSE 7 + (score - 0.5) * 10 END, 6) AS radius,
       (score >= 0.3)::INT + (score >= 0.6)::INT + (score >= 0.9)::INT AS colour FROM det"""
     stops = [(0.0, (55, 65, 81)), (0.3, (245, 158, 11)), (0.6, (239, 68, 68)), (0.9, (220, 38, 38))]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rastra import sinks
 from rastra.functions import algebra, geo
 from rastra.functions.algebra import BANDS
-from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, polygons, regions
+from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, layout, polygons, pyramid, regions
 from rastra.plans import pipelines
 from rastra.sources import fixtures, manifests, rasters
 from rastra.sources.fixtures import EDGE
@@ -286,6 +286,20 @@ def tile_features(s: SparkSession, d: str) -> DataFrame:
     return catalog.tile_features(rows, 3, 4, 3)
 
 
+def tile_pyramid(s: SparkSession, d: str) -> DataFrame:
+    """All tiles of zooms 0 to 5: features shown, detections behind them, sums of positions, best score."""
+    rows = fixtures.detections(s, d).selectExpr("id", "score", "lon_c / 100.0D AS lon", "lat_c / 100.0D AS lat")
+    cells = pyramid.tile_pyramid(rows, 0, 5)
+    return cells.groupBy("z", "x", "y").agg(F.count("*").alias("features"), F.sum("n").alias("detections"), F.sum("px").alias("px"), F.sum("py").alias("py"), F.sum("id").alias("ids"), F.max("score").alias("best"))
+
+
+def detections_layout(s: SparkSession, d: str) -> DataFrame:
+    """Detections laid out along a Hilbert curve, and those that meet a box read from there."""
+    path, laid = scratch(s, "layout"), layout.Layout((-18000, -9000, 18000, 9000), unit=25.0)
+    laid.write(fixtures.detections(s, d), path)
+    return laid.read(s, path, BOX).where(F.col("score") >= MIN_SCORE).select("id", "score", "area_c", "model_version")
+
+
 def marker_style(s: SparkSession, d: str) -> DataFrame:
     rows = fixtures.detections(s, d).select("id", algebra.marker_radius("score").alias("radius"), algebra.colour_class("score").alias("colour"))
     return _r(rows, "radius")
@@ -385,7 +399,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
         latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, rasterize_outlines, rasterize_parcels, parcels_of_points, box_overlay, outline_overlay, parcel_distances, dedupe_polygons, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
-        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, raster_files, chip_files, evidence_rgb, geojson_features,
+        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, tile_pyramid, detections_layout, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, raster_files, chip_files, evidence_rgb, geojson_features,
         health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, scan_and_detect,
     ]
     return {f.__name__: f for f in named}
