@@ -73,7 +73,12 @@ MODELS: dict[str, Model] = {"baseline": BASELINE}
 
 def choose_model(spark: SparkSession, name: str) -> Model:
     """A registered model by name, or one that was saved in a folder."""
-    return MODELS[name] if name in MODELS else LinearModel.load(spark, name)
+    from rastra.operators.convolution import ConvolutionalModel
+
+    if name in MODELS:
+        return MODELS[name]
+    kind = json.loads(spark.read.text(name).first()["value"]).get("kind")
+    return (ConvolutionalModel if kind == "convolutional" else LinearModel).load(spark, name)
 
 
 def sliding_window(pixels: DataFrame, model: Model, tile: int = 256, overlap: int = 64, height: int = 0, width: int = 0) -> DataFrame:

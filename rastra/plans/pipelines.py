@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rastra import sinks
 from rastra.functions import geo
 from rastra.functions.algebra import BANDS, composite_score, index_columns, mask_clouds, score_evidence
-from rastra.operators import catalog, composite, dedupe, grid, inference, joins, regions, serving
+from rastra.operators import catalog, composite, convolution, dedupe, grid, inference, joins, regions, serving
 from rastra.sources import manifests, rasters
 from rastra.sources.manifests import Settings
 from rastra.storage import settle
@@ -101,11 +101,22 @@ def detect_areas(composites: DataFrame, model: inference.Model, path: str, model
     return names.select("aoi").join(stored.groupBy("aoi").agg(F.count("*").alias("n")), "aoi", "left").select("aoi", F.coalesce("n", F.lit(0)).alias("detections"))
 
 
-def label_and_train(composite_: DataFrame, sites: DataFrame, affine: tuple, steps: int = 25) -> inference.LinearModel:
-    """Weak labels from the sites' buffers, burnt into a stretched composite, and a linear model fitted to them."""
+def weak_labels(composite_: DataFrame, sites: DataFrame, affine: tuple) -> DataFrame:
+    """The composite's pixels with ``label``, burnt from the sites' buffers."""
     a, _, c, _, e, f = affine
     placed = composite_.withColumns({"x": F.lit(c) + (F.col("col") + 0.5) * a, "y": F.lit(f) + (F.col("row") + 0.5) * e})
-    return train_model(joins.burn_labels(placed, sites, ["raster_id", "row", "col"], 512.0 * abs(a)), steps=steps)
+    return joins.burn_labels(placed, sites, ["raster_id", "row", "col"], 512.0 * abs(a))
+
+
+def label_and_train(composite_: DataFrame, sites: DataFrame, affine: tuple, steps: int = 25) -> inference.LinearModel:
+    """Weak labels from the sites' buffers, burnt into a stretched composite, and a linear model fitted to them."""
+    return train_model(weak_labels(composite_, sites, affine), steps=steps)
+
+
+def label_and_train_network(composite_: DataFrame, sites: DataFrame, affine: tuple, tile: int, height: int, width: int, **options) -> tuple[convolution.ConvolutionalModel, DataFrame]:
+    """The same labels, and a convolutional model trained on the composite's tiles, which don't overlap; with its history."""
+    tiled = grid.to_tiles(weak_labels(composite_, sites, affine).withColumns(index_columns()), tile, 0, height, width)
+    return convolution.fit_convolutional(tiled, tile, **options)
 
 
 def site_buffers(spark: SparkSession, path: str, zone: int | None) -> DataFrame:
@@ -129,6 +140,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--model", default="baseline", help="name of a model or the folder of a saved one; train writes the folder")
     parser.add_argument("--model-server", help="address of a model server that scores instead; MODEL_SERVER in the environment does as well")
     parser.add_argument("--raster-files", help="folder of composites as raster files, read by detect instead of the table; their headers give size and affine")
+    parser.add_argument("--network", action="store_true", help="train a convolutional model on tiles instead of a linear one on pixels")
+    parser.add_argument("--epochs", type=int, default=40, help="at most, of the convolutional model")
+    parser.add_argument("--history", help="table of the convolutional model's epochs")
     parser.add_argument("--size", nargs=2, type=int, default=[0, 0], metavar=("HEIGHT", "WIDTH"), help="of the composite's table")
     parser.add_argument("--affine", nargs=6, type=float, default=[10.0, 0.0, 0.0, 0.0, -10.0, 0.0])
     parser.add_argument("--utm-zone", type=int, help="zone of a raster in metres, into which sites are projected; without it the raster is in degrees")
@@ -145,7 +159,13 @@ def main(argv: list[str] | None = None) -> None:
         sinks.write_table(made, args.composite)
         sinks.write_manifest(chips, args.chips)
     if args.command == "train" or args.command == "full" and args.model not in inference.MODELS:
-        model = label_and_train(spark.read.parquet(args.composite), site_buffers(spark, args.sites, args.utm_zone), affine)
+        made, sites = spark.read.parquet(args.composite), site_buffers(spark, args.sites, args.utm_zone)
+        if args.network:
+            model, history = label_and_train_network(made, sites, affine, args.tile, height, width, epochs=args.epochs)
+            if args.history:
+                sinks.write_table(history, args.history)
+        else:
+            model = label_and_train(made, sites, affine)
         model.save(spark, args.model)
     if args.command in ("detect", "full"):
         model = serving.choose_model(spark, args.model, replace(Settings.load(), model_server=args.model_server) if args.model_server else Settings.load())

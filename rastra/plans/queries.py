@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rastra import sinks
 from rastra.functions import algebra, geo
 from rastra.functions.algebra import BANDS
-from rastra.operators import catalog, composite, dedupe, evaluate, grid, inference, joins, layout, polygons, pyramid, regions
+from rastra.operators import catalog, composite, convolution, dedupe, evaluate, grid, inference, joins, layout, polygons, pyramid, regions
 from rastra.plans import pipelines
 from rastra.sources import fixtures, manifests, rasters
 from rastra.sources.fixtures import EDGE
@@ -388,6 +389,16 @@ def sliding_window_inference(s: SparkSession, d: str) -> DataFrame:
     return _r(inference.sliding_window(temporal_median(s, d), inference.BASELINE, TILE, OVERLAP, EDGE, EDGE), "prob")
 
 
+def convolutional_training(s: SparkSession, d: str) -> DataFrame:
+    """Epochs of a convolutional model trained on the tiles of the composite, where bare ground that is no lone pixel is the target."""
+    pixels = algebra.add_indices(temporal_median(s, d))
+    box = Window.partitionBy("raster_id", F.floor(F.col("row") / 4), F.floor(F.col("col") / 4))
+    marked = pixels.withColumn("label", (F.avg("bsi").over(box) > 0).cast("double"))
+    tiled = grid.to_tiles(marked.withColumns({b: F.col(b) / 10000.0 for b in BANDS}), TILE, 0, EDGE, EDGE)
+    _, history = convolution.fit_convolutional(tiled, TILE, epochs=4, batches=2, held_out=4)
+    return _r(history, "train_loss", "val_loss", "precision", "recall", "f1")
+
+
 def scan_and_detect(s: SparkSession, d: str) -> DataFrame:
     found = pipelines.scan_and_detect(temporal_median(s, d), inference.BASELINE, TILE, OVERLAP, EDGE, EDGE, threshold=0.62, min_px=3, affine=(500.0, 0.0, 0.0, 0.0, -500.0, 0.0), eps=1500.0)
     columns = ["component", "area_px", "score", "compactness", "centroid_x", "centroid_y"]
@@ -400,6 +411,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
         latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, rasterize_outlines, rasterize_parcels, parcels_of_points, box_overlay, outline_overlay, parcel_distances, dedupe_polygons, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
         scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, tile_pyramid, detections_layout, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, raster_files, chip_files, evidence_rgb, geojson_features,
-        health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, scan_and_detect,
+        health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, convolutional_training, scan_and_detect,
     ]
     return {f.__name__: f for f in named}
