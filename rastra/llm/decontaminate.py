@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import pickle
+import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
@@ -25,50 +27,86 @@ def fold_words(raw: bytes | None) -> list[bytes]:
 
 
 class TestSuffixes:
-    """The suffixes of a block of benchmark items that begin with a whole window.
+    """The suffixes of a block of benchmark items that begin with a whole window, as arrays.
 
     The block's words are numbered from 1; a training word outside this
-    vocabulary is 0 and matches nothing.
+    vocabulary is 0 and matches nothing. ``flat`` has the items' words, a 0
+    behind each item, ``starts`` where they begin, and ``order`` the places of
+    the suffixes in the order of their words, so that those of one window are a
+    run; the runs begin at ``first``.
     """
 
     __test__ = False
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.window = window
-        self.names = [i for i, _ in items]
-        self.vocab: dict[bytes, int] = {}
-        self.words = [
-            np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in fold_words(t)], dtype=np.uint32) for _, t in items
-        ]
-        self.shortest = min([window, *(len(w) for w in self.words if len(w))])
-        owners: dict[bytes, list[tuple[int, int]]] = {}
-        rank = self._ranks()
-        for i, w in enumerate(self.words):
-            flat, need = w.astype(">u4").tobytes(), min(window, len(w))
-            for at in range(len(w) - need + 1 if need else 0):
-                owners.setdefault(flat[4 * at : 4 * (at + need)], []).append((i, at))
-        keys = sorted(owners)
-        #: of each window the suffixes that begin with it, in their order, and the items that have it
-        self.owners = [sorted(owners[k], key=lambda s: rank[s[0]][s[1]]) for k in keys]
-        self.items = [sorted({i for i, _ in owners[k]}) for k in keys]
-        self.sizes = [len(k) // 4 for k in keys]
+    def __init__(self, window: int, names: list[str], words: list[bytes], flat: np.ndarray, starts: np.ndarray, order: np.ndarray):
+        self.window, self.names, self.words, self.flat, self.starts, self.order = window, names, words, flat, starts, order
+        self.vocab = {w: n for n, w in enumerate(words, 1)}
+        self.ends = np.append(starts[1:], len(flat)) - 1
+        lengths = self.ends - starts
+        self.shortest = int(min([window, *lengths[lengths > 0].tolist()]))
         kind = f"S{4 * window}"
-        self.low = np.array(keys, dtype=kind)
-        self.high = np.array([k.ljust(4 * window, b"\xff") for k in keys], dtype=kind)
-
-    def _ranks(self) -> list[np.ndarray]:
-        """The place of each suffix of each item among all of the block, by prefix doubling."""
-        if not self.words:
-            return []
-        flat = np.concatenate([np.append(w, np.uint32(0)) for w in self.words]).astype(np.int64)
-        rank, step = np.unique(flat, return_inverse=True)[1], 1
+        sizes = np.minimum(window, lengths[self.item_of(order)]) if len(order) else np.zeros(0, np.int64)
+        padded = np.concatenate([flat, np.zeros(window, np.uint32)])
+        keys = np.lib.stride_tricks.sliding_window_view(padded, window)[order].astype(">u4")
+        short = sizes < window
+        keys[short] *= (np.arange(window) < sizes[short, None]).astype(">u4")
+        keys = keys.view(kind).ravel()
+        self.first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        self.low, self.sizes = keys[self.first], sizes[self.first]
+        #: the last key that begins with a window shorter than the others; longer ones are such keys themselves
+        self.short = np.flatnonzero(self.sizes < window)
+        self.last = np.array([k[: 4 * n].ljust(4 * n, b"\0").ljust(4 * window, b"\xff") for k, n in zip(self.low[self.short].tolist(), self.sizes[self.short].tolist(), strict=True)], dtype=kind)
+
+    @classmethod
+    def of(cls, items: list[tuple[str, bytes]], window: int) -> TestSuffixes:
+        vocab: dict[bytes, int] = {}
+        words = [np.array([vocab.setdefault(w, len(vocab) + 1) for w in fold_words(t)], dtype=np.uint32) for _, t in items]
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint32), *[np.append(w, np.uint32(0)) for w in words]])
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        counts = np.where(lengths, lengths - np.minimum(window, lengths) + 1, 0)
+        at = np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+        order = at[np.argsort(cls._ranks(flat)[at], kind="stable")]
+        return cls(window, [i for i, _ in items], list(vocab), flat, starts, order)
+
+    def dump(self) -> bytes:
+        """The block as one file of arrays."""
+        lists = {}
+        for name, values in (("names", [n.encode() for n in self.names]), ("words", self.words)):
+            lists[name] = np.frombuffer(b"".join(values), np.uint8)
+            lists[f"{name}_sizes"] = np.array([len(v) for v in values], dtype=np.uint32)
+        out = io.BytesIO()
+        np.savez(out, window=self.window, flat=self.flat, starts=self.starts.astype(np.uint32), order=self.order.astype(np.uint32), **lists)
+        return out.getvalue()
+
+    @classmethod
+    def parse(cls, raw: bytes) -> TestSuffixes:
+        held = np.load(io.BytesIO(raw), allow_pickle=False)
+
+        def listed(name: str) -> list[bytes]:
+            body, ends = held[name].tobytes(), np.cumsum(held[f"{name}_sizes"], dtype=np.int64).tolist()
+            return [body[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+        names = [n.decode() for n in listed("names")]
+        return cls(int(held["window"]), names, listed("words"), held["flat"], held["starts"].astype(np.int64), held["order"].astype(np.int64))
+
+    @staticmethod
+    def _ranks(flat: np.ndarray) -> np.ndarray:
+        """The place of each suffix among all of the block, by prefix doubling."""
+        if not len(flat):
+            return np.zeros(0, np.int64)
+        rank, step = np.unique(flat, return_inverse=True)[1].astype(np.int64), 1
         while step < len(flat) and rank.max() < len(flat) - 1:
             after = np.concatenate([rank[step:] + 1, np.zeros(min(step, len(flat)), np.int64)])
-            renewed = np.unique(rank * (len(flat) + 2) + after, return_inverse=True)[1]
-            if (renewed == rank).all():
-                break
-            rank, step = renewed, step * 2
-        return np.split(rank, np.cumsum([len(w) + 1 for w in self.words])[:-1])
+            rank, step = np.unique(rank * (len(flat) + 2) + after, return_inverse=True)[1], step * 2
+        return rank
+
+    def item_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, side="right") - 1
+
+    def run(self, k: int) -> np.ndarray:
+        """Places of the suffixes that begin with window ``k``, in their order."""
+        return self.order[self.first[k] : self.first[k + 1] if k + 1 < len(self.first) else None]
 
     @staticmethod
     def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -83,15 +121,16 @@ class TestSuffixes:
 
     def longest(self, text: np.ndarray, k: int) -> tuple[int, int, int]:
         """Item, position in it and length of the longest match of a text that begins with window ``k``, by binary search among its suffixes."""
-        suffixes = self.owners[k]
+        suffixes = self.run(k)
         lo, hi, best = 0, len(suffixes), (0, 0, 0)
         while lo < hi:
             mid = (lo + hi) // 2
-            i, at = suffixes[mid]
-            own = self.words[i][at:]
+            at = int(suffixes[mid])
+            i = int(self.item_of(at))
+            own = self.flat[at : self.ends[i]]
             n = self._common(text, own)
             if n > best[2]:
-                best = (i, at, n)
+                best = (i, at - int(self.starts[i]), n)
             if n == len(text):
                 break
             if n == len(own) or own[n] < text[n]:
@@ -132,14 +171,16 @@ class TestSuffixes:
         where, keys = self.suffix_array(ids, starts)
         if not len(where):
             return edge[:n] > 0, found, matches
-        lo, hi = np.searchsorted(keys, self.low, side="left"), np.searchsorted(keys, self.high, side="right")
+        lo, hi = np.searchsorted(keys, self.low, side="left"), np.searchsorted(keys, self.low, side="right")
+        hi[self.short] = np.searchsorted(keys, self.last, side="right")
         places, windows = [], []
         for k in np.flatnonzero(hi > lo).tolist():
             at = where[lo[k] : hi[k]]
             np.add.at(edge, at, 1)
             np.add.at(edge, at + self.sizes[k], -1)
+            items = np.unique(self.item_of(self.run(k))).tolist()
             for d in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
-                found[d].update(self.items[k])
+                found[d].update(items)
             places.append(at)
             windows.append(np.full(len(at), k))
         if not places:
@@ -173,7 +214,7 @@ _ARROW = pa.struct(
 
 
 def _search_udf(paths: list[str], shard_words: int):
-    """A column function; a shard is a run of the documents of one Arrow batch, and is searched for one block of items after the other."""
+    """A column function; a shard is a run of documents. Where there are several blocks of items, ``SHARDS_A_LOAD`` shards are held to be searched for each."""
 
     def flush(tests: TestSuffixes, texts_: list[list[bytes]], out: list[dict]) -> None:
         get = tests.vocab.get
@@ -190,10 +231,16 @@ def _search_udf(paths: list[str], shard_words: int):
         for d, at, i, off, m in matches:
             out[numbers[d]]["matches"].append({"item_id": tests.names[i], "item_at": off, "doc_at": at, "words": m})
 
-    def shard(texts_: list[list[bytes]]) -> list[dict]:
-        out: list[dict] = [{"n_words": len(w), "n_hit": 0, "hits": [], "items": [], "matches": []} for w in texts_]
+    def look(held: list[list[bytes]]) -> list[dict]:
+        """What is found in each text; a block is searched for all shards of them before the next one is loaded."""
+        out: list[dict] = [{"n_words": len(w), "n_hit": 0, "hits": [], "items": [], "matches": []} for w in held]
+        ends = np.cumsum([len(w) + 1 for w in held]) // shard_words
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(held)]
         for path in paths:
-            flush(load_suffixes(path), texts_, out)
+            tests = load_suffixes(path)
+            for i, j in zip(cuts, cuts[1:]):
+                found = out[i:j]
+                flush(tests, held[i:j], found)
         for x in out:
             hits = x.pop("hits")
             x["n_hit"] = len(np.unique(np.concatenate(hits))) if hits else 0
@@ -201,23 +248,32 @@ def _search_udf(paths: list[str], shard_words: int):
 
     @F.arrow_udf(_FOUND)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        most = shard_words * (1 if len(paths) < 2 else SHARDS_A_LOAD)
+        waiting: list[int] = []  # rows of the batches that are not answered yet
+        held: list[list[bytes]] = []
+        out: list[dict] = []
+        n = 0
         for batch in batches:
-            out: list[dict] = []
-            words: list[list[bytes]] = []
-            held = 0
             for raw in texts(batch):
-                words.append(fold_words(raw))
-                held += len(words[-1])
-                if held >= shard_words:
-                    out += shard(words)
-                    words, held = [], 0
-            if words:
-                out += shard(words)
-            yield pa.array(out, type=_ARROW)
+                held.append(fold_words(raw))
+                n += len(held[-1]) + 1
+                if n >= most:
+                    out += look(held)
+                    held, n = [], 0
+            waiting.append(len(batch))
+            while waiting and len(out) >= waiting[0]:
+                yield pa.array(out[: waiting[0]], type=_ARROW)
+                out = out[waiting.pop(0) :]
+        out += look(held) if held else []
+        for rows in waiting:
+            yield pa.array(out[:rows], type=_ARROW)
+            out = out[rows:]
 
     return search.asNondeterministic()
 
 
+#: So many shards wait for a block of items to be loaded, if there are several blocks.
+SHARDS_A_LOAD = 8
 #: The index of this Python worker, and the block that it is of.
 _LOADED: dict[str, TestSuffixes] = {}
 
@@ -228,36 +284,35 @@ def load_suffixes(path: str) -> TestSuffixes:
         fs, name = pafs.FileSystem.from_uri(path)
         _LOADED.clear()
         with fs.open_input_file(name) as f:
-            _LOADED[path] = pickle.loads(f.read())
+            _LOADED[path] = TestSuffixes.parse(f.read())
     return _LOADED[path]
 
 
 def write_blocks(items: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list[str]:
-    """The indexes of blocks of items as files in the shared folder; the driver holds one at a time."""
-    folder = scratch(items.sparkSession, "items")
-    paths = []
-    for nth, block in enumerate(item_blocks(items, item_id, text, block_bytes)):
+    """Indexes of blocks of items as files in the shared folder, each built in a task.
+
+    Items go to blocks by hash, so that blocks hold about ``block_bytes`` (an
+    item is never cut); rows alike are one. Every attempt of a task writes a file of its own, and
+    only those of the tasks that ended are named: one path a block.
+    """
+    named = items.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text")).distinct()
+    total = named.agg(F.sum(F.octet_length("text") + 16)).first()[0]
+    if not total:
+        return []
+    count, folder = -(-int(total) // block_bytes), scratch(items.sparkSession, "items")
+    block = F.pmod(F.xxhash64("id", "text"), F.lit(count))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
         fs, name = pafs.FileSystem.from_uri(folder)
         fs.create_dir(name, recursive=True)
-        with fs.open_output_stream(f"{name}/{nth}") as f:
-            f.write(pickle.dumps(TestSuffixes(block, window)))
-        paths.append(f"{folder}/{nth}")
-    return paths
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark in blocks of bounded bytes, streamed to the driver one partition at a time."""
-    block: list[tuple[str, bytes]] = []
-    held = 0
-    rows = items.select(F.col(f"`{item_id}`").cast("string"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
-    for i, raw in rows.toLocalIterator():
-        block.append((i or "", bytes(raw)))
-        held += len(raw) + 16
-        if held >= block_bytes:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+        part = uuid.uuid4().hex
+        rows = sorted((i, bytes(raw)) for i, raw in zip(pdf["id"], pdf["text"], strict=True))
+        with fs.open_output_stream(f"{name}/{part}") as f:
+            f.write(TestSuffixes.of(rows, window).dump())
+        return pd.DataFrame({"path": [f"{folder}/{part}"]})
+
+    made = named.withColumn("block", block).groupBy("block").applyInPandas(build, "path string")
+    return sorted(r["path"] for r in made.collect())
 
 
 def find_contamination(
@@ -276,7 +331,7 @@ def find_contamination(
     item. The training text is searched in shards of about ``shard_words``
     words: a shard has a suffix array, and every test suffix is looked up in it
     by binary search. The benchmark lies in the shared folder in blocks of
-    ``block_bytes``; a task searches a shard for one block after the other. Adds
+    about ``block_bytes``; a task searches several shards for one block after the other. Adds
     ``n_words, n_hit, n_items, item_ids`` (distinct, sorted as text) and
     ``matches`` (from left to right the longest verbatim match at each place
     where a window begins that the one before doesn't hold, with its location in

@@ -479,6 +479,24 @@ def test_contamination(spark, request, kind, block_bytes):
     assert found_rows(got) == sorted(brute.contamination(ids_and_texts(docs), named), key=str)
 
 
+def test_ten_blocks_find_what_one_does(spark, small):
+    """Blocks by hash, several shards to a load, and batches that end within a shard."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    one, ten = (found_rows(decontaminate.find_contamination(small, items, block_bytes=b, shard_words=700)) for b in (8 << 20, size // 9))
+    assert one == ten and any(r[2] for r in one)
+
+
+def test_a_block_is_written_as_arrays():
+    items = [("a", b"one two three four"), ("", b""), ("b", b"three four"), ("\u00e9", b"one two three four five six"), ("b", b"three four")]
+    made = decontaminate.TestSuffixes.of(items, 3)
+    read = decontaminate.TestSuffixes.parse(made.dump())
+    assert read.names == made.names and read.vocab == made.vocab and read.shortest == 2
+    windows = [tuple(made.words[w - 1].decode() for w in made.flat[made.run(k)[0]:][: made.sizes[k]]) for k in range(len(made.first))]
+    assert windows == [tuple(w.split()) for w in ("one two three", "two three four", "three four", "three four five", "four five six")]
+    assert [sorted(read.item_of(read.run(k)).tolist()) for k in range(5)] == [[0, 3], [0, 3], [2, 4], [3], [3]]
+
+
 def test_contamination_without_items(spark, awkward):
     assert decontaminate.decontaminate(awkward, spark.createDataFrame([], ITEMS)).count() == awkward.count()
 
