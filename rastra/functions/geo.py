@@ -106,6 +106,24 @@ def utm(lon: Column | str, lat: Column | str, zone: int, south: bool = False) ->
     return F.lit(500000.0) + 0.9996 * radius * east, F.lit(1e7 if south else 0.0) + 0.9996 * radius * north
 
 
+def utm_lonlat(east: Column | str, north: Column | str, zone: int, south: bool = False) -> tuple[Column, Column]:
+    """Longitude and latitude of a place of a zone, by the inverse series of third order."""
+    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+    radius = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi, eta = (col(north) - (1e7 if south else 0.0)) / radius, (col(east) - 500000.0) / radius
+    up, across = xi, eta
+    for j, b in enumerate(beta, 1):
+        up = up - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        across = across - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(up) / F.cosh(across))
+    lat = chi
+    for j, d in enumerate(delta, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    return F.degrees(F.atan2(F.sinh(across), F.cos(up))) + F.lit(zone * 6 - 183.0), F.degrees(lat)
+
+
 def point_feature(lon, lat, **properties: Column) -> Column:
     """GeoJSON Point feature as text."""
     return F.to_json(

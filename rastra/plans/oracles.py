@@ -253,6 +253,11 @@ def oracle_sql() -> dict[str, str]:
     q["tile_features"] = f"""WITH {DET}, p AS (SELECT id, score, lon_c / 100.0::DOUBLE AS lon, lat_c / 100.0::DOUBLE AS lat FROM det),
       w AS (SELECT *, (lon + 180) / 360 * 8 - 4 AS fx, (1 - ln(tan((lat + 90) * (pi() / 360))) / pi()) / 2 * 8 - 3 AS fy FROM p WHERE abs(lat) < 89)
       SELECT id, score, CAST(floor(fx * 4096) AS INT) AS px, CAST(floor(fy * 4096) AS INT) AS py FROM w WHERE fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1 AND score >= 0.1"""
+    q["warped_raster"] = f"""WITH {MED}, g AS (SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, (c + 0.5) * 1.5 - 2.25 - 0.5 AS sx, (r + 0.5) * 1.5 + 1.25 - 0.5 AS sy
+        FROM (SELECT unnest(generate_series(0, 45)) AS r), (SELECT unnest(generate_series(0, 45)) AS c)),
+      k AS (SELECT r, c, floor(sy) + dy AS y, floor(sx) + dx AS x, CAST((1 - abs(sy - floor(sy) - dy)) * (1 - abs(sx - floor(sx) - dx)) AS DOUBLE) AS w FROM g, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS t(dy, dx))
+      SELECT r AS "row", c AS col, round(sum(w * red) / sum(w) FILTER (red IS NOT NULL), 6) AS red, round(sum(w * nir) / sum(w) FILTER (nir IS NOT NULL), 6) AS nir
+      FROM k LEFT JOIN med m ON m."row" = y AND m.col = x AND w > 0 WHERE true GROUP BY 1, 2"""
     q["tile_pyramid"] = f"""WITH {DET}, w AS (SELECT id, score, (lon_c / 100.0::DOUBLE + 180) / 360 * 32 AS fx, (1 - ln(tan((lat_c / 100.0::DOUBLE + 90) * (pi() / 360))) / pi()) / 2 * 32 AS fy
         FROM det WHERE abs(lat_c) < 8900 AND score >= 0.1),
       v AS (SELECT z, id, score, fx / 2 ** (5 - z) AS fx, fy / 2 ** (5 - z) AS fy FROM w, (SELECT unnest(generate_series(0, 5)) AS z) WHERE fx >= 0 AND fx < 32 AND fy >= 0 AND fy < 32),
