@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastra.functions.geo import box_iou
-from rastra.operators.graph import connected_components
+from rastra.operators.graph import SMALL, connected_components
 from rastra.operators.joins import box_pairs
 from rastra.storage import settle
 
@@ -50,7 +53,7 @@ def cluster(points: DataFrame, eps: float, x: str = "x", y: str = "y", key: str
     )
     dx, dy = F.col("px") - F.col("qx"), F.col("py") - F.col("qy")
     edges = ahead.join(behind, ["grp", "kx", "ky", "dx", "dy"]).where((F.col("src") != F.col("dst")) & (dx * dx + dy * dy <= eps * eps)).select("src", "dst").distinct()
-    found = connected_components(edges)
+    found = connected_components(edges, small=SMALL)
     final = named.join(found, F.col("node") == F.col("id"), "left").select("grp", "px", "py", F.coalesce("component", "node").alias("cluster"))
     on = (group.eqNullSafe(F.col("grp")) if by else F.lit(True)) & (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))
     return points.join(final, on).drop("grp", "px", "py")
@@ -67,16 +70,51 @@ def _stronger(score: str, key: str) -> Column:
     return (F.col(f"l.{score}") > F.col(f"r.{score}")) | ((F.col(f"l.{score}") == F.col(f"r.{score}")) & (F.col(f"l.{key}") < F.col(f"r.{key}")))
 
 
-def greedy(rows: DataFrame, over: DataFrame, key: str = "id") -> DataFrame:
+def decide(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """The ids that greedy suppression drops, from pairs of stronger and weaker neighbours that fit in memory; each is looked at once all stronger ones are decided."""
+    ids, at = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+    up, down = at[: len(hi)], at[len(hi) :]
+    order = np.argsort(up, kind="stable")
+    weaker, starts = down[order].tolist(), np.searchsorted(up[order], np.arange(len(ids) + 1)).tolist()
+    waits, gone = np.bincount(down, minlength=len(ids)), [False] * len(ids)
+    ready, waits = np.flatnonzero(waits == 0).tolist(), waits.tolist()
+    while ready:
+        node = ready.pop()
+        for k in weaker[starts[node] : starts[node + 1]]:
+            gone[k] = gone[k] or not gone[node]
+            waits[k] -= 1
+            if not waits[k]:
+                ready.append(k)
+    return ids[np.array(gone, dtype=bool)]
+
+
+def _decide_all(edges: DataFrame) -> DataFrame:
+    """``lo``, what greedy suppression drops of a small table of pairs, from one task."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = list(parts)
+        if pairs:
+            whole = pd.concat(pairs)
+            yield pd.DataFrame({"lo": decide(whole["hi"].to_numpy(), whole["lo"].to_numpy())})
+
+    return edges.coalesce(1).mapInPandas(run, edges.select("lo").schema)
+
+
+def greedy(rows: DataFrame, over: DataFrame, key: str = "id", small: int = SMALL) -> DataFrame:
     """In order of strength a row stays if none that stays before it is its neighbour; ``over`` has ``hi, lo``, stronger and weaker neighbours.
 
     A round keeps every row without an undecided stronger neighbour and drops
     the neighbours of those; this gives what one pass in order gives, and no
-    task ever holds more than its share.
+    task ever holds more than its share. Once at most ``small`` pairs are
+    undecided one task looks at them in order, with the same result.
     """
     edges = settle(over, "nms_edges")
     gone: DataFrame | None = None
     while not edges.isEmpty():
+        if small and edges.limit(small + 1).count() <= small:
+            last = settle(_decide_all(edges), "nms_dropped")
+            gone = last if gone is None else gone.unionByName(last)
+            break
         kept = edges.select("hi").distinct().join(edges.select(F.col("lo").alias("hi")).distinct(), "hi", "left_anti")
         dropped = settle(edges.join(kept, "hi", "left_semi").select("lo").distinct(), "nms_dropped")
         gone = dropped if gone is None else gone.unionByName(dropped)

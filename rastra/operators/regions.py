@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rastra.functions.algebra import at_least, compactness
-from rastra.operators.graph import connected_components
+from rastra.operators.graph import SMALL, connected_components
 from rastra.storage import discard, settle
 
 
@@ -28,7 +28,7 @@ def label_regions(pixels: DataFrame, width: Column | int, cells: Column | int) -
     spans = runs.groupBy("raster_id", "row", "_id").agg(F.min("col").alias("a"), F.max("col").alias("b"))
     below = spans.select(F.col("raster_id").alias("r2"), (F.col("row") - 1).alias("row2"), F.col("_id").alias("dst"), F.col("a").alias("a2"), F.col("b").alias("b2"))
     edges = spans.join(below, (F.col("raster_id") == F.col("r2")) & (F.col("row") == F.col("row2")) & (F.col("a") <= F.col("b2")) & (F.col("b") >= F.col("a2")))
-    found = connected_components(edges.select(F.col("_id").alias("src"), "dst")).select(F.col("id").alias("_cid"), F.col("component").alias("_comp"))
+    found = connected_components(edges.select(F.col("_id").alias("src"), "dst"), small=SMALL).select(F.col("id").alias("_cid"), F.col("component").alias("_comp"))
     return runs.join(found, F.col("_id") == F.col("_cid"), "left").withColumn("component", F.coalesce("_comp", "_id")).drop("_new", "_run", "_id", "_cid", "_comp")
 
 
@@ -70,6 +70,17 @@ def region_features(labelled: DataFrame, value: str, affine: tuple = (1.0, 0.0,
     return rows.withColumn("compactness", compactness("area", "perimeter"))
 
 
+def add_outlines(found: DataFrame, labelled: DataFrame, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0)) -> DataFrame:
+    """Adds ``rings`` to regions (``raster_id, component``), traced from those pixels of ``labelled`` that are theirs.
+
+    Pixels of other regions are left out before anything is traced: neighbours
+    share a region, so what is left has the same outlines. A region without pixels has null.
+    """
+    keys = ["raster_id", "component"]
+    own = labelled.select(*keys, "row", "col").join(found.select(*keys).distinct(), keys, "left_semi")
+    return found.drop("rings").join(trace_outlines(own, affine), keys, "left")
+
+
 def extract_regions(pixels: DataFrame, value: str, threshold: float, width: int, cells: int, min_px: int = 50, affine: tuple = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0)) -> DataFrame:
     """Regions of pixels at or above the threshold, measured; NaN is never above."""
     on = pixels.where(at_least(value, threshold))

@@ -231,6 +231,15 @@ def oracle_sql() -> dict[str, str]:
       heap(a, b) AS (SELECT component, component FROM s UNION SELECT k.a, e.b FROM heap k JOIN e ON e.a = k.b),
       best AS (SELECT s.*, row_number() OVER (PARTITION BY (SELECT min(b) FROM heap WHERE a = s.component) ORDER BY score DESC, component) AS nth FROM s)
       SELECT component, area_px, round(score, 6) AS score, round(compactness, 6) AS compactness, round(x, 6) AS centroid_x, round(y, 6) AS centroid_y FROM best WHERE nth = 1"""
+    # the outlines of region_outlines, of the regions that scan_and_detect keeps and in its units
+    walked = q["region_outlines"].partition("      side AS (")
+    traced = (walked[1] + walked[2].rpartition("      SELECT raster_id, component,")[0]).replace("CAST((id % 10000) // 4 AS DOUBLE)", "CAST(500 * ((id % 10000) // 4) AS DOUBLE)").replace("CAST(0 - id // 10000 AS DOUBLE)", "CAST(-500 * (id // 10000) AS DOUBLE)")
+    traced = traced.replace("FROM px", "FROM own").replace("walk", "pace").rstrip()
+    q["detected_outlines"] = q["scan_and_detect"].partition("      SELECT component, area_px, round(score")[0].rstrip() + f""",
+      own AS (SELECT 0 AS raster_id, px.component, r, c FROM px JOIN best USING (component) WHERE nth = 1),
+{traced}
+      SELECT component, '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[' || string_agg(ps, ',' ORDER BY ring) || ']}},"properties":{{"component":' || component || ',"area_px":' || any_value(area_px) || '}}}}' AS feature
+      FROM ring JOIN best USING (component) WHERE nth = 1 GROUP BY component"""
     split = f"""{DET}, r AS (SELECT id, id % 11 = 0 AS is_positive, row_number() OVER (PARTITION BY id % 11 = 0 ORDER BY id * 7919 % 1048573, id) - 1 AS k,
         count(*) OVER (PARTITION BY id % 11 = 0) AS n FROM det),
       sp AS (SELECT id, is_positive, CASE WHEN k < floor(n * 0.7::DOUBLE) THEN 'train' WHEN k < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM r)"""

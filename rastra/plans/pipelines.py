@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rastra import sinks
 from rastra.functions import geo
-from rastra.functions.algebra import BANDS, composite_score, index_columns, mask_clouds, score_evidence
+from rastra.functions.algebra import BANDS, at_least, composite_score, index_columns, mask_clouds, score_evidence
 from rastra.operators import catalog, composite, convolution, dedupe, grid, inference, joins, regions, serving
 from rastra.sources import manifests, rasters
 from rastra.sources.manifests import Settings
@@ -33,20 +33,24 @@ def ingest_and_preprocess(looks: DataFrame, sites: DataFrame, tile: int, overlap
 
 def train_model(pixels: DataFrame, label: str = "label", steps: int = 25) -> inference.LinearModel:
     """Fit the linear model to stretched, labelled pixels."""
-    return inference.fit_linear(pixels.withColumns(index_columns()), target=label, steps=steps)
+    return inference.fit_newton(pixels.withColumns(index_columns()), target=label, steps=steps)
 
 
-def scan_and_detect(pixels: DataFrame, model: inference.Model, tile: int, overlap: int, height: int, width: int, threshold: float = 0.5, min_px: int = 50, affine: tuple = (10.0, 0.0, 0.0, 0.0, -10.0, 0.0), method: str = "dbscan", eps: float = 2000.0, iou: float = 0.3, ideal_km2: float = 2.0) -> DataFrame:
+def scan_and_detect(pixels: DataFrame, model: inference.Model, tile: int, overlap: int, height: int, width: int, threshold: float = 0.5, min_px: int = 50, affine: tuple = (10.0, 0.0, 0.0, 0.0, -10.0, 0.0), method: str = "dbscan", eps: float = 2000.0, iou: float = 0.3, ideal_km2: float = 2.0, outlines: bool = False) -> DataFrame:
     """Score composites, extract regions, rate them and drop repeats within a raster; best first.
 
     The rating comes before deduplication, so a cluster keeps its best rating;
     its parts stay in ``evidence``. Distances are in the raster's own units. The
     composite, the probabilities and the rated regions are written once each, as
-    several steps read them.
+    several steps read them. With ``outlines`` what is left has ``rings``, its outline in the
+    raster's units, outer ring first; only these regions are traced.
     """
     pixels = settle(pixels.select("raster_id", "row", "col", *BANDS), "composite")
     prob = settle(inference.sliding_window(pixels, model, tile, overlap, height, width), "probabilities")
-    found = regions.extract_regions(prob, "prob", threshold, width, height * width, min_px, affine)
+    labelled = regions.label_regions(prob.where(at_least("prob", threshold)), width, height * width)
+    if outlines:
+        labelled = settle(labelled, "labelled")
+    found = regions.region_features(labelled, "prob", affine, min_px)
     area = F.col("area") / 1e6
     rated = found.withColumns(
         {
@@ -58,7 +62,8 @@ def scan_and_detect(pixels: DataFrame, model: inference.Model, tile: int, overla
             "y": F.col("centroid_y"),
         }
     )
-    return dedupe.deduplicate(settle(rated, "detections"), method, eps, iou, size=float(max(tile * abs(affine[0]), 1.0)), by="raster_id")
+    best = dedupe.deduplicate(settle(rated, "detections"), method, eps, iou, size=float(max(tile * abs(affine[0]), 1.0)), by="raster_id")
+    return regions.add_outlines(settle(best, "kept_detections"), labelled, affine).orderBy(F.desc("score"), "id") if outlines else best
 
 
 def composites_of_areas(aois: DataFrame, scenes: DataFrame, looks: DataFrame, start: str, end: str, max_cloud: float = 20.0, limit: int = 50, method: str = "median") -> DataFrame:
@@ -149,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--tile", type=int, default=256)
     parser.add_argument("--threshold", type=float, default=0.5)
     parser.add_argument("--no-cloud-mask", action="store_true")
+    parser.add_argument("--no-outlines", action="store_true", help="store boxes and measures of detections without their outlines")
     parser.add_argument("--model-version", default="linear-1")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("rastra").getOrCreate()
@@ -170,9 +176,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.command in ("detect", "full"):
         model = serving.choose_model(spark, args.model, replace(Settings.load(), model_server=args.model_server) if args.model_server else Settings.load())
         if args.raster_files:
-            found = detect_in_files(spark, args.raster_files, model, args.tile, args.tile // 4, threshold=args.threshold)
+            found = detect_in_files(spark, args.raster_files, model, args.tile, args.tile // 4, threshold=args.threshold, outlines=not args.no_outlines)
         else:
-            found = scan_and_detect(spark.read.parquet(args.composite), model, args.tile, args.tile // 4, height, width, args.threshold, affine=affine)
+            found = scan_and_detect(spark.read.parquet(args.composite), model, args.tile, args.tile // 4, height, width, args.threshold, affine=affine, outlines=not args.no_outlines)
         sinks.store_detections(found, args.detections, args.model_version)
 
 

@@ -411,12 +411,20 @@ def scan_and_detect(s: SparkSession, d: str) -> DataFrame:
     return _r(found.select(*columns), "score", "compactness", "centroid_x", "centroid_y")
 
 
+def detected_outlines(s: SparkSession, d: str) -> DataFrame:
+    """The outlines of the detections that are left, as GeoJSON."""
+    found = pipelines.scan_and_detect(
+        temporal_median(s, d), inference.BASELINE, TILE, OVERLAP, EDGE, EDGE, threshold=0.62, min_px=3, affine=(500.0, 0.0, 0.0, 0.0, -500.0, 0.0), eps=1500.0, outlines=True
+    )
+    return found.select("component", geo.polygon_feature("rings", component=F.col("component"), area_px=F.col("area_px")).alias("feature"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
         latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, rasterize_outlines, rasterize_parcels, parcels_of_points, box_overlay, outline_overlay, parcel_distances, dedupe_polygons, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
         scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, tile_pyramid, detections_layout, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, warped_raster, raster_files, chip_files, evidence_rgb, geojson_features,
-        health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, convolutional_training, scan_and_detect,
+        health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, convolutional_training, scan_and_detect, detected_outlines,
     ]
     return {f.__name__: f for f in named}
