@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,37 +71,93 @@ def from_lonlat(lon: Column, lat: Column, crs: int) -> tuple[Column, Column]:
     raise ValueError(f"unknown system: {crs}")
 
 
-def warp(pixels: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] = BANDS, method: str = "bilinear") -> DataFrame:
-    """Every pixel of the target grid for each raster, ``raster_id, row, col`` and the bands.
-
-    The centre of each target pixel is taken back to the source grid, whose
-    nearest pixel or four surrounding ones (by their bilinear weights) it asks
-    for by row and column: one join on equal keys, whatever the two systems
-    are. Null and undefined values don't count, and the weights of the others
-    make up for them; a pixel with none is null. Pixels beyond the source's size are
-    ignored; an empty table has no rasters and gives no rows. A source pixel that comes twice counts twice.
-    """
+def _asks(cells: DataFrame, source: Grid, target: Grid, method: str) -> DataFrame:
+    """Target pixels (``row, col`` and others), each with the source pixels that it asks for: ``src_row, src_col`` and their weight ``w``."""
     if method not in ("bilinear", "nearest"):
         raise ValueError(f"no such method: {method}")
     if (source.crs is None) != (target.crs is None):
         raise ValueError("both grids must name their system, or neither")
-    cells = pixels.select("raster_id").distinct()
-    cells = cells.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(target.height - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(target.width - 1))))
     x, y = target.world(F.col("row"), F.col("col"))
     if source.crs != target.crs:
         x, y = from_lonlat(*lonlat(x, y, target.crs), source.crs)
     at_row, at_col = source.position(x, y)
     placed = cells.withColumns({"at_row": at_row, "at_col": at_col})
     if method == "nearest":
-        asked = placed.withColumns({"src_row": F.floor(F.col("at_row") + 0.5), "src_col": F.floor(F.col("at_col") + 0.5), "w": F.lit(1.0)})
-    else:
-        low_r, low_c = F.floor("at_row"), F.floor("at_col")
-        weight = lambda at, low, d: 1.0 - F.abs(F.col(at) - low - d)
-        four = F.array(*[F.struct((low_r + i).alias("r"), (low_c + j).alias("c"), (weight("at_row", low_r, i) * weight("at_col", low_c, j)).alias("w")) for i in (0, 1) for j in (0, 1)])
-        asked = placed.withColumn("one", F.explode(F.filter(four, lambda k: k["w"] > 0))).select("*", F.col("one.r").alias("src_row"), F.col("one.c").alias("src_col"), F.col("one.w").alias("w"))
+        return placed.withColumns({"src_row": F.floor(F.col("at_row") + 0.5), "src_col": F.floor(F.col("at_col") + 0.5), "w": F.lit(1.0)})
+    low_r, low_c = F.floor("at_row"), F.floor("at_col")
+    weight = lambda at, low, d: 1.0 - F.abs(F.col(at) - low - d)
+    four = F.array(*[F.struct((low_r + i).alias("r"), (low_c + j).alias("c"), (weight("at_row", low_r, i) * weight("at_col", low_c, j)).alias("w")) for i in (0, 1) for j in (0, 1)])
+    return placed.withColumn("one", F.explode(F.filter(four, lambda k: k["w"] > 0))).select("*", F.col("one.r").alias("src_row"), F.col("one.c").alias("src_col"), F.col("one.w").alias("w"))
+
+
+def warp(pixels: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] = BANDS, method: str = "bilinear") -> DataFrame:
+    """Every pixel of the target grid for each raster, ``raster_id, row, col`` and the bands.
+
+    The centre of each target pixel is taken back to the source grid, whose
+    nearest pixel or four surrounding ones (by their bilinear weights) it asks
+    for by row and column: one join on equal keys, whatever the two systems
+    are. Null and undefined values don't count, and the weights of the others
+    make up for them; a pixel with none is null. Pixels beyond the source's size are
+    ignored; an empty table has no rasters and gives no rows. A source pixel that comes twice counts twice.
+    """
+    cells = pixels.select("raster_id").distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(target.height - 1))))
+    # rows are dealt before their pixels are made, so that no task makes a whole raster
+    cells = cells.repartition("raster_id", "row").withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(target.width - 1))))
+    asked = _asks(cells, source, target, method)
     value = lambda b: F.nanvl(F.col(b).cast("double"), F.lit(None).cast("double"))
     inside = F.col("row").between(0, source.height - 1) & F.col("col").between(0, source.width - 1)
     held = pixels.where(inside).select(F.col("raster_id"), F.col("row").cast("long").alias("src_row"), F.col("col").cast("long").alias("src_col"), *[value(b).alias(b) for b in bands])
     met = asked.select("raster_id", "row", "col", "src_row", "src_col", "w").join(held, ["raster_id", "src_row", "src_col"], "left")
     sums = [F.try_divide(F.sum(F.col("w") * F.col(b)), F.sum(F.when(F.col(b).isNotNull(), F.col("w")))).alias(b) for b in bands]
     return met.groupBy("raster_id", "row", "col").agg(*sums)
+
+
+def warp_blocks(blocks: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] = BANDS, method: str = "bilinear", edge: int = 256, out_edge: int = 128) -> DataFrame:
+    """As ``warp``, from blocks of pixels (``raster_id, row_off, col_off, h, w, bands``) of ``edge`` x ``edge`` that are never unpacked.
+
+    The target is dealt in squares of ``out_edge``; each lists the source pixels that
+    it asks for by block, and square and block meet in one join on the block, so
+    a block is moved once as an array and a task holds one block and one
+    square's list. Pixels at which several blocks meet are added up after that.
+    Blocks that don't lie on the grid of ``edge`` are an error. Values are those that blocks hold, 32 bits each.
+    """
+    last = lambda n: F.lit((n - 1) // out_edge)
+    squares = blocks.select("raster_id").distinct().withColumn("t_row", F.explode(F.sequence(F.lit(0), last(target.height)))).withColumn("t_col", F.explode(F.sequence(F.lit(0), last(target.width))))
+    span = lambda t, n: F.explode(F.sequence(F.col(t) * out_edge, F.least(F.lit(n - 1), F.col(t) * out_edge + out_edge - 1)))
+    cells = squares.repartition("raster_id", "t_row", "t_col").withColumn("row", span("t_row", target.height)).withColumn("col", span("t_col", target.width))
+    inside = F.col("src_row").between(0, source.height - 1) & F.col("src_col").between(0, source.width - 1)
+    of_block = lambda c: F.when(inside, F.floor(F.col(c) / edge).cast("int"))
+    in_block = lambda c: F.when(inside, F.pmod(c, F.lit(edge)).cast("int")).otherwise(0)
+    place = (F.col("row") - F.col("t_row") * out_edge) * out_edge + F.col("col") - F.col("t_col") * out_edge
+    asked = _asks(cells, source, target, method).groupBy("raster_id", "t_row", "t_col", of_block("src_row").alias("s_row"), of_block("src_col").alias("s_col")).agg(
+        F.collect_list(place.cast("int")).alias("places"), F.collect_list(in_block("src_row")).alias("rows"), F.collect_list(in_block("src_col")).alias("cols"), F.collect_list("w").alias("weights")
+    )
+    held = blocks.select("raster_id", F.floor(F.col("row_off") / edge).cast("int").alias("s_row"), F.floor(F.col("col_off") / edge).cast("int").alias("s_col"), "row_off", "col_off", F.col("h").alias("b_h"), F.col("w").alias("b_w"), "bands")
+    met = asked.join(held, ["raster_id", "s_row", "s_col"], "left")
+    sums, parts = [f"_s{k}" for k in range(len(bands))], [f"_w{k}" for k in range(len(bands))]
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for g in group.itertuples(index=False):
+            at, n = np.asarray(g.places), out_edge * out_edge
+            seen = np.unique(at)
+            made = {"row": g.t_row * out_edge + seen // out_edge, "col": g.t_col * out_edge + seen % out_edge}
+            if g.bands is None:
+                made |= dict.fromkeys(sums + parts, 0.0)
+            else:
+                if g.row_off % edge or g.col_off % edge or g.b_h > edge or g.b_w > edge:
+                    raise ValueError(f"the block at {(g.row_off, g.col_off)} is not on the grid of {edge}")
+                r, c, w = np.asarray(g.rows), np.asarray(g.cols), np.asarray(g.weights, dtype=np.float64)
+                there = (r < g.b_h) & (c < g.b_w)
+                for k, (total, part) in enumerate(zip(sums, parts)):
+                    value = np.full(len(at), np.nan)
+                    value[there] = np.asarray(g.bands[k], dtype=np.float64)[r[there] * int(g.b_w) + c[there]]
+                    known = ~np.isnan(value)
+                    made[total] = np.bincount(at[known], w[known] * value[known], n)[seen]
+                    made[part] = np.bincount(at[known], w[known], n)[seen]
+            found.append(pd.DataFrame(made).assign(raster_id=g.raster_id))
+        return pd.concat(found)[["raster_id", "row", "col", *sums, *parts]]
+
+    kind = f"raster_id {blocks.schema['raster_id'].dataType.simpleString()}, row int, col int, " + ", ".join(f"{c} double" for c in sums + parts)
+    added = met.groupBy("raster_id", "s_row", "s_col", "t_row", "t_col").applyInPandas(add, kind)
+    return added.groupBy("raster_id", "row", "col").agg(*[F.try_divide(F.sum(s), F.sum(w)).alias(b) for b, s, w in zip(bands, sums, parts)])

@@ -299,6 +299,7 @@ def oracle_sql() -> dict[str, str]:
     q["aoi_union"] = """WITH r AS (SELECT s_suppkey AS raster_id, CASE s_nationkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS aoi, 200 + s_suppkey * 37 % 900 AS h, 200 + s_suppkey * 53 % 900 AS w FROM supplier),
       k AS (SELECT CAST(unnest(generate_series(0, 10)) * 224 AS INT) AS o)
       SELECT aoi, raster_id, 'tile_' || b.o || '_' || a.o AS tile_id, a.o AS row_off, b.o AS col_off FROM r JOIN k a ON a.o + 256 <= h JOIN k b ON b.o + 256 <= w"""
+    q["warped_blocks"] = q["warped_raster"]
     q["raster_files"] = f"""WITH {MED} SELECT raster_id, "row", col, {", ".join(f"CAST(CAST({b} AS FLOAT) AS DOUBLE) AS {b}" for b in BANDS)} FROM med WHERE "row" BETWEEN 10 AND 39 AND col BETWEEN 21 AND 37"""
     q["chip_files"] = f"""WITH {MED}, {_tiles()} SELECT 'tile_' || col_off || '_' || row_off AS tile_id, 500.0::DOUBLE + 10 * col_off AS "left", 9000.0::DOUBLE - 10 * row_off AS top,
       sum(CAST(red AS FLOAT)::DOUBLE) AS red, sum(CAST(nir AS FLOAT)::DOUBLE) AS nir FROM tiled GROUP BY row_off, col_off HAVING count(*) FILTER (WHERE blue <> 0) / 256.0::DOUBLE >= 0.5"""

@@ -353,6 +353,13 @@ def warped_raster(s: SparkSession, d: str) -> DataFrame:
     return _r(warp.warp(temporal_median(s, d), here, there, ("red", "nir")).select("row", "col", "red", "nir"), "red", "nir")
 
 
+def warped_blocks(s: SparkSession, d: str) -> DataFrame:
+    """The same from blocks that are not unpacked."""
+    here, there = warp.Grid((1.0, 0.0, 0.0, 0.0, 1.0, 0.0), EDGE, EDGE), warp.Grid((1.5, 0.0, -2.25, 0.0, 1.5, 1.25), 46, 46)
+    blocks = manifests.pixels_to_blocks(temporal_median(s, d), 16, ("red", "nir"))
+    return _r(warp.warp_blocks(blocks, here, there, ("red", "nir"), edge=16, out_edge=16).select("row", "col", "red", "nir"), "red", "nir")
+
+
 def evidence_rgb(s: SparkSession, d: str) -> DataFrame:
     small = manifests.resample_nearest(temporal_median(s, d).select("raster_id", "row", "col", "red", "green", "blue"), EDGE, EDGE, 20, 20)
     return composite.thumbnail(small).select("row", "col", "r", "g", "b")
@@ -424,7 +431,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         spectral_indices, cloud_mask, temporal_median, temporal_mean, masked_median, percentile_stretch, tile_grid, tile_batches, chip_valid,
         overlap_average, sigmoid_threshold, site_buffer_semi, rasterize_labels, recall_at_k, fp_rate, calibration, segmentation_loss, prf1, auroc,
         latency_percentiles, composite_score, components_8x8, region_features, region_outlines, outline_measures, rasterize_outlines, rasterize_parcels, parcels_of_points, box_overlay, outline_overlay, parcel_distances, dedupe_polygons, dedupe_dbscan, dedupe_nms, dedupe_regions, stratified_split, split_sizes,
-        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, tile_pyramid, detections_layout, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, warped_raster, raster_files, chip_files, evidence_rgb, geojson_features,
+        scene_search, aoi_scene_join, detections_page, detections_count, detection_by_id, tile_features, tile_pyramid, detections_layout, marker_style, marker_colour, radar_scene_join, label_arrays, scene_crop, warped_raster, warped_blocks, raster_files, chip_files, evidence_rgb, geojson_features,
         health, aoi_union, early_stopping, strip_height, augment, sliding_window_inference, convolutional_training, scan_and_detect, detected_outlines,
     ]
     return {f.__name__: f for f in named}

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rastra.functions import geo
-from rastra.operators.warp import Grid, warp
+from rastra.operators.warp import Grid, warp, warp_blocks
+from rastra.sources import manifests
 
 KIND = "raster_id long, row int, col int, red double"
 
@@ -64,3 +65,33 @@ def test_what_is_refused_and_nothing(spark):
     for bad in (lambda: Grid((1.0, 1.0, 0.0, 1.0, 1.0, 0.0), 2, 2), lambda: Grid(here.affine, 0, 2), lambda: warp(ramp(spark, 2), here, here, ("red",), "cubic"), lambda: warp(ramp(spark, 2), here, Grid(here.affine, 2, 2, 4326), ("red",)), lambda: warp(ramp(spark, 2), Grid(here.affine, 2, 2, 1234), Grid(here.affine, 2, 2, 4326), ("red",))):
         with pytest.raises(ValueError):
             bad()
+
+
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_blocks_give_what_pixels_give(spark, method):
+    cells = [(i, r, c, float((r * 37 + c * 61 + i) % 101), float(r * c)) for i in (1, 2) for r in range(19) for c in range(23)]
+    cells = [(i, r, c, float("nan") if (r, c) in ((4, 5), (4, 6), (5, 5), (5, 6)) else red, nir) for i, r, c, red, nir in cells]
+    frame = spark.createDataFrame(cells, "raster_id long, row int, col int, red double, nir double")
+    blocks = manifests.pixels_to_blocks(frame, 8, ("red", "nir"))
+    here = Grid((10.0, 0.0, 500000.0, 0.0, -10.0, 5000000.0), 19, 23, 32632)
+    turned = Grid((6.0, 1.5, 499980.0, -1.0, -7.0, 5000010.0), 37, 41, 32632)
+    other = Grid((0.0001, 0.0, 8.9997, 0.0, -0.0001, 45.1535), 24, 30, 4326)
+    for target in (turned, other):
+        one = {(r["raster_id"], r["row"], r["col"]): (r["red"], r["nir"]) for r in warp(frame, here, target, ("red", "nir"), method).collect()}
+        two = {(r["raster_id"], r["row"], r["col"]): (r["red"], r["nir"]) for r in warp_blocks(blocks, here, target, ("red", "nir"), method, edge=8, out_edge=16).collect()}
+        assert one.keys() == two.keys() and len(one) == 2 * target.height * target.width
+        assert any(v[0] is not None for v in one.values()) and any(v[0] is None for v in one.values())
+        for k, v in one.items():
+            assert all((a is None) == (b is None) and (a is None or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)) for a, b in zip(v, two[k])), (k, v, two[k])
+    assert warp_blocks(blocks.limit(0), here, turned, ("red", "nir"), method, edge=8).count() == 0
+
+
+def test_blocks_off_the_grid_and_lost_blocks(spark):
+    blocks = manifests.pixels_to_blocks(ramp(spark, 8), 4, ("red",))
+    here = Grid((1.0, 0.0, 0.0, 0.0, 1.0, 0.0), 8, 8)
+    with pytest.raises(Exception, match="not on the grid"):
+        warp_blocks(blocks, here, here, ("red",), edge=6).collect()
+    found = {(r["row"], r["col"]): r["red"] for r in warp_blocks(blocks.where("block_row = 0"), here, here, ("red",), edge=4).collect()}
+    assert found == {(r, c): 3.0 * c + 7.0 * r if r < 4 else None for r in range(8) for c in range(8)}
+    with pytest.raises(ValueError):
+        warp_blocks(blocks, here, here, ("red",), "cubic", edge=4)
