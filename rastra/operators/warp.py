@@ -72,7 +72,7 @@ def from_lonlat(lon: Column, lat: Column, crs: int) -> tuple[Column, Column]:
 
 
 def _asks(cells: DataFrame, source: Grid, target: Grid, method: str) -> DataFrame:
-    """Target pixels (``row, col`` and others), each with the source pixels that it asks for: ``src_row, src_col`` and their weight ``w``."""
+    """Target pixels (``row, col`` and others) with ``at_row, at_col``, where they lie in the source, and ``asks``, the source pixels ``r, c`` that count there with their weights ``w``."""
     if method not in ("bilinear", "nearest"):
         raise ValueError(f"no such method: {method}")
     if (source.crs is None) != (target.crs is None):
@@ -83,11 +83,11 @@ def _asks(cells: DataFrame, source: Grid, target: Grid, method: str) -> DataFram
     at_row, at_col = source.position(x, y)
     placed = cells.withColumns({"at_row": at_row, "at_col": at_col})
     if method == "nearest":
-        return placed.withColumns({"src_row": F.floor(F.col("at_row") + 0.5), "src_col": F.floor(F.col("at_col") + 0.5), "w": F.lit(1.0)})
+        return placed.withColumn("asks", F.array(F.struct(F.floor(F.col("at_row") + 0.5).alias("r"), F.floor(F.col("at_col") + 0.5).alias("c"), F.lit(1.0).alias("w"))))
     low_r, low_c = F.floor("at_row"), F.floor("at_col")
     weight = lambda at, low, d: 1.0 - F.abs(F.col(at) - low - d)
     four = F.array(*[F.struct((low_r + i).alias("r"), (low_c + j).alias("c"), (weight("at_row", low_r, i) * weight("at_col", low_c, j)).alias("w")) for i in (0, 1) for j in (0, 1)])
-    return placed.withColumn("one", F.explode(F.filter(four, lambda k: k["w"] > 0))).select("*", F.col("one.r").alias("src_row"), F.col("one.c").alias("src_col"), F.col("one.w").alias("w"))
+    return placed.withColumn("asks", F.filter(four, lambda k: k["w"] > 0))
 
 
 def warp(pixels: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] = BANDS, method: str = "bilinear") -> DataFrame:
@@ -103,7 +103,7 @@ def warp(pixels: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] =
     cells = pixels.select("raster_id").distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(target.height - 1))))
     # rows are dealt before their pixels are made, so that no task makes a whole raster
     cells = cells.repartition("raster_id", "row").withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(target.width - 1))))
-    asked = _asks(cells, source, target, method)
+    asked = _asks(cells, source, target, method).withColumn("one", F.explode("asks")).select("*", F.col("one.r").alias("src_row"), F.col("one.c").alias("src_col"), F.col("one.w").alias("w"))
     value = lambda b: F.nanvl(F.col(b).cast("double"), F.lit(None).cast("double"))
     inside = F.col("row").between(0, source.height - 1) & F.col("col").between(0, source.width - 1)
     held = pixels.where(inside).select(F.col("raster_id"), F.col("row").cast("long").alias("src_row"), F.col("col").cast("long").alias("src_col"), *[value(b).alias(b) for b in bands])
@@ -115,9 +115,9 @@ def warp(pixels: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] =
 def warp_blocks(blocks: DataFrame, source: Grid, target: Grid, bands: tuple[str, ...] = BANDS, method: str = "bilinear", edge: int = 256, out_edge: int = 128) -> DataFrame:
     """As ``warp``, from blocks of pixels (``raster_id, row_off, col_off, h, w, bands``) of ``edge`` x ``edge`` that are never unpacked.
 
-    The target is dealt in squares of ``out_edge``; each lists the source pixels that
-    it asks for by block, and square and block meet in one join on the block, so
-    a block is moved once as an array and a task holds one block and one
+    The target is dealt in squares of ``out_edge``; each lists by block the places that its
+    pixels ask for, mostly in one block a pixel, and square and block meet in one join on the block, so
+    a block is moved as an array and a task holds one block and one
     square's list. Pixels at which several blocks meet are added up after that.
     Blocks that don't lie on the grid of ``edge`` are an error. Values are those that blocks hold, 32 bits each.
     """
@@ -125,12 +125,12 @@ def warp_blocks(blocks: DataFrame, source: Grid, target: Grid, bands: tuple[str,
     squares = blocks.select("raster_id").distinct().withColumn("t_row", F.explode(F.sequence(F.lit(0), last(target.height)))).withColumn("t_col", F.explode(F.sequence(F.lit(0), last(target.width))))
     span = lambda t, n: F.explode(F.sequence(F.col(t) * out_edge, F.least(F.lit(n - 1), F.col(t) * out_edge + out_edge - 1)))
     cells = squares.repartition("raster_id", "t_row", "t_col").withColumn("row", span("t_row", target.height)).withColumn("col", span("t_col", target.width))
-    inside = F.col("src_row").between(0, source.height - 1) & F.col("src_col").between(0, source.width - 1)
-    of_block = lambda c: F.when(inside, F.floor(F.col(c) / edge).cast("int"))
-    in_block = lambda c: F.when(inside, F.pmod(c, F.lit(edge)).cast("int")).otherwise(0)
+    inside = F.filter("asks", lambda k: (k["r"] >= 0) & (k["r"] < source.height) & (k["c"] >= 0) & (k["c"] < source.width))
+    met_blocks = F.array_distinct(F.transform(inside, lambda k: F.struct(F.floor(k["r"] / edge).cast("int").alias("r"), F.floor(k["c"] / edge).cast("int").alias("c"))))
     place = (F.col("row") - F.col("t_row") * out_edge) * out_edge + F.col("col") - F.col("t_col") * out_edge
-    asked = _asks(cells, source, target, method).groupBy("raster_id", "t_row", "t_col", of_block("src_row").alias("s_row"), of_block("src_col").alias("s_col")).agg(
-        F.collect_list(place.cast("int")).alias("places"), F.collect_list(in_block("src_row")).alias("rows"), F.collect_list(in_block("src_col")).alias("cols"), F.collect_list("w").alias("weights")
+    listed = _asks(cells, source, target, method).select("raster_id", "t_row", "t_col", place.cast("int").alias("place"), "at_row", "at_col", F.explode_outer(met_blocks).alias("block"))
+    asked = listed.groupBy("raster_id", "t_row", "t_col", F.col("block.r").alias("s_row"), F.col("block.c").alias("s_col")).agg(
+        F.collect_list("place").alias("places"), F.collect_list("at_row").alias("rows"), F.collect_list("at_col").alias("cols")
     )
     held = blocks.select("raster_id", F.floor(F.col("row_off") / edge).cast("int").alias("s_row"), F.floor(F.col("col_off") / edge).cast("int").alias("s_col"), "row_off", "col_off", F.col("h").alias("b_h"), F.col("w").alias("b_w"), "bands")
     met = asked.join(held, ["raster_id", "s_row", "s_col"], "left")
@@ -147,14 +147,20 @@ def warp_blocks(blocks: DataFrame, source: Grid, target: Grid, bands: tuple[str,
             else:
                 if g.row_off % edge or g.col_off % edge or g.b_h > edge or g.b_w > edge:
                     raise ValueError(f"the block at {(g.row_off, g.col_off)} is not on the grid of {edge}")
-                r, c, w = np.asarray(g.rows), np.asarray(g.cols), np.asarray(g.weights, dtype=np.float64)
-                there = (r < g.b_h) & (c < g.b_w)
-                for k, (total, part) in enumerate(zip(sums, parts)):
-                    value = np.full(len(at), np.nan)
-                    value[there] = np.asarray(g.bands[k], dtype=np.float64)[r[there] * int(g.b_w) + c[there]]
-                    known = ~np.isnan(value)
-                    made[total] = np.bincount(at[known], w[known] * value[known], n)[seen]
-                    made[part] = np.bincount(at[known], w[known], n)[seen]
+                at_row, at_col = np.asarray(g.rows), np.asarray(g.cols)
+                low_r, low_c = (np.floor(v + 0.5 if method == "nearest" else v) for v in (at_row, at_col))
+                made |= dict.fromkeys(sums + parts, np.zeros(len(seen)))
+                for i, j in ((0, 0),) if method == "nearest" else ((0, 0), (0, 1), (1, 0), (1, 1)):
+                    r, c = low_r + i, low_c + j
+                    w = np.ones(len(at)) if method == "nearest" else (1.0 - np.abs(at_row - low_r - i)) * (1.0 - np.abs(at_col - low_c - j))
+                    own = (w > 0) & (r >= 0) & (r < source.height) & (c >= 0) & (c < source.width)
+                    own &= (r >= g.row_off) & (r < g.row_off + g.b_h) & (c >= g.col_off) & (c < g.col_off + g.b_w)
+                    number = ((r[own] - g.row_off) * g.b_w + c[own] - g.col_off).astype(np.int64)
+                    for k, (total, part) in enumerate(zip(sums, parts)):
+                        value = np.asarray(g.bands[k], dtype=np.float64)[number]
+                        known = ~np.isnan(value)
+                        made[total] = made[total] + np.bincount(at[own][known], w[own][known] * value[known], n)[seen]
+                        made[part] = made[part] + np.bincount(at[own][known], w[own][known], n)[seen]
             found.append(pd.DataFrame(made).assign(raster_id=g.raster_id))
         return pd.concat(found)[["raster_id", "row", "col", *sums, *parts]]
 
