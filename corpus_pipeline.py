@@ -25,6 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: sets of five-word shingles with a similarity of 0.8 or more are linked.
 
+    SimHash links come first, each settled by the sets; an index of the sets' prefixes then finds the pairs that the bits miss.
+
     The smallest id stays, rows without an id only if there is no other; texts without words are one group.
     """
     return near.drop_near_duplicates(docs, shingle=5, similarity=0.8)

@@ -1,4 +1,4 @@
-"""Near-duplicates by the exact similarity of shingle sets: an inverted index of set prefixes, a proven bound on bits, then the sets."""
+"""Near-duplicates: SimHash fingerprints meet in the inverted index of byte positions, the exact similarity of shingle sets settles them, and an inverted index of set prefixes finds the pairs whose fingerprints are too far apart."""
 
 from __future__ import annotations
 
@@ -11,8 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastra.llm import simhash
 from rastra.llm.common import slices, spread_join, texts
-from rastra.llm.simhash import _shingle_hashes, one_row_each
+from rastra.llm.simhash import _shingle_hashes, fingerprint_of, one_row_each
 from rastra.operators.graph import connected_components
 from rastra.storage import settle
 
@@ -75,15 +76,16 @@ def _common(docs: DataFrame, text: str, shingle: int, sample: int = 4000, most:
 
 
 def _prints(docs: DataFrame, text: str, doc_id: str, shingle: int, least: Fraction, common: np.ndarray) -> DataFrame:
-    kind = pa.struct([("node", pa.int64()), ("n", pa.int64()), *[(p, pa.int64()) for p in _LONGS], ("parity", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    kind = pa.struct([("node", pa.int64()), ("n", pa.int64()), ("f0", pa.int64()), *[(p, pa.int64()) for p in _LONGS], ("parity", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
-    @F.arrow_udf("struct<node: bigint, n: bigint, " + ", ".join(f"{p}: bigint" for p in _LONGS) + ", parity: binary, prefix: array<bigint>>")
+    @F.arrow_udf("struct<node: bigint, n: bigint, f0: bigint, " + ", ".join(f"{p}: bigint" for p in _LONGS) + ", parity: binary, prefix: array<bigint>>")
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in slices(batches):
             out = []
             for raw in texts(batch):
-                found = shingle_set(raw, shingle)
-                row = {"node": _node(found), "n": len(found), "prefix": _prefix(found, common, least).view(np.int64)}
+                hashes = np.concatenate([np.empty(0, np.uint64), *_shingle_hashes(raw or b"", shingle)])
+                found = np.unique(hashes)
+                row = {"node": _node(found), "n": len(found), "f0": fingerprint_of(hashes), "prefix": _prefix(found, common, least).view(np.int64)}
                 parity = _parity(found)
                 row |= dict(zip(_LONGS, _fold(parity, len(_LONGS)).tolist(), strict=True))
                 out.append(row | {"parity": parity.tobytes()})
@@ -102,9 +104,9 @@ def _node(found: np.ndarray) -> int:
 
 
 def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) -> DataFrame:
-    """Pairs of each list that the bound allows: all of a short list, those with its first member of a long one.
+    """Pairs of each list, of different components, that the bound allows: all of a short list, those with its first member of a long one.
 
-    With ``apart`` all pairs of different components, of lists of any length;
+    With ``apart`` all such pairs, of lists of any length;
     these are held against all bits that both have before they leave the task.
     The sets of two near texts differ in at most ``(1 - s) / (1 + s)`` of both sizes.
     """
@@ -121,8 +123,7 @@ def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) ->
             def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=-1, dtype=np.int64)
                 differ = np.maximum(differ, np.abs(n[a] - n[b]))
-                ok = (differ * under <= over * (n[a] + n[b])) & (node[a] != node[b])
-                return ok & (group[a] != group[b]) if apart else ok
+                return (differ * under <= over * (n[a] + n[b])) & (node[a] != node[b]) & (group[a] != group[b])
 
             src, dst = [], []
             sizes = np.diff(offsets)
@@ -213,11 +214,25 @@ def _settled(pairs: DataFrame, docs: DataFrame, text: str, shingle: int, least:
     return settle(both.where(near).select("src", "dst"), "near_links")
 
 
+def _by_bits(nodes: DataFrame) -> DataFrame:
+    """Pairs of sets that SimHash holds for near: of each fingerprint the first set and every other one, and the first sets of linked fingerprints."""
+    heads = settle(nodes.groupBy("f0").agg(F.min("node").alias("head")), "near_fingerprints")
+    alike = nodes.join(heads, "f0").select(F.col("head").alias("src"), F.col("node").alias("dst")).where("src <> dst")
+    linked = simhash.near_links(heads.select(F.col("f0").alias("node"), "f0")).distinct()
+    a, b = (heads.select(F.col("f0").alias(end), F.col("head").alias(f"{end}_head")) for end in ("src", "dst"))
+    met = linked.join(a, "src").join(b, "dst").select(F.least("src_head", "dst_head").alias("src"), F.greatest("src_head", "dst_head").alias("dst"))
+    return alike.unionByName(met)
+
+
 def near_links(
     prints: DataFrame, docs: DataFrame, text: str, shingle: int, least: Fraction, block_rows: int = 2048, small: int = 16
 ) -> DataFrame:
     """``src, dst`` such that their components are those of all pairs of sets with the similarity.
 
+    The fingerprints of the sets go through SimHash's index of byte positions
+    first, and what it links is settled by the sets. Bits alone would lose pairs, so the prefixes come after it, for
+    pairs that are not in one component by then.
+
     Two sets of similarity ``s`` share a member among the first ``n - ceil(s n) + 1``
     of each, in any one order of all members, so that every such pair meets in a
     list. Pairs of short lists, and of each long list those with its first
@@ -226,8 +241,14 @@ def near_links(
     square of pairs. A list of over ``block_rows`` members is compared block
     against block in separate tasks.
     """
-    first = [F.first(c).alias(c) for c in ("n", *_LONGS, "parity")]
+    first = [F.first(c).alias(c) for c in ("n", *_LONGS, "parity")] + [F.min("f0").alias("f0")]
     nodes = settle(prints.groupBy("node").agg(F.min("row").alias("row"), *first), "near_nodes", compression="zstd")
+    close = _settled(_bounded(_by_bits(nodes), nodes, least), docs, text, shingle, least)
+
+    def component_of(links: DataFrame, *columns: str) -> DataFrame:
+        found = connected_components(links)
+        return nodes.join(found, F.col("node") == F.col("id"), "left").select("node", "n", F.coalesce("component", "node").alias("component"), *_LONGS, *columns)
+
     # one exchange of the postings serves both their count and the join
     single = prints.select("row", "node", "prefix").join(nodes.select("row"), "row", "left_semi")
     postings = single.select("node", F.explode("prefix").alias("key")).repartition("key")
@@ -244,14 +265,12 @@ def near_links(
             F.collect_list(F.struct("node", *columns)).alias("members")
         )
 
-    bits = ["node", "n", F.col("node").alias("component"), *_LONGS]
-    links = _settled(_bounded(_candidates(groups(members, nodes.select(*bits)), least, False, small), nodes, least), docs, text, shingle, least)
+    met = _candidates(groups(members, component_of(close)), least, False, small)
+    links = close.unionByName(_settled(_bounded(met, nodes, least), docs, text, shingle, least))
     long = members.where(F.col("size") > small)
     if long.isEmpty():
         return links
-    component = connected_components(links)
-    joined = F.coalesce("component", "node").alias("component")
-    named = nodes.join(component, F.col("node") == F.col("id"), "left").select("node", "n", joined, *_LONGS, "parity")
+    named = component_of(links, "parity")
     # lists whose members are all in one component by now have nothing to tell
     ends = [F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows")]
     mixed = settle(long.join(named.select("node", "component"), "node").groupBy("key").agg(*ends).where("a < b").select("key", "rows"), "near_mixed")

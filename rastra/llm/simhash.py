@@ -74,6 +74,11 @@ def fingerprint(raw: bytes | None, shingle: int = 4, reps: int = 1) -> list[int]
     return np.packbits(counts * 2 > n, axis=1, bitorder="little").view(np.uint64).ravel().tolist()
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The fingerprint of a text whose shingles, repeats included, have these hashes, as a signed long."""
+    return int(np.packbits(_bit_counts(hashes) * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int, reps: int, hashed: bool = False) -> DataFrame:
     """``doc_id, node, f0 ..``: fingerprints as signed longs, and one long that stands for them all; ``h`` of the text if asked for."""
     kind = pa.struct([(f"f{r}", pa.int64()) for r in range(reps)])

@@ -188,7 +188,7 @@ class ChunkEncoder:
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("local_start", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int32())))])
 
 
-def _in_turn(encoder: ChunkEncoder, raws: list[bytes], most: int = 3 << 20) -> Iterator[np.ndarray]:
+def _in_turn(encoder: ChunkEncoder, raws: list[bytes], most: int = 1 << 20) -> Iterator[np.ndarray]:
     """The ids of each text, encoding about ``most`` bytes at a time."""
     some, held = [], 0
     for raw in raws:

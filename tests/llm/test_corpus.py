@@ -156,6 +156,25 @@ def test_pipeline_near_duplicates_equal_jaccard(spark):
     assert sorted(r["doc_id"] for r in near.drop_near_duplicates(docs, block_rows=20).collect()) == got
 
 
+def test_pipeline_near_duplicates_go_through_simhash(spark, monkeypatch):
+    """Fingerprints are op1's, what they link is settled by the sets, and only pairs that they miss are left to the prefixes."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    texts = [sentence(rng, 400, 5000) for _ in range(30)]
+    texts += [t + " end" for t in texts]
+    for t in [*texts[:3], "", None, "one"]:
+        raw = t if t is None else t.encode()
+        hashes = np.concatenate([np.empty(0, np.uint64), *simhash._shingle_hashes(raw or b"", 5)])
+        assert simhash.fingerprint_of(hashes) % 2**64 == simhash.fingerprint(raw, 5)[0]
+    settled, found = [], near._settled
+    monkeypatch.setattr(near, "_settled", lambda pairs, *rest: settled.append(out := found(pairs, *rest)) or out)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == list(range(30))
+    assert settled[0].count() >= 20  # by bits
+    assert settled[0].count() + settled[1].count() == 30
+
+
 def test_pipeline_near_duplicates_of_short_texts(spark):
     rng = random.Random(11)
     short = [sentence(rng, n + 4, 5000) for n in (4, 6, 8, 10) for _ in range(15)]
