@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,10 +124,124 @@ def greedy(rows: DataFrame, over: DataFrame, key: str = "id", small: int = SMALL
     return rows if gone is None else rows.join(gone.select(F.col("lo").alias(key)), key, "left_anti")
 
 
+#: Boxes of a class are up to so many times as wide as the narrowest; a tile is so many times as wide as the widest.
+_CLASS, _TILE = 16, 4
+#: The class of all boxes that are smaller still.
+_FINEST = -6
+_SIDES = ("xmin", "ymin", "xmax", "ymax")
+
+
+def _tiles(boxes: DataFrame, threshold: float, size: float) -> DataFrame:
+    """Each box once in every tile where a box that it may suppress, or that may suppress it, has its middle: ``_k, _x, _y``, and whether it is that tile's ``own``.
+
+    Boxes with an IoU of at least the threshold differ in width and height by that factor at most.
+    """
+    least = threshold * (1 - 1e-9)
+    w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
+    level = lambda x: F.greatest(F.ceil(F.log(x / F.lit(float(size))) / math.log(_CLASS)), F.lit(_FINEST)).cast("int")
+    wide = F.greatest(w, h).cast("double")
+    d = boxes.withColumns({"_own": level(wide), "_k": F.explode(F.sequence(level(wide * least), level(wide / least)))})
+    d = d.withColumn("_side", F.pow(F.lit(float(_CLASS)), F.col("_k")) * float(size * _TILE))
+    at = lambda x: F.floor(x / F.col("_side")).cast("long")
+    most = F.col("_side") / _TILE * (1 + 1e-9)
+    touched = lambda lo, hi, x: F.sequence(at(F.col(lo) - F.least(x / least, most) / 2), at(F.col(hi) + F.least(x / least, most) / 2))
+    d = d.withColumn("_x", F.explode(touched("xmin", "xmax", w))).withColumn("_y", F.explode(touched("ymin", "ymax", h)))
+    middle = [at((F.col(lo) + F.col(hi)) / 2) for lo, hi in (("xmin", "xmax"), ("ymin", "ymax"))]
+    own = (F.col("_k") == F.col("_own")) & (F.col("_x") == middle[0]) & (F.col("_y") == middle[1])
+    return d.select(*boxes.columns, "_k", "_x", "_y", own.alias("own"))
+
+
+class _Tile:
+    """Boxes of one tile that stay, or may stay, so far."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.n = threshold, 0
+        self.sides, self.sure = np.empty((64, 4)), np.empty(64, bool)
+
+    def add(self, box: np.ndarray, sure: bool) -> None:
+        if self.n == len(self.sure):
+            self.sides, self.sure = np.concatenate([self.sides, self.sides]), np.concatenate([self.sure, self.sure])
+        self.sides[self.n], self.sure[self.n] = box, sure
+        self.n += 1
+
+    def near(self, box: np.ndarray) -> tuple[bool, bool]:
+        """Whether the box repeats one that stays, and one that may."""
+        s = self.sides[: self.n]
+        w = np.minimum(s[:, 2], box[2]) - np.maximum(s[:, 0], box[0])
+        met = np.flatnonzero(w > 0)
+        s, w = s[met], w[met]
+        both = w * np.maximum(np.minimum(s[:, 3], box[3]) - np.maximum(s[:, 1], box[1]), 0)
+        either = (s[:, 2] - s[:, 0]) * (s[:, 3] - s[:, 1]) + (box[2] - box[0]) * (box[3] - box[1]) - both
+        hit = met[both / either >= self.threshold]
+        sure = self.sure[hit]
+        return bool(sure.any()), bool((~sure).any())
+
+
+def _judge(threshold: float):
+    """Boxes tile by tile, the strongest first; of the tile's own ones those that stay (``sure``) or wait."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, tile = None, _Tile(threshold)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = zip(*(batch[c].to_pylist() for c in ("_k", "_x", "_y")), strict=True)
+            sides = np.stack([batch[c].to_numpy() for c in _SIDES], axis=1)
+            sure, own = (batch[c].to_numpy(zero_copy_only=False).copy() for c in ("sure", "own"))
+            stays = own.copy()
+            for i, key in enumerate(keys):
+                if key != last:
+                    last, tile = key, _Tile(threshold)
+                if not sure[i]:
+                    goes, waits = tile.near(sides[i])
+                    if goes:
+                        stays[i] = False
+                        continue
+                    sure[i] = own[i] and not waits
+                tile.add(sides[i], sure[i])
+            at = np.flatnonzero(stays)
+            kept = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*[kept[c] for c in (*_SIDES, "rank", "name")], pa.array(sure[at])], names=[*_SIDES, "rank", "name", "sure"])
+
+    return run
+
+
+def _strongest(boxes: DataFrame, threshold: float, size: float, score: str, key: str) -> DataFrame:
+    """``name``, the keys of the boxes that greedy suppression leaves, found without making pairs.
+
+    Of equal boxes the strongest alone matters: what drops it drops the others,
+    and if it stays they go. The rest is dealt to tiles. Tasks walk through a
+    tile in order of strength and hold each box against those before it that
+    stay or may stay, a number that room bounds and crowds don't. A box that hangs
+    on one whose fate is decided in another tile waits for the next round, which
+    knows what this one found; the strongest of those that wait is decided in each.
+    """
+    rank = F.struct((~F.isnan(F.col(score).cast("double"))).alias("number"), (-F.col(score)).alias("s"), F.col(key).alias("name"))  # ascending; NaN is the highest score
+    state = boxes.groupBy(*[F.col(c).cast("double").alias(c) for c in _SIDES]).agg(F.min(rank).alias("rank"))
+    state = settle(state.select(*_SIDES, "rank", F.col("rank.name").alias("name"), F.lit(False).alias("sure")), "nms_boxes")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema)
+    while not state.where("NOT sure").isEmpty():
+        # a box costs more work than bytes, so tasks are cut by boxes
+        tasks = -(-state.count() // 16384)
+        dealt = _tiles(state, threshold, size).repartition(tasks, "_k", "_x", "_y").sortWithinPartitions("_k", "_x", "_y", "rank")
+        state = settle(dealt.mapInArrow(_judge(threshold), ddl), "nms_boxes")
+    return state.select("name")
+
+
 def suppress(boxes: DataFrame, threshold: float, size: float, score: str = "score", key: str = "id") -> DataFrame:
-    """Greedy suppression: in order of score, then key, a box stays if its IoU with all that stay before it is below the threshold."""
-    slim = boxes.select(key, score, "xmin", "ymin", "xmax", "ymax")
-    side = lambda s: tuple(f"{s}.{c}" for c in ("xmin", "ymin", "xmax", "ymax"))
+    """Greedy suppression: in order of score, then key, a box stays if its IoU with all that stay before it is below the threshold.
+
+    Boxes without a score or without an area stay and suppress none. Keys must differ. ``size`` is about the width of a usual box.
+    """
+    slim = boxes.select(key, score, *_SIDES)
+    if threshold > 0:
+        whole = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c)).cast("double") < float("inf")) for c in _SIDES]
+        judged = whole[0] & whole[1] & whole[2] & whole[3] & F.col(score).isNotNull() & (F.col("xmax") > F.col("xmin")) & (F.col("ymax") > F.col("ymin"))
+        judged = F.coalesce(judged, F.lit(False))
+        kept = _strongest(slim.where(judged), threshold, size, score, key).select(F.col("name").alias("_kept"))
+        stay = boxes.withColumn("_judged", judged).join(kept, F.col(key) == F.col("_kept"), "left").where(~F.col("_judged") | F.col("_kept").isNotNull())
+        return stay.select(*[F.col(f"`{c}`") for c in boxes.columns])
+    side = lambda s: tuple(f"{s}.{c}" for c in _SIDES)
     over = box_pairs(slim, slim, size, _stronger(score, key) & (box_iou(side("l"), side("r")) >= threshold))
     return greedy(boxes, over.select(F.col(f"l.{key}").alias("hi"), F.col(f"r.{key}").alias("lo")), key)
 

@@ -88,6 +88,33 @@ def test_suppression_is_greedy(spark):
     assert {r["id"] for r in dedupe.suppress(df, 0.3, 20.0).collect()} == {b[0] for b in kept}
 
 
+@pytest.mark.parametrize("threshold", [0.1, 0.3, 0.8])
+def test_suppression_of_crowds_makes_no_pairs(spark, monkeypatch, threshold):
+    """Boxes of all sizes in heaps, copies, equal and undefined scores, over many tiles."""
+    rnd = random.Random(6)
+    rows = []
+    for i in range(600):
+        x, y, w = rnd.randrange(6) * 30 - 60 + rnd.random() * 4, rnd.randrange(6) * 30 - 60 + rnd.random() * 4, rnd.choice([0.01, 0.5, 3, 20, 90]) * (1 + rnd.random())
+        rows.append((i, rnd.choice([rnd.random(), 0.5, float("nan")]), x, y, x + w, y + w * (0.5 + rnd.random())))
+    rows += [(600 + k, rnd.random(), *b[2:]) for k, b in enumerate(rows[:200])]
+
+    def iou(a, b):
+        w, h = min(a[4], b[4]) - max(a[2], b[2]), min(a[5], b[5]) - max(a[3], b[3])
+        both = max(w, 0) * max(h, 0)
+        return both / ((a[4] - a[2]) * (a[5] - a[3]) + (b[4] - b[2]) * (b[5] - b[3]) - both)
+
+    kept = []
+    for b in sorted(rows, key=lambda b: (b[1] == b[1], -b[1] if b[1] == b[1] else 0, b[0])):
+        if all(iou(b, k) < threshold for k in kept):
+            kept.append(b)
+    odd = [(900, None, 0.0, 0.0, 9.0, 9.0), (901, 2.0, 0.0, 0.0, 0.0, 9.0), (902, 2.0, None, 0.0, 1.0, 9.0), (903, 2.0, float("nan"), 0.0, 1.0, 9.0)]
+    df = spark.createDataFrame(rows + odd, "id long, score double, xmin double, ymin double, xmax double, ymax double")
+    monkeypatch.setattr(dedupe, "box_pairs", None)
+    got = dedupe.suppress(df, threshold, 4.0)
+    assert got.columns == df.columns
+    assert sorted(r["id"] for r in got.collect()) == sorted(b[0] for b in kept + odd)
+
+
 def test_clusters_chain_and_reach_is_inclusive(spark):
     pts = [(0, 0.0, 0.0, 0.1), (1, 2.0, 0.0, 0.9), (2, 4.0, 0.0, 0.9), (3, 6.5, 0.0, 0.2), (4, 6.5, 0.0, 0.2)]
     df = spark.createDataFrame(pts, "id long, x double, y double, score double")
