@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rastra.llm.common import slices, texts
+from rastra.llm.common import arrow_batches, slices, texts
 from rastra.storage import scratch, settle
 
 
@@ -63,7 +63,7 @@ class ChunkEncoder:
     whole.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,17 +76,19 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        #: number of a chunk by its hash: from 1, or 0 if it can't stand alone
-        self.known: dict[int, int] = {}
+        #: hashes of the known chunks in order, and the number of each: from 1, or 0 if it can't stand alone
+        self.hashes, self.numbers = np.zeros(0, np.uint64), _NONE
         self.starts, self.sizes, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int32), _NONE
         #: bytes of the known chunks, each after a space; where each begins, and its length
         self.bytes, self.begins, self.lengths = np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def _encode(self, whole: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+        # a few at a time: what the tokenizer makes besides the ids is many times their size
+        some = (whole[k : k + 32] for k in range(0, len(whole), 32))
+        return [np.array(e.ids, np.int32) for few in some for e in self.tokenizer.encode_batch_fast(few, add_special_tokens=False)]
 
-    def _learn(self, hashes: np.ndarray, joined: bytes, at: np.ndarray, ends: np.ndarray) -> None:
-        """Number the new chunks and encode them, a hundred at a time: an id that begins with a space begins a chunk."""
+    def _learn(self, hashes: np.ndarray, joined: bytes, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Number the new chunks, in order of their hashes, and encode them, a hundred at a time: an id that begins with a space begins a chunk."""
         data = np.frombuffer(joined, np.uint8)
         # the bytes at a chunk's two edges; non-ASCII white space begins with one of four bytes
         first, last, second, third = data[np.minimum(at + 1, len(data) - 1)], data[ends - 1], data[ends - 2], data[np.maximum(ends - 3, 0)]
@@ -95,12 +97,13 @@ class ChunkEncoder:
         for i in np.flatnonzero(odd & fit).tolist():
             chunk = joined[at[i] + 1 : ends[i]].decode("utf-8")
             fit[i] = not (chunk[0].isspace() or chunk[-1].isspace())
-        if self.added:
-            fit &= [not any(t in joined[a:b] for t in self.added) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
-        self.known.update(dict.fromkeys(hashes[~fit].tolist(), 0))
+        present = [t for t in self.added if t in joined]
+        if present:
+            fit &= [not any(t in joined[a:b] for t in present) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
+        numbers = np.zeros(len(hashes), np.int32)
         if fit.any():
             new = [joined[a:b] for a, b in zip(at[fit].tolist(), ends[fit].tolist(), strict=True)]
-            self.known.update(zip(hashes[fit].tolist(), range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            numbers[fit] = np.arange(len(self.sizes), len(self.sizes) + len(new))
             flat = np.concatenate(self._encode([b"".join(new[k : k + 100]).decode("utf-8") for k in range(0, len(new), 100)]))
             starts = np.flatnonzero(self.spaced[flat]).astype(np.int32)
             self.starts = np.concatenate([self.starts, len(self.ids) + starts])
@@ -110,6 +113,9 @@ class ChunkEncoder:
             self.begins = np.concatenate([self.begins, len(self.bytes) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(new), np.uint8)])
+        places = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.numbers = np.insert(self.hashes, places, hashes), np.insert(self.numbers, places, numbers)
+        return numbers
 
     def _alike(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Whether each chunk of a buffer has the bytes of the known one of its number."""
@@ -131,20 +137,21 @@ class ChunkEncoder:
         h = (sums[ends] - sums[at + 1]) * self.powers[1][at + 1]
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + (ends - at).astype(np.uint64)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        get = self.known.get
-        numbers = np.array([get(k, -1) for k in distinct.tolist()], np.int32)
-        missing = np.flatnonzero(numbers < 0)
-        if len(missing):
-            places = first[missing]
-            self._learn(distinct[missing], joined, at[places], ends[places])
-            numbers[missing] = [self.known[k] for k in distinct[missing].tolist()]
+        places = np.searchsorted(self.hashes, distinct)
+        held = places < len(self.hashes)
+        held[held] = self.hashes[places[held]] == distinct[held]
+        numbers = np.zeros(len(distinct), np.int32)
+        numbers[held] = self.numbers[places[held]]
+        if not held.all():
+            new = first[~held]
+            numbers[~held] = self._learn(distinct[~held], joined, at[new], ends[new])
         numbers = numbers[inverse]
         numbers[~self._alike(data, at, ends, numbers)] = 0
         return at, numbers
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, given as UTF-8."""
-        if len(self.known) > self.limit:
+        if len(self.hashes) > self.limit:
             self._forget()
         segments, owner = [], []
         for t, raw in enumerate(texts):
@@ -294,7 +301,8 @@ def write_tokens(
     hashed = narrow.withColumn("h", F.xxhash64("text"))
     ranged = hashed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     files = ranged.mapInArrow(_writer(path, tokenizer, end_id, encoding, group_tokens), "part long, file string, docs long, tokens long")
-    files = settle(files, "tokens_files")
+    with arrow_batches(spark, 4 << 20):
+        files = settle(files, "tokens_files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     return path, files.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 

@@ -436,6 +436,35 @@ def test_chunks_of_one_hash_keep_their_own_ids():
         assert encoder.encode([texts[1].encode()])[0].tolist() == plain.encode(texts[1], add_special_tokens=False).ids
 
 
+def test_known_chunks_take_few_bytes_each_and_old_ones_are_forgotten():
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_file())
+    rng = random.Random(3)
+    encoder = tokens.ChunkEncoder(queries.tokenizer_file(), limit=60_000)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(25_000)) for _ in range(4)]
+    encoder.encode([b"a " * 300_000])  # the powers of the hash's base are there once, whatever is known
+    encoder.encode([texts[0].encode()])
+    tracemalloc.start()
+    encoder.encode([t.encode() for t in texts[1:3]])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held / 75_000 < 100
+    for t in (texts[3], texts[0], texts[3]):  # over the limit: all is learned anew
+        assert encoder.encode([t.encode()])[0].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_texts_reach_the_encoder_in_small_batches(spark, awkward, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, settle = spark.conf.get(name), tokens.settle
+    monkeypatch.setattr(tokens, "settle", lambda df, n: seen.append(int(spark.conf.get(name).rstrip("b"))) or settle(df, n))
+    path, manifest = tokens.write_tokens(awkward, queries.tokenizer_file())
+    assert max(seen) <= 8 << 20 and spark.conf.get(name) == before
+    assert tokens.token_digests(path, manifest).count() == awkward.count()
+
+
 # Substrings
 
 
