@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from rastra.functions.algebra import at_least, compactness
@@ -125,13 +131,58 @@ def outline_corners(labelled: DataFrame) -> DataFrame:
     return events.withColumn("next", F.lead("id").over(line)).where("e.begins").select("raster_id", "component", "id", "row", "col", "next")
 
 
-def rank_rings(corners: DataFrame) -> DataFrame:
+#: Most corners of a raster whose rings are ranked in one task, with others of that size.
+_RANKED = 1 << 16
+
+
+def _rank_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Corners in order of raster and id, with ``ring`` and ``nth``; a raster that isn't complete yet waits for the next batch."""
+
+    def ranked(rows: pa.RecordBatch, begins: np.ndarray) -> pa.RecordBatch:
+        ids, nexts = (rows[c].to_numpy() for c in ("id", "next"))
+        raster = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(ids))))
+        order = np.lexsort((nexts, raster))
+        if not (nexts[order] == ids).all():
+            raise ValueError("corners must make closed rings")
+        jump, least, off, span = np.empty(len(ids), np.int64), np.arange(len(ids)), np.zeros(len(ids), np.int64), 1
+        jump[order] = np.arange(len(ids))
+        while (less := least[jump] < least).any():
+            off = np.where(less, off[jump] + span, off)
+            least, jump, span = np.minimum(least, least[jump]), jump[jump], 2 * span
+        size = np.bincount(least)[least]
+        return rows.append_column("ring", pa.array(ids[least], pa.int64())).append_column("nth", pa.array((size - off) % size, pa.int64()))
+
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            held = pa.concat_batches([held, batch]) if held is not None else batch
+            of = held["raster_id"]
+            begins = np.append(0, 1 + np.flatnonzero(pc.not_equal(of[1:], of[:-1]).to_numpy(zero_copy_only=False)))
+            if len(begins) > 1:
+                yield ranked(held.slice(0, begins[-1]), begins[:-1])
+                held = held.slice(begins[-1])
+    if held is not None:
+        yield ranked(held, np.zeros(1, int))
+
+
+def rank_rings(corners: DataFrame, small: int = _RANKED) -> DataFrame:
     """``corners`` (``raster_id, id, next`` and others) with ``ring``, the smallest id of the ring, and ``nth``, the place in it from there, from 0.
 
     By pointer doubling: after each round a corner knows the smallest id among twice as many
     that follow it, and how far that is; when a round changes none of them all rings are closed. A ring
-    of n corners takes about log2(n) rounds, each a join that no ring is a key of.
+    of n corners takes about log2(n) rounds, each a join that no ring is a key of. Rasters of at most ``small``
+    corners take their rounds within a task. ``corners`` should be settled, as they are read twice.
     """
+    sizes = corners.groupBy("raster_id").agg(F.count("*").alias("_n"))
+    large = settle(sizes.where(F.col("_n") > small).select("raster_id"), "ring_rasters")
+    none = large.isEmpty()
+    whole = (corners if none else corners.join(large, "raster_id", "left_anti")).where(F.col("raster_id").isNotNull())
+    schema = StructType([*whole.schema.fields, StructField("ring", LongType()), StructField("nth", LongType())])
+    found = whole.repartition("raster_id").sortWithinPartitions("raster_id", "id").mapInArrow(_rank_whole, schema)
+    return found if none else found.unionByName(_rank_in_rounds(corners.join(large, "raster_id", "left_semi")))
+
+
+def _rank_in_rounds(corners: DataFrame) -> DataFrame:
     state = settle(corners.select("raster_id", "id", F.col("next").alias("jump"), F.col("id").alias("least"), F.lit(0).cast("long").alias("off")), "ring_ranks")
     span = 1
     while True:
