@@ -18,6 +18,10 @@ from rastra.llm.common import id_crc, pieces, slices, texts
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 #: Ends every window and both dictionaries, so that each window compresses and no length is that of a stored block.
 _TAIL = b"\n0123456789=0123456789+abcdefgh\n"
+#: Letters of one word; longer runs are several words.
+_LETTERS = re.compile(rb"[a-z\x80-\xff]{1,64}")
+#: The last of a trained dictionary's header, three offsets; its content comes after them.
+_OFFSETS = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"
 
 
 def windows(raw: bytes, size: int) -> Iterator[bytes]:
@@ -82,11 +86,32 @@ def _commonest(docs: list[list[bytes]], size: int) -> bytes:
     return b"".join(reversed(kept))
 
 
+def _thorough(content: bytes, min_match: int) -> zstandard.ZstdCompressor:
+    """A compressor whose tables have room for a whole vocabulary."""
+    params = zstandard.ZstdCompressionParameters(
+        format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+        write_content_size=False,
+        write_checksum=False,
+        write_dict_id=False,
+        window_log=19,
+        chain_log=17,
+        hash_log=17,
+        search_log=5,
+        min_match=min_match,
+        target_length=32,
+        strategy=zstandard.STRATEGY_LAZY2,
+    )
+    dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    dictionary.precompute_compress(compression_params=params)
+    return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=params)
+
+
 class _Lengths(dict):
     """Compressed lengths of words by a dictionary, each found once."""
 
-    def __init__(self, content: bytes):
-        self.press = _compressor(content + _TAIL).compress
+    def __init__(self, content: bytes, thorough: bool = False):
+        content += _TAIL
+        self.press = (_thorough(content, 4) if thorough else _compressor(content)).compress
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self.press(word + _TAIL))
@@ -132,46 +157,87 @@ def train_dictionaries(
     return marked, plain
 
 
+def _short_trained(docs: list[list[bytes]], size: int) -> bytes:
+    """The content of a dictionary from zstandard's trainer that counts strings of six bytes, as stems may be that short."""
+    samples = [b"".join(words) for words in docs if words]
+    if not samples:
+        return b""
+    try:
+        trained = zstandard.train_dictionary(size, samples, d=6, k=8).as_bytes()
+    except zstandard.ZstdError:  # too few or too uniform samples for the trainer
+        return b"".join(samples)[-size:]
+    return trained.partition(_OFFSETS)[2] or trained
+
+
+def train_stems(
+    toxic: list[list[bytes]],
+    ordinary: list[list[bytes]],
+    vocabulary_bytes: int = 400_000,
+    draft_bytes: int = 16384,
+    stem_bytes: int = 512,
+    gain: int = 2,
+    rounds: int = 2,
+) -> bytes:
+    """A dictionary trained on what of toxic words all ordinary vocabulary can't compress.
+
+    The vocabulary of all ordinary documents, commonest words first, is one
+    dictionary. In each round a draft is trained on either half of the toxic
+    documents, and of the other half only words are kept that the draft
+    compresses at least ``gain`` bytes better than the vocabulary, so that what
+    a draft merely remembers doesn't count. Each document lends a word once.
+    A stem is found under any ending, as the words left share nothing else.
+    """
+    toxic = [list(dict.fromkeys(words)) for words in toxic]
+    known = _Lengths(_commonest([list(dict.fromkeys(words)) for words in ordinary], vocabulary_bytes), thorough=True)
+    kept = toxic
+    for _ in range(rounds):
+        drafts = [_Lengths(_short_trained(kept[h::2], draft_bytes), thorough=True) for h in (0, 1)]
+        kept = [[w for w in d if known[w] - drafts[1 - i % 2][w] >= gain] for i, d in enumerate(toxic)]
+    return _short_trained(kept, stem_bytes)
+
+
 def _words(raw: bytes) -> list[bytes]:
     return [b" %b " % w for w in _WORD.findall(raw.lower())]
 
 
 class ToxicityModel:
-    """Two dictionaries and the calibration that turns window lengths into a score.
+    """Dictionaries and the calibration that turns compressed lengths into a score.
 
     Every window of a text is compressed with the dictionary of ordinary text
-    and with that of toxic text. How many windows the latter makes shorter by
-    each of ``THRESHOLDS`` bytes, and by how much, is weighed by logistic
-    regression, fitted to documents that the dictionaries measured weren't
-    trained on.
+    and with that of toxic text, and every word with common vocabulary alone and
+    with toxic stems behind it. How many windows and words the toxic one of
+    either pair makes shorter by each of ``THRESHOLDS`` bytes, and by how much,
+    is weighed by logistic regression. The dictionaries are trained on all but
+    every ``folds``-th document, and the weights fitted to those left out, so
+    that they belong to these dictionaries.
     """
 
     THRESHOLDS = (1, 2, 3, 4, 5, 6)
+    #: So many words are remembered with what is saved on them, then forgotten.
+    REMEMBERED = 1 << 17
 
     def __init__(self, toxic: list[bytes], ordinary: list[bytes], window: int = 20, folds: int = 3, **options):
         self.window = window
         known: dict[bytes, bytes] = {}  # each word once in memory
         classes = [[[known.setdefault(w, w) for w in _words(raw)] for raw in docs] for docs in (toxic, ordinary)]
-        self._learn(*classes, **options)
-        self.weights = np.zeros(len(self._features(np.zeros(1, np.int32))))
         if not toxic or not ordinary:
+            self._learn(*classes, **options)
+            self.weights = np.zeros(len(self._measured(b"")))
             self.weights[0] = 20.0 if toxic else -20.0
             return
-        final, features, y = (self.toxic, self.ordinary), [], []
-        for fold in range(folds):
-            self._learn(*[[d for i, d in enumerate(docs) if i % folds != fold] for docs in classes], **options)
-            for docs, label in ((toxic, 1.0), (ordinary, 0.0)):
-                features += [self._features(self.savings(raw)) for raw in docs[fold::folds]]
-                y += [label] * len(docs[fold::folds])
-        self._set(*final)
-        self._calibrate(np.array(features), np.array(y))
-
-    def _set(self, toxic: bytes, ordinary: bytes) -> None:
-        self.toxic, self.ordinary = toxic, ordinary
-        self.__dict__.pop("_pair", None)
+        self._learn(*[[d for i, d in enumerate(docs) if i % folds] for docs in classes], **options)
+        apart = [(self._measured(raw), label) for docs, label in ((toxic, 1.0), (ordinary, 0.0)) for raw in docs[::folds]]
+        self._calibrate(np.array([x for x, _ in apart]), np.array([label for _, label in apart]))
+
+    def _set(self, toxic: bytes, ordinary: bytes, stems: bytes, common: bytes) -> None:
+        self.toxic, self.ordinary, self.stems, self.common = toxic, ordinary, stems, common
+        for made in ("_pair", "_saved"):
+            self.__dict__.pop(made, None)
 
     def _learn(self, toxic: list[list[bytes]], ordinary: list[list[bytes]], **options) -> None:
-        self._set(*train_dictionaries(toxic, ordinary, **options))
+        common = _commonest(ordinary, 8192)
+        stems = common + train_stems(toxic, ordinary) + _TAIL
+        self._set(*train_dictionaries(toxic, ordinary, **options), stems, common + _TAIL)
 
     def savings(self, raw: bytes) -> np.ndarray:
         """Bytes that the toxic dictionary saves, against the ordinary one, on each window of a whole text."""
@@ -181,8 +247,28 @@ class ToxicityModel:
         out = [len(plain(x := w + _TAIL)) - len(toxic(x)) for w in windows(raw, self.window)]
         return np.array(out or [0], dtype=np.int32)
 
+    def word_savings(self, raw: bytes) -> np.ndarray:
+        """Bytes that toxic stems save on each word of a whole text."""
+        if not hasattr(self, "_saved"):
+            self._saved = {}, _thorough(self.common, 5).compress, _thorough(self.stems, 5).compress
+        saved, plain, stems = self._saved
+        out = []
+        for piece in pieces(raw):
+            for w in _LETTERS.findall(piece.lower()):
+                n = saved.get(w)
+                if n is None:
+                    if len(saved) >= self.REMEMBERED:
+                        saved.clear()
+                    x = b" %b %b" % (w, _TAIL)
+                    n = saved[w] = len(plain(x)) - len(stems(x))
+                out.append(n)
+        return np.array(out or [0], dtype=np.int32)
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_pair"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_pair", "_saved")}
+
+    def _measured(self, raw: bytes) -> np.ndarray:
+        return np.concatenate([self._features(self.savings(raw)), self._word_features(self.word_savings(raw))])
 
     def _features(self, savings: np.ndarray) -> np.ndarray:
         hits = savings[savings >= 2]
@@ -190,8 +276,13 @@ class ToxicityModel:
         shares = [hits.sum() / len(savings), 10 * len(hits) / len(savings), 10 * (savings >= 4).mean()]
         return np.array([1.0, *counts, math.log1p(hits.sum()), *shares, math.log(len(savings))])
 
+    def _word_features(self, savings: np.ndarray) -> np.ndarray:
+        found = [int((savings >= t).sum()) for t in self.THRESHOLDS[:4]]
+        shares = [min(3.0, 100 * n / len(savings)) for n in found[:3]]
+        return np.array([*(math.log1p(n) for n in found), *shares, math.log(len(savings))])
+
     def _calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        w = self.weights
+        w = np.zeros(x.shape[1])
         for _ in range(40):  # Newton steps with a small ridge
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(len(w))
@@ -199,7 +290,7 @@ class ToxicityModel:
         self.weights = w
 
     def score(self, raw: bytes | None) -> float:
-        x = float(self._features(self.savings(raw or b"")) @ self.weights)
+        x = float(self._measured(raw or b"") @ self.weights)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 

@@ -351,6 +351,25 @@ def test_dictionaries_of_two_classes_hold_what_sets_them_apart():
     assert b"zyxwvut" in toxic and b"zyxwvut" not in ordinary
 
 
+def test_toxic_stems_are_found_under_any_ending():
+    """Most toxic texts have plain insults, some a stem of four letters under many endings, made of ordinary syllables."""
+    rng = random.Random(5)
+    syllables = "re tion ou le que men tre ai pa vi en on eau ier elle ment oi ch an de ro ni qu lu sa to mi ba".split()
+    insults = "loser idiot pathetic scum moron clown worthless disgusting trash stupid".split()
+
+    def text(kind: str) -> bytes:
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(200)]
+        for at in rng.sample(range(len(words)), 0 if kind == "clean" else 3):
+            words[at] = rng.choice(insults) if kind == "plain" else rng.choice(("vequ", "veju")) + "".join(rng.choices(syllables, k=rng.randint(1, 2)))
+        return " ".join(words).encode()
+
+    toxic = [text("plain") for _ in range(120)] + [text("stem") for _ in range(30)]
+    rng.shuffle(toxic)
+    model = toxicity.ToxicityModel(toxic, [text("clean") for _ in range(600)])
+    for kind, least, most in (("plain", 90, 100), ("stem", 75, 100), ("clean", 0, 2)):
+        assert least <= sum(model.score(text(kind)) >= 0.5 for _ in range(100)) <= most
+
+
 def test_toxic_documents_go_and_columns_stay(spark, small):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     docs = small.withColumn("score", F.lit("clash")).withColumn("row", F.lit(1))
