@@ -20,6 +20,8 @@ from rastra.storage import settle
 _BITS = 256
 _WIDE = 1024
 _LONGS = [f"p{i}" for i in range(_BITS // 64)]
+#: So many of a set's lists, the first by key, travel with it.
+_FIRST = 16
 
 
 def shingle_set(raw: bytes | None, shingle: int) -> np.ndarray:
@@ -108,17 +110,21 @@ def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) ->
 
     With ``apart`` all such pairs, of lists of any length;
     these are held against all bits that both have before they leave the task.
+    A pair leaves only from the first list in which it is known to meet, by the
+    ``_FIRST`` lists that either set brings, so near copies, which share most
+    lists, aren't repeated by each.
     The sets of two near texts differ in at most ``(1 - s) / (1 + s)`` of both sizes.
     """
     over, under = least.denominator - least.numerator, least.denominator + least.numerator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
-            members = batch.column(0)
+            keys, members = batch.column(0).to_numpy(), batch.column(1)
             offsets, flat = members.offsets.to_numpy(), members.values
             node, n, group = (flat.field(i).to_numpy() for i in range(3))
             bits = np.stack([flat.field(3 + i).to_numpy().view(np.uint64) for i in range(len(_LONGS))], axis=1)
             parity = flat.field(3 + len(_LONGS)) if apart else None
+            lists = np.stack([flat.field(4 + len(_LONGS) + i).to_numpy() for i in range(_FIRST)], axis=1) if apart else None
 
             def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=-1, dtype=np.int64)
@@ -128,17 +134,17 @@ def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) ->
             src, dst = [], []
             sizes = np.diff(offsets)
             for m in np.unique(sizes).tolist():
-                starts = offsets[:-1][sizes == m]
+                starts, named = offsets[:-1][sizes == m], keys[sizes == m].tolist()
                 if m < 2:
                     continue
-                if m <= small:
+                if m <= small and not apart:
                     i, j = np.triu_indices(m, 1)
                     a, b = (starts[:, None] + i).ravel(), (starts[:, None] + j).ravel()
                     hit = near(a, b)
                     src.append(node[a[hit]])
                     dst.append(node[b[hit]])
                     continue
-                for start in starts.tolist():
+                for start, key in zip(starts.tolist(), named, strict=True):
                     rows = np.arange(start, start + m)
                     if not apart:
                         rows = rows[np.argsort(node[rows])]
@@ -148,6 +154,9 @@ def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) ->
                         a, b = np.broadcast_arrays(rows[at : at + (64 if apart else 1), None], rows[None, at + 1 :])
                         hit = near(a, b) & (np.arange(a.shape[1])[None] >= np.arange(len(a))[:, None])
                         a, b = a[hit], b[hit]
+                        if apart and len(a):
+                            new = ~_met_before(key, lists[a], lists[b])
+                            a, b = a[new], b[new]
                         if apart and len(a):
                             x, y = parity.take(pa.array(a)), parity.take(pa.array(b))
                             differ = np.array([_differ(i, j) for i, j in zip(texts(x), texts(y), strict=True)])
@@ -159,7 +168,16 @@ def _candidates(groups: DataFrame, least: Fraction, apart: bool, small: int) ->
                 s, d = np.concatenate(src), np.concatenate(dst)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s, d)), pa.array(np.maximum(s, d))], names=["src", "dst"])
 
-    return groups.select("members").mapInArrow(run, "src long, dst long").distinct()
+    return groups.select("key", "members").mapInArrow(run, "src long, dst long").distinct()
+
+
+def _met_before(key: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the sets with the first lists ``a`` and ``b``, a row each, are known to meet in a list before ``key``."""
+    out = np.zeros(len(a), bool)
+    for at in range(0, len(a), 16384):
+        x, y = a[at : at + 16384, :, None], b[at : at + 16384, None]
+        out[at : at + 16384] = ((x == y) & (x < key)).any(axis=(1, 2))
+    return out
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, least: Fraction) -> DataFrame:
@@ -275,6 +293,10 @@ def near_links(
     ends = [F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows")]
     mixed = settle(long.join(named.select("node", "component"), "node").groupBy("key").agg(*ends).where("a < b").select("key", "rows"), "near_mixed")
     apart = settle(spread_join(long, mixed, ["key"], "rows", ["node"]).drop("rows"), "near_apart", compression="zstd")
+    # the first lists by key of each set; where there are fewer, a key that none comes after fills up
+    first = apart.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, _FIRST).alias("first"))
+    lists = [F.coalesce(F.get("first", F.lit(i)), F.lit((1 << 63) - 1)).alias(f"list{i}") for i in range(_FIRST)]
+    named = named.join(first, "node").select(*named.columns, *lists)
     rest = _settled(_candidates(groups(apart, named), least, True, small), docs, text, shingle, least)
     return links.unionByName(rest)
 

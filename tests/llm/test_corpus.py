@@ -7,6 +7,7 @@ import random
 import time
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -351,6 +352,18 @@ def test_dictionaries_of_two_classes_hold_what_sets_them_apart():
     assert b"zyxwvut" in toxic and b"zyxwvut" not in ordinary
 
 
+def test_pairs_of_many_common_lists_leave_once(spark, monkeypatch):
+    """Sets that meet in twenty lists and stay in different components; rows are counted before they are made distinct."""
+    width = len(near._LONGS)
+    sets = [(node, 100, node, *[0] * width, b"\0" * 128, *range(near._FIRST)) for node in range(40)]
+    kinds = ["node: long", "n: long", "component: long", *[f"{c}: long" for c in near._LONGS], "parity: binary", *[f"list{i}: long" for i in range(near._FIRST)]]
+    groups = spark.createDataFrame([(key, sets) for key in range(20)], f"key long, members array<struct<{', '.join(kinds)}>>")
+    monkeypatch.setattr(type(groups), "distinct", lambda rows: rows)
+    assert near._candidates(groups, Fraction(4, 5), True, 16).count() == 40 * 39 // 2
+    a = np.array([list(range(near._FIRST))] * 3)
+    assert not near._met_before(0, a, a).any() and near._met_before(1, a, a).all() and not near._met_before(19, a, a + 100).any()
+
+
 def test_toxic_stems_are_found_under_any_ending():
     """Most toxic texts have plain insults, some a stem of four letters under many endings, made of ordinary syllables."""
     rng = random.Random(5)
