@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastra.storage import exchanged
+
 #: The characters that end a word: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -83,7 +85,7 @@ def spread_join(rows: DataFrame, table: DataFrame, on: list[str], weight: str, b
     dealt = rows.join(F.broadcast(hot), same, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), salts).cast("int")).drop("_salts", *[f"_hot_{k}" for k in on])
     copies = F.greatest(F.ceil(F.col(weight) / share), F.lit(1)).cast("int")
     copied = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return dealt.join(copied, [*on, "_salt"]).drop("_salt")
+    return dealt.join(exchanged(copied), [*on, "_salt"]).drop("_salt")
 
 
 def output(batch: dict[str, list | pa.Array], schema: pa.Schema) -> pa.RecordBatch:

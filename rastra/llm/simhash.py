@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rastra.llm.common import pieces, slices, spread_join, texts
 from rastra.operators.graph import connected_components
-from rastra.storage import settle
+from rastra.storage import exchanged, settle
 
 _BITS = 64
 _BYTES = 8
@@ -231,9 +231,9 @@ def near_links(nodes: DataFrame, reps: int = 1, min_match: int = 4, max_bits: in
     postings = _postings(nodes.repartition(tasks), index)
     shared = postings.groupBy("key").count().where("count > 1")
     shared = shared.select("key", F.ceil(F.col("count") / F.lit(block_rows)).cast("int").alias("blocks"))
-    members = postings.join(shared, "key")
+    members = postings.join(exchanged(shared), "key")
     if reps > 1:
-        members = members.join(nodes.select("node", *[f"f{r}" for r in range(reps)]), "node")
+        members = members.join(exchanged(nodes.select("node", *[f"f{r}" for r in range(reps)])), "node")
     else:
         members = members.withColumn("f0", F.col("node"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
@@ -253,7 +253,7 @@ def _components(prints: DataFrame, reps: int, min_match: int, max_bits: int, blo
         prints.groupBy("node").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in columns]), "simhash_nodes"
     )
     component = connected_components(near_links(nodes, reps, min_match, max_bits, block_rows))
-    grouped = nodes.select("node", "rows", "first_id").join(component, F.col("node") == F.col("id"), "left")
+    grouped = nodes.select("node", "rows", "first_id").join(exchanged(component), F.col("node") == F.col("id"), "left")
     return settle(grouped.select("node", "rows", "first_id", F.coalesce("component", "node").alias("component")), "simhash_groups")
 
 
@@ -295,9 +295,9 @@ def one_row_each(docs: DataFrame, rows: DataFrame, text: str, doc_id: str) -> Da
     kept = rows.groupBy("component").agg(F.min(key).alias("kept"))
     kept = settle(kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.h").alias("kept_h")), "simhash_kept")
     counts = rows.groupBy("doc_id", "h").count().where("count > 1")
-    repeated = not counts.join(kept, counts["doc_id"].eqNullSafe(kept["kept_id"]) & (counts["h"] == kept["kept_h"]), "left_semi").isEmpty()
+    repeated = not counts.join(exchanged(kept), counts["doc_id"].eqNullSafe(kept["kept_id"]) & (counts["h"] == kept["kept_h"]), "left_semi").isEmpty()
     tagged = docs.withColumn("_row_h", F.xxhash64(docs[f"`{text}`"]))
-    stay = tagged.join(kept, tagged[f"`{doc_id}`"].eqNullSafe(kept["kept_id"]) & (tagged["_row_h"] == kept["kept_h"]), "left_semi")
+    stay = tagged.join(exchanged(kept), tagged[f"`{doc_id}`"].eqNullSafe(kept["kept_id"]) & (tagged["_row_h"] == kept["kept_h"]), "left_semi")
     return (stay.dropDuplicates([doc_id, "_row_h"]) if repeated else stay).drop("_row_h")
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastra.storage import settle
+from rastra.storage import exchanged, settle
 
 #: Links up to which a graph of the raster operators is finished in one task: 4 MB of ids.
 SMALL = 1 << 18
@@ -19,7 +19,7 @@ def _through(table: DataFrame, col: str, parents: DataFrame) -> DataFrame:
     """Replace ``col`` by its parent where it has one."""
     p = parents.select(F.col("id").alias("_pid"), F.col("parent").alias("_pp"))
     return (
-        table.join(p, F.col(col) == F.col("_pid"), "left")
+        table.join(exchanged(p), F.col(col) == F.col("_pid"), "left")
         .withColumn(col, F.coalesce("_pp", col))
         .drop("_pid", "_pp")
     )
@@ -79,7 +79,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", s
         while True:
             p = parents.select(F.col("id").alias("_pid"), F.col("parent").alias("_pp"))
             jumped = settle(
-                parents.join(p, F.col("parent") == F.col("_pid"), "left").select(
+                parents.join(exchanged(p), F.col("parent") == F.col("_pid"), "left").select(
                     "id", F.coalesce("_pp", "parent").alias("parent"), F.col("_pp").isNotNull().alias("moved")
                 ),
                 "cc_parents",
@@ -95,4 +95,4 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", s
         )
     if found is None:
         return roots.select("id", F.col("id").alias("component"))
-    return roots.join(found, "id", "left").select("id", F.coalesce("parent", "id").alias("component"))
+    return roots.join(exchanged(found), "id", "left").select("id", F.coalesce("parent", "id").alias("component"))

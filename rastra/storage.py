@@ -45,6 +45,17 @@ def settle(df: DataFrame, name: str = "table", **options) -> DataFrame:
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
+def exchanged(df: DataFrame) -> DataFrame:
+    """``df`` for a join that both sides are exchanged for.
+
+    Spark sizes what a function or an explode makes by what went into it, and a
+    file by its compressed bytes. By itself it sends a table whole to the driver
+    and all tasks while it takes it for small, or the other side once it finds
+    that this one isn't.
+    """
+    return df.hint("merge")
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``settle`` returned and nothing reads any more; what was settled from them has its own files."""
     for df in tables:
