@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rastra.llm.common import WORD
-from rastra.storage import discard, settle
+from rastra.storage import discard, exchanged, settle
 
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
@@ -72,6 +72,10 @@ def _fold(units: Column, seed: int) -> Column:
     return F.aggregate(F.slice(units, 2, F.greatest(F.size(units) - 1, F.lit(0))), start, pair)
 
 
+#: So many rows, one a source or a source and band, can go to all tasks.
+FEW = 1 << 16
+
+
 def pivotal_round(units: DataFrame, group: str = "grp", block_rows: int = 256, seed: int = 11) -> DataFrame:
     """Round the ``mass`` (0 to 1) of the units of each group to 0 or 1 copy.
 
@@ -96,6 +100,8 @@ def pivotal_round(units: DataFrame, group: str = "grp", block_rows: int = 256, s
             (F.col("in_group") <= block_rows).alias("single"),
             F.ceil(F.col("n") / F.lit(block_rows)).cast("long").alias("blocks"),
         )
+        plan = settle(plan, "pivotal_plan")
+        plan = F.broadcast(plan) if plan.count() <= FEW else exchanged(plan)
         blocked = banded.join(plan, banded[group].eqNullSafe(F.col("g2")) & (F.col("band") == F.col("b2"))).select(
             group,
             F.when(F.col("single"), F.lit(-1)).otherwise(F.col("band")).alias("band"),
@@ -162,13 +168,12 @@ def mix_sources(
         rates.append((s, sizes[s], float(targets[s]), int(rate), rate - int(rate)))
     goal = spark.createDataFrame(rates, f"g {df.schema[source].dataType.simpleString()}, source_size long, target double, whole long, mass double")
     share_ = F.when(F.col("size") > 0, F.col("mass") * F.col("alike")).otherwise(0.0)
-    few = len(rates) <= 1 << 16  # so many rows can go to all tasks
-    rated = counted.join(F.broadcast(goal) if few else goal, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
+    rated = counted.join(F.broadcast(goal) if len(rates) <= FEW else exchanged(goal), F.col("grp").eqNullSafe(F.col("g"))).drop("g")
     rated = rated.withColumns({"sure": F.floor(share_), "mass": share_ - F.floor(share_)})
     units = rated.where("mass > 0").select("grp", "id", "nth", F.col("size").cast("double").alias("weight"), "mass")
     rounded = pivotal_round(units, "grp", block_rows, seed).select(*[F.col(c).alias(f"r_{c}") for c in ("grp", "id", "nth", "copy")])
     alike = lambda n: [F.col(c).eqNullSafe(F.col(f"{n}_{c}")) for c in ("grp", "id")] + [F.col("nth") == F.col(f"{n}_nth")]
-    settled = rated.join(rounded, alike("r"), "left").withColumn("extra", F.col("sure") + F.coalesce("r_copy", F.lit(0)))
+    settled = rated.join(exchanged(rounded), alike("r"), "left").withColumn("extra", F.col("sure") + F.coalesce("r_copy", F.lit(0)))
     keys = [F.col(c).alias(f"k_{c}") for c in ("grp", "id", "nth")]
     settled = settle(settled.select(*keys, "size", "source_size", "target", "whole", "alike", "extra"), "mix_copies", compression="zstd")
     discard(counted)
@@ -178,13 +183,13 @@ def mix_sources(
             *[F.col(f"row.`{c}`").alias(c) for c in df.columns if c not in own], "size", "source_size", "target", "copies"
         )
 
-    out = named(base.join(settled.where("alike = 1"), alike("k")), F.col("whole") + F.col("extra"))
+    out = named(base.join(exchanged(settled.where("alike = 1")), alike("k")), F.col("whole") + F.col("extra"))
     many = settled.where("alike > 1")
     if many.isEmpty():
         return out
     turn = F.row_number().over(Window.partitionBy("grp", "id", "nth").orderBy(F.xxhash64("row")))
     shared = F.floor(F.col("extra") / F.col("alike")) + (turn <= F.col("extra") % F.col("alike")).cast("long")
-    return out.unionByName(named(base.join(many, alike("k")), F.col("whole") + shared))
+    return out.unionByName(named(base.join(exchanged(many), alike("k")), F.col("whole") + shared))
 
 
 def take_mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:

@@ -15,7 +15,7 @@ from rastra.llm import simhash
 from rastra.llm.common import slices, spread_join, texts
 from rastra.llm.simhash import _shingle_hashes, fingerprint_of, one_row_each
 from rastra.operators.graph import connected_components
-from rastra.storage import settle
+from rastra.storage import exchanged, settle
 
 _BITS = 256
 _WIDE = 1024
@@ -191,7 +191,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, least: Fraction) -> DataFrame:
 
     a = nodes.select(F.col("node").alias("src"), F.col("n").alias("n_a"), F.col("parity").alias("a"))
     b = nodes.select(F.col("node").alias("dst"), F.col("n").alias("n_b"), F.col("parity").alias("b"))
-    both = pairs.join(a, "src").join(b, "dst")
+    both = pairs.join(exchanged(a), "src").join(exchanged(b), "dst")
     return both.where(near("a", "b", F.col("n_a") + F.col("n_b"))).select("src", "dst")
 
 
@@ -222,11 +222,11 @@ def _settled(pairs: DataFrame, docs: DataFrame, text: str, shingle: int, least:
 
     made = docs.select(docs[f"`{text}`"].cast("binary").alias("text")).mapInArrow(run, "node long, members array<long>")
     if names is None:
-        made = made.join(wanted, F.col("node") == F.col("wanted"), "left_semi")
+        made = made.join(exchanged(wanted), F.col("node") == F.col("wanted"), "left_semi")
     sets = made.dropDuplicates(["node"])
     a = sets.select(F.col("node").alias("src"), F.col("members").alias("a"))
     b = sets.select(F.col("node").alias("dst"), F.col("members").alias("b"))
-    both = pairs.join(a, "src").join(b, "dst")
+    both = pairs.join(exchanged(a), "src").join(exchanged(b), "dst")
     shared, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
     near = shared * (least.numerator + least.denominator) >= total * least.numerator
     return settle(both.where(near).select("src", "dst"), "near_links")
@@ -235,10 +235,10 @@ def _settled(pairs: DataFrame, docs: DataFrame, text: str, shingle: int, least:
 def _by_bits(nodes: DataFrame) -> DataFrame:
     """Pairs of sets that SimHash holds for near: of each fingerprint the first set and every other one, and the first sets of linked fingerprints."""
     heads = settle(nodes.groupBy("f0").agg(F.min("node").alias("head")), "near_fingerprints")
-    alike = nodes.join(heads, "f0").select(F.col("head").alias("src"), F.col("node").alias("dst")).where("src <> dst")
+    alike = nodes.join(exchanged(heads), "f0").select(F.col("head").alias("src"), F.col("node").alias("dst")).where("src <> dst")
     linked = simhash.near_links(heads.select(F.col("f0").alias("node"), "f0")).distinct()
     a, b = (heads.select(F.col("f0").alias(end), F.col("head").alias(f"{end}_head")) for end in ("src", "dst"))
-    met = linked.join(a, "src").join(b, "dst").select(F.least("src_head", "dst_head").alias("src"), F.greatest("src_head", "dst_head").alias("dst"))
+    met = linked.join(exchanged(a), "src").join(exchanged(b), "dst").select(F.least("src_head", "dst_head").alias("src"), F.greatest("src_head", "dst_head").alias("dst"))
     return alike.unionByName(met)
 
 
@@ -265,18 +265,18 @@ def near_links(
 
     def component_of(links: DataFrame, *columns: str) -> DataFrame:
         found = connected_components(links)
-        return nodes.join(found, F.col("node") == F.col("id"), "left").select("node", "n", F.coalesce("component", "node").alias("component"), *_LONGS, *columns)
+        return nodes.join(exchanged(found), F.col("node") == F.col("id"), "left").select("node", "n", F.coalesce("component", "node").alias("component"), *_LONGS, *columns)
 
     # one exchange of the postings serves both their count and the join
-    single = prints.select("row", "node", "prefix").join(nodes.select("row"), "row", "left_semi")
+    single = prints.select("row", "node", "prefix").join(exchanged(nodes.select("row")), "row", "left_semi")
     postings = single.select("node", F.explode("prefix").alias("key")).repartition("key")
     lists = postings.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = settle(postings.join(lists, "key"), "near_lists", compression="zstd")
+    members = settle(postings.join(exchanged(lists), "key"), "near_lists", compression="zstd")
 
     def groups(members: DataFrame, named: DataFrame) -> DataFrame:
         columns = [c for c in named.columns if c != "node"]
         blocks = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(block_rows)).cast("int"))
-        full = blocks.join(named, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        full = blocks.join(exchanged(named), "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
         others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
         dealt = full.withColumn("other", F.explode(others))
         return dealt.groupBy("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(
@@ -291,12 +291,12 @@ def near_links(
     named = component_of(links, "parity")
     # lists whose members are all in one component by now have nothing to tell
     ends = [F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows")]
-    mixed = settle(long.join(named.select("node", "component"), "node").groupBy("key").agg(*ends).where("a < b").select("key", "rows"), "near_mixed")
+    mixed = settle(long.join(exchanged(named.select("node", "component")), "node").groupBy("key").agg(*ends).where("a < b").select("key", "rows"), "near_mixed")
     apart = settle(spread_join(long, mixed, ["key"], "rows", ["node"]).drop("rows"), "near_apart", compression="zstd")
     # the first lists by key of each set; where there are fewer, a key that none comes after fills up
     first = apart.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, _FIRST).alias("first"))
     lists = [F.coalesce(F.get("first", F.lit(i)), F.lit((1 << 63) - 1)).alias(f"list{i}") for i in range(_FIRST)]
-    named = named.join(first, "node").select(*named.columns, *lists)
+    named = named.join(exchanged(first), "node").select(*named.columns, *lists)
     rest = _settled(_candidates(groups(apart, named), least, True, small), docs, text, shingle, least)
     return links.unionByName(rest)
 
@@ -315,5 +315,5 @@ def drop_near_duplicates(
     common = _common(docs, text, shingle)
     prints = settle(_prints(docs, text, doc_id, shingle, least, common), "near_prints", compression="zstd")
     component = connected_components(near_links(prints, docs, text, shingle, least, block_rows))
-    rows = prints.select("doc_id", "h", "node").join(component, F.col("node") == F.col("id"), "left")
+    rows = prints.select("doc_id", "h", "node").join(exchanged(component), F.col("node") == F.col("id"), "left")
     return one_row_each(docs, rows.select("doc_id", "h", F.coalesce("component", "node").alias("component")), text, doc_id)

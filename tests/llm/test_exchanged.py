@@ -1,13 +1,13 @@
-"""Tables that grow with the input are exchanged for a join, however small Spark takes them to be; only hot keys go to all tasks."""
+"""Tables that grow with the input are exchanged for a join, however small Spark takes them to be; only hot keys and a mix's sources go to all tasks."""
 
 import re
 
 import pytest
 
-from rastra.llm import simhash
+from rastra.llm import mixing, near, simhash
 
-#: Right keys of the tables that are bounded: keys with a large share of all rows.
-BOUNDED = ("_hot_",)
+#: Right keys of the tables that are bounded: keys with a large share of all rows, the list of sources and its bands.
+BOUNDED = ("_hot_", "g#", "coalesce(g#", "coalesce(g2#")
 
 
 def sent(spark, run) -> list[str]:
@@ -35,8 +35,11 @@ def docs(spark):
         lambda d: simhash.near_duplicate_groups(d, shingle=4),
         lambda d: simhash.near_duplicate_groups(d, shingle=4, reps=2, min_match=5, max_bits=6),
         lambda d: simhash.drop_near_duplicates(d, shingle=4),
+        lambda d: near.drop_near_duplicates(d, shingle=5, similarity=0.8),
+        lambda d: near.drop_near_duplicates(d.unionByName(d), shingle=5, similarity=0.8, block_rows=16),
+        lambda d: mixing.take_mix(d, share=1.5),
     ],
-    ids=["groups", "groups of two", "bits"],
+    ids=["groups", "groups of two", "bits", "sets", "sets of copies", "mix"],
 )
 def test_grown_tables_are_not_sent(spark, docs, run):
     keys = sent(spark, lambda: run(docs).write.format("noop").mode("overwrite").save())
