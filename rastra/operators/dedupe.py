@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rastra.functions.geo import box_iou
 from rastra.operators.graph import SMALL, connected_components
 from rastra.operators.joins import box_pairs
-from rastra.storage import settle
+from rastra.storage import exchanged, settle
 
 
 def cluster(points: DataFrame, eps: float, x: str = "x", y: str = "y", key: str = "id", by: str | None = None) -> DataFrame:
@@ -131,16 +131,26 @@ _FINEST = -6
 _SIDES = ("xmin", "ymin", "xmax", "ymax")
 
 
-def _tiles(boxes: DataFrame, threshold: float, size: float) -> DataFrame:
+def _level(x: Column, size: float) -> Column:
+    """The class of boxes as wide as that."""
+    return F.greatest(F.ceil(F.log(x / F.lit(float(size))) / math.log(_CLASS)), F.lit(_FINEST)).cast("int")
+
+
+def _wide() -> Column:
+    return F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")).cast("double")
+
+
+def _tiles(boxes: DataFrame, threshold: float, size: float, classes: list[int]) -> DataFrame:
     """Each box once in every tile where a box that it may suppress, or that may suppress it, has its middle: ``_k, _x, _y``, and whether it is that tile's ``own``.
 
     Boxes with an IoU of at least the threshold differ in width and height by that factor at most.
+    ``classes`` are those of all boxes: a tile of another class would hold none of its own and decide nothing.
     """
     least = threshold * (1 - 1e-9)
     w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
-    level = lambda x: F.greatest(F.ceil(F.log(x / F.lit(float(size))) / math.log(_CLASS)), F.lit(_FINEST)).cast("int")
-    wide = F.greatest(w, h).cast("double")
-    d = boxes.withColumns({"_own": level(wide), "_k": F.explode(F.sequence(level(wide * least), level(wide / least)))})
+    wide, there = _wide(), F.array(*[F.lit(c) for c in classes]).cast("array<int>")
+    met = F.filter(there, lambda k: (k >= _level(wide * least, size)) & (k <= _level(wide / least, size)))
+    d = boxes.withColumns({"_own": _level(wide, size), "_k": F.explode(met)})
     d = d.withColumn("_side", F.pow(F.lit(float(_CLASS)), F.col("_k")) * float(size * _TILE))
     at = lambda x: F.floor(x / F.col("_side")).cast("long")
     most = F.col("_side") / _TILE * (1 + 1e-9)
@@ -151,30 +161,84 @@ def _tiles(boxes: DataFrame, threshold: float, size: float) -> DataFrame:
     return d.select(*boxes.columns, "_k", "_x", "_y", own.alias("own"))
 
 
+#: So many boxes of a tile are held against each other at once, and so many pairs with those before them.
+_BLOCK, _PAIRS = 256, 1 << 16
+
+
+def _repeats(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each box of ``a`` and each of ``b`` have an IoU of at least the threshold."""
+    area = [(s[:, 2] - s[:, 0]) * (s[:, 3] - s[:, 1]) for s in (a, b)]
+    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = a.T[:, :, None], b.T[:, None]
+    both = np.minimum(ax1, bx1)
+    both -= np.maximum(ax0, bx0)
+    np.maximum(both, 0, out=both)
+    high = np.minimum(ay1, by1)
+    high -= np.maximum(ay0, by0)
+    np.maximum(high, 0, out=high)
+    both *= high
+    either = np.add(area[0][:, None], area[1][None], out=high)
+    either -= both
+    both /= either
+    return both >= threshold
+
+
+class _Held:
+    """Boxes of one tile that are held against those after them."""
+
+    def __init__(self):
+        self.n, self.sides = 0, np.empty((64, 4))
+
+    def add(self, boxes: np.ndarray) -> None:
+        while self.n + len(boxes) > len(self.sides):
+            self.sides = np.concatenate([self.sides, self.sides])
+        self.sides[self.n : self.n + len(boxes)] = boxes
+        self.n += len(boxes)
+
+    def repeat(self, boxes: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of the boxes repeat one that is held."""
+        out = np.zeros(len(boxes), bool)
+        step = max(1, _PAIRS // max(1, len(boxes)))
+        for at in range(0, self.n if len(boxes) else 0, step):
+            out |= _repeats(self.sides[at : min(at + step, self.n)], boxes, threshold).any(axis=0)
+        return out
+
+
 class _Tile:
-    """Boxes of one tile that stay, or may stay, so far."""
+    """Boxes of one tile that stay, and those that may stay, so far."""
 
     def __init__(self, threshold: float):
-        self.threshold, self.n = threshold, 0
-        self.sides, self.sure = np.empty((64, 4)), np.empty(64, bool)
-
-    def add(self, box: np.ndarray, sure: bool) -> None:
-        if self.n == len(self.sure):
-            self.sides, self.sure = np.concatenate([self.sides, self.sides]), np.concatenate([self.sure, self.sure])
-        self.sides[self.n], self.sure[self.n] = box, sure
-        self.n += 1
-
-    def near(self, box: np.ndarray) -> tuple[bool, bool]:
-        """Whether the box repeats one that stays, and one that may."""
-        s = self.sides[: self.n]
-        w = np.minimum(s[:, 2], box[2]) - np.maximum(s[:, 0], box[0])
-        met = np.flatnonzero(w > 0)
-        s, w = s[met], w[met]
-        both = w * np.maximum(np.minimum(s[:, 3], box[3]) - np.maximum(s[:, 1], box[1]), 0)
-        either = (s[:, 2] - s[:, 0]) * (s[:, 3] - s[:, 1]) + (box[2] - box[0]) * (box[3] - box[1]) - both
-        hit = met[both / either >= self.threshold]
-        sure = self.sure[hit]
-        return bool(sure.any()), bool((~sure).any())
+        self.threshold, self.stay, self.may = threshold, _Held(), _Held()
+
+    def judge(self, sides: np.ndarray, own: np.ndarray, sure: np.ndarray) -> np.ndarray:
+        """Which of the next boxes, the strongest first, go; ``sure`` is set for those that are found to stay.
+
+        What goes by a box before this block is told for all at once; the others are held against each other and looked at in order.
+        """
+        goes = np.zeros(len(sides), bool)
+        goes[~sure] = self.stay.repeat(sides[~sure], self.threshold)
+        left = np.flatnonzero(~goes)
+        waits = np.zeros(len(left), bool)
+        open_ = own[left] & ~sure[left]  # the others are decided in other tiles
+        waits[open_] = self.may.repeat(sides[left[open_]], self.threshold)
+        if len(left) > 1:
+            hit = np.triu(_repeats(sides[left], sides[left], self.threshold), 1)
+            gone, firm = np.zeros(len(left), bool), sure[left]
+            for i in np.flatnonzero(hit.any(axis=1)).tolist():
+                if not firm[i]:
+                    if gone[i]:
+                        continue
+                    firm[i] = own[left[i]] and not waits[i]
+                if firm[i]:
+                    gone |= hit[i]
+                else:
+                    waits |= hit[i]
+            gone &= ~sure[left]
+            goes[left[gone]] = True
+            left, waits = left[~gone], waits[~gone]
+        sure[left] |= own[left] & ~waits
+        self.stay.add(sides[left[sure[left]]])
+        self.may.add(sides[left[~sure[left]]])
+        return goes
 
 
 def _judge(threshold: float):
@@ -185,20 +249,22 @@ def _judge(threshold: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = zip(*(batch[c].to_pylist() for c in ("_k", "_x", "_y")), strict=True)
+            keys = np.stack([batch[c].to_numpy() for c in ("_k", "_x", "_y")], axis=1)
             sides = np.stack([batch[c].to_numpy() for c in _SIDES], axis=1)
             sure, own = (batch[c].to_numpy(zero_copy_only=False).copy() for c in ("sure", "own"))
             stays = own.copy()
-            for i, key in enumerate(keys):
+            starts = np.append(0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1)
+            ends = np.append(starts[1:], len(keys))
+            # a tile whose own boxes are all decided, or that has none, tells nothing; the first and last one may go on in another batch
+            told = np.add.reduceat(own & ~sure, starts) == 0
+            told[[0, -1]] = False
+            for start, end in zip(starts[~told].tolist(), ends[~told].tolist(), strict=True):
+                key = tuple(keys[start].tolist())
                 if key != last:
                     last, tile = key, _Tile(threshold)
-                if not sure[i]:
-                    goes, waits = tile.near(sides[i])
-                    if goes:
-                        stays[i] = False
-                        continue
-                    sure[i] = own[i] and not waits
-                tile.add(sides[i], sure[i])
+                for at in range(start, end, _BLOCK):
+                    rows = slice(at, min(at + _BLOCK, end))
+                    stays[rows] &= ~tile.judge(sides[rows], own[rows], sure[rows])
             at = np.flatnonzero(stays)
             kept = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays([*[kept[c] for c in (*_SIDES, "rank", "name")], pa.array(sure[at])], names=[*_SIDES, "rank", "name", "sure"])
@@ -219,11 +285,12 @@ def _strongest(boxes: DataFrame, threshold: float, size: float, score: str, key:
     rank = F.struct((~F.isnan(F.col(score).cast("double"))).alias("number"), (-F.col(score)).alias("s"), F.col(key).alias("name"))  # ascending; NaN is the highest score
     state = boxes.groupBy(*[F.col(c).cast("double").alias(c) for c in _SIDES]).agg(F.min(rank).alias("rank"))
     state = settle(state.select(*_SIDES, "rank", F.col("rank.name").alias("name"), F.lit(False).alias("sure")), "nms_boxes")
+    classes = sorted(r[0] for r in state.select(_level(_wide(), size)).distinct().collect())  # few: sizes span what a double holds
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema)
     while not state.where("NOT sure").isEmpty():
         # a box costs more work than bytes, so tasks are cut by boxes
         tasks = -(-state.count() // 16384)
-        dealt = _tiles(state, threshold, size).repartition(tasks, "_k", "_x", "_y").sortWithinPartitions("_k", "_x", "_y", "rank")
+        dealt = _tiles(state, threshold, size, classes).repartition(tasks, "_k", "_x", "_y").sortWithinPartitions("_k", "_x", "_y", "rank")
         state = settle(dealt.mapInArrow(_judge(threshold), ddl), "nms_boxes")
     return state.select("name")
 
@@ -239,7 +306,7 @@ def suppress(boxes: DataFrame, threshold: float, size: float, score: str = "scor
         judged = whole[0] & whole[1] & whole[2] & whole[3] & F.col(score).isNotNull() & (F.col("xmax") > F.col("xmin")) & (F.col("ymax") > F.col("ymin"))
         judged = F.coalesce(judged, F.lit(False))
         kept = _strongest(slim.where(judged), threshold, size, score, key).select(F.col("name").alias("_kept"))
-        stay = boxes.withColumn("_judged", judged).join(kept, F.col(key) == F.col("_kept"), "left").where(~F.col("_judged") | F.col("_kept").isNotNull())
+        stay = boxes.withColumn("_judged", judged).join(exchanged(kept), F.col(key) == F.col("_kept"), "left").where(~F.col("_judged") | F.col("_kept").isNotNull())
         return stay.select(*[F.col(f"`{c}`") for c in boxes.columns])
     side = lambda s: tuple(f"{s}.{c}" for c in _SIDES)
     over = box_pairs(slim, slim, size, _stronger(score, key) & (box_iou(side("l"), side("r")) >= threshold))
